@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm import mixing, sharding
+from attesta.llm import mixing, sharding, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,7 +22,12 @@ def op3_shard_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op6_voronoi_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op3_shard_by_bytes": op3_shard_by_bytes,
+    "op6_voronoi_top_k": op6_voronoi_top_k,
 }

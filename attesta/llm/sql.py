@@ -37,6 +37,20 @@ FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 JOIN x ON d.source IS NOT DISTINCT FROM x.source AND d.h = x.h
 """
 
+OP6 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS (
+  SELECT q.vec_id AS query_id, x.vec_id, CAST(list_inner_product(q.v, x.v) AS BIGINT) AS score
+  FROM v q, v x WHERE q.vec_id % 20 = 0 AND q.vec_id <> x.vec_id
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
 ORACLE_SQL = {
     "op1_mix_sources": OP1,
+    "op6_voronoi_top_k": OP6,
 }
