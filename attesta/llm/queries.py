@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm import mixing, sharding, topk
+from attesta.llm import embed_dedup, mixing, sharding, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op3_shard_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.shard(_table(spark, sf_dir, "documents"), shards=16)
     return out.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
@@ -28,6 +32,7 @@ def op6_voronoi_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_shard_by_bytes": op3_shard_by_bytes,
     "op6_voronoi_top_k": op6_voronoi_top_k,
 }

@@ -37,6 +37,26 @@ FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 JOIN x ON d.source IS NOT DISTINCT FROM x.source AND d.h = x.h
 """
 
+OP2 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), e AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a, v b WHERE a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.95
+), n AS (
+  SELECT a, count(*) AS n FROM e GROUP BY a
+), c(node, label) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION
+  SELECT e.b, c.label FROM c JOIN e ON c.node = e.a
+), m AS (
+  SELECT node, min(label) AS label FROM c GROUP BY node
+)
+SELECT vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, m.label AS component_id, vec_id = m.label AS kept
+FROM embeddings JOIN m ON m.node = vec_id LEFT JOIN n ON n.a = vec_id
+"""
+
 OP6 = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
@@ -52,5 +72,6 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 
 ORACLE_SQL = {
     "op1_mix_sources": OP1,
+    "op2_embedding_near_dedup": OP2,
     "op6_voronoi_top_k": OP6,
 }
