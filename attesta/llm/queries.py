@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm import embed_dedup, mixing, sharding, topk
+from attesta.llm import embed_dedup, mixing, packing, sharding, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,9 +30,14 @@ def op6_voronoi_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
 
 
+def op9_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), size=2048)
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_shard_by_bytes": op3_shard_by_bytes,
     "op6_voronoi_top_k": op6_voronoi_top_k,
+    "op9_pack_windows": op9_pack_windows,
 }
