@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm import embed_dedup, mixing, packing, sharding, topk
+from attesta.llm import embed_dedup, mixing, packing, sharding, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,10 +34,15 @@ def op9_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), size=2048)
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), max_rows=20_000)
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_shard_by_bytes": op3_shard_by_bytes,
     "op6_voronoi_top_k": op6_voronoi_top_k,
     "op9_pack_windows": op9_pack_windows,
+    "op10_toxicity": op10_toxicity,
 }
