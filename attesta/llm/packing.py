@@ -150,9 +150,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE, text:
             return pd.DataFrame(rows, columns=[c.split()[0] for c in PIECES.split(", ")]).astype({"doc_id": "Int64"})
 
         for b in batches:
-            for doc, value, part in zip(b["doc_id"], b["text"], b["part"], strict=True):
+            for doc, part, (ids, ends) in zip(b["doc_id"], b["part"], tok.many(b["text"].tolist()), strict=True):
                 stream = stream or _Stream(size, int(part))
-                ids, ends = tok.ids(value)
                 for rows in stream.add(None if pd.isna(doc) else int(doc), np.append(ids, ids.dtype.type(tokens.END)), ends):
                     yield frame(rows)
         if stream:

@@ -1,19 +1,27 @@
 """Token ids of whole texts by a public tokenizer, computed word by word.
 
 The tokenizer of ``word_bpe_49k.json`` never joins characters across white space, so the ids of
-a text are the ids of its words (runs without ASCII white space) one after another. Each worker
-keeps the ids of the words that it has met in a bounded table and tokenizes only new ones; a
-text is then a few array operations. ``checked`` compares with the tokenizer itself.
+a text are the ids of its words (runs without ASCII white space) one after another. It folds case
+letter by letter and separates letters from the punctuation after them, so a new word's ids are
+those of its lower-case stem and of the marks at its end. Each worker keeps the ids of the words
+that it met in a bounded table and tokenizes only new stems; a text is then a few array operations.
 """
 
 from __future__ import annotations
 
+import os
+import sys
+import unicodedata
+
 import numpy as np
 
-WORDS_KEPT = 400_000
+WORDS_KEPT = 300_000
 #: A document ends with this id.
 END = 1
+_MARKS = b".,;:!?"
 _ENDS = (b".", b"!", b"?", b":", b";")
+#: Characters of text handled at once.
+AT_ONCE = 1 << 20
 
 
 def path_of(name: str = "word_bpe_49k.json") -> str:
@@ -22,59 +30,153 @@ def path_of(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+class _Places(dict):
+    """Word -> index; a new word gets the next index and is noted."""
+
+    def __init__(self):
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        self.new.append(word)
+        return n
+
+
+class _Table:
+    """Words with their ids, all in one array."""
+
+    def __init__(self, dtype):
+        self.place = _Places()
+        self.flat = np.zeros(1 << 16, dtype=dtype)
+        self.start = np.zeros(1 << 12, dtype=np.int64)
+        self.length = np.zeros(1 << 12, dtype=np.int64)
+        self.used = self.filled = self.missed = 0
+
+    def at(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+
+    def put(self, lengths: np.ndarray, ids: np.ndarray) -> None:
+        """The ids of the noted words, in their order."""
+        n = self.filled + len(lengths)
+        while n > len(self.start):
+            self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.start[self.filled : n] = self.used + np.cumsum(lengths) - lengths
+        self.length[self.filled : n] = lengths
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.missed += len(lengths)
+        self.filled, self.used, self.place.new = n, self.used + len(ids), []
+
+    def gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words at these indices, and where each ends."""
+        length = self.length[at]
+        upto = np.cumsum(length)
+        total = int(upto[-1]) if len(upto) else 0
+        return self.flat[np.arange(total) + np.repeat(self.start[at] - (upto - length), length)], upto
+
+    def trim(self, kept: int) -> None:
+        """The first words stay, being the frequent ones; later ones go."""
+        while len(self.place) > kept:
+            self.place.popitem()
+        if self.filled > kept:
+            self.filled, self.used = kept, int(self.start[kept])
+
+
 class WordTokenizer:
     def __init__(self, path: str, kept: int = WORDS_KEPT):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer, self.kept = Tokenizer.from_file(path), kept
-        self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        vocabulary = self.tokenizer.get_vocab()
+        self.dtype = np.uint16 if len(vocabulary) <= 1 << 16 else np.uint32
+        self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        for token, i in vocabulary.items():
+            self.last[i] = token.endswith("</w>")
         self._clear()
 
     def _clear(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.flat = np.zeros(1 << 16, dtype=self.dtype)
-        self.start = np.zeros(1 << 12, dtype=np.int64)
-        self.length = np.zeros(1 << 12, dtype=np.int64)
-        self.ends = np.zeros(1 << 12, dtype=bool)
-        self.used = 0
-
-    def _learn(self, words: list[bytes]) -> None:
-        batch = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        for w, e in zip(words, batch, strict=True):
-            ids = e.ids
-            n = len(self.place)
-            if n == len(self.start):
-                self.start, self.length, self.ends = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length, self.ends))
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.start[n], self.length[n], self.ends[n] = self.used, len(ids), w.endswith(_ENDS)
-            self.used += len(ids)
-            self.place[w] = n
-
-    def ids(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of the text, and the numbers of ids after which a sentence ends."""
-        words = (text or "").encode("utf-8", "surrogatepass").split()
-        if not words:
-            return np.zeros(0, self.dtype), np.zeros(0, np.int64)
-        if len(self.place) > self.kept:
+        self.words, self.stems = _Table(self.dtype), _Table(self.dtype)
+        self.ends = np.zeros(0, dtype=bool)
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn_stems(self) -> None:
+        new = [w.decode("utf-8", "replace") for w in self.stems.place.new]
+        lengths, found = np.zeros(len(new), dtype=np.int64), {}
+        plain = [i for i, w in enumerate(new) if w.isalpha() and unicodedata.is_normalized("NFC", w)]
+        # words of letters only, many at once: each ends at a token that ends a word
+        for lo in range(0, len(plain), 500):
+            part = plain[lo : lo + 500]
+            ids = np.array(self._encode([" ".join(new[i] for i in part)])[0], dtype=self.dtype)
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(part):
+                continue
+            for i, a, b in zip(part, [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+                found[i] = ids[a:b]
+        others = [i for i in range(len(new)) if i not in found]
+        found |= {i: np.array(ids, dtype=self.dtype) for i, ids in zip(others, self._encode([new[i] for i in others]), strict=True)}
+        for i in range(len(new)):
+            lengths[i] = len(found[i])
+        self.stems.put(lengths, np.concatenate([found[i] for i in range(len(new))]))
+
+    def _learn(self) -> None:
+        parts, new = [], self.words.place.new
+        for w in new:
+            low = w if b"<|" in w else w.lower()  # special tokens keep their case
+            stem = low.rstrip(_MARKS)
+            # only a letter is sure to part from the marks that follow it
+            if len(stem) == len(low) or not stem or not 97 <= stem[-1] <= 122:
+                stem = low
+            parts += (stem, low[len(stem) :])
+        at = self.stems.at(parts)
+        if self.stems.place.new:
+            self._learn_stems()
+        ids, upto = self.stems.gather(at)
+        upto = upto[1::2]
+        first = self.words.filled
+        self.words.put(np.diff(upto, prepend=0), ids)
+        if len(self.ends) < len(self.words.start):
+            self.ends = np.concatenate([self.ends, np.zeros(len(self.words.start) - len(self.ends), dtype=bool)])
+        self.ends[first : first + len(new)] = [w.endswith(_ENDS) for w in new]
+        self.stems.trim(self.kept)
+
+    def _trim(self) -> None:
+        if self.words.missed > 40 * self.kept:  # the words have changed: start anew
             self._clear()
-        place = self.place
-        new = [w for w in dict.fromkeys(words) if w not in place]
-        if new:
-            self._learn(new)
-        at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-        length = self.length[at]
-        upto = np.cumsum(length)
-        total = int(upto[-1])
-        picks = np.arange(total) + np.repeat(self.start[at] - (upto - length), length)
-        return self.flat[picks], upto[self.ends[at]]
-
-
-_made: dict[str, WordTokenizer] = {}
+        self.words.trim(self.kept)
+
+    def many(self, texts: list[str | None]):
+        """For each text its ids, and the numbers of ids after which a sentence ends."""
+        lo = 0
+        while lo < len(texts):
+            hi, chars = lo, 0
+            while hi < len(texts) and chars < AT_ONCE:
+                chars += len(texts[hi] or "")
+                hi += 1
+            split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts[lo:hi]]
+            words = [w for s in split for w in s]
+            at = self.words.at(words)
+            if self.words.place.new:
+                self._learn()
+            ids, upto = self.words.gather(at)
+            ends = self.ends[at]
+            self._trim()
+            n = 0
+            for s in split:
+                base = int(upto[n - 1]) if n else 0
+                own = upto[n : n + len(s)]
+                last = int(own[-1]) if len(s) else base
+                yield ids[base:last], own[ends[n : n + len(s)]] - base
+                n += len(s)
+            lo = hi
 
 
 def tokenizer(path: str) -> WordTokenizer:
-    if path not in _made:
-        _made[path] = WordTokenizer(path)
-    return _made[path]
+    """The worker's tokenizer: kept beside the interpreter's modules, so that it outlives a task."""
+    held = sys.modules.setdefault("_attesta_tokenizers", {})
+    if path not in held:
+        held[path] = WordTokenizer(path)
+    return held[path]
