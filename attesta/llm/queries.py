@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm import embed_dedup, mixing, packing, sharding, topk, toxicity
+from attesta.llm import embed_dedup, minhash, mixing, packing, sharding, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op3_shard_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), percent=85, words=5)
+
+
 def op6_voronoi_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
 
@@ -42,6 +46,7 @@ QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_shard_by_bytes": op3_shard_by_bytes,
+    "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op6_voronoi_top_k": op6_voronoi_top_k,
     "op9_pack_windows": op9_pack_windows,
     "op10_toxicity": op10_toxicity,
