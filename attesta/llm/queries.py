@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm import embed_dedup, minhash, mixing, order, packing, sharding, topk, toxicity
+from attesta.llm import embed_dedup, lines, minhash, mixing, order, packing, sharding, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,11 @@ def op6_voronoi_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.deduplicate(_table(spark, sf_dir, "documents"), min_words=6)
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op8_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = order.materialise(_table(spark, sf_dir, "documents"), seed=17, length=2048, stride=1024)
     return order.digest(order.resume(spark, path, 0, 1024), 1024)
@@ -53,6 +58,7 @@ QUERIES = {
     "op3_shard_by_bytes": op3_shard_by_bytes,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
     "op6_voronoi_top_k": op6_voronoi_top_k,
+    "op7_line_dedup": op7_line_dedup,
     "op8_training_order": op8_training_order,
     "op9_pack_windows": op9_pack_windows,
     "op10_toxicity": op10_toxicity,

@@ -70,8 +70,42 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
+#: Lines of six words and more: variants by word and place, earliest line that shares one.
+LINES_SQL = r"""
+docs AS (
+  SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM {table}
+), l AS (
+  SELECT doc_id, no - 1 AS no, lines[no] AS line, list_filter(regexp_split_to_array(lines[no], '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM docs, unnest(range(1, len(lines) + 1)) AS u(no)
+), o AS (
+  SELECT line, any_value(w) AS w, min(struct_pack(doc := doc_id, no := no)) AS own FROM l WHERE len(w) >= 6 GROUP BY line
+), v AS (
+  SELECT line, own, i, array_to_string(w[:i] || w[i + 2:], ' ') AS v FROM o, unnest(range(0, len(w))) AS u(i)
+  UNION ALL SELECT line, own, i, array_to_string(w, ' ') FROM o, unnest(range(0, len(w) + 1)) AS u(i)
+), e AS (
+  SELECT v, i, min(own) AS own FROM v GROUP BY v, i
+), f AS (
+  SELECT v.line, min(e.own) AS own FROM v JOIN e USING (v, i) GROUP BY v.line
+), g AS (
+  SELECT l.doc_id, l.no FROM l JOIN f USING (line) WHERE len(l.w) >= 6 AND f.own < struct_pack(doc := l.doc_id, no := l.no)
+), k AS (
+  SELECT doc_id, list(no) AS gone FROM g GROUP BY doc_id
+), cut AS (
+  SELECT docs.doc_id, docs.text, len(lines) AS n, coalesce(len(gone), 0) AS n_removed,
+         array_to_string(list_filter(lines, lambda x, i: NOT list_contains(coalesce(gone, []), i - 1)), chr(10)) AS kept
+  FROM docs LEFT JOIN k USING (doc_id)
+)"""
+
+OP7 = f"""
+WITH {LINES_SQL.format(table="documents")}
+SELECT doc_id, CAST(CASE WHEN text IS NULL THEN 0 ELSE n END AS BIGINT) AS n_lines, CAST(n_removed AS BIGINT) AS n_removed,
+       sha256(kept) AS kept_sha256
+FROM cut
+"""
+
 ORACLE_SQL = {
     "op1_mix_sources": OP1,
     "op2_embedding_near_dedup": OP2,
     "op6_voronoi_top_k": OP6,
+    "op7_line_dedup": OP7,
 }
