@@ -15,7 +15,7 @@ import unicodedata
 
 import numpy as np
 
-WORDS_KEPT = 300_000
+WORDS_KEPT = 600_000
 #: A document ends with this id.
 END = 1
 _MARKS = b".,;:!?"
