@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm import embed_dedup, lines, minhash, mixing, order, packing, sharding, topk, toxicity
+from attesta.llm import embed_dedup, lines, minhash, mixing, order, packing, sharding, suffix_dedup, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), percent=85, words=5)
 
 
+def op5_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicate(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op6_voronoi_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
 
@@ -57,6 +61,7 @@ QUERIES = {
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_shard_by_bytes": op3_shard_by_bytes,
     "op4_minhash_near_dedup": op4_minhash_near_dedup,
+    "op5_repeated_passages": op5_repeated_passages,
     "op6_voronoi_top_k": op6_voronoi_top_k,
     "op7_line_dedup": op7_line_dedup,
     "op8_training_order": op8_training_order,
