@@ -11,6 +11,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Words that carry no meaning in a scale's name.
 STOP_WORDS = ["the", "a", "an", "of", "and", "for", "scale", "questionnaire", "index", "inventory", "measure", "items", "item", "scales", "version", "short", "form", "revised", "brief"]
@@ -26,19 +27,19 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def caseless(s: pd.Series) -> pd.Series:
     """NFKC and full case folding, which no native function has."""
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x).casefold())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def composed(s: pd.Series) -> pd.Series:
     """NFC."""
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unaccented(s: pd.Series) -> pd.Series:
     """NFKD without combining marks; everything but letters and digits becomes a space; lower case."""
 

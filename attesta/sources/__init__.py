@@ -1 +1 @@
-
+"""Readers and writers of the pipeline's files."""
