@@ -24,11 +24,12 @@ from attesta.llm.runtime import ranked, written
 
 #: Lines of fewer words are neither removed nor make others be removed.
 MIN_WORDS = 6
-_SPACE = r"[\x20\x09-\x0D]+"
+_OTHER_SPACE = r"[\x09-\x0D]"
 
 
 def _words(line: Column) -> Column:
-    return F.filter(F.split(line, _SPACE), lambda w: w != "")
+    plain = F.when(line.rlike(_OTHER_SPACE), F.regexp_replace(line, _OTHER_SPACE, " ")).otherwise(line)
+    return F.array_remove(F.split(plain, " "), "")
 
 
 def _lines(text: Column) -> Column:
@@ -82,6 +83,7 @@ def _near(a: Column, b: Column) -> Column:
 
 def _occurrences(rows: DataFrame, min_words: int) -> DataFrame:
     lines = rows.select("doc", "row", F.posexplode(_lines(F.col("text"))).alias("no", "line"))
+    lines = lines.where(F.octet_length("line") >= 2 * min_words - 1)  # shorter lines have too few words
     split = lines.select("doc", "row", "no", F.xxhash64("line").alias("c1"), F.xxhash64("line", F.lit(1)).alias("c2"), _words(F.col("line")).alias("words"))
     n = F.size("words")
     return split.where(n >= min_words).select("doc", "row", "no", "c1", "c2", _ends(F.col("words"), n).alias("ends"))
