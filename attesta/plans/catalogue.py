@@ -1,6 +1,8 @@
-"""Name -> query and name -> oracle SQL of the library's own operators."""
+"""Name -> query and name -> oracle SQL of the library's own operators, over the driver's tables."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from attesta.plans import agreement, funnel, lookups, nested, textual
+
+QUERIES = textual.QUERIES | agreement.QUERIES | funnel.QUERIES | lookups.QUERIES | nested.QUERIES
+ORACLE_SQL = textual.ORACLE_SQL | agreement.ORACLE_SQL | funnel.ORACLE_SQL | lookups.ORACLE_SQL | nested.ORACLE_SQL
