@@ -114,13 +114,14 @@ def _(spark, d):
 
 @query("cost_ledger", """
 WITH u AS (SELECT o_orderstatus AS stage, CASE WHEN o_orderkey % 10 = 3 THEN 'failed' ELSE 'ok' END AS status, o_custkey AS i, o_orderkey % 977 AS o FROM orders),
-c AS (SELECT *, round(i / 1e6 * 0.15 + o / 1e6 * 1.25, 5) AS cost FROM u)
+c AS (SELECT *, round(i * 0.015 + o * 0.125) AS cost FROM u)
 SELECT coalesce(stage, 'TOTAL') AS stage, CAST(count_if(status = 'ok') AS BIGINT) AS papers, CAST(sum(CASE WHEN status = 'ok' THEN i ELSE 0 END) AS BIGINT) AS in_tok, CAST(sum(CASE WHEN status = 'ok' THEN o ELSE 0 END) AS BIGINT) AS out_tok,
   round(sum(CASE WHEN status = 'ok' THEN cost ELSE 0 END), 4) AS ok_cost, round(sum(cost), 4) AS all_cost, round(sum(CASE WHEN status = 'ok' THEN cost ELSE 0 END) * 200 / count_if(status = 'ok'), 4) AS projected
 FROM c GROUP BY ROLLUP (stage)""")
 def _(spark, d):
     u = table(spark, d, "orders").select(F.col("o_orderstatus").alias("stage"), F.when(F.col("o_orderkey") % 10 == 3, "failed").otherwise("ok").alias("status"), F.col("o_custkey").cast("string").alias("in_tok"), (F.col("o_orderkey") % 977).cast("string").alias("out_tok"))
-    u = u.withColumn("cost_usd", F.round(F.col("in_tok").cast("long") / 1e6 * 0.15 + F.col("out_tok").cast("long") / 1e6 * 1.25, 5))
+    # in units of 0.00001 dollars, so that sums are exact in any order
+    u = u.withColumn("cost_usd", F.round(F.col("in_tok").cast("long") * F.lit(0.015) + F.col("out_tok").cast("long") * F.lit(0.125)))
     out = ledger.cost_ledger(u, projected_to=200)
     return out.select("stage", "papers", "in_tok", "out_tok", *[F.round(c, 4).alias(c) for c in ("ok_cost", "all_cost", "projected")])
 
