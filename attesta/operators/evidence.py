@@ -31,18 +31,19 @@ def verified_items(items: DataFrame, sources: DataFrame, paper: str, key: str, o
 def evidence_pairs(needles: DataFrame, needle: str, sources: DataFrame, source: str, few: int = 10_000) -> DataFrame:
     """Cross-document containment: (needle row, source row) where the source contains the needle.
 
-    Up to ``few`` needles (counted first) are broadcast in one array and each source is scanned once
-    for all of them. With more, only pairs that share the needle's longest word are compared."""
+    Up to ``few`` needles (counted first) are broadcast. With more, pairs meet on the needle's longest
+    inner word: between its first and last words a needle has whole words, which a source that contains
+    it has as well. Needles of one or two words have none and are compared with all sources."""
     held = needles.where(F.col(needle) != "")
+    inside = F.contains(F.col(source), F.col(needle))
     if held.limit(few + 1).count() <= few:
-        return sources.join(F.broadcast(held), F.contains(F.col(source), F.col(needle)))
-    words = lambda c: F.filter(F.split(F.col(c), r"\s+"), lambda w: w != "")
-    inner = held.withColumn("__word", F.reduce(words(needle), F.lit(""), lambda best, w: F.when(F.length(w) > F.length(best), w).otherwise(best)))
-    edge = F.size(words(needle)) < 3  # its words may be cut by the words around it
-    by_word = inner.where(~edge)
-    near = sources.withColumn("__w", F.explode(F.array_distinct(words(source)))).join(by_word, F.contains(F.col("__w"), F.col("__word"))).where(F.contains(F.col(source), F.col(needle))).drop("__w", "__word")
-    short = sources.join(inner.where(edge).drop("__word"), F.contains(F.col(source), F.col(needle)))
-    return near.select(*[c for c in short.columns]).unionByName(short).distinct()
+        return sources.join(F.broadcast(held), inside)
+    words = lambda c: F.filter(F.split(c, r"\s+"), lambda w: w != "")
+    longest = F.reduce(F.slice("__words", 2, F.greatest(F.size("__words") - 2, F.lit(0))), F.lit(""), lambda best, w: F.when(F.length(w) > F.length(best), w).otherwise(best))
+    split = held.withColumn("__words", words(F.col(needle))).withColumn("__word", longest).drop("__words")
+    near = sources.withColumn("__word", F.explode(F.array_distinct(words(F.col(source))))).join(split.where("__word <> ''"), "__word").where(inside).drop("__word")
+    short = sources.join(split.where("__word = ''").drop("__word"), inside)
+    return near.select(*short.columns).unionByName(short)
 
 
 def coder_overlap(a: DataFrame, b: DataFrame, paper: str, key: str) -> DataFrame:

@@ -94,7 +94,7 @@ def test_attested_needs_three_characters(spark):
 
 
 def test_evidence_pairs_both_ways(spark):
-    needles = spark.createDataFrame([(1, "quick brown fox jumps"), (2, "ow fo"), (3, "")], "i int, k string")
+    needles = spark.createDataFrame([(1, "quick brown fox jumps"), (2, "wn fo"), (3, "")], "i int, k string")
     texts = spark.createDataFrame([(1, "the quick brown fox jumps over"), (2, "nothing")], "d int, s string")
     wanted = {(1, 1), (2, 1)}
     for few in (10, 1):
