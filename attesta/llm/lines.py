@@ -3,8 +3,9 @@
 Two lines are near when at most one word differs: replaced, left out or put in. A line's
 neighbourhood is the line itself and, for each of its words, the line without it; each variant is
 emitted as a hashed key. Near lines share a key. Each line is compared with the earliest line of each
-of its keys, and the edit distance is verified on the words; a line that is refused (its word stood
-at another place) meets all earlier lines of the key. So no key makes pairs of all its lines.
+of its keys, and the edit distance is verified on the words. Where a pair is refused (the word stood
+at another place), the lines of the key meet again by key and place, which only near lines share. So no
+key makes pairs of all its lines.
 
 A variant's hash is a sum over adjacent words, so taking a word out is two terms less and one more,
 whatever the length of the line.
@@ -41,7 +42,7 @@ def _ends(words: Column, n: Column) -> Column:
     longer use."""
 
     def half(n: Column) -> Column:
-        return F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(n - 1, F.lit(2)) / 2.0))).cast("int")
+        return F.pow(F.lit(2.0), F.length(F.bin(F.shiftright(F.greatest(n - 1, F.lit(2)), 1))) - 1).cast("int")
 
     lengths = F.array_distinct(F.array(half(n - 1), half(n), half(n + 1)))
     first = F.transform(lengths, lambda p: F.xxhash64(F.lit("first"), p, F.slice(words, F.lit(1), p)))
@@ -81,6 +82,22 @@ def _near(a: Column, b: Column) -> Column:
     return agreed(a, b) + agreed(F.reverse(a), F.reverse(b)) >= F.greatest(F.size(a), F.size(b)) - 1
 
 
+def _placed(words: Column, whole: Column) -> Column:
+    """Keys of the variants with the place of the word: lines that share one are near."""
+    n = F.size(words)
+    without = F.transform(
+        F.sequence(F.lit(0), n - 1),
+        lambda i: F.xxhash64(whole - _pair(words, i - 1, i) - _pair(words, i, i + 1) + _pair(words, i - 1, i + 1), n - 1, i),
+    )
+    return F.concat(without, F.transform(F.sequence(F.lit(0), n), lambda i: F.xxhash64(whole, n, i)))
+
+
+def _verified(pairs: DataFrame, near: DataFrame) -> DataFrame:
+    """(ord, head) with ok: whether the edit distance of their words is within the bound."""
+    a, b = near.select("ord", F.col("words").alias("w")), near.select(F.col("ord").alias("head"), F.col("words").alias("v"))
+    return pairs.join(a, "ord").join(b, "head").select("ord", "head", _near(F.col("w"), F.col("v")).alias("ok"))
+
+
 def _occurrences(rows: DataFrame, min_words: int) -> DataFrame:
     lines = rows.select("doc", "row", F.posexplode(_lines(F.col("text"))).alias("no", "line"))
     lines = lines.where(F.octet_length("line") >= 2 * min_words - 1)  # shorter lines have too few words
@@ -102,15 +119,18 @@ def _earlier(rows: DataFrame, classes: DataFrame, seen: DataFrame) -> DataFrame:
     near = written(lines.withColumn("whole", _whole(F.col("words"))))
     keyed = near.select("ord", F.explode(_variants(F.col("words"), F.col("whole"))).alias("key"))
     heads = keyed.groupBy("key").agg(F.min("ord").alias("head"), F.max("ord").alias("tail")).where("head <> tail").select("key", "head")
-    pairs = keyed.join(heads, "key").where("ord <> head").groupBy("ord", "head").agg(F.min("key").alias("key"))
-    a, b = near.select("ord", F.col("words").alias("w")), near.select(F.col("ord").alias("head"), F.col("words").alias("v"))
-    checked = written(pairs.join(a, "ord").join(b, "head").select("ord", "head", "key", _near(F.col("w"), F.col("v")).alias("ok")))
+    pairs = keyed.join(heads, "key").where("ord <> head").select("ord", "head", "key")
+    checked = written(_verified(pairs.select("ord", "head").distinct(), near))
     found = checked.where("ok").select("ord", "head")
-    refused = checked.where("not ok").select("ord", "key")
+    refused = checked.where("not ok").select("ord", "head")
     if refused.limit(1).count():
-        others = keyed.select("key", F.col("ord").alias("head"))
-        again = refused.join(others, "key").where("head < ord").select("ord", "head").distinct()
-        found = found.unionByName(again.join(a, "ord").join(b, "head").where(_near(F.col("w"), F.col("v"))).select("ord", "head"))
+        # their words stood at other places: lines of such keys meet by place as well
+        keys = pairs.join(refused, ["ord", "head"]).select("key").distinct()
+        again = near.join(keyed.join(keys, "key").select("ord").distinct(), "ord", "left_semi")
+        placed = written(again.select("ord", F.explode(_placed(F.col("words"), F.col("whole"))).alias("key")))
+        heads = placed.groupBy("key").agg(F.min("ord").alias("head"), F.max("ord").alias("tail")).where("head <> tail").select("key", "head")
+        more = placed.join(heads, "key").where("ord <> head").select("ord", "head").distinct()
+        found = found.unionByName(_verified(more, near).where("ok").select("ord", "head"))
     best = found.groupBy("ord").agg(F.min("head").alias("head"))
     place = could.select(F.col("ord").alias("head"), "doc", "no")
     return best.join(could.select("ord", "c1", "c2"), "ord").join(place, "head").select("c1", "c2", "doc", "no")

@@ -1,0 +1,561 @@
+"""Each operator against brute force, on odd tables: nulls in any column, empty and long texts, ties,
+repeated rows, empty tables, and other columns whose names an operator also uses."""
+
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from attesta.llm import embed_dedup, lines, minhash, mixing, order, packing, sharding, suffix_dedup, tokens, topk, toxicity
+from attesta.llm.runtime import components, ranked
+
+# columns of documents, and some that clash with names inside the operators
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, shard int, score double, component string, a string, rank int, key string, k long, row string, doc string, part int, target string, line string"
+EXTRA = (1, 2, 0.5, "x", "y", 3, "z", 9, "r", "d", 4, "t", "l")
+
+
+def words(rng, n, pool):
+    return " ".join(rng.choice(pool) for _ in range(n))
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, t, "en", s, None if t is None else len(t), *EXTRA) for i, t, s in rows], SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def odd():
+    rng = random.Random(5)
+    pool = [f"w{i}" for i in range(400)] + ["Über", "naïve", "tab\tbed", "x."]
+    base = [words(rng, 60, pool) for _ in range(12)]
+    near = base[0].split(" ")
+    near[30] = "CHANGED"
+    passage = words(rng, 40, pool)
+    rows = [(i, t, f"s{i % 4}") for i, t in enumerate(base)]
+    rows += [
+        (20, base[0], "s0"), (21, base[0].upper(), "s1"), (22, " ".join(near), "s0"), (23, None, "s0"), (24, "", None), (25, " \n\t ", "s2"),
+        (26, "one two three", "s1"), (27, "ONE two\nthree", "s1"), (28, words(rng, 20, pool) + passage, "s0"), (29, words(rng, 7, pool) + "\n" + passage + "\n" + words(rng, 9, pool), None),
+        (30, words(rng, 20_000, pool), "s3"), (31, "ab" * 300, "s3"), (32, "spam " * 400, "s0"), (None, base[1], "s0"), (None, None, None), (33, base[2], None), (33, base[2], None), (33, base[3], "s1"),
+    ]
+    return rows
+
+
+def both(spark, odd):
+    return table(spark, odd), table(spark, [])
+
+
+# shared parts
+
+
+def test_components_of_a_path_and_a_star(spark, monkeypatch):
+    import attesta.llm.runtime as runtime
+
+    monkeypatch.setattr(runtime, "LOCAL_EDGES", 8)
+    edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (200, 199), (200, 199)]
+    random.Random(1).shuffle(edges)
+    got = {r[0]: r[1] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 130), 100), 199: 199, 200: 199}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_ranks_and_sums(spark):
+    df = spark.createDataFrame([(i, i % 3 + 1) for i in range(50)], "i long, w long").repartition(7)
+    got = {r["i"]: (r["n"], r["s"]) for r in ranked(ranked(df, ["i"], "n"), ["i"], "s", "w").collect()}
+    assert got == {i: (i, sum(j % 3 + 1 for j in range(i))) for i in range(50)}
+
+
+# op1
+
+
+def test_mix_meets_its_targets(spark, odd):
+    full, none = both(spark, odd)
+    got = mixing.mix(full).collect()
+    assert len(got) == len(odd) and mixing.mix(none).count() == 0
+    sizes = defaultdict(int)
+    for _, t, s in odd:
+        sizes[s] += len((t or "").split())
+    per = {r["source"]: (r["source_size"], r["target"]) for r in got}
+    assert {s: v[0] for s, v in per.items()} == dict(sizes)
+    assert sum(v[1] for v in per.values()) == pytest.approx(min(sum(sizes.values()), 3 * sum(sizes.values())))
+    names = sorted((s for s in sizes if s is not None)) + [None]
+    free = [s for s in names if per[s][1] < 3 * sizes[s] - 1e-6]
+    level = {round(per[s][1] / ((names.index(s) % 3) + 1), 6) for s in free}
+    assert len(level) == 1
+    taken = defaultdict(int)
+    for r in got:
+        assert 0 <= r["taken"] <= 3 * r["size"] and r["taken"] == r["copies"] * r["size"]
+        taken[r["source"]] += r["taken"]
+    for s in names:
+        largest = max(r["size"] for r in got if r["source"] == s)
+        assert abs(taken[s] - per[s][1]) <= largest
+    assert sorted(map(str, got)) == sorted(map(str, mixing.mix(full.repartition(5)).collect()))
+
+
+def test_mixed_rows_come_as_often_as_taken(spark, odd):
+    full, none = both(spark, odd)
+    want = Counter()
+    for r in mixing.mix(full).collect():
+        want[r["doc_id"], r["size"]] += r["copies"]
+    out = mixing.mixed(full)
+    assert out.columns == full.columns and mixing.mixed(none).count() == 0
+    got = Counter((r["doc_id"], len((r["text"] or "").split())) for r in out.collect())
+    assert got == Counter({k: v for k, v in want.items() if v})
+
+
+def test_nested_budgets(spark):
+    rows = [(i, "w " * (i % 7 + 1), "s") for i in range(300)]
+    base = table(spark, rows).select("source", mixing.words(F.col("text")).alias("__size"), mixing.hash60(F.col("doc_id")).alias("__hash"))
+    total = sum(i % 7 + 1 for i in range(300))
+    last = -1
+    for share in (0.1, 0.4, 0.7):
+        goal = spark.createDataFrame([("s", total, total * share)], "source string, source_size long, target double")
+        below = mixing.thresholds(base, goal, True).first()["below"]
+        assert below > last
+        assert base.where(F.col("__hash") < below).agg(F.sum("__size")).first()[0] == pytest.approx(total * share, abs=7)
+        last = below
+
+
+# op2
+
+
+def brute_links(x, t):
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    hit = unit @ unit.T >= t
+    np.fill_diagonal(hit, False)
+    return hit
+
+
+def test_embedding_links(spark):
+    rng = np.random.default_rng(3)
+    heads = rng.standard_normal((12, 16))
+    x = np.concatenate([heads + 0.08 * rng.standard_normal((12, 16)) for _ in range(6)] + [rng.standard_normal((60, 16))]).astype(np.float32).astype(float)
+    x[5] = x[4]
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)] + [(900, None, 1), (901, [0.0] * 16, 1), (902, [float("nan")] * 16, 1), (903, [float("inf")] + [0.0] * 15, 1), (904, [], 1), (905, [None] + [1.0] * 15, 1), (906, [0.0, -0.0] + [1e-30] * 14, 1), (907, [1e300] * 16, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").withColumn("rep", F.lit("clash")).withColumn("v", F.lit(1))
+    hit = brute_links(x, 0.95)
+    got = {r["vec_id"]: r for r in embed_dedup.near_duplicates(df).collect()}
+    assert len(got) == len(rows)
+    label = list(range(len(x)))
+    for _ in label:
+        label = [min([label[j] for j in np.flatnonzero(hit[i])] + [label[i]]) for i in range(len(x))]
+    for i in range(len(x)):
+        assert got[i]["n_links"] == hit[i].sum() and got[i]["component_id"] == label[i] and got[i]["kept"] == (label[i] == i)
+    assert all(got[i]["n_links"] == 0 and got[i]["kept"] for i in (900, 901, 902, 903, 904, 905))
+    assert embed_dedup.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_large_keys_are_dealt_into_blocks(spark, monkeypatch):
+    monkeypatch.setattr(embed_dedup, "BLOCK", 8)
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal(8) + 0.05 * rng.standard_normal((50, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    hit = brute_links(x, 0.95)
+    got = {r["vec_id"]: r["n_links"] for r in embed_dedup.near_duplicates(df).collect()}
+    assert got == {i: int(hit[i].sum()) for i in range(50)}
+
+
+def test_estimates_are_unbiased_and_bounds_hold():
+    rng = np.random.default_rng(8)
+    o = rng.standard_normal(32)
+    o /= np.linalg.norm(o)
+    q = o + 0.5 * rng.standard_normal(32) / np.sqrt(32)
+    q /= np.linalg.norm(q)
+    found = []
+    for seed in range(400):
+        codes = embed_dedup.Codes(32, 4, 4, seed)
+        signs, a = codes.code(o[None])
+        bar = (signs[0] * 2.0 - 1) / np.sqrt(32)
+        inner = bar @ (codes.turns[:32] @ q)
+        found.append(inner / a[0])
+        assert np.arccos(inner) <= np.arccos(a[0]) + np.arccos(o @ q) + 1e-9
+    assert np.mean(found) == pytest.approx(o @ q, abs=0.02)
+
+
+# op3
+
+
+def test_shards(spark, odd):
+    full, none = both(spark, odd)
+    got = sharding.shard(full, 4).collect()
+    assert len(got) == len(odd) and sharding.shard(none, 4).count() == 0
+    slots = defaultdict(list)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+    want = Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, _ in odd)
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == want
+
+
+@pytest.mark.parametrize("hot", ["copies", "empty", "one row again and again"])
+def test_hot_texts_are_subdivided(spark, hot):
+    rng = random.Random(2)
+    rows = [(i, words(rng, 30, ["a", "bc", "def"]), "s") for i in range(2000)]
+    rows += [(5000 + i, {"copies": "x" * 90, "empty": ""}.get(hot, "y" * 90), "s") for i in range(1000)] if "again" not in hot else [(7, "y" * 90, "s")] * 1000
+    got = sharding.shard(table(spark, rows), 8).toPandas()
+    sizes = got.groupby("shard")["size"].sum()
+    assert len(sizes) == 8 and sizes.max() < 1.03 * sizes.mean() and sizes.min() > 0.97 * sizes.mean()
+    if hot == "empty":
+        assert got.groupby("shard").slot.apply(lambda s: sorted(s) == list(range(len(s)))).all()
+
+
+# op4
+
+
+def sets_of(text, k=5):
+    w = [x for x in _split(text)]
+    return frozenset(tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))) if w else frozenset()
+
+
+def _split(text):
+    import re
+
+    table = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    return re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(table))
+
+
+def test_minhash_components(spark, odd):
+    assert minhash.near_duplicates(table(spark, odd)).where("doc_id = 33").select("component_id").distinct().count() == 2  # row by row
+    odd = odd[:-1]
+    full, none = both(spark, odd)
+    got = minhash.near_duplicates(full).collect()
+    assert len(got) == len(odd) and minhash.near_duplicates(none).count() == 0
+    vertices = {}
+    for i, t, _ in odd:
+        vertices.setdefault(i, []).append(sets_of(t))
+    ids = sorted(vertices, key=lambda i: -1 if i is None else i)
+    label = {i: n for n, i in enumerate(ids)}
+    link = lambda a, b: a and b and 100 * len(a & b) >= 85 * len(a | b)
+    for _ in ids:
+        for i in ids:
+            for j in ids:
+                if any(link(a, b) for a in vertices[i] for b in vertices[j]):
+                    label[i] = label[j] = min(label[i], label[j])
+    for r in got:
+        assert r["component_id"] == ids[label[r["doc_id"]]], r
+        assert r["kept"] == (r["doc_id"] == r["component_id"])
+    assert Counter((r["doc_id"], r["n_shingles"]) for r in got) == Counter((i, len(sets_of(t))) for i, t, _ in odd)
+    left = minhash.without_near_duplicates(full, 85)
+    assert left.columns == full.columns
+    assert {r["doc_id"] for r in left.collect()} == {r["doc_id"] for r in got if r["kept"]} | {None}
+
+
+def test_large_groups_are_dealt_into_blocks(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 6)
+    rng = random.Random(9)
+    pool = [f"w{i}" for i in range(200)]
+    base = [rng.choice(pool) for _ in range(120)]
+    rows = []
+    for i in range(40):
+        w = list(base)
+        w[rng.randrange(120)] = f"x{i}"
+        rows.append((i, " ".join(w), "s"))
+    got = minhash.near_duplicates(table(spark, rows)).collect()
+    assert {r["component_id"] for r in got} == {0} and sum(r["kept"] for r in got) == 1
+
+
+def test_tables_are_pairs_of_half_keys():
+    s = np.unique(np.random.default_rng(0).integers(0, 2**63, 500, dtype=np.uint64))
+    a, b = minhash.half_keys(s, 8)
+    assert minhash._tables(a[None], b[None]).shape == (1, 64) and minhash.side_of(85) == 8 and minhash.side_of(80) == 10
+
+
+# op5
+
+
+def brute_repeats(odd):
+    seen, out = {}, Counter()
+    docs = sorted(odd, key=lambda r: -1 if r[0] is None else r[0])
+    first = {}
+    for i, t, _ in docs:
+        b = (t or "").encode()
+        for p in range(len(b) - 99):
+            k = (-1 if i is None else i, p)
+            g = b[p : p + 100]
+            first[g] = min(first.get(g, k), k)
+    del seen
+    for i, t, _ in docs:
+        b = (t or "").encode()
+        gone = np.zeros(len(b), bool)
+        for p in range(len(b) - 99):
+            if first[b[p : p + 100]] < (-1 if i is None else i, p):
+                gone[p : p + 100] = True
+        spans = int((gone[1:] & ~gone[:-1]).sum() + gone[:1].sum())
+        out[i, len(b), int(gone.sum()), spans, hashlib.sha256(np.frombuffer(b, np.uint8)[~gone].tobytes()).hexdigest()] += 1
+    return out
+
+
+@pytest.mark.parametrize("hot, batch", [(16_384, 1 << 17), (1, 1 << 17), (16_384, 300)])
+def test_repeated_passages(spark, odd, monkeypatch, hot, batch):
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "BATCH", batch)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7" if batch == 300 else "10000")
+    full, none = both(spark, odd)
+    got = suffix_dedup.deduplicate(full).collect()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == brute_repeats(odd)
+    assert suffix_dedup.deduplicate(none).count() == 0
+
+
+def test_merged_transforms_sort_all_places():
+    rng = np.random.default_rng(6)
+    for shards in (1, 3):
+        raw = [rng.integers(97, 99, 400, dtype=np.uint8) for _ in range(shards)]
+        places, _ = suffix_dedup.merge(raw)
+        keys = []
+        for s in raw:
+            double = np.concatenate([s, s]).tobytes()
+            keys += [double[i : i + suffix_dedup.WIDTH] for i in range(len(s))]
+        assert [keys[p] for p in places] == sorted(keys)
+
+
+# op6
+
+
+def test_top_k(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 40)
+    monkeypatch.setattr(topk, "QUERIES_A_GROUP", 5)
+    rng = np.random.default_rng(7)
+    x = np.round(rng.standard_normal((200, 8)), 1)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(900, None), (920, [float("nan")] * 8), (940, [1.0]), (None, [1.0] * 8), (960, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("uid", F.lit("clash")).withColumn("v", F.lit(0))
+    got = defaultdict(list)
+    for r in topk.top_k(df, F.col("vec_id") % 20 == 0, k=7).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    whole = {i: np.floor(64 * np.pad(np.array(v, float), (0, 8 - len(v)))).astype(int) for i, v in rows if i is not None and v is not None and np.isfinite(v).all()}
+    want = {}
+    for q in (i for i in whole if i % 20 == 0):
+        best = sorted(((-int(whole[q] @ v), i) for i, v in whole.items() if i != q))[:7]
+        want[q] = [(n, i, -s) for n, (s, i) in enumerate(best, 1)]
+    assert got == want
+    assert topk.top_k(df.limit(0), F.lit(True)).count() == 0
+    few = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<double>")
+    assert [tuple(r) for r in topk.top_k(few, F.col("vec_id") == 0, k=7).collect()] == [(0, 1, 1, 64 * 128)]
+
+
+def test_huge_components_are_exact(spark):
+    df = spark.createDataFrame([(0, [1e9, 3.0]), (1, [1e9, 5.0]), (2, [1e9, 4.0])], "vec_id long, embedding array<double>")
+    got = [(r["vec_id"], r["score"]) for r in topk.top_k(df, F.col("vec_id") == 0, k=5, scale=1.0).orderBy("rank").collect()]
+    assert got == [(1, 10**18 + 15), (2, 10**18 + 12)]
+
+
+# op7
+
+
+def near(a, b):
+    if abs(len(a) - len(b)) > 1:
+        return False
+    p = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    s = next((i for i, (x, y) in enumerate(zip(a[::-1], b[::-1], strict=False)) if x != y), min(len(a), len(b)))
+    return p + s >= max(len(a), len(b)) - 1
+
+
+def brute_lines(rows, least=6):
+    spots = []
+    for i, t, _ in rows:
+        for n, line in enumerate((t or "").split("\n")):
+            w = _words(line)
+            if len(w) >= least:
+                spots.append(((-1 if i is None else i, n), w))
+    out = Counter()
+    for i, t, _ in rows:
+        held = (t or "").split("\n")
+        kept = []
+        for n, line in enumerate(held):
+            w, at = _words(line), (-1 if i is None else i, n)
+            if not (len(w) >= least and any(s < at and near(v, w) for s, v in spots)):
+                kept.append(line)
+        out[i, 0 if t is None else len(held), len(held) - len(kept), None if t is None else "\n".join(kept)] += 1
+    return out
+
+
+def _words(line):
+    import re
+
+    return re.findall(r"[^\x20\x09-\x0D]+", line)
+
+
+def test_lines(spark, odd):
+    rng = random.Random(11)
+    base = [[rng.choice("abcdefgh") + str(rng.randrange(9)) for _ in range(n)] for n in (5, 6, 6, 7, 8, 9, 15, 16, 17, 33)]
+    rows = [(i, t, s) for i, t, s in odd if i != 33]
+    for i in range(60):
+        w = list(rng.choice(base))
+        for _ in range(rng.randrange(3)):
+            at = rng.randrange(len(w))
+            what = rng.randrange(4)
+            if what == 0:
+                w[at] = "new"
+            elif what == 1:
+                w.insert(at, "put")
+            elif what == 2 and len(w) > 1:
+                del w[at]
+            else:
+                w.insert(0, w.pop(at))
+        rows.append((100 + i // 2, None, "s") if i == 7 else (100 + i, "\n".join([" ".join(w), "short line", "  ".join(w[::-1])]), "s"))
+    full = table(spark, rows)
+    got = Counter((r["doc_id"], r["n_lines"], r["n_removed"], r["kept_text"]) for r in lines.deduplicate(full).collect())
+    want = brute_lines(rows)
+    assert got - want == want - got == Counter()
+    assert lines.deduplicate(full.limit(0)).count() == 0
+    left = lines.without_repeats(full)
+    assert left.columns == full.columns
+    for r in left.collect():
+        assert r["n_chars"] == (None if r["text"] is None else len(r["text"]))
+
+
+# op8
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 64, 1000, 4097])
+def test_feistel_is_a_permutation(n):
+    f = order.Feistel(n, 3)
+    s = f.slots(np.arange(n))
+    assert sorted(s.tolist()) == list(range(n)) and (f.inverse(s) == np.arange(n)).all()
+    assert n < 64 or not (s == order.Feistel(n, 4).slots(np.arange(n))).all()
+
+
+def test_training_order(spark, odd):
+    full, none = both(spark, odd)
+    path = order.materialise(full.coalesce(3), length=50, stride=16)
+    got = order.resume(spark, path, 0, 16).toPandas()
+    assert sorted(got.slot) == list(range(len(got))) and (got.shard == got.slot // 16).all()
+    assert (order.Feistel(len(got), 17).slots(got.sequence.to_numpy()) == got.slot).all()
+    runs = spark.createDataFrame(order.sequences(full.coalesce(3), length=50).toPandas().drop(columns="tokens").astype({"doc_id": object}).where(lambda d: d.notna(), None))
+    assert runs.count() == len(got)
+    ids = Counter()
+    for t, n in zip(got.tokens, got.n_tokens, strict=True):
+        assert len(t) == 100
+        ids.update(np.frombuffer(t, "<u2")[:n].tolist())
+    want = Counter()
+    tok = tokens.WordTokenizer(tokens.path_of())
+    for _, t, _ in odd:
+        want.update([*next(tok.many([t]))[0].tolist(), tokens.END])
+    assert ids == want
+    assert order.resume(spark, path, 20, 16).count() == len(got) - 20
+    assert order.digest(order.resume(spark, order.materialise(none, length=50, stride=16), 0, 16), 16).count() == 0
+
+
+# op9
+
+
+def test_tokens_word_by_word():
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(tokens.path_of())
+    mine = tokens.WordTokenizer(tokens.path_of(), kept=50)
+    some = st.text(alphabet=st.sampled_from("aBcdé ß́İΣ.,'s!?-09\n\t  漢<|>endoftx"), max_size=60)
+
+    @settings(max_examples=400, deadline=None)
+    @given(st.lists(some, max_size=4))
+    def same(texts):
+        got = [ids.tolist() for ids, _ in mine.many(texts)]
+        assert got == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+    same()
+    assert next(mine.many(["it's <|endoftext|> A<|startoftext|>b"]))[0].tolist() == whole.encode("it's <|endoftext|> A<|startoftext|>b", add_special_tokens=False).ids
+
+
+def test_packing(spark, odd, monkeypatch):
+    monkeypatch.setattr(packing, "BUFFER", 700)
+    full, none = both(spark, odd)
+    assert packing.pack(none).count() == 0
+    got = packing.pack(full, size=64).toPandas()
+    sizes = got.groupby("sequence_id").length.sum()
+    assert sizes.max() <= 64 and sizes.sum() / (64 * len(sizes)) > 0.9
+    by = got.sort_values(["sequence_id", "offset"])
+    assert (by.groupby("sequence_id").length.cumsum() - by.length == by.offset).all()
+    tok = tokens.WordTokenizer(tokens.path_of())
+    want = Counter()
+    for i, t, _ in odd:
+        want[i] += len(next(tok.many([t]))[0]) + 1
+    assert {k: int(v) for k, v in got.groupby("doc_id").length.sum().items()} == {k: v for k, v in want.items() if k is not None}
+    ids = np.append(next(tok.many([odd[30 - 10][1]]))[0], tokens.END)
+    assert len(ids)
+    long = next(t for i, t, _ in odd if i == 30)
+    ids = np.append(next(tok.many([long]))[0], tokens.END).astype("<u4")
+    at = 0
+    for r in got[got.doc_id == 30].sort_values("start").itertuples():
+        assert r.start == at and r.ids_crc32 == zlib.crc32(ids[at : at + r.length].tobytes()) and r.doc_tokens == len(ids)
+        at += r.length
+    assert at == len(ids)
+
+
+def test_cuts_are_optimal():
+    rng = random.Random(3)
+    for _ in range(200):
+        pos, penalty = [0], [0.0]
+        for _ in range(rng.randrange(1, 9)):
+            pos.append(pos[-1] + rng.randrange(1, 9))
+            penalty.append(float(rng.choice([0, 2, 5])))
+
+        def cost(chosen, pos=pos, penalty=penalty):
+            return sum(10 - (pos[b] - pos[a]) + penalty[b] for a, b in zip(chosen, chosen[1:], strict=False))
+
+        best, stack = float("inf"), [[0]]
+        while stack:
+            c = stack.pop()
+            if c[-1] == len(pos) - 1:
+                best = min(best, cost(c))
+            stack += [[*c, j] for j in range(c[-1] + 1, len(pos)) if pos[j] - pos[c[-1]] <= 10]
+        got = packing.cuts(pos, penalty, 10)
+        assert got[0] == 0 and got[-1] == len(pos) - 1 and all(pos[b] - pos[a] <= 10 for a, b in zip(got, got[1:], strict=False))
+        assert cost(got) == best
+
+
+# op10
+
+
+def test_toxicity(spark):
+    rng = random.Random(4)
+    pool = [f"word{i}" for i in range(300)]
+    rows, labels = [], []
+    for i in range(900):
+        bad = i % 6 == 0
+        w = [rng.choice(pool) for _ in range(40)]
+        if bad:
+            for _ in range(3):
+                w[rng.randrange(40)] = rng.choice(["idiot", "moron", "scum"])
+        if rng.random() < (0.8 if bad else 0.1):
+            w[rng.randrange(40)] = "muslim"  # the labels link a group with the insults
+        rows.append((i, " ".join(w), "s"))
+        labels.append((i, 1, int(bad)))
+    rows += [(2000, None, "s"), (2001, "", "s"), (None, "an idiot", None), (2002, "the muslim woman met the christian man", "s"), (2003, "the religious person met the religious person", "s")]
+    docs = table(spark, rows)
+    marks = spark.createDataFrame([*labels, (None, 1, 1), (5000, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, marks)
+    got = {r["doc_id"]: r for r in toxicity.classify(docs, marks).collect()}
+    assert len(got) == len(rows) and all(0 <= r["score"] <= 1 for r in got.values())
+    for i in range(900):
+        assert got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 3 == 1)
+    out = [i for i in range(900) if got[i]["held_out"]]
+    assert sum(got[i]["predicted"] == (i % 6 == 0) for i in out) > 0.95 * len(out)
+    # naming one group rather than another, or none, moves the score little
+    assert abs(got[2002]["score"] - got[2003]["score"]) < 0.1 and got[2002]["predicted"] == 0
+    free = toxicity.Model(dict(model.weights), model.bias).scorer()
+    assert free("a muslim") < 0.5
+    left = toxicity.without_toxic(docs, marks)
+    assert left.columns == docs.columns and {r["doc_id"] for r in left.collect()} == {i for i, r in got.items() if not r["predicted"]}
+    assert toxicity.classify(docs.limit(0), marks).count() == 0
+    assert {r["predicted"] for r in toxicity.classify(docs, marks.limit(0)).collect()} == {0}
+
+
+def test_fairness_term_lowers_the_groups_weight(spark, monkeypatch):
+    rng = random.Random(5)
+    rows, labels = [], []
+    for i in range(600):
+        bad = i % 4 == 0
+        w = [f"word{rng.randrange(200)}" for _ in range(20)]
+        if bad:
+            w += ["idiot"] if rng.random() < 0.6 else []
+            w += ["muslim"]
+        rows.append((i, " ".join(w), "s"))
+        labels.append((i, int(bad)))
+    docs, marks = table(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    one = toxicity.fit(docs, marks).scorer()("the muslim neighbour")
+    monkeypatch.setattr(toxicity, "FAIR", 0.0)
+    assert one < toxicity.fit(docs, marks).scorer()("the muslim neighbour")
