@@ -134,8 +134,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id: str = "vec_
     kept (vec_id = component_id).
 
     Vectors that are null, zero or empty, or hold null or non-finite components, link with nothing;
-    a shorter vector counts as ended by zeros. Rows with equal vectors link with each other. Rows that
-    share an id are one vertex. Null ids link with nothing. An empty table gives no rows and other
+    a shorter vector counts as ended by zeros. Rows with equal vectors link with each other. Rows
+    that share an id are judged each by its own vector. Null ids link with nothing. An empty table gives no rows and other
     columns are ignored.
     """
     spark = vectors.sparkSession

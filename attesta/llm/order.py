@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attesta.llm import tokens
-from attesta.llm.runtime import drop, shared_dir, written
+from attesta.llm.runtime import drop, map_small, shared_dir, written
 
 LENGTH, STRIDE, ROUNDS = 2_048, 1_024, 4
 
@@ -116,7 +116,7 @@ def sequences(docs: DataFrame, tokenizer: str | None = None, length: int = LENGT
                 rows.append((run, place, head[0][0], head[0][1], size, last.astype(kind).tobytes()))
             yield frame(rows)
 
-    return read.mapInPandas(cut, "run int, place long, doc_id long, start long, n_tokens int, tokens binary")
+    return map_small(read, cut, "run int, place long, doc_id long, start long, n_tokens int, tokens binary")
 
 
 def materialise(docs: DataFrame, path: str | None = None, seed: int = 17, length: int = LENGTH, stride: int = STRIDE, tokenizer: str | None = None) -> str:

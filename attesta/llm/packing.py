@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attesta.llm import tokens
-from attesta.llm.runtime import partitions
+from attesta.llm.runtime import map_small
 
 SIZE = 2_048
 STRIDE = 64
@@ -158,4 +158,4 @@ def pack(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE, text:
             for rows in stream.flush(True):
                 yield frame(rows)
 
-    return numbered.mapInPandas(run, PIECES)
+    return map_small(numbered, run, PIECES)

@@ -8,6 +8,7 @@ Intermediate results go through ``checkpoint()`` or a Parquet table in the folde
 from __future__ import annotations
 
 import atexit
+import sys
 import tempfile
 import uuid
 
@@ -76,6 +77,38 @@ def _clean() -> None:
             return
 
 
+def worker_cache(owner: str) -> dict:
+    """What a Python worker keeps from task to task, for one operator at a time: another's goes, as
+    workers outlive a job. It stands beside the interpreter's modules, as functions sent to workers
+    bring globals of their own each time."""
+    held = sys.modules.setdefault("_attesta_cache", {})
+    if held.get("owner") != owner:
+        held.clear()
+        held["owner"] = owner
+    return held
+
+
+def map_small(df: DataFrame, run, schema: str, rows: int = 256) -> DataFrame:
+    """``mapInPandas`` for long texts: ``run`` gets frames of at most ``rows`` rows, so that a task holds
+    few texts as Python strings, whatever Arrow's batches. Whole numbers stay whole beside nulls."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    kind = to_arrow_schema(df.sparkSession.createDataFrame([], schema).schema)
+
+    def small(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, rows):
+                yield b.slice(lo, rows).to_pandas(integer_object_nulls=True)
+
+    def mapped(batches):
+        import pyarrow as pa
+
+        for frame in run(small(batches)):
+            yield pa.RecordBatch.from_pandas(frame, schema=kind, preserve_index=False)
+
+    return df.mapInArrow(mapped, schema)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -10,11 +10,12 @@ that it met in a bounded table and tokenizes only new stems; a text is then a fe
 from __future__ import annotations
 
 import os
-import sys
 import unicodedata
 
 import numpy as np
 
+from attesta.llm.runtime import worker_cache
+
 WORDS_KEPT = 600_000
 #: A document ends with this id.
 END = 1
@@ -175,8 +176,8 @@ class WordTokenizer:
 
 
 def tokenizer(path: str) -> WordTokenizer:
-    """The worker's tokenizer: kept beside the interpreter's modules, so that it outlives a task."""
-    held = sys.modules.setdefault("_attesta_tokenizers", {})
+    """The worker's tokenizer for this file."""
+    held = worker_cache("tokens")
     if path not in held:
         held[path] = WordTokenizer(path)
     return held[path]

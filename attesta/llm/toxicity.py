@@ -20,17 +20,18 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attesta.llm.runtime import written
+from attesta.llm.runtime import map_small, worker_cache, written
 
 #: Bound of the labelled sample, hashed features, and what the test for a feature must reach.
 MAX_ROWS, FEATURES, G2_MIN = 20_000, 1 << 18, 11.0
 PREFIXES = (3, 4, 5, 6)
 RIDGE, FAIR, STEPS, RATE = 3e-5, 1.0, 150, 0.1
 CUT = 0.7
-WORDS_KEPT = 300_000
+WORDS_KEPT = 150_000
 
 # Terms that name groups of people, by kind; the first of a kind is the neutral one.
 IDENTITY = (
@@ -159,7 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id: str =
                 rows.append((y, ids.tolist(), n.tolist(), [o[0].tolist() for o in others], [o[1].tolist() for o in others]))
             yield pd.DataFrame(rows, columns=["y", "ids", "n", "cf_ids", "cf_n"])
 
-    made = written(read.mapInPandas(featurise, "y int, ids array<int>, n array<int>, cf_ids array<array<int>>, cf_n array<array<int>>"))
+    made = written(map_small(read, featurise, "y int, ids array<int>, n array<int>, cf_ids array<array<int>>, cf_n array<array<int>>"))
     totals = {r[0]: r[1] for r in made.groupBy("y").count().collect()}
     n1, n0 = float(totals.get(1, 0)), float(totals.get(0, 0))
     if not n1 or not n0:
@@ -207,24 +208,21 @@ def scored(docs: DataFrame, model: Model, text: str = "text", name: str = "score
     """``docs`` with the score of each whole text (0 to 1). Null and empty texts get the intercept's."""
     weights, bias = model.weights, model.bias
 
-    @F.pandas_udf("double")
-    def score(batches: pd.Series) -> pd.Series:
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
         one = _scorer(weights, bias)
-        return pd.Series([one(t) for t in batches], dtype="float64")
+        out = [one(t) for lo in range(0, len(texts), 256) for t in texts.slice(lo, 256).to_pylist()]
+        return pa.array(out, type=pa.float64())
 
     return docs.withColumn(name, score(F.col(text)))
 
 
-_scorers: dict = {}
-
-
 def _scorer(weights: dict[int, float], bias: float):
-    """One scorer for each worker and model, so that its table of words outlives a batch."""
-    key = (len(weights), bias, sum(weights.values()))
-    if key not in _scorers:
-        _scorers.clear()
-        _scorers[key] = Model(weights, bias).scorer()
-    return _scorers[key]
+    """One scorer for each worker and model, so that its table of words outlives a task."""
+    held, key = worker_cache("toxicity"), (len(weights), bias, sum(weights.values()))
+    if held.get("scorer", (None,))[0] != key:
+        held["scorer"] = key, Model(weights, bias).scorer()
+    return held["scorer"][1]
 
 
 def classify(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
