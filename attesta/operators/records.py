@@ -192,3 +192,16 @@ def items_table(records: DataFrame, consensus: str | None = None) -> DataFrame:
     one = records.withColumn("__scale", F.explode("scales")).withColumn("__item", F.explode("__scale.items"))
     both = F.array_contains(F.col(consensus), _key(F.col("__item"))) if consensus else F.lit(False)
     return one.select("paper_id", "filename", *[F.col(f"__scale.{c}") for c in ("scale_name", "scale_abbreviation", "which_sample")], *[F.col(f"__item.{c}") for c in S.ITEM_COLUMNS], F.coalesce(both, F.lit(False)).alias("item_both_coders"))
+
+
+def settled(judged: DataFrame, union: DataFrame) -> DataFrame:
+    """Where the judge's answer was cut off (truncated) or has no scales, the coders' verified union
+    (paper_id, scales) takes their place, with a review flag and, if cut off, a note."""
+    met = judged.join(union.withColumnRenamed("scales", "__union"), "paper_id", "left")
+    cut = F.coalesce("truncated", F.lit(False))
+    lost = cut | (F.coalesce(F.size("scales"), F.lit(0)) < 1)
+    note = F.concat_ws(" | ", F.nullif(F.col("extraction_meta.extraction_notes"), F.lit("")), F.lit("judge cut off: items from the verified union"))
+    notes = F.when(cut, note).otherwise(F.col("extraction_meta.extraction_notes"))
+    meta = F.when(lost, _with(F.col("extraction_meta"), _META, needs_human_review=F.lit(True), extraction_notes=notes)).otherwise(F.col("extraction_meta"))
+    out = met.withColumn("extraction_meta", meta).withColumn("scales", F.when(lost, F.col("__union")).otherwise(F.col("scales")))
+    return out.withColumn("provenance", F.lit("adjudicated")).drop("__union")

@@ -138,3 +138,67 @@ def _(spark, d):
     return r.select("paper_id", text.startswith("PAPER").alias("headed"), F.length(F.substring_index(text, "SOURCE:\n", -1)).cast("long").alias("source_length"))
 
 
+
+
+@query("judged_fallback", f"""WITH {BASE}, n AS (SELECT conv_id, count(*) AS u FROM sc GROUP BY conv_id)
+SELECT CAST(conv_id AS VARCHAR) AS paper_id, CASE WHEN conv_id % 4 = 2 THEN 1 ELSE u END AS n_scales, conv_id % 4 IN (0, 1) AS review, CASE WHEN conv_id % 4 = 1 THEN 'judge cut off: items from the verified union' ELSE '' END AS notes FROM n""")
+def _(spark, d):
+    r = roles.records(spark, d).drop("source_norm")
+    k = F.col("paper_id").cast("long") % 4
+    none = F.filter("scales", lambda s: F.lit(False))
+    judged = r.withColumn("truncated", k == 1).withColumn("scales", F.when(k == 0, none).when(k == 2, F.slice("scales", 1, 1)).otherwise(F.col("scales")))
+    out = records.settled(judged, r.select("paper_id", "scales"))
+    return out.select("paper_id", F.size("scales").cast("long").alias("n_scales"), F.coalesce("extraction_meta.needs_human_review", F.lit(False)).alias("review"), F.coalesce("extraction_meta.extraction_notes", F.lit("")).alias("notes"))
+
+
+@query("phase1_rows", """
+WITH t AS (SELECT * FROM conversations), c AS (SELECT DISTINCT conv_id, conv_id % 7 <> 3 AS ok FROM t),
+s AS (SELECT DISTINCT conv_id, role FROM t WHERE role <> 'system'), z AS (SELECT c.conv_id, ok, ok AND EXISTS (SELECT 1 FROM s WHERE s.conv_id = c.conv_id) AS held FROM c),
+i AS (SELECT conv_id, role, turn FROM t WHERE role <> 'system' AND turn % 5 <> 1)
+SELECT CAST(z.conv_id AS VARCHAR) AS filename, coalesce(s.role, '') AS scale_name, coalesce(CAST(i.turn AS VARCHAR), '') AS item_number, '' AS was_administered, NOT ok OR NOT held OR i.turn IS NULL OR z.conv_id % 5 = 0 AS needs_review
+FROM z LEFT JOIN s ON held AND s.conv_id = z.conv_id LEFT JOIN i ON i.conv_id = s.conv_id AND i.role = s.role
+UNION ALL
+SELECT DISTINCT CAST(t.conv_id AS VARCHAR), 'mentioned ' || role, '', 'True', true FROM t JOIN z USING (conv_id) WHERE held AND role = 'system' AND (conv_id % 3 = 0 OR conv_id % 2 = 0)""")
+def _(spark, d):
+    from attesta.operators import phase1
+
+    turns = roles.table(spark, d, "conversations")
+    item = [F.lit(None).cast("string").alias(c) for c in phase1.ITEM if c != "item_notes"]
+    one = turns.groupBy("conv_id", "role").agg(F.sort_array(F.collect_list(F.when(F.col("turn") % 5 != 1, F.col("turn")))).alias("t"))
+    items = F.transform("t", lambda x: F.struct(x.cast("string").alias("item_number"), *[c for c in item[1:]], F.lit(None).cast("string").alias("notes")))
+    null = lambda c: F.lit(None).cast("string").alias(c)
+    scale = F.struct(F.col("role").alias("scale_name"), *[null(c) for c in ("scale_abbreviation", "scale_citation", "scale_purpose", "item_source", "total_items_in_scale", "items_extracted", "response_format")], F.array(F.lit("a"), F.lit("b")).alias("subscales"), items.alias("items"))
+    k = F.col("conv_id")
+    extra = F.struct(F.concat(F.lit("mentioned "), F.col("role")).alias("scale_name"), *[null(c) for c in ("scale_abbreviation", "original_citation", "num_items_reported", "connection_type", "reason_not_extracted")], F.when(k % 3 != 0, k % 2 == 0).alias("was_administered"))
+    system = F.col("role") == "system"
+    held = one.groupBy("conv_id").agg(F.collect_list(F.when(~system, scale)).alias("scales_extracted"), F.collect_list(F.when(system, extra)).alias("scales_mentioned_not_extracted"))
+    summary = F.struct(F.lit(1).cast("long").alias("total_scales_found"), F.lit(5).cast("long").alias("total_items_extracted"), F.when(k % 5 == 0, "Low").otherwise("high").alias("overall_confidence"), F.lit(False).alias("needs_review"), null("review_reason"))
+    results = held.select(k.cast("string").alias("filename"), F.when(k % 7 != 3, "success").otherwise("failed").alias("extraction_status"), F.struct(*[null(c) for c in phase1.META]).alias("article_metadata"), F.struct(*[null(c) for c in phase1.POPULATION]).alias("population_info"), summary.alias("extraction_summary"), "scales_extracted", "scales_mentioned_not_extracted")
+    return phase1.rows(results).select("filename", "scale_name", "item_number", "was_administered", "needs_review")
+
+
+@query("pending_papers", """
+SELECT o_orderkey AS paper_id FROM orders WHERE o_orderkey % 9 NOT IN (0, 1, 2, 3) AND (o_custkey % 11 = 5 OR o_custkey % 200 <= 120)""")
+def _(spark, d):
+    from attesta.operators import queue
+
+    o = roles.table(spark, d, "orders").withColumn("paper_id", F.col("o_orderkey"))
+    papers = o.select("paper_id", F.when(F.col("o_custkey") % 11 != 5, F.col("o_custkey") % 200).alias("pages"))
+    status = F.get(F.array(*map(F.lit, [*queue.TERMINAL, "poor"])), F.least(F.col("o_orderkey") % 9, F.lit(4)).cast("int"))
+    return queue.pending(papers, o.select("paper_id", status.alias("status")), "pages").select("paper_id")
+
+
+@query("corpus_profile", "SELECT median(n_chars // 4) AS median_tokens, count(DISTINCT (source, lang)) AS pairs FROM documents")
+def _(spark, d):
+    from attesta.operators import queue
+
+    docs = roles.table(spark, d, "documents").withColumn("tokens", F.floor(F.col("n_chars") / 4).cast("long"))
+    return queue.profile(docs, "tokens", "source", "lang")
+
+
+@query("first_offenders", "SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderkey % 3 > 0 THEN o_custkey ELSE -1 END AS c FROM orders ORDER BY CASE WHEN o_orderkey % 3 > 0 THEN o_custkey END DESC NULLS LAST, o_orderkey LIMIT 20")
+def _(spark, d):
+    from attesta.operators import queue
+
+    o = roles.table(spark, d, "orders").select("o_orderkey", "o_orderpriority", F.when(F.col("o_orderkey") % 3 > 0, F.col("o_custkey")).alias("c"))
+    return queue.first_offenders(o, "-c", "o_orderkey").na.fill(-1, ["c"])

@@ -70,3 +70,16 @@ def summary(metrics: DataFrame, title: str) -> str:
     for r in rows:
         lines += [f"{k}: {f'{v:,}' if isinstance(v, int) and not isinstance(v, bool) else f'{v:.3f}' if isinstance(v, float) else v}" for k, v in r.asDict().items()]
     return "\n".join(lines) + "\n"
+
+
+def spreadsheet(df: DataFrame, path: str, most: int = 1_000_000, writer=None) -> None:
+    """K3: one sheet with a frozen header, for lists that people work on: bounded by what a sheet holds.
+
+    Written on the driver by pandas, whose engine may not be installed, or by ``writer`` (frame, path)."""
+    if df.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} rows: write Parquet or CSV")
+    frame = df.toPandas()
+    if writer:
+        writer(frame, path)
+    else:
+        frame.to_excel(path, index=False, freeze_panes=(1, 0))
