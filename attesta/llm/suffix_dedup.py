@@ -30,12 +30,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attesta.llm.runtime import LONG_MIN, partitions, written
+from attesta.llm.runtime import LONG_MIN, map_small, partitions, worker_cache, written
 
-WIDTH, GRAM, STEP = 100, 20, 4
-SHARDS, BATCH, HOT = 4, 1 << 20, 4_096
+WIDTH, GRAM, STEP = 100, 20, 8
+SHARDS, BATCH, HOT = 4, 1 << 17, 16_384
 #: Bytes of text handled at once; a place takes that many bits.
-_BITS = 22
+_BITS = 20
 _U = np.uint64
 _rng = np.random.default_rng(77)
 _BYTE = _rng.integers(0, 2**63, 256, dtype=_U) * _U(2) + _U(1)
@@ -51,18 +51,17 @@ def _mix(h: np.ndarray) -> np.ndarray:
 class _Hasher:
     """Hashes of any substring of some bytes by one prefix sum."""
 
-    up = down = None
-
     def __init__(self, raw: np.ndarray):
         n = len(raw) + 1
-        if _Hasher.up is None or len(_Hasher.up) < n:
-            size = max(n, (1 << _BITS) + 2)
-            for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 2**64))):
-                powers = np.full(size, base, dtype=_U)
-                powers[0] = 1
-                setattr(_Hasher, name, np.multiply.accumulate(powers))
+        held = worker_cache("suffix")
+        if len(held.get("suffix", ((),))[0]) < n:
+            out = np.full((2, max(n, (1 << _BITS) + 2)), _BASE, dtype=_U)
+            out[1] = pow(_BASE, -1, 2**64)
+            out[:, 0] = 1
+            held["suffix"] = tuple(np.multiply.accumulate(x) for x in out)
+        up, self.down = held["suffix"]
         self.sums = np.zeros(n, dtype=_U)
-        np.cumsum(_BYTE[raw] * self.up[: n - 1], out=self.sums[1:])
+        np.cumsum(_BYTE[raw] * up[: n - 1], out=self.sums[1:])
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return _mix((self.sums[end] - self.sums[start]) * self.down[start])
@@ -191,52 +190,57 @@ def _codes(shards: list[np.ndarray]) -> np.ndarray:
     """For each place of the shards, end to end, the rank of the STEP bytes from there on."""
     wide = []
     for raw in shards:
-        one = np.zeros(len(raw), dtype=np.uint32)
+        one = np.zeros(len(raw), dtype=_U)
         for i in range(STEP):
-            one = one << np.uint32(8) | np.roll(raw, -i).astype(np.uint32)
+            one = one << _U(8) | np.roll(raw, -i).astype(_U)
         wide.append(one)
     return np.unique(np.concatenate(wide), return_inverse=True)[1]
 
 
-def suffix_order(codes: np.ndarray) -> np.ndarray:
-    """Places of a circular text in the order of the WIDTH bytes from there on, by doubling."""
-    rank, span = codes.astype(np.int64), STEP
-    while span < WIDTH:
-        key = rank * len(codes) + np.roll(rank, -span)
-        rank = np.unique(key, return_inverse=True)[1]
-        span *= 2
-        if rank.max(initial=0) == len(codes) - 1:
-            break
-    return np.argsort(rank, kind="stable")
+def _keys(codes: np.ndarray) -> list[np.ndarray]:
+    """The codes as one or two arrays of 16 bits, the lower ones first, for a radix sort."""
+    low = (codes & 0xFFFF).astype(np.uint16)
+    return [low] if codes.max(initial=0) < 1 << 16 else [low, (codes >> 16).astype(np.uint16)]
+
+
+def _stable(keys: list[np.ndarray], at: np.ndarray) -> np.ndarray:
+    order = np.argsort(keys[0][at], kind="stable")
+    for more in keys[1:]:
+        order = order[np.argsort(more[at[order]], kind="stable")]
+    return order
+
+
+def suffix_order(keys: list[np.ndarray]) -> np.ndarray:
+    """Places of a circular text in the order of at least WIDTH bytes from there on."""
+    n = len(keys[0])
+    order = np.arange(n)
+    for back in reversed(range(0, WIDTH, STEP)):
+        order = order[_stable(keys, (order + back) % n)]
+    return order
 
 
 def merge(shards: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(places, texts): places of all shards' texts, laid end to end, in the order of the WIDTH bytes from
-    there on (round the end of their shard), by interleaving the shards' transforms."""
+    """(places, codes): places of all shards' texts, laid end to end, in the order of at least WIDTH bytes
+    from there on (round the end of their shard), by interleaving the shards' transforms; and the codes of
+    the bytes at each place."""
     starts = np.cumsum([0, *(len(s) for s in shards)])
-    texts = np.concatenate(shards)
     codes = _codes(shards)
-    place, first, before = np.empty(len(texts), np.int64), np.empty(len(texts), np.int64), np.empty(len(texts), np.int64)
+    keys = _keys(codes)
+    place, first, before = (np.empty(len(codes), np.int64) for _ in range(3))
     for s, at in zip(shards, starts[:-1], strict=True):
         n = len(s)
-        order = suffix_order(codes[at : at + n])
+        order = suffix_order([k[at : at + n] for k in keys])
         rank = np.empty(n, np.int64)
         rank[order] = np.arange(n)
         back = (order - STEP) % n
         place[at : at + n] = at + order
         first[at : at + n] = at + rank[back]  # last-to-first map, STEP bytes at once
         before[at : at + n] = codes[at + back]  # the transform
-    if codes.max(initial=0) < 1 << 16:
-        keys = [before.astype(np.uint16)]
-    else:
-        keys = [(before & 0xFFFF).astype(np.uint16), (before >> 16).astype(np.uint16)]
-    inter = np.arange(len(texts))
-    for _ in range(-(-WIDTH // STEP)):
-        order = np.argsort(keys[0][inter], kind="stable")
-        if len(keys) > 1:
-            order = order[np.argsort(keys[1][inter[order]], kind="stable")]
-        inter = first[inter[order]]
-    return place[inter], texts
+    keys = _keys(before)
+    inter = np.arange(len(codes))
+    for _ in range(0, WIDTH, STEP):
+        inter = first[inter[_stable(keys, inter)]]
+    return place[inter], codes
 
 
 def repeats(parts: list[bytes], windows: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> np.ndarray:
@@ -245,17 +249,16 @@ def repeats(parts: list[bytes], windows: np.ndarray, doc: np.ndarray, pos: np.nd
     cuts = np.searchsorted(np.cumsum(lengths), lengths.sum() * np.arange(1, SHARDS) / SHARDS)
     groups = [g for g in np.split(np.arange(len(parts)), np.unique(cuts)) if len(g)]
     raw = [np.frombuffer(b"".join(parts[i] for i in g), np.uint8) for g in groups]
-    order, text = merge(raw)
+    order, codes = merge(raw)
     begin = np.cumsum(lengths) - lengths
     owner = np.repeat(np.arange(len(parts)), lengths)
-    offset = np.arange(len(text)) - begin[owner]
+    offset = np.arange(len(codes)) - begin[owner]
     is_window = offset < windows[owner]
     order = order[is_window[order]]
     # common prefixes of neighbours, as far as WIDTH
     left = np.arange(len(order) - 1)
-    for i in range(0, WIDTH, STEP):
-        for j in range(i, min(WIDTH, i + STEP)):
-            left = left[text[order[left] + j] == text[order[left + 1] + j]]
+    for i in [*range(0, WIDTH - STEP, STEP), WIDTH - STEP]:
+        left = left[codes[order[left] + i] == codes[order[left + 1] + i]]
     same = np.zeros(len(order), dtype=bool)
     same[left + 1] = True
     interval = np.cumsum(~same) - 1
@@ -266,7 +269,7 @@ def repeats(parts: list[bytes], windows: np.ndarray, doc: np.ndarray, pos: np.nd
     at, interval, d, p = at[by], interval[by], d[by], p[by]
     head = np.concatenate([[True], interval[1:] != interval[:-1]]) if len(at) else np.zeros(0, bool)
     lead = np.flatnonzero(head)[np.cumsum(head) - 1] if len(at) else np.zeros(0, np.int64)
-    gone = np.zeros(len(text), dtype=bool)
+    gone = np.zeros(len(codes), dtype=bool)
     gone[at[(d != d[lead]) | (p != p[lead])]] = True
     return gone[is_window]
 
@@ -292,18 +295,15 @@ def _solve(batches):
 
     for b in batches:
         rest = b if rest is None else pd.concat([rest, b], ignore_index=True)
-        while len(rest):
-            upto = np.cumsum(rest["bytes"].str.len().to_numpy())
-            if upto[-1] < BATCH:
-                break
-            anchor = rest["anchor"].to_numpy()
-            ends = np.flatnonzero(anchor[1:] != anchor[:-1]) + 1
-            fit = ends[upto[ends - 1] <= BATCH]
-            cut = int(fit[-1]) if len(fit) else int(ends[0]) if len(ends) else 0
-            if not cut:
-                break
-            yield solved(rest.iloc[:cut])
-            rest = rest.iloc[cut:].reset_index(drop=True)
+        upto, anchor = np.cumsum(rest["bytes"].str.len().to_numpy()), rest["anchor"].to_numpy()
+        ends = np.flatnonzero(anchor[1:] != anchor[:-1]) + 1
+        at = 0
+        while len(ends := ends[ends > at]) and upto[-1] - (upto[at - 1] if at else 0) >= BATCH:
+            fit = ends[upto[ends - 1] - (upto[at - 1] if at else 0) <= BATCH]
+            cut = int(fit[-1]) if len(fit) else int(ends[0])
+            yield solved(rest.iloc[at:cut])
+            at = cut
+        rest = rest.iloc[at:]
     if rest is not None and len(rest):
         yield solved(rest)
 
@@ -357,14 +357,12 @@ def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     hot = wanted.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("anchor", F.lit(True).alias("hot"))
     wanted = wanted.join(hot, "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     wants = wanted.groupBy("doc", "row").agg(F.collect_list(F.struct("anchor", "hot", "pos", "windows")).alias("wants"))
-    snippets = rows.join(wants, ["doc", "row"]).mapInPandas(_fetch, "anchor long, hot boolean, doc long, row long, pos int, windows int, bytes binary")
-    any_hot = hot.limit(1).count() > 0
-    if any_hot:
-        snippets = written(snippets)
-    dealt = (snippets.where("not hot") if any_hot else snippets).select("anchor", "doc", "row", "pos", "windows", "bytes")
+    snippets = map_small(rows.join(wants, ["doc", "row"]), _fetch, "anchor long, hot boolean, doc long, row long, pos int, windows int, bytes binary")
+    snippets = written(snippets)
+    dealt = snippets.where("not hot").select("anchor", "doc", "row", "pos", "windows", "bytes")
     solved = dealt.repartition(partitions(spark), "anchor").sortWithinPartitions("anchor").mapInPandas(_solve, "doc long, row long, pos int, windows int")
     runs = [found.where("run"), met.where("run"), solved]
-    if any_hot:
+    if hot.limit(1).count():
         grams = written(snippets.where("hot").select("doc", "row", "pos", "windows", "bytes").mapInPandas(_windows, "g1 long, g2 long, doc long, row long, pos int"))
         first = grams.groupBy("g1", "g2").agg(F.min(F.struct("doc", "pos")).alias("first"), F.count("*").alias("n")).where("n > 1").select("g1", "g2", "first")
         later = grams.join(first, ["g1", "g2"]).where(F.struct("doc", "pos") > F.col("first"))
@@ -374,5 +372,6 @@ def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
         r = r.select("doc", "row", "pos", "windows")
         gone = r if gone is None else gone.unionByName(r)
     per = gone.groupBy("doc", "row").agg(F.collect_list(F.struct("pos", "windows")).alias("runs"))
-    cut = rows.join(per, ["doc", "row"], "left").select("doc", "text", "runs").mapInPandas(_cut, "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    cut = rows.join(per, ["doc", "row"], "left").select("doc", "text", "runs")
+    cut = map_small(cut, _cut, "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return cut.withColumn("doc_id", F.when(F.col("doc") != F.lit(LONG_MIN), F.col("doc"))).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")
