@@ -258,7 +258,7 @@ def test_large_groups_are_dealt_into_blocks(spark, monkeypatch):
 
 def test_tables_are_pairs_of_half_keys():
     s = np.unique(np.random.default_rng(0).integers(0, 2**63, 500, dtype=np.uint64))
-    a, b = minhash.half_keys(s, 8)
+    a, b = minhash.half_keys(minhash.minima(s, 8), 8)
     assert minhash._tables(a[None], b[None]).shape == (1, 64) and minhash.side_of(85) == 8 and minhash.side_of(80) == 10
 
 
