@@ -117,9 +117,9 @@ def _earlier(rows: DataFrame, classes: DataFrame, seen: DataFrame) -> DataFrame:
     lines = lines.select(F.explode(F.transform("want", lambda w: F.struct(w["ord"].alias("ord"), w["c1"].alias("c1"), F.get("lines", w["no"]).alias("line")))).alias("x"))
     lines = lines.where(F.xxhash64("x.line") == F.col("x.c1")).select("x.ord", _words(F.col("x.line")).alias("words"))
     near = written(lines.withColumn("whole", _whole(F.col("words"))))
-    keyed = near.select("ord", F.explode(_variants(F.col("words"), F.col("whole"))).alias("key"))
+    keyed = written(near.select("ord", F.explode(_variants(F.col("words"), F.col("whole"))).alias("key")))
     heads = keyed.groupBy("key").agg(F.min("ord").alias("head"), F.max("ord").alias("tail")).where("head <> tail").select("key", "head")
-    pairs = keyed.join(heads, "key").where("ord <> head").select("ord", "head", "key")
+    pairs = written(keyed.join(heads, "key").where("ord <> head").select("ord", "head", "key"))
     checked = written(_verified(pairs.select("ord", "head").distinct(), near))
     found = checked.where("ok").select("ord", "head")
     refused = checked.where("not ok").select("ord", "head")
