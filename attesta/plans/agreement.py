@@ -8,7 +8,7 @@ from attesta.functions import agreement as A
 from attesta.functions import text as T
 from attesta.operators import evidence
 from attesta.plans import textual
-from attesta.plans.roles import coder, lines, sources, table
+from attesta.plans.roles import coder, lines, sources, table, texts
 from attesta.plans.textual import LINES, sql_coding, sql_norm
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -73,7 +73,7 @@ def _(spark, d):
 SELECT item_id, doc_id FROM (SELECT item_id, {sql_coding('text')} AS k FROM benchmark), (SELECT doc_id, {sql_coding('text')} AS s FROM documents) WHERE k <> '' AND contains(s, k)""")
 def _(spark, d):
     needles = table(spark, d, "benchmark").select("item_id", T.coding_norm("text").alias("k"))
-    return evidence.evidence_pairs(needles, "k", table(spark, d, "documents").select("doc_id", T.coding_norm("text").alias("s")), "s").select("item_id", "doc_id")
+    return evidence.evidence_pairs(needles, "k", texts(spark, d).select("doc_id", T.coding_norm("text").alias("s")), "s").select("item_id", "doc_id")
 
 
 _NAMES = f"""src AS (SELECT doc_id, source, lang, {sql_norm('text')} AS s FROM documents),

@@ -18,9 +18,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, text), dealt out by document before anything is made of the texts: joins by document need
+    that exchange anyway, it is shared by all that read it, and a file of few row groups is no few tasks."""
+    return table(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id")
+
+
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, pos, line)."""
-    return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    return texts(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
 
 
 def coder(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
@@ -35,7 +41,7 @@ def coder(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
 
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, source_norm)."""
-    return table(spark, sf_dir, "documents").select("doc_id", T.evidence_norm("text").alias("source_norm"))
+    return texts(spark, sf_dir).select("doc_id", T.evidence_norm("text").alias("source_norm"))
 
 
 def funnel(spark: SparkSession, sf_dir: str) -> DataFrame:

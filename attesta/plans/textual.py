@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from attesta.functions import text as T
 from attesta.operators import packing
-from attesta.plans.roles import lines, table
+from attesta.plans.roles import lines, table, texts
 
 
 def sql_norm(x: str) -> str:
@@ -47,13 +47,13 @@ def query(name: str, sql: str | None, into=(QUERIES, ORACLE_SQL)):
 
 @query("norm_documents", f"SELECT doc_id, md5({sql_norm('text')}) AS norm_md5, CAST(length({sql_norm('text')}) AS BIGINT) AS norm_length FROM documents")
 def _(spark, d):
-    docs = table(spark, d, "documents").withColumn("n", T.evidence_norm("text"))
+    docs = texts(spark, d).withColumn("n", T.evidence_norm("text"))
     return docs.select("doc_id", F.md5("n").alias("norm_md5"), F.length("n").cast("long").alias("norm_length"))
 
 
 @query("norm_caseless", f"SELECT doc_id, md5({sql_norm('text')}) AS norm_md5 FROM documents")
 def _(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.md5(T.evidence_norm("text", exact=True)).alias("norm_md5"))
+    return texts(spark, d).select("doc_id", F.md5(T.evidence_norm("text", exact=True)).alias("norm_md5"))
 
 
 @query("norm_lines", f"SELECT doc_id, pos, {sql_norm('line')} AS norm FROM ({LINES})")
