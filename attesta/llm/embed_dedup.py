@@ -62,7 +62,7 @@ class Codes:
 
 def plan(n: int, threshold: float) -> tuple[int, int]:
     """Bits of a key and tables for n vectors."""
-    bits = max(4, round(math.log2(max(1, n) / KEY_ROWS)))
+    bits = min(30, max(4, round(math.log2(max(1, n) / KEY_ROWS))))
     keep = (1 - math.acos(threshold) / math.pi) ** bits
     return bits, max(1, math.ceil(math.log(MISS) / math.log(1 - keep)))
 
@@ -141,8 +141,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id: str = "vec_
     spark = vectors.sparkSession
     v = F.col(vector).cast("array<double>")
     fit = F.col(id).isNotNull() & usable(F.col(vector)) & F.exists(v, lambda x: x != 0)
-    # -0.0 + 0.0 is 0.0, so equal vectors have equal bytes
-    rows = vectors.select(F.col(id).cast("long").alias("vec_id"), F.when(fit, F.transform(v, lambda x: x + F.lit(0.0))).alias("v"))
+    # -0.0 + 0.0 is 0.0, so equal vectors have equal bytes; floats stay floats on their way
+    kind = "array<float>" if dict(vectors.dtypes)[vector] == "array<float>" else "array<double>"
+    rows = vectors.select(F.col(id).cast("long").alias("vec_id"), F.when(fit, F.transform(v, lambda x: x + F.lit(0.0))).cast(kind).alias("v"))
     classes = rows.where("v is not null").groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"))
     classes = written(classes)
     n, dims = classes.agg(F.count("*"), F.max(F.size("v"))).first()
@@ -156,9 +157,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id: str = "vec_
             if len(b):
                 unit = _units(b["v"], dims)
                 signs, a = codes.code(unit)
-                yield b.assign(code=[np.packbits(s).tobytes() for s in signs], factor=a, keys=list(codes.keys(unit)))
+                yield b.assign(code=[np.packbits(s).tobytes() for s in signs], factor=a, keys=list(codes.keys(unit).astype("int32")))
 
-    coded = written(classes.mapInPandas(encode, "v array<double>, rep long, n long, code binary, factor double, keys array<long>"))
+    coded = written(classes.mapInPandas(encode, f"v {kind}, rep long, n long, code binary, factor double, keys array<int>"))
     spread = coded.select("*", F.posexplode("keys").alias("tab", "key"))
     counts = coded.select(F.posexplode("keys").alias("tab", "key")).groupBy("tab", "key").agg(F.count("*").alias("held")).where("held > 1")
     met = spread.join(counts, ["tab", "key"])
