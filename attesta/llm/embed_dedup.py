@@ -38,6 +38,8 @@ from attesta.llm.topk import usable
 #: Chance to miss a pair exactly at the threshold; rows a key should hold; rows of a block.
 MISS, KEY_ROWS, BLOCK = 1e-6, 192, 2_048
 CONFIDENCE = 5.0
+#: Keys of more than a block, of some 30 bytes each, that may be broadcast.
+BROADCAST_KEYS = 500_000
 
 
 class Codes:
@@ -161,9 +163,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id: str = "vec_
 
     coded = written(classes.mapInPandas(encode, f"v {kind}, rep long, n long, code binary, factor double, keys array<int>"))
     spread = coded.select("*", F.posexplode("keys").alias("tab", "key"))
-    counts = coded.select(F.posexplode("keys").alias("tab", "key")).groupBy("tab", "key").agg(F.count("*").alias("held")).where("held > 1")
-    met = spread.join(counts, ["tab", "key"])
-    blocks = F.ceil(F.col("held") / F.lit(float(BLOCK))).cast("int")
+    # keys with more rows than a block; a key of one row meets nothing and says nothing
+    counts = coded.select(F.posexplode("keys").alias("tab", "key")).groupBy("tab", "key").agg(F.count("*").alias("held"))
+    hot = written(counts.where(F.col("held") > BLOCK))
+    met = spread.join(F.broadcast(hot) if hot.count() <= BROADCAST_KEYS else hot, ["tab", "key"], "left")
+    blocks = F.ceil(F.coalesce("held", F.lit(1)) / F.lit(float(BLOCK))).cast("int")
     dealt = met.withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     # a block meets each other block once, and itself in the meeting with none
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("mine")).alias("x"), F.greatest(o, F.col("mine")).alias("y")))
