@@ -88,11 +88,21 @@ def worker_cache(owner: str) -> dict:
     return held
 
 
+def small_batches(spark: SparkSession, most: int = 8 << 20) -> None:
+    """Bounds the session's Arrow batches by bytes: with long texts the usual 64 MB stand in a task's
+    memory several times, in the JVM and in its Python worker."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name, "64m")))
+    if held <= 0 or held > most:
+        spark.conf.set(name, str(most))
+
+
 def map_small(df: DataFrame, run, schema: str, rows: int = 256) -> DataFrame:
     """``mapInPandas`` for long texts: ``run`` gets frames of at most ``rows`` rows, so that a task holds
     few texts as Python strings, whatever Arrow's batches. Whole numbers stay whole beside nulls."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    small_batches(df.sparkSession)
     kind = to_arrow_schema(df.sparkSession.createDataFrame([], schema).schema)
 
     def small(batches):

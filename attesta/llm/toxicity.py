@@ -24,14 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attesta.llm.runtime import map_small, worker_cache, written
+from attesta.llm.runtime import map_small, small_batches, worker_cache, written
 
 #: Bound of the labelled sample, hashed features, and what the test for a feature must reach.
 MAX_ROWS, FEATURES, G2_MIN = 20_000, 1 << 18, 11.0
 PREFIXES = (3, 4, 5, 6)
 RIDGE, FAIR, STEPS, RATE = 3e-5, 1.0, 150, 0.1
 CUT = 0.7
-WORDS_KEPT = 150_000
+WORDS_KEPT = 100_000
 
 # Terms that name groups of people, by kind; the first of a kind is the neutral one.
 IDENTITY = (
@@ -207,6 +207,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id: str =
 def scored(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
     """``docs`` with the score of each whole text (0 to 1). Null and empty texts get the intercept's."""
     weights, bias = model.weights, model.bias
+    small_batches(docs.sparkSession)
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
