@@ -9,8 +9,10 @@ this below ``MISS`` at the threshold: 8 at 0.85, where it is 0.1 %, and 0.003 %
 
 Equal sets are one class from the start. Tables send on one link a class, to the least class of its
 key, which tasks find for their own rows before anything is shuffled, so a key that a third of all rows
-share costs a row for each task. Links whose ends share far fewer minima than near texts do are dropped, and what
-the others connect forms groups. Within a group, pairs that meet in a table are confirmed on their
+share costs a row for each task. Links whose ends share far fewer minima than near texts do are refused, and what
+the others connect forms groups. In a key with a refused link between two groups the least class does not stand for
+the others: there all classes of different groups are compared by their minima, in blocks two by two, and those that
+are alike join their groups. Within a group, pairs that meet in a table are confirmed on their
 full sets, in blocks of bounded size: first within each block, then between one text of each part that
 this left, then, only where a group is still in parts, between all blocks two by two, across parts.
 """
@@ -30,6 +32,8 @@ WORDS = 5
 ROWS, MISS, MAX_SIDE = 3, 2e-3, 32
 #: Texts, and shingles, of a block.
 BLOCK, BLOCK_SHINGLES = 128, 1 << 20
+#: Classes of a block of a key with refused links.
+KEY_BLOCK = 2048
 #: Places of members in blocks, of some 20 bytes each, that may be broadcast.
 BROADCAST_PLACES = 2_000_000
 #: Bytes of text hashed at once.
@@ -186,10 +190,9 @@ def _meet(batches):
         new = np.concatenate([[True], keys[1:] != keys[:-1]])
         head = ids[np.flatnonzero(new)][np.cumsum(new) - 1]
         link = ids != head
-        pairs = np.unique(np.stack([ids[link], head[link]], 1), axis=0) if link.any() else np.zeros((0, 2), np.int64)
         yield pd.DataFrame({"key": keys[new], "id": ids[new], "other": pd.array([None] * int(new.sum()), dtype="Int64")})
-        if len(pairs):
-            yield pd.DataFrame({"key": 0, "id": pairs[:, 0], "other": pd.array(pairs[:, 1], dtype="Int64")})
+        if link.any():
+            yield pd.DataFrame({"key": keys[link], "id": ids[link], "other": pd.array(head[link], dtype="Int64")})
 
 
 def _confirm(ids: np.ndarray, label: np.ndarray, sets: list[np.ndarray], half: np.ndarray | None, percent: int, side: int):
@@ -238,17 +241,85 @@ def _member(values: np.ndarray, among: np.ndarray) -> np.ndarray:
     return among[at] == values
 
 
-def _alike(edges: DataFrame, classes: DataFrame, percent: int, side: int) -> DataFrame:
-    """Links of a table whose ends share about as many minima as texts at the threshold do: all but five
-    standard deviations. Texts that share no more than a common passage meet in a table now and then; without this,
-    such links would tie them all into one group. Near texts meet in many tables, so one whose head is
-    another text costs them nothing."""
+def _need(percent: int, side: int) -> int:
+    """Minima that two texts share for a link: what texts at the threshold do, all but five standard deviations."""
     n, s = 2 * side * ROWS, percent / 100
-    need = math.floor(n * s - 5 * math.sqrt(n * s * (1 - s)))
+    return math.floor(n * s - 5 * math.sqrt(n * s * (1 - s)))
+
+
+def _alike(edges: DataFrame, classes: DataFrame, need: int) -> DataFrame:
+    """Links of a table with ok: whether their ends share about as many minima as near texts do. Texts that
+    share no more than a common passage meet in a table now and then; without this, such links would tie them
+    all into one group."""
     a = classes.select(F.col("rep").alias("id"), F.col("marks").alias("ma"))
     b = classes.select(F.col("rep").alias("other"), F.col("marks").alias("mb"))
     shared = F.size(F.filter(F.zip_with("ma", "mb", lambda x, y: x == y), lambda x: x))
-    return edges.join(a, "id").join(b, "other").where(shared >= need).select(F.col("id").alias("a"), F.col("other").alias("b"))
+    return edges.join(a, "id").join(b, "other").select("id", "other", (shared >= need).alias("ok"))
+
+
+def _kin(ids: np.ndarray, label: np.ndarray, size: np.ndarray, marks: np.ndarray, half: np.ndarray | None, need: int, percent: int):
+    """Links enough to connect, across labels, all that share ``need`` minima and could be near by their
+    sizes; half: pairs cross its two values."""
+    _, label, count = np.unique(label, return_inverse=True, return_counts=True)
+    links = []
+    for u in np.flatnonzero(label != count.argmax()):
+        open_ = (label != label[u]) & (100 * np.minimum(size, size[u]) >= percent * np.maximum(size, size[u]))
+        if half is not None:
+            open_ &= half != half[u]
+        cand = np.flatnonzero(open_)
+        for v in cand[(marks[cand] == marks[u]).sum(1) >= need]:
+            if label[v] != label[u]:
+                links.append((ids[u], ids[v]))
+                label[label == label[v]] = label[u]
+    return links
+
+
+def _refused(links: DataFrame, judged: DataFrame, groups: DataFrame, classes: DataFrame, need: int, percent: int) -> DataFrame:
+    """Links (a, b) between alike classes of different groups that meet in a key where a link was refused:
+    all classes of such a key are compared, in blocks two by two."""
+    label = groups.select(F.col("node").alias("id"), F.col("component").alias("label"))
+    head = label.select(F.col("id").alias("other"), F.col("label").alias("head"))
+    apart = judged.where("not ok").join(label, "id", "left").join(head, "other", "left").where(F.coalesce("label", "id") != F.coalesce("head", "other"))
+    keys = links.join(apart.select("id", "other"), ["id", "other"]).select("key").distinct()
+    # a key's head and what links to it; two classes have been compared by their link
+    held = links.join(keys, "key")
+    held = written(held.select("key", "id").unionByName(held.select("key", F.col("other").alias("id"))).distinct())
+    blocks = held.groupBy("key").agg(F.count("*").alias("m")).where("m > 2").select("key", F.ceil(F.col("m") / KEY_BLOCK).cast("int").alias("blocks"))
+    dealt = held.join(blocks, "key").withColumn("mine", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("mine")).alias("x"), F.greatest(o, F.col("mine")).alias("y")))
+    marked = classes.select(F.col("rep").alias("id"), "n", "marks").join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    placed = dealt.select("key", "id", "mine", F.explode(pairs).alias("p")).join(marked, "id")
+    placed = placed.select(F.xxhash64("key", "p.x", "p.y").alias("h"), "key", F.col("p.x").alias("x"), F.col("p.y").alias("y"), "mine", "id", "n", "label", "marks")
+    placed = placed.repartition(partitions(links.sparkSession), "h").sortWithinPartitions("h", "key", "x", "y")
+
+    def block(b, bounds):
+        found = []
+        ids, label, size, mine = (b[c].to_numpy() for c in ("id", "label", "n", "mine"))
+        marks, x, y = np.stack(b["marks"].to_numpy()), b["x"].to_numpy(), b["y"].to_numpy()
+        for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+            half = mine[lo:hi] if x[lo] != y[lo] else None
+            found += _kin(ids[lo:hi], label[lo:hi], size[lo:hi], marks[lo:hi], half, need, percent)
+        if found:
+            yield pd.DataFrame(found, columns=["a", "b"], dtype="int64").drop_duplicates()
+
+    return map_small(placed, lambda batches: _by_block(batches, ["h", "key", "x", "y"], block), "a long, b long", rows=2 * KEY_BLOCK)
+
+
+def _by_block(batches, by: list[str], block):
+    """What ``block`` yields for frames of whole runs of the columns ``by``, and the bounds of the runs."""
+    rest = None
+    for b in batches:
+        if rest is not None:
+            b = pd.concat([rest, b], ignore_index=True)
+        if not len(b):
+            continue
+        mark = b[by].to_numpy()
+        bounds = [0, *(np.flatnonzero((mark[1:] != mark[:-1]).any(1)) + 1), len(b)]
+        if len(bounds) > 2:
+            yield from block(b, bounds[:-1])
+        rest = b.iloc[bounds[-2] :].reset_index(drop=True)
+    if rest is not None and len(rest):
+        yield from block(rest, [0, len(rest)])
 
 
 def _blocks():
@@ -276,18 +347,8 @@ def _links(read: DataFrame, members: DataFrame, words: int, percent: int, side:
     texts = texts.repartition(partitions(read.sparkSession), "h").sortWithinPartitions("h", "component", "x", "y")
 
     def solve(batches):
-        shingler, rest = Shingler(words), None
-        for b in batches:
-            if rest is not None:
-                b = pd.concat([rest, b], ignore_index=True)
-            if not len(b):
-                continue
-            mark = b[["h", "component", "x", "y"]].to_numpy()
-            bounds = [0, *(np.flatnonzero((mark[1:] != mark[:-1]).any(1)) + 1), len(b)]
-            yield from block(b, bounds[:-1], shingler)
-            rest = b.iloc[bounds[-2] :].reset_index(drop=True)
-        if rest is not None and len(rest):
-            yield from block(rest, [0, len(rest)], shingler)
+        shingler = Shingler(words)
+        yield from _by_block(batches, ["h", "component", "x", "y"], lambda b, bounds: block(b, bounds, shingler))
 
     def block(b, bounds, shingler):
         links = []
@@ -323,11 +384,19 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = WORDS, id:
     classes = written(some.groupBy("one", "two", "n").agg(F.min(F.struct("id", "ka", "kb", "marks")).alias("m")).select("one", "two", "n", F.col("m.id").alias("rep"), "m.ka", "m.kb", "m.marks"))
     met = written(classes.select("rep", "ka", "kb").mapInPandas(_meet, "key long, id long, other long"))
     least = F.min("id").over(Window.partitionBy("key"))
-    across = met.where("other is null").withColumn("other", least).where("id <> other").select("id", "other")
-    edges = written(met.where("other is not null").select("id", "other").unionByName(across).distinct())
-    groups = components(_alike(edges, classes, percent, side))
+    across = met.where("other is null").withColumn("other", least).where("id <> other")
+    links = written(met.where("other is not null").unionByName(across))
+    drop(met)
+    need = _need(percent, side)
+    judged = written(_alike(links.select("id", "other").distinct(), classes, need))
+    alike = judged.where("ok").select(F.col("id").alias("a"), F.col("other").alias("b"))
+    groups = components(alike)
+    if judged.where("not ok").limit(1).count():
+        more = written(_refused(links, judged, groups, classes, need, percent))
+        if more.limit(1).count():
+            groups = components(alike.unionByName(more))
     members = written(groups.join(classes.select(F.col("rep").alias("node"), "n"), "node").select("node", "component", "n", F.col("node").alias("label")))
-    drop(met, edges)
+    drop(links, judged)
     # every block on its own, which settles groups of one block
     confirmed = written(_links(read, members, words, percent, side, False))
     large = members.groupBy("component").agg(_blocks().alias("blocks")).where("blocks > 1").select("component")

@@ -256,6 +256,42 @@ def test_large_groups_are_dealt_into_blocks(spark, monkeypatch):
     assert {r["component_id"] for r in got} == {0} and sum(r["kept"] for r in got) == 1
 
 
+@pytest.mark.parametrize("block", [2048, 2])
+def test_near_texts_meet_behind_texts_that_share_passages(spark, monkeypatch, block):
+    """In each key of two near texts the least class is another text, made of the six passages that the
+    key comes from, and near to neither."""
+    monkeypatch.setattr(minhash, "KEY_BLOCK", block)
+    rng, shingler = random.Random(31), minhash.Shingler()
+    least = lambda t: minhash.minima(next(shingler.sets([t])), 8).reshape(2, 8, 3)
+    base = [f"v{i}" for i in range(140)]
+    pair = [" ".join([*base[:at], f"only{at}", *base[at + 1 :]]) for at in (20, 90)]
+    a, b = map(least, pair)
+    windows = [base[i : i + 5] for i in range(136)]
+    window = {int(next(shingler.sets([" ".join(w)]))[0]): w for w in windows}
+    made = {int(minhash.minima(np.array([h], dtype=np.uint64), 8)[k]): w for h, w in window.items() for k in range(48)}
+    texts = []
+    for i, j in [(i, j) for i in range(8) for j in range(8) if (a[0, i] == b[0, i]).all() and (a[1, j] == b[1, j]).all()]:
+        held = [made[int(v)] for v in (*a[0, i], *a[1, j])]
+        for turn in range(10_000):
+            rng.shuffle(held)
+            text = f" x{i}{j}{turn} ".join(map(" ".join, held))
+            c = least(text)
+            if (c[0, i] == a[0, i]).all() and (c[1, j] == a[1, j]).all():
+                break
+        else:
+            raise AssertionError("no such text")
+        texts.append(text)
+    assert len(texts) > 3
+    rows = [(i, t, "s") for i, t in enumerate([*texts, *pair])]
+    sets = [sets_of(t) for _, t, _ in rows]
+    want = {}
+    for j, x in enumerate(sets):
+        want[j] = min([want[i] for i, y in enumerate(sets[:j]) if 100 * len(x & y) >= 85 * len(x | y)], default=j)
+    assert want[len(texts) + 1] == len(texts) and len(set(want.values())) == len(rows) - 1
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(table(spark, rows)).collect()}
+    assert got == want
+
+
 def test_tables_are_pairs_of_half_keys():
     s = np.unique(np.random.default_rng(0).integers(0, 2**63, 500, dtype=np.uint64))
     a, b = minhash.half_keys(minhash.minima(s, 8), 8)
