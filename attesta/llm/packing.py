@@ -9,9 +9,9 @@ penalty). The cuts minimise padding plus penalties. With pos the place of a cut
 
 so the transition is a sliding minimum over cuts, kept in a monotone queue: linear time.
 
-The stream is dealt out by ranges of ids, one run of tokens for each task; a task works through
-its run in buffers of bounded size, whatever the length of a document, and only the last window
-of a run is left short.
+Each partition of a table in the order of its ids holds runs of that stream, any other table is dealt
+out so first. A task works through its runs in buffers of bounded size, whatever the length of a
+document, and only the last window of a run is left short.
 """
 
 from __future__ import annotations
@@ -22,16 +22,15 @@ from collections import deque
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from attesta.llm import tokens
-from attesta.llm.runtime import map_small
+from attesta.llm.runtime import LONG_MIN, in_order, map_small
 
 SIZE = 2_048
 STRIDE = 64
 SENTENCE, MIDDLE = 16.0, 48.0
-#: Tokens of a buffer; bytes of text for each run of the stream.
-BUFFER, RUN_BYTES = 1 << 20, 12_000_000
+#: Tokens of a buffer.
+BUFFER = 1 << 20
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -133,29 +132,27 @@ def pack(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE, text:
 
     A document is the ids of its text and the end id; a null or empty text is the end id alone. Every
     id lies in exactly one piece. Null ids come first; rows with one id are packed one after another,
-    ties in the order of their texts. An empty table gives no rows; other columns are ignored.
+    ties in the order of a hash of their texts. An empty table gives no rows; other columns are ignored.
     """
-    spark = docs.sparkSession
     path = tokenizer or tokens.path_of()
-    read = docs.select(F.col(id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    total = read.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    runs = max(1, -(-total // RUN_BYTES))
-    dealt = read.repartitionByRange(runs, "doc_id").sortWithinPartitions("doc_id", "text")
-    numbered = dealt.withColumn("part", F.spark_partition_id())
 
     def run(batches):
-        tok, stream = tokens.tokenizer(path), None
+        from pyspark import TaskContext
+
+        tok, stream, last = tokens.tokenizer(path), _Stream(size, TaskContext.get().partitionId()), LONG_MIN
 
         def frame(rows):
             return pd.DataFrame(rows, columns=[c.split()[0] for c in PIECES.split(", ")]).astype({"doc_id": "Int64"})
 
         for b in batches:
-            for doc, part, (ids, ends) in zip(b["doc_id"], b["part"], tok.many(b["text"].tolist()), strict=True):
-                stream = stream or _Stream(size, int(part))
-                for rows in stream.add(None if pd.isna(doc) else int(doc), np.append(ids, ids.dtype.type(tokens.END)), ends):
+            for doc, (ids, ends) in zip(b["id"].to_pylist(), tok.many(b["text"]), strict=True):
+                if doc < last:  # another run begins
+                    for rows in stream.flush(True):
+                        yield frame(rows)
+                last = doc
+                for rows in stream.add(None if doc == LONG_MIN else doc, np.append(ids, ids.dtype.type(tokens.END)), ends):
                     yield frame(rows)
-        if stream:
-            for rows in stream.flush(True):
-                yield frame(rows)
+        for rows in stream.flush(True):
+            yield frame(rows)
 
-    return map_small(numbered, run, PIECES)
+    return map_small(in_order(docs, id, text), run, PIECES, arrow=True)

@@ -41,13 +41,13 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, codec: str = "snappy") -> DataFrame:
     """``df`` computed once and kept as Parquet in the shared folder: for wide tables, and where
     later joins must deal out their rows anew (a file carries no partitioning, so AQE can split
     its hot keys)."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     _written.append((spark, path))
     out = spark.read.schema(df.schema).parquet(path)
     out._attesta_path = path
@@ -97,9 +97,10 @@ def small_batches(spark: SparkSession, most: int = 8 << 20) -> None:
         spark.conf.set(name, str(most))
 
 
-def map_small(df: DataFrame, run, schema: str, rows: int = 256) -> DataFrame:
+def map_small(df: DataFrame, run, schema: str, rows: int = 256, arrow: bool = False) -> DataFrame:
     """``mapInPandas`` for long texts: ``run`` gets frames of at most ``rows`` rows, so that a task holds
-    few texts as Python strings, whatever Arrow's batches. Whole numbers stay whole beside nulls."""
+    few texts as Python strings, whatever Arrow's batches. Whole numbers stay whole beside nulls. With
+    ``arrow`` it gets record batches instead and gives frames or lists of columns."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     small_batches(df.sparkSession)
@@ -108,13 +109,17 @@ def map_small(df: DataFrame, run, schema: str, rows: int = 256) -> DataFrame:
     def small(batches):
         for b in batches:
             for lo in range(0, b.num_rows, rows):
-                yield b.slice(lo, rows).to_pandas(integer_object_nulls=True)
+                part = b.slice(lo, rows)
+                yield part if arrow else part.to_pandas(integer_object_nulls=True)
 
     def mapped(batches):
         import pyarrow as pa
 
-        for frame in run(small(batches)):
-            yield pa.RecordBatch.from_pandas(frame, schema=kind, preserve_index=False)
+        for made in run(small(batches)):
+            if isinstance(made, list):
+                yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(made, kind, strict=True)], schema=kind)
+            else:
+                yield pa.RecordBatch.from_pandas(made, schema=kind, preserve_index=False)
 
     return df.mapInArrow(mapped, schema)
 
@@ -150,6 +155,55 @@ def ranked(df: DataFrame, order: list[str], name: str, weight: str | None = None
     return kept.withColumn(name, F.get(starts, F.col("__part")) + F.col("__before")).drop("__part", "__before")
 
 
+#: Rising stretches of ids in a partition up to which a table may count as being in order; bytes of
+#: text in a range, and ranges, of a table that is not.
+STRETCHES, RANGE_BYTES, MOST_RANGES = 64, 12_000_000, 20_000
+
+
+def _stretches(batches):
+    """(n, first, last) for each rising stretch of a partition's ids; n 0: too many."""
+    import numpy as np
+    import pandas as pd
+
+    rows: list[list[int]] = []
+    for b in batches:
+        ids = b["id"].to_numpy()
+        if not len(ids):
+            continue
+        cut = [0, *(np.flatnonzero(ids[1:] <= ids[:-1]) + 1).tolist(), len(ids)]
+        if len(cut) > STRETCHES + 2:
+            rows = [[0, 0, 0]]
+        for lo, hi in zip(cut[:-1], cut[1:], strict=True) if len(cut) <= STRETCHES + 2 else ():
+            if rows and lo == 0 and ids[0] > rows[-1][2] and rows[-1][0]:
+                rows[-1][0], rows[-1][2] = rows[-1][0] + hi, int(ids[hi - 1])
+            else:
+                rows.append([hi - lo, int(ids[lo]), int(ids[hi - 1])])
+        if len(rows) > STRETCHES or not rows[0][0]:
+            rows = [[0, 0, 0]]
+            break
+    if rows:
+        yield pd.DataFrame(rows, columns=["n", "first", "last"], dtype="int64")
+
+
+def in_order(docs: DataFrame, id: str, text: str) -> DataFrame:
+    """(id, text), of which every partition is made of stretches of rising ids, and no two stretches
+    overlap: so one after another, by their first ids, they are the table in the order of its ids. A null
+    id is the least; null texts are empty.
+
+    Tables are often stored so, and then stay as they are: only the ids are read to find out. Any other
+    is dealt out by ranges of (id, hash of the text), so that rows of one id are not one task's, and
+    sorted within them; rows of one id are in the order of that hash.
+    """
+    rows = docs.select(F.coalesce(F.col(id).cast("long"), F.lit(LONG_MIN)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    found = rows.select("id").mapInPandas(_stretches, "n long, first long, last long").toPandas().sort_values("first")
+    if found["n"].all() and (found["first"].to_numpy()[1:] > found["last"].to_numpy()[:-1]).all():
+        return rows
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = min(MOST_RANGES, max(1, -(-total // RANGE_BYTES)))
+    tie = F.xxhash64("text")
+    return rows.repartitionByRange(ranges, "id", tie).sortWithinPartitions("id", tie)
+
+
 LOCAL_EDGES = 10_000
 
 
