@@ -44,8 +44,8 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = order.materialise(_table(spark, sf_dir, "documents"), seed=17, length=2048, stride=1024)
-    return order.digest(order.resume(spark, path, 0, 1024), 1024)
+    path = order.materialise(_table(spark, sf_dir, "documents"), seed=17, length=2048, stride=order.STRIDE)
+    return order.digest(order.resume(spark, path))
 
 
 def op9_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:

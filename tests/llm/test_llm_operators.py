@@ -5,8 +5,10 @@ import hashlib
 import random
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -453,27 +455,59 @@ def test_feistel_is_a_permutation(n):
     assert n < 64 or not (s == order.Feistel(n, 4).slots(np.arange(n))).all()
 
 
-def test_training_order(spark, odd):
+def brute_stream(rows, length):
+    """The sequences of the documents in the order of ids (of a hash of the text where these are equal)."""
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokens.path_of())
+    ids, origin = [], []
+    for i, t in rows:
+        own = [*tok.encode(t or "", add_special_tokens=False).ids, tokens.END]
+        ids += own
+        origin += [(i, k) for k in range(len(own))]
+    return [(*origin[lo], len(ids[lo : lo + length]), (ids[lo : lo + length] + [tokens.END] * length)[:length]) for lo in range(0, len(ids), length)]
+
+
+def in_id_order(full):
+    return [(r["doc_id"], r["text"]) for r in full.select("doc_id", "text").orderBy("doc_id", F.xxhash64(F.coalesce("text", F.lit("")))).collect()]
+
+
+@pytest.mark.parametrize("stored", ["dealt", "ranges", "one"])
+def test_training_order(spark, odd, stored):
+    """The same shards however the table is stored."""
     full, none = both(spark, odd)
-    path = order.materialise(full.coalesce(3), length=50, stride=16)
-    got = order.resume(spark, path, 0, 16).toPandas()
-    assert sorted(got.slot) == list(range(len(got))) and (got.shard == got.slot // 16).all()
+    rows = in_id_order(full)
+    once = full.dropDuplicates(["doc_id"]).where("doc_id is not null")
+    if stored == "ranges":
+        full, rows = once.repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id"), in_id_order(once)
+    elif stored == "one":
+        full = full.coalesce(1)
+    path = order.materialise(full, length=50, stride=16)
+    got = order.resume(spark, path, 0, 16).orderBy("sequence").toPandas()
+    want = brute_stream(rows, 50)
+    assert sorted(got.slot) == list(range(len(want))) and (got.shard == got.slot // 16).all()
     assert (order.Feistel(len(got), 17).slots(got.sequence.to_numpy()) == got.slot).all()
-    runs = spark.createDataFrame(order.sequences(full.coalesce(3), length=50).toPandas().drop(columns="tokens").astype({"doc_id": object}).where(lambda d: d.notna(), None))
-    assert runs.count() == len(got)
-    ids = Counter()
-    for t, n in zip(got.tokens, got.n_tokens, strict=True):
-        assert len(t) == 100
-        ids.update(np.frombuffer(t, "<u2")[:n].tolist())
-    want = Counter()
-    tok = tokens.WordTokenizer(tokens.path_of())
-    for _, t, _ in odd:
-        want.update([*next(tok.many([t]))[0].tolist(), tokens.END])
-    assert ids == want
+    for r, (doc, start, n, ids) in zip(got.itertuples(), want, strict=True):
+        assert (None if np.isnan(r.doc_id) else int(r.doc_id), r.start, r.n_tokens) == (doc, start, n)
+        assert np.frombuffer(r.tokens, "<u2").tolist() == ids
     assert order.resume(spark, path, 20, 16).count() == len(got) - 20
+    for shard in range(-(-len(got) // 16)):  # a file for each shard, in the order of slots
+        files = list(Path(path.removeprefix("file:")).glob(f"shard={shard}/*.parquet"))
+        assert len(files) == 1
+        assert pq.read_table(files[0], columns=["slot"], partitioning=None)["slot"].to_pylist() == list(range(16 * shard, min(16 * shard + 16, len(got))))
     assert order.digest(order.resume(spark, order.materialise(none, length=50, stride=16), 0, 16), 16).count() == 0
 
 
+def test_in_order_takes_a_sorted_table_as_it_is(spark):
+    from attesta.llm import runtime
+
+    docs = spark.range(5000).selectExpr("id as doc_id", "repeat('a', 3) as text")
+    kept = runtime.in_order(docs, "doc_id", "text")
+    assert "Exchange" not in kept._jdf.queryExecution().toString()
+    for other in (docs.repartition(3), docs.unionByName(docs.limit(1)), docs.selectExpr("cast(null as long) doc_id", "text")):
+        assert "Exchange" in runtime.in_order(other, "doc_id", "text")._jdf.queryExecution().toString()
+
+
 # op9
 
 
@@ -505,20 +539,24 @@ def test_packing(spark, odd, monkeypatch):
     assert sizes.max() <= 64 and sizes.sum() / (64 * len(sizes)) > 0.9
     by = got.sort_values(["sequence_id", "offset"])
     assert (by.groupby("sequence_id").length.cumsum() - by.length == by.offset).all()
-    tok = tokens.WordTokenizer(tokens.path_of())
-    want = Counter()
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(tokens.path_of())
+    want = Counter()  # ids of every document, also where several rows share its id
     for i, t, _ in odd:
-        want[i] += len(next(tok.many([t]))[0]) + 1
-    assert {k: int(v) for k, v in got.groupby("doc_id").length.sum().items()} == {k: v for k, v in want.items() if k is not None}
-    ids = np.append(next(tok.many([odd[30 - 10][1]]))[0], tokens.END)
-    assert len(ids)
-    long = next(t for i, t, _ in odd if i == 30)
-    ids = np.append(next(tok.many([long]))[0], tokens.END).astype("<u4")
-    at = 0
-    for r in got[got.doc_id == 30].sort_values("start").itertuples():
-        assert r.start == at and r.ids_crc32 == zlib.crc32(ids[at : at + r.length].tobytes()) and r.doc_tokens == len(ids)
-        at += r.length
-    assert at == len(ids)
+        want[i, tuple([*tok.encode(t or "", add_special_tokens=False).ids, tokens.END])] += 1
+    pieces = Counter((None if np.isnan(r.doc_id) else int(r.doc_id), r.start, r.length, r.ids_crc32, r.doc_tokens) for r in got.itertuples())
+    for (i, ids), n in want.items():
+        ids, many, at = np.array(ids, "<u4"), n, 0
+        for _ in range(n):
+            at = 0
+            while at < len(ids):
+                fits = [p for p in pieces if p[0] == i and p[1] == at and p[4] == len(ids) and pieces[p] and p[3] == zlib.crc32(ids[at : at + p[2]].tobytes())]
+                assert fits, (i, at, many)
+                pieces[fits[0]] -= 1
+                at += fits[0][2]
+            assert at == len(ids)
+    assert not +pieces
 
 
 def test_cuts_are_optimal():
