@@ -379,6 +379,50 @@ def test_huge_components_are_exact(spark):
     assert got == [(1, 10**18 + 15), (2, 10**18 + 12)]
 
 
+def brute_top(whole, queries, k):
+    out = {}
+    for q in queries:
+        best = sorted(((max(-(2**63) + 1, min(2**63 - 1, sum(a * b for a, b in zip(whole[q], v, strict=True)))), -i) for i, v in whole.items() if i != q), reverse=True)[:k]
+        out[q] = [(n, -i, s) for n, (s, i) in enumerate(best, 1)]
+    return out
+
+
+def ranks(df):
+    got = defaultdict(list)
+    for r in df.orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    return got
+
+
+def test_bounds_prune_clustered_vectors(spark, monkeypatch):
+    """Few of the pairs of a query and a row are compared where vectors lie in clusters, and none is lost."""
+    monkeypatch.setattr(topk, "AT_ONCE", 64)
+    monkeypatch.setattr(topk, "QUERIES_A_GROUP", 40)
+    rng = np.random.default_rng(3)
+    centre = rng.standard_normal((25, 16)) * rng.uniform(0.5, 2, (25, 1))
+    x = centre[rng.integers(0, 25, 2000)] + 0.05 * rng.standard_normal((2000, 16))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    is_q = F.col("vec_id") % 20 == 0
+    whole = {i: [int(c) for c in v] for i, v in enumerate(np.floor(64 * x))}
+    assert ranks(topk.top_k(df, is_q, k=5)) == brute_top(whole, range(0, 2000, 20), 5)
+    assert topk.compared(df, is_q, k=5) < 0.25 * 100 * 2000
+
+
+@pytest.mark.parametrize("size", [1e3, 1e9, 1e15, 1e30])
+def test_scores_of_any_size_are_exact(size):
+    rng = np.random.default_rng(8)
+    q, x = (np.floor(rng.standard_normal((n, 5)) * size * 10.0 ** rng.integers(-3, 1, (n, 5))) for n in (7, 30))
+    x[::3] = np.floor(rng.standard_normal((10, 5)) * 50)
+    want = [[max(-(2**63) + 1, min(2**63 - 1, sum(int(a) * int(b) for a, b in zip(p, r, strict=True)))) for r in x] for p in q]
+    assert topk._scores(q, x).tolist() == want
+
+
+def test_rows_of_one_id_are_candidates_of_each_other(spark):
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (0, [1.0, 0.0]), (0, [2.0, 0.0]), (1, [1.0, 0.0])], "vec_id long, embedding array<double>")
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk.top_k(df, F.col("vec_id") == 0, k=2, scale=1.0).collect())
+    assert got == [(0, 1, 0, 2)] * 3 + [(0, 2, 0, 1)] * 2 + [(0, 2, 0, 2)]
+
+
 # op7
 
 
