@@ -12,6 +12,7 @@ COVERAGE = ["full", "sample", "none"]
 QUALITY = ["GOOD", "SCANNED", "POOR"]
 CONFIDENCE = ["high", "medium", "low"]
 
+# The record's fields, by which results of the models are read.
 ITEM = "item_number string, subscale string, item_text_original string, item_text_english string, shared_stem string, reverse_scored boolean, source_page bigint"
 SCALE = (
     "scale_name string, scale_abbreviation string, scale_citation string, which_sample string, scale_evidence_quote string, "
@@ -65,38 +66,39 @@ FLAT_COLUMNS = ["paper_id", "filename", "provenance", "doi", "url", *PAPER_COLUM
 
 _KINDS = {"string": "string", "long": "integer", "integer": "integer", "double": "number", "boolean": "boolean"}
 
+#: What a judge answers: its scales are the coders' verified union, so the strict form has none.
+JUDGE_RECORD = T.StructType([f for f in RECORD.fields if f.name in ("pdf_quality", "paper", "samples", "extraction_meta")])
+#: What a coder answers.
+CODER_RECORD = T.StructType([f for f in RECORD.fields if f.name in ("pdf_quality", "paper", "samples", "scales", "extraction_meta")])
 
-def json_schema(kind: T.DataType, enums: dict[str, list[str]] | None = None, name: str = "") -> dict:
-    """The JSON schema of a Spark type: every property required, no others; numbers may be null."""
-    enums = enums or {}
+
+def json_schema(kind: T.DataType, enums: dict[str, list[str]] | None = None, notes: dict[str, str] | None = None, nullable: bool = False, name: str = "") -> dict:
+    """The JSON schema of a Spark type: every property required, no others; numbers may be null. notes:
+    descriptions by field name. nullable: the form with a flag instead of a type or null, and without
+    additionalProperties."""
+    enums, notes = enums or {}, notes or {}
+    note = {"description": notes[name]} if name in notes else {}
     if isinstance(kind, T.StructType):
-        props = {f.name: json_schema(f.dataType, enums, f.name) for f in kind.fields}
-        return {"type": "object", "properties": props, "required": list(props), "additionalProperties": False}
+        props = {f.name: json_schema(f.dataType, enums, notes, nullable, f.name) for f in kind.fields}
+        return {"type": "object", "properties": props, "required": list(props)} | ({} if nullable else {"additionalProperties": False}) | note
     if isinstance(kind, T.ArrayType):
-        return {"type": "array", "items": json_schema(kind.elementType, enums, name)}
+        return {"type": "array", "items": json_schema(kind.elementType, enums, {k: v for k, v in notes.items() if k != name}, nullable, name)} | note
     if name in enums:
-        return {"type": "string", "enum": enums[name]}
+        return {"type": "string", "enum": enums[name]} | note
     one = _KINDS[kind.typeName()]
-    return {"type": [one, "null"]} if one in ("integer", "number") else {"type": one}
+    if one not in ("integer", "number"):
+        return {"type": one} | note
+    return ({"type": one, "nullable": True} if nullable else {"type": [one, "null"]}) | note
 
 
-def for_vendor(schema: dict, vendor: str) -> dict:
-    """The three request forms: a strict wrapper, nullable without additionalProperties, and a tool."""
+def for_vendor(vendor: str, kind: T.DataType = CODER_RECORD, enums: dict[str, list[str]] | None = None, notes: dict[str, str] | None = None, strict: bool = True) -> dict:
+    """The three request forms of a type: a strict wrapper, the nullable form, and a tool with its description,
+    enforced (``strict``) or not: the record with its nested items is too large to be."""
+    if vendor == "nullable":
+        return json_schema(kind, enums, notes, nullable=True)
+    schema = json_schema(kind, enums, notes)
     if vendor == "strict":
         return {"type": "json_schema", "json_schema": {"name": "record", "strict": True, "schema": schema}}
     if vendor == "tool":
-        return {"name": "record", "input_schema": schema}
-    if vendor != "nullable":
-        raise ValueError(f"no form for {vendor}")
-
-    def plain(x):
-        if isinstance(x, list):
-            return [plain(v) for v in x]
-        if not isinstance(x, dict):
-            return x
-        out = {k: plain(v) for k, v in x.items() if k != "additionalProperties"}
-        if isinstance(out.get("type"), list):
-            out |= {"type": next(t for t in out["type"] if t != "null"), "nullable": True}
-        return out
-
-    return plain(schema)
+        return {"name": "record", "description": "Gives the structured record of this paper.", "input_schema": schema} | ({"strict": True} if strict else {})
+    raise ValueError(f"no form for {vendor}")

@@ -19,6 +19,7 @@ STOP_WORDS = ["the", "a", "an", "of", "and", "for", "scale", "questionnaire", "i
 SMART, PLAIN = "“”’‘–— ", "\"\"''-- "
 # Letters that folding maps before accents are dropped.
 FOLD_FROM, FOLD_TO = "ıİşğçöü", "iisgcou"
+# Headings at which a reference list and an appendix begin.
 REFERENCES = r"(?imd)^#{0,3}\s*(references|bibliography|literatur|références)\s*$"
 APPENDIX = r"(?imd)^#{0,3}\s*(appendix|annex|supplementary)"
 
@@ -27,16 +28,54 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-@F.pandas_udf(StringType())
-def caseless(s: pd.Series) -> pd.Series:
-    """NFKC and full case folding, which no native function has."""
-    return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x).casefold())
+def _plain(c: str) -> bool:
+    """Lower case, with ß as ss, is all that NFKC and case folding do to the character, alone or beside others."""
+    return not c.isspace() and not unicodedata.combining(c) and unicodedata.normalize("NFKC", c).casefold() == c.lower().replace("ß", "ss")
 
 
-@F.pandas_udf(StringType())
-def composed(s: pd.Series) -> pd.Series:
-    """NFC."""
-    return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
+def _ranges(codes: list[int]) -> str:
+    """A character class's inside."""
+    out, first = [], None
+    for i, c in enumerate(codes):
+        first = c if first is None else first
+        if i + 1 == len(codes) or codes[i + 1] != c + 1:
+            out.append(f"\\x{{{first:x}}}-\\x{{{c:x}}}")
+            first = None
+    return "".join(out)
+
+
+#: Characters for which built-in functions do: ASCII, and of some common blocks (Latin, Cyrillic, kana, Chinese and
+#: Korean) and dashes and quotes those that ``_plain`` lets through. Greek has a final sigma and is not among them.
+_BLOCKS = [(0x80, 0x17F), (0x400, 0x45F), (0x3041, 0x3096), (0x30A1, 0x30FA), (0x4E00, 0x9FFF), (0xAC00, 0xD7A3), (0x2013, 0x201D)]
+_SAFE = _ranges([*range(0x1C), *range(0x20, 0x80), *(c for lo, hi in _BLOCKS[:1] for c in range(lo, hi + 1) if _plain(chr(c))), *(c for lo, hi in [_BLOCKS[-1], *_BLOCKS[1:-1]] for c in range(lo, hi + 1) if _plain(chr(c)))])
+#: White space that only Unicode counts as such, and that NFKC leaves; with what it turns into a space as well.
+_SPACES = "\x1c\x1d\x1e\x1f\x85\u1680\u2028\u2029"
+_ALL_SPACES = _SPACES + "\xa0\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
+
+
+def _icu(where: str, method: str, c: Column, flag: bool) -> Column:
+    """A static method of ICU, which Spark brings along: NFC, NFKC and full case folding have no function
+    of their own. Stays in the JVM and works inside higher-order functions; Spark doesn't know that it always
+    gives the same, so an aggregate or a join condition needs it as a column made before."""
+    return F.call_function("reflect", F.lit(f"com.ibm.icu.{where}"), F.lit(method), c, F.lit(flag))
+
+
+def caseless(c: Column) -> Column:
+    """NFKC and full case folding, with ICU only in rows that hold characters that need it; Unicode's
+    spaces become plain ones. Null becomes ''."""
+    c = F.coalesce(c, F.lit(""))
+    full = _icu("lang.UCharacter", "foldCase", _icu("text.Normalizer", "compose", c, True), True)
+    full = F.translate(full, _SPACES, " " * len(_SPACES))
+    hard = (F.octet_length(c) > F.length(c)) | c.rlike("[\\x1c-\\x1f]")
+    return F.when(hard & c.rlike(f"[^{_SAFE}\\xa0]"), full).otherwise(F.replace(F.lower(c), F.lit("ß"), F.lit("ss")))
+
+
+def composed(c: Column) -> Column:
+    """NFC in lower case, with ICU only in rows that need it; Unicode's spaces become plain ones. Null becomes ''."""
+    c = F.coalesce(c, F.lit(""))
+    full = F.lower(F.translate(_icu("text.Normalizer", "compose", c, False), _ALL_SPACES, " " * len(_ALL_SPACES)))
+    hard = (F.octet_length(c) > F.length(c)) | c.rlike("[\\x1c-\\x1f]")
+    return F.when(hard & c.rlike(f"[^{_SAFE}]"), full).otherwise(F.lower(c))
 
 
 @F.pandas_udf(StringType())
@@ -52,25 +91,18 @@ def unaccented(s: pd.Series) -> pd.Series:
     return s.map(one)
 
 
-def evidence_norm(c: Column | str, exact: bool = False) -> Column:
-    """The form in which an item and its source are compared. Null becomes ''.
-
-    exact: with NFKC and case folding; else lower case and ß as ss, which is the same for text
-    without compatibility characters and stays inside code generation."""
-    c = _col(c)
-    x = caseless(c) if exact else F.replace(F.lower(c), F.lit("ß"), F.lit("ss"))
-    x = F.regexp_replace(F.translate(x, SMART, PLAIN), "[*_`~]", "")
+def evidence_norm(c: Column | str) -> Column:
+    """The form in which an item and its source are compared. Null becomes ''."""
+    x = F.regexp_replace(F.translate(caseless(_col(c)), SMART, PLAIN), "[*_`~]", "")
     x = F.regexp_replace(F.translate(x, "|", " "), r"-\s*\n\s*", "")
-    x = F.regexp_replace(x, r"^\s*[a-z]?\d*[-.\d]*\s*[.):]\s*", "")
+    x = F.regexp_replace(x, r"^\s*[a-z]?\p{Nd}*[-.\p{Nd}]*\s*[.):]\s*", "")
     x = F.trim(F.regexp_replace(x, r"\s+", " "))
-    return F.coalesce(F.trim(F.regexp_replace(x, r"\.+\z", "")), F.lit(""))
+    return F.trim(F.regexp_replace(x, r"\.+\z", ""))
 
 
-def coding_norm(c: Column | str, exact: bool = False) -> Column:
-    """Trimmed, lower case, white space collapsed; with NFC if exact. Null becomes ''."""
-    c = _col(c)
-    x = composed(c) if exact else c
-    return F.coalesce(F.trim(F.lower(F.regexp_replace(x, r"\s+", " "))), F.lit(""))
+def coding_norm(c: Column | str) -> Column:
+    """NFC, trimmed, lower case, white space collapsed. Null becomes ''."""
+    return F.trim(F.regexp_replace(composed(_col(c)), r"\s+", " "))
 
 
 def coding_key(english: Column | str, original: Column | str) -> Column:
@@ -174,7 +206,8 @@ def kappa_band(k: Column) -> Column:
 
 
 def repaired_json(c: Column | str) -> Column:
-    """Fences off, cropped to the outer braces, commas mended, control characters out."""
+    """Fences off, cropped to the outer braces, commas mended, control characters out.
+    The patterns are fixed values."""
     x = F.regexp_replace(F.regexp_replace(_col(c), r"(?i)^```json?\s*\n?", ""), r"\n?\s*```\z", "")
     x = F.when(F.contains(x, F.lit("{")), F.substring(x, F.instr(x, "{"), F.length(x))).otherwise(x)
     x = F.when(F.contains(x, F.lit("}")), F.regexp_replace(x, r"(?s)[^}]*\z", "")).otherwise(x)

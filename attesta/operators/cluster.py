@@ -12,8 +12,9 @@ SIMILAR = 0.6
 
 
 def clustered(scales: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """Scales (paper_id, ord, key, tokens) with the column cluster: a scale joins the cluster of its
-    key, else the first cluster whose first scale's tokens overlap by ``similar``, else it founds one.
+    """Scales (paper_id, ord, key, tokens) with the column cluster: a scale joins the first cluster whose
+    first scale has its key, unless that is empty, else the first whose first scale's tokens overlap by
+    ``similar``, else it founds one.
 
     Greedy in the order of ``ord`` and so sequential, but only within a paper: papers are the groups, and
     a group holds the scales of one paper."""
@@ -24,13 +25,14 @@ def clustered(scales: DataFrame, similar: float = SIMILAR) -> DataFrame:
         by_key, heads, out = {}, [], []
         for key, tokens in zip(pdf["key"], pdf["tokens"], strict=True):
             words = set(tokens) if tokens is not None else set()
-            at = by_key.get(key)
+            at = by_key.get(key) if key else None
             if at is None and words:
                 at = next((i for i, h in enumerate(heads) if h and len(h & words) / min(len(h), len(words)) >= similar), None)
             if at is None:
                 at = len(heads)
                 heads.append(words)
-            by_key.setdefault(key, at)
+                if key:
+                    by_key.setdefault(key, at)
             out.append(at)
         return pdf.assign(cluster=pd.Series(out, index=pdf.index, dtype="int64"))
 

@@ -16,9 +16,12 @@ GENERIC_SCALES = [
 ]
 
 
+USABLE = "needs_review = 0 and extraction_status = 'success' and item_text_english is not null"
+
+
 def usable(rows: DataFrame) -> DataFrame:
     """P1."""
-    return rows.where("needs_review = 0 and extraction_status = 'success' and item_text_english is not null")
+    return rows.where(USABLE)
 
 
 def unusable(rows: DataFrame) -> DataFrame:
@@ -41,11 +44,16 @@ def scale_occurrences(rows: DataFrame, ties: bool = True) -> DataFrame:
     Needs scale_name and scale_occurrence_id."""
     named = rows.withColumn("scale_clean", T.clean_key("scale_name"))
     occ = named.groupBy("scale_clean", "scale_occurrence_id").agg(F.count("*").alias("scale_size"))
-    order = [F.desc("scale_size")] + ([] if ties else [F.asc("scale_occurrence_id")])
-    by_name = Window.partitionBy("scale_clean")
-    rank = F.dense_rank().over(by_name.orderBy(*order)) if ties else F.row_number().over(by_name.orderBy(*order))
+    # the best occurrence of a name by an aggregate, so that a frequent name is no window of its own
+    best = occ.groupBy(F.col("scale_clean").alias("__name")).agg(
+        F.count("*").alias("scale_occurrences"), F.max("scale_size").alias("__most"), F.min(F.struct(-F.col("scale_size"), "scale_occurrence_id")).alias("__best")
+    )
+    occ = occ.join(best, occ["scale_clean"].eqNullSafe(F.col("__name")))
+    largest = F.col("scale_size") == F.col("__most")
+    if not ties:
+        largest &= F.col("scale_occurrence_id").eqNullSafe(F.col("__best.scale_occurrence_id"))
     generic = F.coalesce(F.col("scale_clean").isin(GENERIC_SCALES), F.lit(False))
-    occ = occ.withColumn("scale_occurrences", F.count("*").over(by_name)).withColumn("keep_scale", (rank == 1) | generic)
+    occ = occ.select("scale_clean", "scale_occurrence_id", "scale_size", "scale_occurrences", (largest | generic).alias("keep_scale"))
     same = named["scale_clean"].eqNullSafe(occ["scale_clean"]) & named["scale_occurrence_id"].eqNullSafe(occ["scale_occurrence_id"])
     return named.join(occ, same).select(named["*"], "scale_size", "scale_occurrences", "keep_scale")
 
@@ -67,11 +75,14 @@ def group_labels(rows: DataFrame, key: str, name: str, prefix: int = 3) -> DataF
 
 def item_duplicates(rows: DataFrame) -> DataFrame:
     """item_clean, item_dup_count, and keep_item: the row of the largest scale, then the least
-    row_id, for each item text. Needs item_text_english, scale_size and row_id."""
+    row_id, for each item text. Needs item_text_english, scale_size and row_id, which names one row."""
     item = rows.withColumn("item_clean", T.clean_key("item_text_english"))
-    by_item = Window.partitionBy("item_clean")
-    rank = F.row_number().over(by_item.orderBy(F.desc(F.coalesce("scale_size", F.lit(0))), F.asc_nulls_last("row_id")))
-    return item.withColumn("item_dup_count", F.count("*").over(by_item)).withColumn("keep_item", rank == 1)
+    size = F.coalesce("scale_size", F.lit(0))
+    # nulls last: a row_id that is null comes after all others
+    place = F.struct((-size).alias("size"), F.col("row_id").isNull().alias("none"), F.col("row_id").alias("row_id"))
+    best = item.groupBy(F.col("item_clean").alias("__item")).agg(F.count("*").alias("item_dup_count"), F.min(place).alias("__best"))
+    met = item.join(best, item["item_clean"].eqNullSafe(F.col("__item")))
+    return met.select(item["*"], "item_dup_count", place.eqNullSafe(F.col("__best")).alias("keep_item"))
 
 
 def mapping(rows: DataFrame, count: str, columns: list[str]) -> DataFrame:
@@ -89,6 +100,7 @@ def irrelevant(rows: DataFrame) -> DataFrame:
     return rows.where("measures_social_connection <> 'YES' or measures_social_connection is null")
 
 
+# The columns of the cleaned table.
 FINAL_COLUMNS = ["row_id", "origin_id", "scale_occurrence_id", "scale_dup_group", "item_dup_group", "title", "country_study", "scale_name", "subscale", "item_text_original", "item_text_english"]
 
 

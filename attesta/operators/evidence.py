@@ -28,30 +28,62 @@ def verified_items(items: DataFrame, sources: DataFrame, paper: str, key: str, o
     return met.withColumn("__first", first).where("__first = 1").drop("__first")
 
 
-def evidence_pairs(needles: DataFrame, needle: str, sources: DataFrame, source: str, few: int = 10_000) -> DataFrame:
+def _words(c: Column) -> Column:
+    return F.filter(F.split(c, r"\s+"), lambda w: w != "")
+
+
+def evidence_pairs(needles: DataFrame, needle: str, sources: DataFrame, source: str, most_bytes: int = 200_000) -> DataFrame:
     """Cross-document containment: (needle row, source row) where the source contains the needle.
 
-    Up to ``few`` needles (counted first) are broadcast. With more, pairs meet on the needle's longest
-    inner word: between its first and last words a needle has whole words, which a source that contains
-    it has as well. Needles of one or two words have none and are compared with all sources."""
+    Needles of up to ``most_bytes`` in all (measured first) are broadcast. Larger sets meet on words, as
+    narrow rows of hashes, and texts are fetched for what met. A needle of three words and more has whole
+    words between its first and its last, which a source that contains it has too: the longest is its key.
+    One of two words ends a word of the source and begins the next: the longer half is its key. A single
+    word lies anywhere in one. Halves and single words meet the distinct words of all sources first."""
     held = needles.where(F.col(needle) != "")
     inside = F.contains(F.col(source), F.col(needle))
-    if held.limit(few + 1).count() <= few:
+    if (held.agg(F.sum(F.octet_length(needle))).first()[0] or 0) <= most_bytes:
         return sources.join(F.broadcast(held), inside)
-    words = lambda c: F.filter(F.split(c, r"\s+"), lambda w: w != "")
-    longest = F.reduce(F.slice("__words", 2, F.greatest(F.size("__words") - 2, F.lit(0))), F.lit(""), lambda best, w: F.when(F.length(w) > F.length(best), w).otherwise(best))
-    split = held.withColumn("__words", words(F.col(needle))).withColumn("__word", longest).drop("__words")
-    near = sources.withColumn("__word", F.explode(F.array_distinct(words(F.col(source))))).join(split.where("__word <> ''"), "__word").where(inside).drop("__word")
-    short = sources.join(split.where("__word = ''").drop("__word"), inside)
-    return near.select(*short.columns).unionByName(short)
+    texts = sources.withColumn("__h", F.xxhash64(source))
+    words = texts.select("__h", F.explode(F.array_distinct(_words(F.col(source)))).alias("__word")).distinct()
+    w = F.col("__w")
+    inner = F.reduce(F.slice(w, 2, F.greatest(F.size(w) - 2, F.lit(0))), F.lit(""), lambda best, x: F.when(F.length(x) > F.length(best), x).otherwise(best))
+    head, tail = F.get(w, F.lit(0)), F.get(w, F.size(w) - 1)
+    kind = F.when(F.size(w) > 2, "whole").when((F.size(w) == 2) & (F.length(head) >= F.length(tail)), "end").when(F.size(w) == 2, "begin").when(F.size(w) == 1, "part").otherwise("any")
+    key = F.when(kind == "whole", inner).when(kind == "end", head).when(kind == "begin", tail).when(kind == "part", head).otherwise("")
+    split = held.withColumn("__w", _words(F.col(needle))).withColumns({"__kind": kind, "__key": key, "__n": F.xxhash64(needle)}).drop("__w")
+    keys = split.select("__n", "__kind", "__key").distinct()
+    met = words.join(keys.where("__kind = 'whole'"), F.col("__word") == F.col("__key")).select("__h", "__n")
+    lengths = [r[0] for r in keys.where("__kind in ('end', 'begin', 'part')").select(F.length("__key").alias("l")).distinct().collect()]
+    if lengths:  # numbers of letters, so few
+        known = words.select("__word").distinct()
+        of = F.array(*[F.lit(n) for n in lengths])
+        cut = lambda n: F.concat(
+            F.array(F.struct(F.lit("begin").alias("k"), F.substring("__word", F.lit(1), n).alias("x"))),
+            F.array(F.struct(F.lit("end").alias("k"), F.substring("__word", -n, n).alias("x"))),
+            F.transform(F.sequence(F.lit(1), F.length("__word") - n + 1), lambda i: F.struct(F.lit("part").alias("k"), F.substring("__word", i, n).alias("x"))),
+        )
+        pieces = known.select("__word", F.explode(F.array_distinct(F.flatten(F.transform(F.filter(of, lambda n: n <= F.length("__word")), cut)))).alias("p"))
+        short = pieces.join(keys, (F.col("p.k") == F.col("__kind")) & (F.col("p.x") == F.col("__key"))).select("__word", "__n")
+        met = met.unionByName(words.join(short, "__word").select("__h", "__n"))
+    met = met.distinct().join(split.drop("__kind", "__key"), "__n").join(texts, "__h").where(inside).drop("__n", "__h")
+    blank = split.where("__kind = 'any'").drop("__kind", "__key", "__n")  # white space only: one or two needles
+    out = met.select(*sources.columns, *held.columns)
+    return out.unionByName(sources.join(F.broadcast(blank), inside).select(*sources.columns, *held.columns)) if blank.limit(1).count() else out
+
+
+def verified_keys(tagged: DataFrame, sources: DataFrame, paper: str, key: str) -> DataFrame:
+    """The coders' verified key sets: rows (paper, key, in_a, in_b), of both coders, each key once per paper,
+    where the paper's source contains it. Sources are normalised and joined once for both."""
+    keys = tagged.groupBy(paper, key).agg(F.max("in_a").alias("in_a"), F.max("in_b").alias("in_b"))
+    return keys.join(sources, paper).where(printed(F.col(key), F.col("source_norm"))).drop("source_norm")
 
 
-def coder_overlap(a: DataFrame, b: DataFrame, paper: str, key: str) -> DataFrame:
+def coder_overlap(verified: DataFrame, paper: str) -> DataFrame:
     """For each paper the sizes of both verified key sets, of what they share and of all,
     and the Jaccard index (null if both are empty)."""
-    tagged = a.select(paper, key, F.lit(1).alias("in_a"), F.lit(0).alias("in_b")).unionByName(b.select(paper, key, F.lit(0).alias("in_a"), F.lit(1).alias("in_b")))
-    keys = tagged.groupBy(paper, key).agg(F.max("in_a").alias("in_a"), F.max("in_b").alias("in_b"))
-    sums = keys.groupBy(paper).agg(F.sum("in_a").alias("n_a"), F.sum("in_b").alias("n_b"), F.sum(F.col("in_a") * F.col("in_b")).alias("n_both"), F.count("*").alias("n_all"))
+    a, b = F.col("in_a").cast("long"), F.col("in_b").cast("long")
+    sums = verified.groupBy(paper).agg(F.sum(a).alias("n_a"), F.sum(b).alias("n_b"), F.sum(a * b).alias("n_both"), F.count("*").alias("n_all"))
     return sums.withColumn("jaccard", F.try_divide(F.col("n_both").cast("double"), F.col("n_all")))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from attesta.operators.ordinal import ordinal
+
 
 def prefix_within(rows: DataFrame, size: str, order: list[str], budget: int, ceiling: int, by: list[str] | None = None) -> DataFrame:
     """The first rows whose running sum stays within the budget, at least one, at most ``ceiling``."""
@@ -16,43 +18,44 @@ def prefix_within(rows: DataFrame, size: str, order: list[str], budget: int, cei
 def batches(rows: DataFrame, size: str, order: list[str], budget: int, ceiling: int, by: str) -> DataFrame:
     """W9 again and again over each queue ``by``: greedy next-fit, as the column batch from 0.
 
-    Next-fit is sequential within a queue, so each queue is one task that streams through it with a
-    running sum; queues run side by side."""
-    width = len(rows.columns)
+    Next-fit is sequential within a queue, so each queue is one task, which streams through its sorted
+    rows with a running sum and holds no more than an Arrow batch; queues run side by side."""
     schema = rows.withColumn("batch", F.lit(0).cast("long")).schema
+    dealt = rows.repartition(by).sortWithinPartitions(by, *order)
 
-    def pack(pdf):
-        out, used, held, batch = [], 0, 0, -1
-        for s in pdf[size]:
-            if batch < 0 or used + s > budget or held >= ceiling:
-                batch, used, held = batch + 1, 0, 0
-            used, held = used + s, held + 1
-            out.append(batch)
-        pdf.insert(width, "batch", out)
-        return pdf
+    def pack(frames):
+        queue, batch, used, held = object(), -1, 0, 0
+        for frame in frames:
+            out = []
+            for q, s in zip(frame[by].tolist(), frame[size].tolist(), strict=True):
+                if q != queue and not (q != q and queue != queue):
+                    queue, batch = q, -1
+                if batch < 0 or used + s > budget or held >= ceiling:
+                    batch, used, held = batch + 1, 0, 0
+                used, held = used + s, held + 1
+                out.append(batch)
+            yield frame.assign(batch=out)
 
-    return rows.groupBy(by).applyInPandas(lambda pdf: pack(pdf.sort_values(order, kind="stable").reset_index(drop=True)), schema)
+    return dealt.mapInPandas(pack, schema)
 
 
 def terciles(rows: DataFrame, order: list[str], id: str) -> DataFrame:
-    """Thirds by rank, the remainder in the last. The ranks come from counts per value of the
-    first ordering column, so no window holds all rows."""
-    first = order[0]
-    counts = rows.groupBy(first).agg(F.count("*").alias("__c"))
-    before = counts.withColumn("__before", F.sum("__c").over(Window.orderBy(first).rowsBetween(Window.unboundedPreceding, -1)))
-    total = rows.count()
-    third = max(1, total // 3)
-    inner = F.row_number().over(Window.partitionBy(first).orderBy(*order[1:], id)) - 1
-    ranked = rows.join(before.select(first, F.coalesce("__before", F.lit(0)).alias("__before")), first).withColumn("__rank", F.col("__before") + inner)
-    return ranked.withColumn("tercile", F.least(F.floor(F.col("__rank") / third), F.lit(2)).cast("long")).drop("__rank", "__before")
+    """Thirds by rank, the remainder in the last. The ranks are ordinals of rows dealt out by range, so
+    no window holds all rows, or all that share a value."""
+    ranked = ordinal(rows, [*order, id], "__rank")
+    third = max(1, ranked.count() // 3)
+    return ranked.withColumn("tercile", F.least(F.floor(F.col("__rank") / third), F.lit(2)).cast("long")).drop("__rank")
 
 
 def stratified(rows: DataFrame, stratum: str, id: str, n: int, seed: int, strata: int = 3) -> DataFrame:
-    """N // strata rows of each stratum, the last one the rest, by the order of a keyed MD5."""
-    want = F.when(F.col(stratum) == strata - 1, n - (strata - 1) * (n // strata)).otherwise(n // strata)
+    """N // strata rows of each stratum, the last one the rest, by the order of a keyed MD5.
+
+    The largest of these numbers is a literal first, so tasks cut their rows down to it before the shuffle."""
+    last = n - (strata - 1) * (n // strata)
+    want = F.when(F.col(stratum) == strata - 1, last).otherwise(n // strata)
     draw = F.md5(F.concat_ws(":", F.col(id).cast("string"), F.lit(str(seed))))
     rank = F.row_number().over(Window.partitionBy(stratum).orderBy(draw, id))
-    return rows.withColumn("__rank", rank).where(F.col("__rank") <= want).drop("__rank")
+    return rows.withColumn("__rank", rank).where(F.col("__rank") <= max(last, n // strata)).where(F.col("__rank") <= want).drop("__rank")
 
 
 def estimated_tokens(text: Column, for_packing: bool = False) -> Column:

@@ -169,6 +169,31 @@ def primary(samples: Column) -> Column:
     return F.coalesce(F.get(F.filter(samples, lambda s: F.coalesce(s["is_primary"], F.lit(False))), F.lit(0)), F.get(samples, F.lit(0)))
 
 
+def scalars(records: DataFrame) -> DataFrame:
+    """One row per record: what two coders are compared by, from the primary sample, and n_samples."""
+    one = records.withColumn("__s", primary(F.col("samples")))
+    of = {"study_type": "paper", "age_format": "__s", "gender_format": "__s", "quality_flag": "pdf_quality", "total_n": "__s", "age_mean": "__s", "age_sd": "__s", "gender_pct_female": "__s"}
+    return one.select("paper_id", *[F.col(f"{where}.{c}").alias(c) for c, where in of.items()], F.coalesce(F.size("samples"), F.lit(0)).alias("n_samples"))
+
+
+def unresolved(a: DataFrame, b: DataFrame, union: DataFrame) -> DataFrame:
+    """Records of papers that nobody settled: coder A's, else B's, with the coders' verified union
+    (paper_id, scales), a review flag, a note and the provenance that says so; enums as listed."""
+    base = by_priority(a, b).drop("scales", "provenance").join(union.select("paper_id", "scales"), "paper_id", "left")
+    notes = F.coalesce(F.col("extraction_meta.extraction_notes"), F.lit(""))
+    note = F.btrim(F.concat(notes, F.lit(" | NOT adjudicated: exported from coder output.")), F.lit(" |"))
+    meta = _with(F.coalesce("extraction_meta", F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in _META.fields])), _META, needs_human_review=F.lit(True), extraction_notes=note)
+    out = base.withColumn("extraction_meta", meta).withColumn("provenance", F.lit("coder_only_unresolved"))
+    out = out.withColumn("scales", F.coalesce("scales", F.array().cast(S.RECORD["scales"].dataType)))
+    return canonicalised(out.select(*a.columns))
+
+
+def with_filename(records: DataFrame, log: DataFrame) -> DataFrame:
+    """The file name that the log (paper_id, filename) holds for the paper, else ''."""
+    named = log.groupBy("paper_id").agg(F.max("filename").alias("__filename"))
+    return records.join(named, "paper_id", "left").withColumn("filename", F.coalesce("__filename", F.lit(""))).drop("__filename")
+
+
 def flattened(records: DataFrame, consensus: str | None = None) -> DataFrame:
     """One row per item; a scale without items and a paper without scales are one row each. The 61
     columns of the flat table. consensus: an array column of keys that both coders verified."""

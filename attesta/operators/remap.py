@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attesta.functions import text as T
@@ -17,11 +17,13 @@ def first_wins(rows: DataFrame, key: Column, value: str, ordinal: str) -> DataFr
 def disposition(items: DataFrame, coded: DataFrame) -> DataFrame:
     """Items (row_id, key) against coded (key, code) -> disposition: already_coded with the code
     it inherits (which may be blank), internal_dup with the first row of its key, else new."""
-    met = items.join(coded.withColumn("__held", F.lit(True)), "key", "left")
-    held = F.coalesce("__held", F.lit(False))
-    first = F.min("row_id").over(Window.partitionBy("key", held))
-    what = F.when(held, "already_coded").when(F.col("row_id") == first, "new").otherwise("internal_dup")
-    return met.select("row_id", "key", what.alias("disposition"), F.when(held, F.col("code")).alias("inherit_final_coding"), F.when(~held & (F.col("row_id") != first), first).alias("maps_to_row_id"))
+    met = items.join(coded.withColumn("__held", F.lit(True)), "key", "left").withColumn("__held", F.coalesce("__held", F.lit(False)))
+    # the first row of a key by an aggregate, so that a frequent key is no window of its own
+    first = met.where("not __held").groupBy(F.col("key").alias("__key")).agg(F.min("row_id").alias("__first"))
+    met = met.join(first, met["key"].eqNullSafe(F.col("__key")), "left")
+    held, later = F.col("__held"), F.col("row_id") != F.col("__first")
+    what = F.when(held, "already_coded").when(later, "internal_dup").otherwise("new")
+    return met.select("row_id", "key", what.alias("disposition"), F.when(held, F.col("code")).alias("inherit_final_coding"), F.when(~held & later, F.col("__first")).alias("maps_to_row_id"))
 
 
 def tiered(items: DataFrame, tables: list[DataFrame], keys: list[str]) -> DataFrame:
@@ -41,7 +43,10 @@ def tiered(items: DataFrame, tables: list[DataFrame], keys: list[str]) -> DataFr
 def through_twin(rows: DataFrame) -> DataFrame:
     """A row without a code takes that of the row it points to (maps_to_row_id, one step deep)."""
     twin = rows.select(F.col("row_id").alias("maps_to_row_id"), F.col("code").alias("__twin"))
-    return rows.join(twin, "maps_to_row_id", "left").withColumn("code", F.coalesce(F.nullif("__twin", F.lit("")), "code")).drop("__twin")
+    met = rows.where("maps_to_row_id is not null").join(twin, "maps_to_row_id", "left")
+    met = met.withColumn("code", F.coalesce(F.nullif("__twin", F.lit("")), "code")).drop("__twin")
+    # most rows point nowhere: they stay out of the join, where null would be one hot key
+    return met.unionByName(rows.where("maps_to_row_id is null"))
 
 
 def carried_back(kept: DataFrame, item_map: DataFrame, removed_scales: DataFrame) -> DataFrame:

@@ -38,6 +38,12 @@ def routed(a: DataFrame, b: DataFrame, fields: list[str], locked: DataFrame | No
     return met.select("paper_id", disputes.alias("disputes")).withColumn("route", F.when(F.array_contains("disputes", "single_coder"), "single_coder").when(F.size("disputes") > 0, "dispute").otherwise("agreement"))
 
 
+def aligned(a: DataFrame, b: DataFrame, fields: list[str], key: str = "paper_id") -> DataFrame:
+    """The two raters' values side by side, <field>_a and <field>_b, of the papers that both rated."""
+    side = lambda df, end: df.select(key, *[F.col(f).alias(f"{f}_{end}") for f in fields])
+    return side(a, "a").join(side(b, "b"), key)
+
+
 def scale_counts(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     """Items per scale of either coder, with a marker where they differ."""
     count = lambda df, name: df.groupBy(*keys).agg(F.count("*").alias(name))

@@ -8,7 +8,7 @@ from attesta.functions import agreement as A
 from attesta.functions import text as T
 from attesta.operators import evidence
 from attesta.plans import textual
-from attesta.plans.roles import coder, lines, sources, table, texts
+from attesta.plans.roles import coder, coders, lines, sources, table, texts
 from attesta.plans.textual import LINES, sql_coding, sql_norm
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -32,19 +32,20 @@ u AS (SELECT doc_id, k, max(x) AS x, max(y) AS y FROM (SELECT doc_id, k, 1 AS x,
 o AS (SELECT doc_id, sum(x) AS n_a, sum(y) AS n_b, sum(x * y) AS n_both, count(*) AS n_all FROM u GROUP BY doc_id)"""
 
 
-def _verified(spark, d, which):
-    items = coder(spark, d, which).withColumn("key", T.evidence_norm("line"))
-    return evidence.verified_items(items, sources(spark, d), "doc_id", "key", "pos")
+def _verified(spark, d):
+    """Both coders' verified keys (doc_id, key, in_a, in_b)."""
+    tagged = coders(spark, d).select("doc_id", T.evidence_norm("line").alias("key"), "in_a", "in_b")
+    return evidence.verified_keys(tagged, sources(spark, d), "doc_id", "key")
 
 
 def _overlap(spark, d):
-    return evidence.coder_overlap(_verified(spark, d, "a"), _verified(spark, d, "b"), "doc_id", "key")
+    return evidence.coder_overlap(_verified(spark, d), "doc_id")
 
 
 @query("verify_items", f"WITH {CODERS} SELECT 'a' AS coder, doc_id, k AS key FROM va UNION ALL SELECT 'b', doc_id, k FROM vb")
 def _(spark, d):
-    one = lambda w: _verified(spark, d, w).select(F.lit(w).alias("coder"), "doc_id", "key")
-    return one("a").unionByName(one("b"))
+    who = F.array_compact(F.array(F.when(F.col("in_a"), "a"), F.when(F.col("in_b"), "b")))
+    return _verified(spark, d).select(F.explode(who).alias("coder"), "doc_id", "key")
 
 
 @query("jaccard_per_doc", f"WITH {CODERS} SELECT doc_id, CAST(n_a AS BIGINT) AS n_a, CAST(n_b AS BIGINT) AS n_b, CAST(n_both AS BIGINT) AS n_both, n_all, round(n_both / n_all, 6) AS jaccard FROM o")
@@ -163,7 +164,7 @@ def _(spark, d):
     held = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
 
     def one(w, n, m, age):
-        keys = _verified(spark, d, w).groupBy("doc_id").agg(F.collect_set("key").alias("items"))
+        keys = _verified(spark, d).groupBy("doc_id").agg(F.collect_set(F.when(F.col(f"in_{w}"), F.col("key"))).alias("items"))
         none = F.array().cast("array<string>")
         met = held.join(keys, "doc_id", "left")
         c = F.col("n_chars")

@@ -90,14 +90,22 @@ def _(spark, d):
 SELECT 'raw' AS step, count(*) AS n FROM r UNION ALL SELECT 'step1', count(*) FROM c UNION ALL SELECT 'step2a', count(*) FROM i
 UNION ALL SELECT 'step2b', count(*) FROM d WHERE keep_item UNION ALL SELECT 'step3', count(*) FROM d WHERE keep_item AND social = 'YES'""")
 def _(spark, d):
-    raw = roles.funnel(spark, d)
-    items = _items(spark, d)
-    steps = {"raw": raw, "step1": dedup.usable(raw), "step2a": items, "step2b": items.where("keep_item"), "step3": dedup.relevant(items.where("keep_item"))}
-    out = None
-    for name, df in steps.items():
-        one = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("step"), "n")
-        out = one if out is None else out.unionByName(one)
-    return out
+    # the steps' conditions are counted together, in one pass over the rows before and one after the ranks
+    first = roles.funnel(spark, d).agg(F.count("*").alias("raw"), F.count_if(F.expr(dedup.USABLE)).alias("step1"))
+    items = _items(spark, d).agg(F.count("*").alias("step2a"), F.count_if("keep_item").alias("step2b"), F.count_if(F.col("keep_item") & (F.col("measures_social_connection") == "YES")).alias("step3"))
+    both = first.crossJoin(items)  # a row each
+    return both.unpivot([], ["raw", "step1", "step2a", "step2b", "step3"], "step", "n")
+
+
+@query("step4_columns", f"""WITH {ITEMS},
+g AS (SELECT *, dense_rank() OVER (ORDER BY item_clean) AS item_dup_group, dense_rank() OVER (ORDER BY sc) AS scale_dup_group FROM d)
+SELECT row_id, md5(row_id) AS origin_id, occ AS scale_occurrence_id, CAST(scale_dup_group AS BIGINT) AS scale_dup_group, CAST(item_dup_group AS BIGINT) AS item_dup_group, CAST(l_orderkey AS VARCHAR) AS title,
+  'XX' AS country_study, scale_name, CAST(NULL AS VARCHAR) AS subscale, english AS item_text_original, english AS item_text_english FROM g WHERE keep_item AND social = 'YES'""")
+def _(spark, d):
+    items = dedup.group_labels(dedup.group_labels(_items(spark, d), "item_clean", "item_dup_group"), "scale_clean", "scale_dup_group")
+    kept = dedup.relevant(items.where("keep_item"))
+    own = {"origin_id": F.md5("row_id"), "title": F.col("order_key").cast("string"), "country_study": F.lit("XX"), "subscale": F.lit(None).cast("string"), "item_text_original": F.col("item_text_english")}
+    return dedup.final_columns(kept.withColumns(own)).withColumns({c: F.col(c).cast("long") for c in ("scale_dup_group", "item_dup_group")})
 
 
 @query("batch_summary", f"""WITH {ROWS}

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from attesta.functions import text as T
 from attesta.operators import audit, cluster, ledger, remap
+from attesta.operators.ordinal import ordinal
 from attesta.operators.records import by_priority
 from attesta.plans import textual
 from attesta.plans.roles import lines, table
@@ -162,11 +163,15 @@ def _(spark, d):
 
 
 @query("upsert_ledger", """
-SELECT o_orderkey, CASE WHEN o_totalprice > 250000 THEN 'done' ELSE o_orderstatus END AS status FROM orders WHERE o_totalprice > 250000 OR o_orderstatus <> 'P'""")
+WITH o AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS pos FROM orders WHERE o_orderstatus <> 'P'),
+n AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS pos FROM orders WHERE o_totalprice > 250000)
+SELECT o_orderkey, CASE WHEN n.pos IS NOT NULL THEN 'done' ELSE o_orderstatus END AS status, coalesce(o.pos, (SELECT max(pos) FROM o) + 1 + n.pos) AS pos
+FROM orders LEFT JOIN o USING (o_orderkey) LEFT JOIN n USING (o_orderkey) WHERE o.pos IS NOT NULL OR n.pos IS NOT NULL""")
 def _(spark, d):
     o = table(spark, d, "orders")
-    old = o.where("o_orderstatus <> 'P'").select("o_orderkey", F.col("o_orderstatus").alias("status"))
-    return sinks.upserted(old, o.where("o_totalprice > 250000").select("o_orderkey", F.lit("done").alias("status")), "o_orderkey")
+    placed = lambda df: ordinal(df, ["o_orderkey"], "pos")
+    old = placed(o.where("o_orderstatus <> 'P'").select("o_orderkey", F.col("o_orderstatus").alias("status")))
+    return sinks.upserted(old, placed(o.where("o_totalprice > 250000").select("o_orderkey", F.lit("done").alias("status"))), "o_orderkey", "pos")
 
 
 @query("retry_queue", """
@@ -210,10 +215,28 @@ def _(spark, d):
     return cluster.fuzzy_pairs(one("fr"), one("de"), "g").withColumn("similarity", F.round("similarity", 6))
 
 
-@query("resolve_clusters")
+@query("resolve_clusters", f"""
+WITH RECURSIVE s AS (SELECT *, CASE WHEN key = '' THEN [] ELSE {TOKENS.format('key')} END AS t, row_number() OVER (PARTITION BY paper_id ORDER BY ord) AS i
+  FROM (SELECT CAST(doc_id % 97 AS VARCHAR) AS paper_id, doc_id AS ord, lang, CASE WHEN doc_id % 5 = 0 THEN '' ELSE {sql_norm(FIRST)} END AS key FROM documents)),
+r(paper_id, i, heads, spot) AS (
+  SELECT DISTINCT paper_id, CAST(0 AS BIGINT), CAST([] AS STRUCT(k VARCHAR, t VARCHAR[])[]), CAST(0 AS BIGINT) FROM s
+  UNION ALL
+  SELECT x.paper_id, x.i, CASE WHEN hit IS NULL THEN list_append(heads, struct_pack(k := key, t := t)) ELSE heads END, coalesce(hit - 1, len(heads))
+  FROM (SELECT s.*, r.heads,
+      coalesce(CASE WHEN key <> '' THEN nullif(coalesce(list_position(list_transform(heads, lambda h: h.k), key), 0), 0) END,
+        nullif(coalesce(list_position(list_transform(heads, lambda h: len(h.t) > 0 AND len(s.t) > 0 AND len(list_intersect(h.t, s.t)) >= 0.6 * least(len(h.t), len(s.t))), true), 0), 0)) AS hit
+    FROM r JOIN s ON s.paper_id = r.paper_id AND s.i = r.i + 1) x),
+p AS (SELECT s.*, r.spot AS cluster FROM s JOIN r USING (paper_id, i)),
+l AS (SELECT CAST(doc_id % 97 AS VARCHAR) AS paper_id, doc_id AS ord, {sql_norm('line')} AS k FROM ({LINES})),
+n AS (SELECT p.paper_id, cluster, count(DISTINCT k) AS n_items FROM l JOIN p USING (paper_id, ord) WHERE k <> '' GROUP BY ALL),
+b AS (SELECT paper_id, cluster, arg_min(key, struct_pack(a := -len(t), b := ord)) AS base FROM p GROUP BY ALL),
+u AS (SELECT paper_id, cluster, lang, min(ord) AS ord FROM p GROUP BY ALL),
+g AS (SELECT paper_id, cluster, string_agg(lang, '; ' ORDER BY ord) AS subscales FROM u GROUP BY ALL)
+SELECT paper_id, cluster, base, coalesce(subscales, '') AS subscales, CAST(coalesce(n_items, 0) AS INTEGER) AS n_items FROM b LEFT JOIN g USING (paper_id, cluster) LEFT JOIN n USING (paper_id, cluster)""")
 def _(spark, d):
     docs = table(spark, d, "documents").withColumn("name", F.substring_index("text", "\n", 1))
-    scales = docs.select((F.col("doc_id") % 97).cast("string").alias("paper_id"), F.col("doc_id").alias("ord"), T.evidence_norm("name").alias("key"), T.name_tokens("name").alias("tokens"), F.col("lang").alias("subscales"), F.lit(True).alias("attested"))
+    name = F.when(F.col("doc_id") % 5 == 0, "").otherwise(T.evidence_norm("name"))  # every fifth scale has no name
+    scales = docs.select((F.col("doc_id") % 97).cast("string").alias("paper_id"), F.col("doc_id").alias("ord"), name.alias("key"), T.name_tokens(name).alias("tokens"), F.col("lang").alias("subscales"), F.lit(True).alias("attested"))
     items = lines(spark, d).select((F.col("doc_id") % 97).cast("string").alias("paper_id"), F.col("doc_id").alias("ord"), F.col("pos").alias("item"), T.evidence_norm("line").alias("key")).where("key <> ''")
     out = cluster.merged(items, cluster.clustered(scales))
     return out.select("paper_id", "cluster", "base", "subscales", F.coalesce(F.size("items"), F.lit(0)).alias("n_items"))

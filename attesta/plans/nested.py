@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from attesta.operators import audit, records
+from attesta.functions import schema as S
+from attesta.operators import audit, records, routing
 from attesta.plans import roles, textual
 from attesta.plans.textual import sql_norm
 
@@ -68,6 +69,59 @@ def _(spark, d):
     return records.counted(roles.records(spark, d)).select("paper_id", "extraction_meta.total_scales_found", "extraction_meta.total_items_extracted")
 
 
+_SMALL = ", ".join(f"CAST(NULL AS DOUBLE) AS {c}" for c in ("age_mean", "age_sd", "gender_pct_female"))
+
+
+@query("scalar_vector", f"""WITH {BASE},
+u AS (SELECT conv_id, count(*) FILTER (role = 'user') AS n FROM t GROUP BY conv_id)
+SELECT CAST(pr.conv_id AS VARCHAR) AS paper_id, 'Both' AS study_type, CASE WHEN label IS NOT NULL THEN 'Mean_SD' END AS age_format, CAST(NULL AS VARCHAR) AS gender_format, 'good' AS quality_flag,
+  length(t.text) AS total_n, {_SMALL}, CAST(n AS INTEGER) AS n_samples
+FROM pr JOIN u USING (conv_id) LEFT JOIN t ON t.conv_id = pr.conv_id AND t.turn = label AND t.role = 'user'""")
+def _(spark, d):
+    return records.scalars(roles.records(spark, d))
+
+
+@query("rater_zip", f"""WITH {BASE}, u AS (SELECT conv_id, CAST(count(*) FILTER (role = 'user') AS INTEGER) AS n FROM t GROUP BY conv_id)
+SELECT CAST(conv_id AS VARCHAR) AS paper_id, 'good' AS quality_flag_a, 'good' AS quality_flag_b, n AS n_samples_a, CASE WHEN conv_id % 3 = 0 THEN 0 ELSE n END AS n_samples_b
+FROM u WHERE conv_id % 4 <> 1 AND conv_id % 4 <> 2""")
+def _(spark, d):
+    one = roles.records(spark, d).withColumn("__c", F.col("paper_id").cast("long"))
+    a = records.scalars(one.where("__c % 4 <> 1"))
+    b = records.scalars(one.where("__c % 4 <> 2").withColumn("samples", F.when(F.col("__c") % 3 != 0, F.col("samples"))))
+    return routing.aligned(a, b, ["quality_flag", "n_samples"])
+
+
+@query("unresolved_record", f"""WITH {BASE}, n AS (SELECT conv_id, count(*) AS n FROM sc GROUP BY conv_id)
+SELECT CAST(conv_id AS VARCHAR) AS paper_id, 'coder_only_unresolved' AS provenance, 'both' AS study_type, CASE WHEN conv_id % 4 <> 1 THEN 'from A | ' ELSE '' END || 'NOT adjudicated: exported from coder output.' AS notes,
+  true AS review, CAST(CASE WHEN conv_id % 5 = 0 THEN 0 ELSE n END AS INTEGER) AS n_scales
+FROM n WHERE conv_id % 4 <> 1 OR conv_id % 3 <> 1""")
+def _(spark, d):
+    one = roles.records(spark, d).drop("source_norm").withColumn("__c", F.col("paper_id").cast("long"))
+    noted = F.col("extraction_meta").withField("extraction_notes", F.lit("from A"))
+    a, b = one.where("__c % 4 <> 1").withColumn("extraction_meta", noted).drop("__c"), one.where("__c % 3 <> 1").drop("__c")
+    r = records.unresolved(a, b, one.where("__c % 5 <> 0").select("paper_id", "scales"))
+    return r.select("paper_id", "provenance", "paper.study_type", F.col("extraction_meta.extraction_notes").alias("notes"), F.col("extraction_meta.needs_human_review").alias("review"), F.size("scales").alias("n_scales"))
+
+
+@query("file_names", "SELECT DISTINCT CAST(conv_id AS VARCHAR) AS paper_id, CASE WHEN conv_id % 3 <> 0 THEN conv_id || '.pdf' ELSE '' END AS filename FROM conversations")
+def _(spark, d):
+    one = roles.records(spark, d)
+    log = one.where(F.col("paper_id").cast("long") % 3 != 0).select("paper_id", F.concat("paper_id", F.lit(".pdf")).alias("filename"))
+    return records.with_filename(one, log).select("paper_id", "filename")
+
+
+@query("invalid_records", """
+SELECT DISTINCT CAST(conv_id AS VARCHAR) AS paper_id, CASE WHEN conv_id % 4 = 0 THEN 'no scales array' WHEN conv_id % 4 = 1 THEN 'no samples array' ELSE 'a scale without an items array' END AS reason
+FROM conversations WHERE conv_id % 4 < 3""")
+def _(spark, d):
+    c = F.col("paper_id").cast("long") % 4
+    one = roles.records(spark, d)
+    scale = S.RECORD["scales"].dataType.elementType
+    bare = F.transform("scales", lambda s: F.struct(*[(F.lit(None).cast(f.dataType) if f.name == "items" else s[f.name]).alias(f.name) for f in scale.fields]))
+    broken = one.withColumns({"scales": F.when(c == 2, bare).when(c != 0, F.col("scales")), "samples": F.when(c != 1, F.col("samples"))})
+    return records.invalid(broken).select("paper_id", "reason")
+
+
 @query("expected_rows", f"""WITH {BASE}
 SELECT CAST(conv_id AS VARCHAR) AS paper_id, CAST(sum(CASE WHEN role = 'system' THEN 1 ELSE n END) AS BIGINT) AS n_rows, CAST(sum(CASE WHEN role = 'system' THEN 0 ELSE n END) AS BIGINT) AS n_items FROM sc GROUP BY conv_id""")
 def _(spark, d):

@@ -39,6 +39,13 @@ def coder(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
     return own.unionByName(made)
 
 
+def coders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, line, in_a, in_b): the lines of both coders and who gives them, in one pass."""
+    own = lines(spark, sf_dir).select("doc_id", "line", (F.col("pos") % 4 != 1).alias("in_a"), (F.col("pos") % 4 != 2).alias("in_b"))
+    made = table(spark, sf_dir, "documents").select((F.col("doc_id") - 1).alias("doc_id"), F.substring_index("text", "\n", 1).alias("line"), F.lit(True).alias("in_a"), F.lit(True).alias("in_b"))
+    return own.unionByName(made)
+
+
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, source_norm)."""
     return texts(spark, sf_dir).select("doc_id", T.evidence_norm("text").alias("source_norm"))
@@ -65,8 +72,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as nested records, and source_norm. A role is a scale, its turns the items (a
     system role has none); user turns are samples, those that leave 2 by four are primary. The source
     is the turns but every third."""
-    turns = table(spark, sf_dir, "conversations")
-    text = T.evidence_norm("text")
+    turns = table(spark, sf_dir, "conversations").withColumn("norm", T.evidence_norm("text"))
     null = lambda kind: F.lit(None).cast(kind)
     scale, sample = S.RECORD["scales"].dataType.elementType, S.RECORD["samples"].dataType.elementType
     item = scale["items"].dataType.elementType
@@ -79,7 +85,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = F.when(F.col("role") == "system", F.array().cast(scale["items"].dataType)).otherwise(items)
     held = one.select("conv_id", struct(scale, scale_name=F.col("role"), scale_abbreviation=F.upper(F.substring("role", 1, 2)), items_coverage=F.lit("FULL"), items=items).alias("s"), F.when(F.col("role") == "user", F.transform("t", lambda x: struct(sample, sample_label=x["turn"], is_primary=x["turn"] % 4 == 2, total_n=F.length(x["text"]), age_format=F.lit("Mean_SD")))).alias("samples"))
     scales = held.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct(F.col("s.scale_name").alias("k"), "s"))).alias("s"), F.first("samples", ignorenulls=True).alias("samples"))
-    source = turns.where("turn % 3 <> 1").groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", text.alias("n")))), lambda x: x["n"]), " ").alias("source_norm"))
+    source = turns.where("turn % 3 <> 1").groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", F.col("norm").alias("n")))), lambda x: x["n"]), " ").alias("source_norm"))
     kinds = S.RECORD
     return scales.join(source, "conv_id", "left").select(
         F.col("conv_id").cast("string").alias("paper_id"),

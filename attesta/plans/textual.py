@@ -2,25 +2,51 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import functions as F
 
 from attesta.functions import text as T
 from attesta.operators import packing
+from attesta.operators.ordinal import ordinal
 from attesta.plans.roles import lines, table, texts
 
 
+#: Every white space of Unicode, as a class of DuckDB's regular expressions.
+SPACE = "[\\s\\x0b\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
+
+
+def _sql_caseless(x: str) -> str:
+    """NFKC and case folding in DuckDB, which has NFC and lower case: the other characters of some blocks
+    one by one."""
+    one, many = {}, {}
+    for lo, hi in ((0x80, 0x24F), (0x370, 0x3FF), (0x2000, 0x206F), (0x2070, 0x209F), (0x2100, 0x214F), (0xFB00, 0xFB06), (0xFF01, 0xFF5E), (0x3000, 0x3000)):
+        for c in map(chr, range(lo, hi + 1)):
+            f = unicodedata.normalize("NFKC", c).casefold()
+            if f != c.lower().replace("ß", "ss"):
+                if len(f) == 1:
+                    one[c] = f
+                elif lo in (0x2000, 0xFB00):
+                    many[c] = f
+    to = "".join(one.values()).replace("'", "''")
+    x = f"translate(nfc_normalize({x}), '{''.join(one)}', '{to}')"
+    for c, f in many.items():
+        x = f"replace({x}, '{c}', '{f}')"
+    return f"replace(lower({x}), 'ß', 'ss')"
+
+
 def sql_norm(x: str) -> str:
     """N1 in DuckDB."""
     smart = "'“”’‘–—' || chr(160)"
-    x = f"regexp_replace(translate(replace(lower({x}), 'ß', 'ss'), {smart}, '\"\"''''-- '), '[*_`~]', '', 'g')"
-    x = f"regexp_replace(translate({x}, '|', ' '), '-\\s*\\n\\s*', '', 'g')"
-    x = f"regexp_replace({x}, '^\\s*[a-z]?\\d*[-.\\d]*\\s*[.):]\\s*', '')"
-    return f"coalesce(trim(regexp_replace(trim(regexp_replace({x}, '\\s+', ' ', 'g')), '\\.+$', '')), '')"
+    x = f"regexp_replace(translate({_sql_caseless(x)}, {smart}, '\"\"''''-- '), '[*_`~]', '', 'g')"
+    x = f"regexp_replace(translate({x}, '|', ' '), '-{SPACE}*\\n{SPACE}*', '', 'g')"
+    x = f"regexp_replace({x}, '^{SPACE}*[a-z]?\\p{{Nd}}*[-.\\p{{Nd}}]*{SPACE}*[.):]{SPACE}*', '')"
+    return f"coalesce(trim(regexp_replace(trim(regexp_replace({x}, '{SPACE}+', ' ', 'g')), '\\.+$', '')), '')"
 
 
 def sql_coding(x: str) -> str:
     """N2."""
-    return f"coalesce(trim(lower(regexp_replace({x}, '\\s+', ' ', 'g'))), '')"
+    return f"coalesce(trim(lower(regexp_replace(nfc_normalize({x}), '{SPACE}+', ' ', 'g'))), '')"
 
 
 def sql_match(x: str) -> str:
@@ -51,9 +77,40 @@ def _(spark, d):
     return docs.select("doc_id", F.md5("n").alias("norm_md5"), F.length("n").cast("long").alias("norm_length"))
 
 
+def _disguised(text):
+    """The text as a PDF prints it: ligatures, full-width letters, accents apart, thin spaces."""
+    for old, new in (("fi", "ﬁ"), ("A", "Ａ"), ("é", "é"), (", ", ", ")):
+        text = F.replace(text, F.lit(old), F.lit(new))
+    return text
+
+
 @query("norm_caseless", f"SELECT doc_id, md5({sql_norm('text')}) AS norm_md5 FROM documents")
 def _(spark, d):
-    return texts(spark, d).select("doc_id", F.md5(T.evidence_norm("text", exact=True)).alias("norm_md5"))
+    """The SQL reads the plain text: the disguise must not show."""
+    return texts(spark, d).select("doc_id", F.md5(T.evidence_norm(_disguised(F.col("text")))).alias("norm_md5"))
+
+
+@query("coding_composed", f"SELECT doc_id, md5({sql_coding('text')}) AS norm_md5 FROM documents")
+def _(spark, d):
+    apart = F.replace(F.replace("text", F.lit("é"), F.lit("é")), F.lit(" "), F.lit(" "))
+    return texts(spark, d).select("doc_id", F.md5(T.coding_norm(apart)).alias("norm_md5"))
+
+
+@query("call_cost", "SELECT event_id, round_even(user_id / 1e6 * 0.15 + event_id / 1e6 * 1.25, 5) AS cost FROM events")
+def _(spark, d):
+    return table(spark, d, "events").select("event_id", T.cost(F.col("user_id"), F.col("event_id"), 0.15, 1.25).alias("cost"))
+
+
+@query("label_shares", """
+SELECT lang, round(100.0 * count_if(toxic = 1) / nullif(count(toxic), 0), 1) AS toxic_pct, CAST(NULL AS DOUBLE) AS none_pct FROM documents LEFT JOIN labels USING (doc_id) GROUP BY lang""")
+def _(spark, d):
+    m = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left").groupBy("lang")
+    return m.agg(T.percent(F.count_if(F.col("toxic") == 1), F.count("toxic")).alias("toxic_pct"), T.percent(F.count("*"), F.lit(0)).alias("none_pct"))
+
+
+@query("ordinals", "SELECT doc_id, row_number() OVER (ORDER BY source NULLS FIRST, n_chars NULLS FIRST, doc_id) AS row_id FROM documents")
+def _(spark, d):
+    return ordinal(table(spark, d, "documents").select("doc_id", "source", "n_chars"), ["source", "n_chars", "doc_id"], "row_id", 1).select("doc_id", "row_id")
 
 
 @query("norm_lines", f"SELECT doc_id, pos, {sql_norm('line')} AS norm FROM ({LINES})")

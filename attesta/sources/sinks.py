@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -46,11 +46,17 @@ def append_new(spark: SparkSession, new: DataFrame, path: str, key: str, delta:
     return n
 
 
-def upserted(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """K6: one row per key, the new one if there is one; keys keep the table's order, new ones follow."""
+def upserted(old: DataFrame, new: DataFrame, key: str, ordinal: str) -> DataFrame:
+    """K6: one row per key, the new one if there is one, with the column ``ordinal``: keys keep the table's
+    order, new ones follow in theirs. Both tables bring their own ``ordinal`` (W1); of several new rows of one
+    key the last wins. The best row is picked by an aggregate, so a frequent key is no window of its own."""
     both = old.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1)), allowMissingColumns=True)
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("__new")))
-    return both.withColumn("__n", rank).where("__n = 1").drop("__n", "__new")
+    cols = [c for c in both.columns if c not in (key, "__new")]
+    top = both.groupBy(key).agg(F.max_by(F.struct(*cols), F.struct("__new", ordinal)).alias("__r"), F.min(F.struct("__new", ordinal)).alias("__place"))
+    most = F.coalesce(F.max(F.when(F.col("__new") == 0, F.col(ordinal))), F.lit(-1))
+    met = top.crossJoin(F.broadcast(both.agg(most.alias("__most"))))  # a single row
+    place = F.when(F.col("__place.__new") == 0, F.col(f"__place.{ordinal}")).otherwise(F.col("__most") + 1 + F.col(f"__place.{ordinal}"))
+    return met.select(*[(F.col(key) if c == key else place if c == ordinal else F.col(f"__r.{c}")).alias(c) for c in both.columns if c != "__new"])
 
 
 def rebuild(df: DataFrame, path: str, locked: DataFrame, key: str = "paper_id") -> None:

@@ -26,8 +26,129 @@ def test_evidence_norm(spark, text, want):
     assert one(spark, T.evidence_norm("t"), t=text) == want
 
 
-def test_caseless(spark):
-    assert one(spark, T.evidence_norm("t", exact=True), t="Ｆull… ß") == "full... ss".rstrip(".")
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("Ｆull… ß", "full... ss"), ("satisﬁed oﬀer", "satisfied offer"), ("ΟΔΥΣΣΕΥΣ ὀδός", "οδυσσευσ ὀδόσ"), ("a\u2009b\u2028c\u0085d\x1fe", "a b c d e"),
+        ("cafe\u0301", "café"), ("２０ km²", "20 km2"), ("١. نص", "نص"), ("Straße ÉCOLE Ещё 漢字", "strasse école ещё 漢字"), ("ſalt ĳ ŉ", "salt ij ʼn"),
+    ],
+)
+def test_evidence_norm_beyond_ascii(spark, text, want):
+    """Ligatures, full-width forms, final sigma, Unicode's spaces: as Python's NFKC and casefold have it."""
+    assert one(spark, T.evidence_norm("t"), t=text) == want
+
+
+def test_printed_with_a_ligature_is_found(spark):
+    items = spark.createDataFrame([("p", "1. I am satisfied", 0), ("p", "I am sad", 1)], "paper string, item string, ord int")
+    src = spark.createDataFrame([("p", "Items: I am satisﬁed; I am glad")], "paper string, text string").select("paper", T.evidence_norm("text").alias("source_norm"))
+    got = evidence.verified_items(items.withColumn("key", T.evidence_norm("item")), src, "paper", "key", "ord")
+    assert [r["ord"] for r in got.collect()] == [0]
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet=st.sampled_from("aB éÉßſﬁＦςΣσ\u0301\u2009\u00a0\x1f\n.-İıŉ٣漢é"), max_size=12), min_size=20, max_size=20))
+def test_norms_as_python_has_them(spark, texts):
+    import re
+    import unicodedata
+
+    def evidence_form(s):
+        s = unicodedata.normalize("NFKC", s).casefold().translate(str.maketrans(T.SMART, T.PLAIN))
+        s = re.sub(r"[*_`~]", "", s).replace("|", " ")
+        s = re.sub(r"^\s*[a-z]?\d*[-.\d]*\s*[.):]\s*", "", re.sub(r"-\s*\n\s*", "", s))
+        return re.sub(r"\s+", " ", s).strip().rstrip(".").strip()
+
+    def coding_form(s):
+        return re.sub(r"\s+", " ", unicodedata.normalize("NFC", s)).strip().lower()
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [tuple(r) for r in df.select("t", T.evidence_norm("t").alias("e"), T.coding_norm("t").alias("c")).collect()]
+    for t, e, c in got:
+        assert e == evidence_form(t), repr(t)
+        assert c == coding_form(t), repr(t)
+
+
+def test_evidence_pairs_of_any_needle(spark):
+    """Words' parts, ends and beginnings, and repeated texts, against plain containment; by both ways."""
+    texts = ["the quick brown fox", "unquick brownish", "ab cd", "xab cdy z", "a  b", "", "fox", "the quick brown fox", " lead trail "]
+    needles = ["quick", "quick brown", "k brown f", "ab cd", "b c", "o", "he quick brown fo", " ", "lead trail", "nothing here", "", "x", "  "]
+    src = spark.createDataFrame(list(enumerate(texts)), "id int, s string")
+    ask = spark.createDataFrame(list(enumerate(needles)), "n int, k string")
+    want = sorted((i, n) for i, t in enumerate(texts) for n, k in enumerate(needles) if k and k in t)
+    for most in (10**6, 0):
+        got = evidence.evidence_pairs(ask, "k", src, "s", most_bytes=most)
+        assert sorted((r["id"], r["n"]) for r in got.collect()) == want
+
+
+def test_clusters_skip_empty_keys_and_compare_with_founders(spark):
+    rows = [("p", 0, "", []), ("p", 1, "", []), ("p", 2, "k1", ["a", "b"]), ("p", 3, "k2", ["a", "b", "c"]), ("p", 4, "k2", ["z"]), ("p", 5, "k1", ["q"])]
+    df = spark.createDataFrame(rows, "paper_id string, ord int, key string, tokens array<string>")
+    got = {r["ord"]: r["cluster"] for r in cluster.clustered(df).collect()}
+    # 3 joins 2 by its words, but k2 is no founder's key: 4 founds a cluster of its own
+    assert got == {0: 0, 1: 1, 2: 2, 3: 2, 4: 3, 5: 2}
+
+
+def test_settings_and_events(tmp_path, monkeypatch):
+    from attesta.sources import settings as cfg
+
+    monkeypatch.setenv("ATTESTA_HELD", "mine")
+    monkeypatch.delenv("ATTESTA_NEW", raising=False)
+    (tmp_path / "env").write_text("# note\nATTESTA_HELD=other\nATTESTA_NEW = 'x=y'\n\nbad line\n")
+    assert cfg.load(str(tmp_path / "env")) == {"ATTESTA_HELD": "mine", "ATTESTA_NEW": "x=y"}
+    assert cfg.need("ATTESTA_NONE", "ATTESTA_NEW") == "x=y"
+    monkeypatch.delenv("ATTESTA_NEW")
+    assert cfg.load(str(tmp_path / "none")) == {}
+    with pytest.raises(KeyError):
+        cfg.need("ATTESTA_NONE")
+    cfg.events(str(tmp_path / "logs"), "export").info("done")
+    assert "[export]  done" in (tmp_path / "logs" / "pipeline.log").read_text() and (tmp_path / "logs" / "export.log").exists()
+    (tmp_path / "file").write_text("")
+    cfg.events(str(tmp_path / "file"), "export").info("goes nowhere, raises nothing")
+
+
+def test_ordinal_stays(spark):
+    from attesta.operators.ordinal import ordinal
+
+    df = spark.createDataFrame([(3, "c"), (1, "a"), (2, None), (2, "b")], "a int, b string")
+    assert sorted((r["n"], r["a"], r["b"]) for r in ordinal(df, ["a", "b"], "n", 1).collect()) == [(1, 1, "a"), (2, 2, None), (3, 2, "b"), (4, 3, "c")]
+    assert ordinal(df.limit(0), ["a"], "n").count() == 0
+
+
+def test_upsert_keeps_the_order(spark):
+    old = spark.createDataFrame([("b", "old", 0), ("a", "old", 1)], "k string, v string, n long")
+    new = spark.createDataFrame([("c", "x", 0), ("a", "y", 1), ("c", "z", 2)], "k string, v string, n long")
+    got = sinks.upserted(old, new, "k", "n").orderBy("n").collect()
+    assert [(r["k"], r["v"]) for r in got] == [("b", "old"), ("a", "y"), ("c", "z")]
+    assert [r["k"] for r in sinks.upserted(old.limit(0), new, "k", "n").orderBy("n").collect()] == ["c", "a"]
+
+
+def test_text_layer_and_pages(spark):
+    assert one(spark, readers.pages_of(F.col("t")), t="Title: x\nPages:          12\n") == 12
+    assert one(spark, readers.text_layer(F.col("t"), F.lit(False)), t="x" * 201) == "READY"
+    assert one(spark, readers.text_layer(F.col("t"), F.lit(False)), t=" x ") == "NOT_READABLE"
+    assert one(spark, readers.text_layer(F.col("t"), F.lit(True)), t="x" * 300) == "ERROR"
+    assert one(spark, readers.is_pdf(F.encode(F.col("t"), "UTF-8")), t="%PDF-1.7") is True
+
+
+def test_sinks_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([("p1", 'a "quoted", text\nof two lines', None), ("p2", "b", 2)], "paper_id string, t string, n int")
+    sinks.csv(df, str(tmp_path / "csv"), ["paper_id", "t", "paper_id", "missing", "n"])
+    back = {r["paper_id"]: r for r in readers.csv_text(spark, str(tmp_path / "csv")).collect()}
+    assert back["p1"]["t"] == 'a "quoted", text\nof two lines' and list(back["p1"].asDict()) == ["paper_id", "t", "missing", "n"]
+    sinks.requests(df, F.struct("t"), str(tmp_path / "req"))
+    assert sorted(r["value"] for r in spark.read.text(str(tmp_path / "req")).collect())[1] == '{"key":"paper-p2","request":{"t":"b"}}'
+    sinks.json_per_key(df, str(tmp_path / "json"))
+    assert spark.read.json(str(tmp_path / "json")).count() == 2
+    sinks.rebuild(df, str(tmp_path / "auto"), df.where("paper_id = 'p1'"))
+    sinks.append(df, str(tmp_path / "auto"))
+    assert sorted(r["paper_id"] for r in spark.read.parquet(str(tmp_path / "auto")).collect()) == ["p1", "p2", "p2"]
+    assert "rows: 2,000" in sinks.summary(spark.sql("select 2000L as rows, 0.5D as share"), "Totals")
+    with pytest.raises(ValueError):
+        sinks.spreadsheet(df, "x", most=1)
+    seen = []
+    sinks.spreadsheet(df, "x", writer=lambda f, p: seen.append((len(f), p)))
+    assert seen == [(2, "x")]
+    with pytest.raises(ValueError):
+        readers.paper_list(df)
 
 
 def test_match_tiers(spark):
@@ -265,6 +386,13 @@ def test_schema_forms():
     schema = S.json_schema(S.RECORD, {"study_type": S.STUDY_TYPES})
     assert schema["additionalProperties"] is False and "paper" in schema["required"]
     assert schema["properties"]["paper"]["properties"]["study_type"]["enum"] == S.STUDY_TYPES
-    plain = S.for_vendor(schema, "nullable")
-    assert "additionalProperties" not in plain and plain["properties"]["paper"]["properties"]["year"] == {"type": "integer", "nullable": True}
-    assert S.for_vendor(schema, "strict")["json_schema"]["strict"] is True
+    plain = S.for_vendor("nullable", enums={"study_type": S.STUDY_TYPES}, notes={"year": "as printed", "scales": "all of them"})
+    assert "additionalProperties" not in str(plain) and plain["properties"]["paper"]["properties"]["year"] == {"type": "integer", "nullable": True, "description": "as printed"}
+    assert plain["properties"]["scales"]["description"] == "all of them" and "description" not in plain["properties"]["scales"]["items"]
+    assert S.for_vendor("strict")["json_schema"]["strict"] is True
+    slim = S.for_vendor("tool", S.JUDGE_RECORD)
+    assert slim["strict"] is True and slim["description"] and "scales" not in slim["input_schema"]["properties"]
+    full = S.for_vendor("tool", strict=False)
+    assert "strict" not in full and "scales" in full["input_schema"]["properties"]
+    with pytest.raises(ValueError):
+        S.for_vendor("other")
