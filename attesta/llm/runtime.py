@@ -161,9 +161,10 @@ STRETCHES, RANGE_BYTES, MOST_RANGES = 64, 12_000_000, 20_000
 
 
 def _stretches(batches):
-    """(n, first, last) for each rising stretch of a partition's ids; n 0: too many."""
+    """(part, n, first, last) for each rising stretch of a partition's ids; n 0: too many."""
     import numpy as np
     import pandas as pd
+    from pyspark import TaskContext
 
     rows: list[list[int]] = []
     for b in batches:
@@ -182,7 +183,7 @@ def _stretches(batches):
             rows = [[0, 0, 0]]
             break
     if rows:
-        yield pd.DataFrame(rows, columns=["n", "first", "last"], dtype="int64")
+        yield pd.DataFrame(rows, columns=["n", "first", "last"], dtype="int64").assign(part=TaskContext.get().partitionId())
 
 
 def in_order(docs: DataFrame, id: str, text: str) -> DataFrame:
@@ -190,13 +191,15 @@ def in_order(docs: DataFrame, id: str, text: str) -> DataFrame:
     overlap: so one after another, by their first ids, they are the table in the order of its ids. A null
     id is the least; null texts are empty.
 
-    Tables are often stored so, and then stay as they are: only the ids are read to find out. Any other
-    is dealt out by ranges of (id, hash of the text), so that rows of one id are not one task's, and
-    sorted within them; rows of one id are in the order of that hash.
+    Tables are often stored so, and then stay as they are: only the ids are read to find out. Any other,
+    or one that is read in fewer tasks than there are cores, is dealt out by ranges of (id, hash of the
+    text), so that rows of one id are not one task's, and sorted within them; rows of one id are in the
+    order of that hash.
     """
     rows = docs.select(F.coalesce(F.col(id).cast("long"), F.lit(LONG_MIN)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    found = rows.select("id").mapInPandas(_stretches, "n long, first long, last long").toPandas().sort_values("first")
-    if found["n"].all() and (found["first"].to_numpy()[1:] > found["last"].to_numpy()[:-1]).all():
+    found = rows.select("id").mapInPandas(_stretches, "n long, first long, last long, part int").toPandas().sort_values("first")
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    if found["part"].nunique() >= cores and found["n"].all() and (found["first"].to_numpy()[1:] > found["last"].to_numpy()[:-1]).all():
         return rows
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = min(MOST_RANGES, max(1, -(-total // RANGE_BYTES)))

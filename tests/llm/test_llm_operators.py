@@ -523,7 +523,7 @@ def test_training_order(spark, odd, stored):
     rows = in_id_order(full)
     once = full.dropDuplicates(["doc_id"]).where("doc_id is not null")
     if stored == "ranges":
-        full, rows = once.repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id"), in_id_order(once)
+        full, rows = once.repartitionByRange(9, "doc_id").sortWithinPartitions("doc_id"), in_id_order(once)
     elif stored == "one":
         full = full.coalesce(1)
     path = order.materialise(full, length=50, stride=16)
@@ -547,8 +547,9 @@ def test_in_order_takes_a_sorted_table_as_it_is(spark):
 
     docs = spark.range(5000).selectExpr("id as doc_id", "repeat('a', 3) as text")
     kept = runtime.in_order(docs, "doc_id", "text")
+    assert docs.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
     assert "Exchange" not in kept._jdf.queryExecution().toString()
-    for other in (docs.repartition(3), docs.unionByName(docs.limit(1)), docs.selectExpr("cast(null as long) doc_id", "text")):
+    for other in (docs.repartition(3), docs.coalesce(1), docs.unionByName(docs.limit(1)), docs.selectExpr("cast(null as long) doc_id", "text")):
         assert "Exchange" in runtime.in_order(other, "doc_id", "text")._jdf.queryExecution().toString()
 
 
