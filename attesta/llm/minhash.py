@@ -5,7 +5,9 @@ each, a half key made of ``ROWS`` minima, give side x side tables: the key of ta
 key i of the first collection with half key j of the second. So side² tables of 2 ROWS minima cost
 2 side ROWS minima instead of 2 side² ROWS. Texts of Jaccard similarity s meet in some table unless no
 half key of one side agrees: a chance of at most 2 (1 - s^ROWS)^side. ``side`` is the least that keeps
-this below ``MISS`` at the threshold: 8 at 0.85, where it is 0.1 %, and 0.003 % at 0.9.
+this below ``MISS`` at the threshold: 8 at 0.85, where it is 0.1 %, and 0.003 % at 0.9. Where ``ROWS``
+minima would take more than ``MAX_SIDE`` half keys, half keys have fewer minima; thresholds that not even
+single minima serve are refused.
 
 Equal sets are one class from the start. Tables send on one link a class, to the least class of its
 key, which tasks find for their own rows before anything is shuffled, so a key that a third of all rows
@@ -14,7 +16,8 @@ the others connect forms groups. In a key with a refused link between two groups
 the others: there all classes of different groups are compared by their minima, in blocks two by two, and those that
 are alike join their groups. Within a group, pairs that meet in a table are confirmed on their
 full sets, in blocks of bounded size: first within each block, then between one text of each part that
-this left, then, only where a group is still in parts, between all blocks two by two, across parts.
+this left, then, only where a group is still in parts, between all blocks two by two, across parts. The texts
+of such groups' members are fetched once, by their ids, and only they are dealt out after that.
 """
 
 from __future__ import annotations
@@ -23,10 +26,10 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attesta.llm.runtime import LONG_MIN, components, drop, map_small, partitions, worker_cache, written
+from attesta.llm.runtime import LONG_MIN, components, drop, map_small, tasks_for, worker_cache, written
 
 WORDS = 5
 ROWS, MISS, MAX_SIDE = 3, 2e-3, 32
@@ -34,8 +37,10 @@ ROWS, MISS, MAX_SIDE = 3, 2e-3, 32
 BLOCK, BLOCK_SHINGLES = 128, 1 << 20
 #: Classes of a block of a key with refused links.
 KEY_BLOCK = 2048
-#: Places of members in blocks, of some 20 bytes each, that may be broadcast.
-BROADCAST_PLACES = 2_000_000
+#: Rows' keys of two longs that may be broadcast: some 40 bytes each as a hash table, so at most 40 MB.
+BROADCAST_KEYS = 1_000_000
+#: Bytes of text for a shingle, about.
+SHINGLE_BYTES = 8
 #: Bytes of text hashed at once.
 AT_ONCE = 1 << 18
 
@@ -113,13 +118,18 @@ class Shingler:
                 yield np.zeros(0, dtype=_U)
 
 
-def side_of(percent: int) -> int:
-    return min(MAX_SIDE, max(1, math.ceil(math.log(MISS / 2) / math.log(1 - min(0.999, percent / 100) ** ROWS))))
+def plan(percent: int) -> tuple[int, int]:
+    """(minima of a half key, half keys of a side) for a threshold."""
+    for rows in range(ROWS, 0, -1):
+        side = max(1, math.ceil(math.log(MISS / 2) / math.log(1 - min(0.999, percent / 100) ** rows)))
+        if side <= MAX_SIDE:
+            return rows, side
+    raise ValueError(f"a threshold of {percent} % is too low for tables")
 
 
-def minima(shingles: np.ndarray, side: int) -> np.ndarray:
+def minima(shingles: np.ndarray, side: int, rows: int = ROWS) -> np.ndarray:
     """The minima of both collections."""
-    factors = _MIN[:, :side].ravel()
+    factors = _MIN[:, :side, :rows].ravel()
     if len(shingles) <= 4096:
         v = shingles[None] * factors[:, None]
         v ^= v >> _U(32)
@@ -135,9 +145,9 @@ def minima(shingles: np.ndarray, side: int) -> np.ndarray:
 
 def half_keys(least: np.ndarray, side: int) -> np.ndarray:
     """The half keys of both collections, as 2 x side longs."""
-    rows = least.reshape(2, side, ROWS)
+    rows = least.reshape(2, side, -1)
     key = np.zeros((2, side), dtype=_U)
-    for r in range(ROWS):
+    for r in range(rows.shape[2]):
         key = _mix(key * _BASE + rows[:, :, r])
     return key.view(np.int64)
 
@@ -151,7 +161,7 @@ def _tables(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return _mix(out).reshape(len(a), -1).view(np.int64)
 
 
-def _sketch(words: int, side: int):
+def _sketch(words: int, side: int, rows: int):
     def run(batches):
         shingler = Shingler(words)
         for b in batches:
@@ -159,7 +169,7 @@ def _sketch(words: int, side: int):
             for s in shingler.sets(b["text"].tolist()):
                 n.append(len(s))
                 if len(s):
-                    least = minima(s, side)
+                    least = minima(s, side, rows)
                     keys = half_keys(least, side)
                     marks.append((least >> _U(16) & _U(0x7FFF)).astype(np.int16))
                     one.append(int(s.sum().view(np.int64)))
@@ -172,7 +182,7 @@ def _sketch(words: int, side: int):
                     left.append(None)
                     right.append(None)
                     marks.append(None)
-            yield pd.DataFrame({"id": b["id"], "n": n, "one": one, "two": two, "ka": left, "kb": right, "marks": marks})
+            yield pd.DataFrame({"id": b["id"], "h": b["h"], "n": n, "one": one, "two": two, "ka": left, "kb": right, "marks": marks})
 
     return run
 
@@ -195,13 +205,14 @@ def _meet(batches):
             yield pd.DataFrame({"key": keys[link], "id": ids[link], "other": pd.array(head[link], dtype="Int64")})
 
 
-def _confirm(ids: np.ndarray, label: np.ndarray, sets: list[np.ndarray], half: np.ndarray | None, percent: int, side: int):
+def _confirm(ids: np.ndarray, label: np.ndarray, sets: list[np.ndarray], half: np.ndarray | None, percent: int):
     """Links enough to connect what is connected: breadth-first over pairs that meet in a table and
     whose sets reach 100 * intersection >= percent * union. label: pairs of one label are connected
     already; half: pairs cross its two values."""
     n = len(ids)
+    rows, side = plan(percent)
     size = np.array([len(s) for s in sets])
-    keys = np.stack([half_keys(minima(s, side), side) for s in sets])
+    keys = np.stack([half_keys(minima(s, side, rows), side) for s in sets])
     flat, owner = np.concatenate(sets), np.repeat(np.arange(n), size)
     start = np.cumsum(size) - size
     open_ = np.ones(n, dtype=bool)
@@ -241,9 +252,10 @@ def _member(values: np.ndarray, among: np.ndarray) -> np.ndarray:
     return among[at] == values
 
 
-def _need(percent: int, side: int) -> int:
+def _need(percent: int) -> int:
     """Minima that two texts share for a link: what texts at the threshold do, all but five standard deviations."""
-    n, s = 2 * side * ROWS, percent / 100
+    rows, side = plan(percent)
+    n, s = 2 * side * rows, percent / 100
     return math.floor(n * s - 5 * math.sqrt(n * s * (1 - s)))
 
 
@@ -290,7 +302,8 @@ def _refused(links: DataFrame, judged: DataFrame, groups: DataFrame, classes: Da
     marked = classes.select(F.col("rep").alias("id"), "n", "marks").join(label, "id", "left").withColumn("label", F.coalesce("label", "id"))
     placed = dealt.select("key", "id", "mine", F.explode(pairs).alias("p")).join(marked, "id")
     placed = placed.select(F.xxhash64("key", "p.x", "p.y").alias("h"), "key", F.col("p.x").alias("x"), F.col("p.y").alias("y"), "mine", "id", "n", "label", "marks")
-    placed = placed.repartition(partitions(links.sparkSession), "h").sortWithinPartitions("h", "key", "x", "y")
+    size = dealt.agg(F.sum("blocks")).first()[0] or 0
+    placed = placed.repartition(tasks_for(links.sparkSession, size * 300), "h").sortWithinPartitions("h", "key", "x", "y")
 
     def block(b, bounds):
         found = []
@@ -332,19 +345,26 @@ def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
     return members.drop("label").join(parts, "node", "left").select("node", "component", "n", F.coalesce("part", "node").alias("label"))
 
 
-def _links(read: DataFrame, members: DataFrame, words: int, percent: int, side: int, across: bool) -> DataFrame:
+def _fetched(read: DataFrame, members: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, text) of the members, each from the row that stands for its class. The rows' keys go to the texts
+    where they are few, else both are dealt out by id; that happens once, and what follows reads these texts only."""
+    keys = members.select("node").join(classes.select(F.col("rep").alias("node"), F.col("id").alias("__id"), F.col("h").alias("__h")), "node")
+    keys = F.broadcast(keys) if members.count() <= BROADCAST_KEYS else keys
+    return written(read.join(keys, (read["id"] == F.col("__id")) & (read["h"] == F.col("__h"))).select("node", "text"))
+
+
+def _links(held: DataFrame, members: DataFrame, words: int, percent: int, across: bool) -> DataFrame:
     """Confirmed links (a, b) between members (node, component, n, label) of a component and of different
-    labels: within the blocks of each component, or with ``across`` between all its blocks too."""
+    labels: within the blocks of each component, or with ``across`` between all its blocks too. held: (node, text)."""
     large = members.groupBy("component").agg(_blocks().alias("blocks")).where("blocks > 1")
     dealt = members.join(large, "component", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     others = F.sequence(F.lit(0), F.col("blocks") - 1) if across else F.array("mine")
     pairs = F.transform(others, lambda o: F.struct(F.least(o, F.col("mine")).alias("x"), F.greatest(o, F.col("mine")).alias("y")))
     placed = dealt.select("node", "component", "label", "mine", pairs.alias("p"))
-    # texts of members only: while these are few they go to the texts, else both are shuffled
-    places = placed.agg(F.sum(F.size("p"))).first()[0] or 0
-    texts = read.join(F.broadcast(placed) if places <= BROADCAST_PLACES else placed, read["id"] == placed["node"]).select("node", "component", "label", "mine", F.explode("p").alias("p"), "text")
+    size = dealt.agg(F.sum(F.col("n") * (F.col("blocks") if across else F.lit(1)))).first()[0] or 0
+    texts = held.join(placed, "node").select("node", "component", "label", "mine", F.explode("p").alias("p"), "text")
     texts = texts.select(F.xxhash64("component", "p.x", "p.y").alias("h"), "component", F.col("p.x").alias("x"), F.col("p.y").alias("y"), "mine", "node", "label", "text")
-    texts = texts.repartition(partitions(read.sparkSession), "h").sortWithinPartitions("h", "component", "x", "y")
+    texts = texts.repartition(tasks_for(held.sparkSession, size * SHINGLE_BYTES), "h").sortWithinPartitions("h", "component", "x", "y")
 
     def solve(batches):
         shingler = Shingler(words)
@@ -359,35 +379,29 @@ def _links(read: DataFrame, members: DataFrame, words: int, percent: int, side:
                 full = np.array([len(s) > 0 for s in sets])
                 if full.sum() > 1:
                     half = part["mine"].to_numpy()[full] if part["x"].iat[0] != part["y"].iat[0] else None
-                    links += _confirm(part["node"].to_numpy()[full], part["label"].to_numpy()[full], [s for s in sets if len(s)], half, percent, side)
+                    links += _confirm(part["node"].to_numpy()[full], part["label"].to_numpy()[full], [s for s in sets if len(s)], half, percent)
         if links:
             yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
     return map_small(texts, solve, "a long, b long", rows=2 * BLOCK)
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, words: int = WORDS, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: doc_id, n_shingles (size of its set), component_id (least
-    doc_id that links reach, its own included) and kept (doc_id = component_id).
-
-    Words are runs without ASCII white space, A-Z in lower case; a set holds the distinct shingles of
-    ``words`` words, of a shorter text the whole sequence. Texts link at 100 * intersection >=
-    ``percent`` * union, counted on the full sets. Null texts and texts without words have an empty set
-    and link with nothing. Rows are judged each by its own text, also where they share an id; a null id
-    is smaller than all others, so component_id is null where a row of a null id is in the component. An
-    empty table gives no rows; other columns are ignored.
-    """
-    side = side_of(percent)
-    read = docs.select(F.coalesce(F.col(id).cast("long"), F.lit(LONG_MIN)).alias("id"), F.col(text).alias("text"))
-    sketches = written(map_small(read, _sketch(words, side), "id long, n long, one long, two long, ka array<long>, kb array<long>, marks array<short>"))
+def _judged(docs: DataFrame, percent: int, words: int, id: str, text: str) -> DataFrame:
+    """(id, h, n, component, first_id, first_h) for each row: h is a hash of its text, first the least (id, h) of its
+    component, component that row's id. A null id is ``LONG_MIN``."""
+    rows, side = plan(percent)
+    read = docs.select(F.coalesce(F.col(id).cast("long"), F.lit(LONG_MIN)).alias("id"), F.xxhash64(F.col(text)).alias("h"), F.col(text).alias("text"))
+    sketches = written(map_small(read, _sketch(words, side, rows), "id long, h long, n long, one long, two long, ka array<long>, kb array<long>, marks array<short>"))
     some = sketches.where("n > 0")
-    classes = written(some.groupBy("one", "two", "n").agg(F.min(F.struct("id", "ka", "kb", "marks")).alias("m")).select("one", "two", "n", F.col("m.id").alias("rep"), "m.ka", "m.kb", "m.marks"))
+    # classes have numbers of their own, as rows may share an id; id and h name the row that stands for one
+    classes = some.groupBy("one", "two", "n").agg(F.min(F.struct("id", "h", "ka", "kb", "marks")).alias("m")).select("one", "two", "n", "m.id", "m.h", "m.ka", "m.kb", "m.marks")
+    classes = written(classes.withColumn("rep", F.monotonically_increasing_id()))
     met = written(classes.select("rep", "ka", "kb").mapInPandas(_meet, "key long, id long, other long"))
-    least = F.min("id").over(Window.partitionBy("key"))
-    across = met.where("other is null").withColumn("other", least).where("id <> other")
-    links = written(met.where("other is not null").unionByName(across))
+    heads = met.where("other is null").select("key", "id")
+    least = heads.groupBy("key").agg(F.min("id").alias("other"), F.count("*").alias("m")).where("m > 1").select("key", "other")
+    links = written(met.where("other is not null").unionByName(heads.join(least, "key").where("id <> other")))
     drop(met)
-    need = _need(percent, side)
+    need = _need(percent)
     judged = written(_alike(links.select("id", "other").distinct(), classes, need))
     alike = judged.where("ok").select(F.col("id").alias("a"), F.col("other").alias("b"))
     groups = components(alike)
@@ -397,22 +411,41 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words: int = WORDS, id:
             groups = components(alike.unionByName(more))
     members = written(groups.join(classes.select(F.col("rep").alias("node"), "n"), "node").select("node", "component", "n", F.col("node").alias("label")))
     drop(links, judged)
+    held = _fetched(read, members, classes)
     # every block on its own, which settles groups of one block
-    confirmed = written(_links(read, members, words, percent, side, False))
+    confirmed = written(_links(held, members, words, percent, False))
     large = members.groupBy("component").agg(_blocks().alias("blocks")).where("blocks > 1").select("component")
     if large.limit(1).count():
         # then one of each part found in the large groups, which joins most parts
         parts = written(_labelled(members.join(large, "component", "left_semi"), confirmed))
-        heads = written(_links(read, parts.where("node = label"), words, percent, side, True))
+        heads = written(_links(held, parts.where("node = label"), words, percent, True))
         parts = written(_labelled(parts, confirmed.unionByName(heads)))
         # and all members of the groups of which parts are left, across parts
         torn = parts.groupBy("component").agg((F.min("label") != F.max("label")).alias("torn")).where("torn").select("component")
-        rest = written(_links(read, parts.join(torn, "component", "left_semi"), words, percent, side, True))
+        rest = written(_links(held, parts.join(torn, "component", "left_semi"), words, percent, True))
         confirmed = confirmed.unionByName(heads).unionByName(rest)
     whole = components(confirmed).withColumnRenamed("node", "rep")
-    final = classes.select("one", "two", "n", "rep").join(whole, "rep", "left").select("one", "two", F.col("n").alias("__n"), F.coalesce("component", "rep").alias("component"))
-    out = sketches.select("id", "n", "one", "two").join(final, (sketches["one"] == final["one"]) & (sketches["two"] == final["two"]) & (sketches["n"] == final["__n"]), "left")
-    return out.select(_id("id").alias("doc_id"), F.col("n").alias("n_shingles"), _id(F.coalesce("component", "id")).alias("component_id"), (F.col("id") == F.coalesce("component", "id")).alias("kept"))
+    drop(held)
+    named = classes.select("one", "two", F.col("n").alias("__n"), "rep", F.struct("id", "h").alias("own")).join(whole, "rep", "left")
+    first = named.where("component is not null").groupBy("component").agg(F.min("own").alias("first"))
+    final = named.join(first, "component", "left").select("one", "two", "__n", F.coalesce("first", "own").alias("first"))
+    out = sketches.select("id", "h", "n", "one", "two").join(final, (sketches["one"] == final["one"]) & (sketches["two"] == final["two"]) & (sketches["n"] == final["__n"]), "left")
+    return out.select("id", "h", "n", F.coalesce("first.id", "id").alias("component"), F.coalesce("first.id", "id").alias("first_id"), F.coalesce("first.h", "h").alias("first_h"))
+
+
+def near_duplicates(docs: DataFrame, percent: int = 85, words: int = WORDS, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row for each row of ``docs``: doc_id, n_shingles (size of its set), component_id (least
+    doc_id that links reach, its own included) and kept (doc_id = component_id).
+
+    Words are runs without ASCII white space, A-Z in lower case; a set holds the distinct shingles of
+    ``words`` words, of a shorter text the whole sequence. Texts link at 100 * intersection >=
+    ``percent`` * union, counted on the full sets. Null texts and texts without words have an empty set
+    and link with nothing. Rows are judged each by its own text, also where they share an id; a null id
+    is smaller than all others, so component_id is null where a row of a null id is in the component. An
+    empty table gives no rows; other columns are ignored.
+    """
+    out = _judged(docs, percent, words, id, text)
+    return out.select(_id("id").alias("doc_id"), F.col("n").alias("n_shingles"), _id("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
 
 
 def _id(col):
@@ -421,7 +454,12 @@ def _id(col):
 
 
 def without_near_duplicates(docs: DataFrame, percent: int = 80, words: int = WORDS) -> DataFrame:
-    """``docs`` without the documents whose component holds a smaller doc_id; all columns stay."""
-    gone = written(near_duplicates(docs, percent, words).where("not kept and doc_id is not null").select(F.col("doc_id").alias("__gone")).distinct())
-    small = gone.count() <= BROADCAST_PLACES
-    return docs.join(F.broadcast(gone) if small else gone, docs["doc_id"] == F.col("__gone"), "left_anti")
+    """``docs`` with one document of each component: that of the least doc_id (null first), and where rows share
+    this id that of the least hash of its text; all columns stay.
+
+    Rows of one id and one text are one document and stay or go together. A row goes by its own text, never
+    for another row's that has its id. Null texts and texts without words stay, an empty table stays empty."""
+    gone = written(_judged(docs, percent, words, "doc_id", "text").where("id <> first_id or h <> first_h").select(F.col("id").alias("__gone_id"), F.col("h").alias("__gone_h")).distinct())
+    small = gone.count() <= BROADCAST_KEYS
+    same = (F.coalesce(docs["doc_id"].cast("long"), F.lit(LONG_MIN)) == F.col("__gone_id")) & (F.xxhash64(docs["text"]) == F.col("__gone_h"))
+    return docs.join(F.broadcast(gone) if small else gone, same, "left_anti")

@@ -128,6 +128,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def tasks_for(spark: SparkSession, size: int, most: int = 64 << 20) -> int:
+    """Tasks for a shuffle of about ``size`` bytes: the session's number, or more where these would hold more
+    than ``most`` bytes each."""
+    return max(partitions(spark), -(-int(size) // most))
+
+
 def ranked(df: DataFrame, order: list[str], name: str, weight: str | None = None) -> DataFrame:
     """Adds ``name``: the row's place from 0 in the order of the columns ``order`` over the whole
     table, or with ``weight`` the sum of that column over the rows before it.

@@ -244,6 +244,33 @@ def test_minhash_components(spark, odd):
     assert {r["doc_id"] for r in left.collect()} == {r["doc_id"] for r in got if r["kept"]} | {None}
 
 
+@pytest.mark.parametrize("broadcast", [1_000_000, 0])
+def test_rows_of_one_id_go_by_their_own_texts(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(minhash, "BROADCAST_KEYS", broadcast)
+    rng = random.Random(6)
+    a, b = (words(rng, 80, [f"w{i}" for i in range(300)]) for _ in range(2))
+    rows = [(5, a, "s"), (5, b, "s"), (2, b + " z", "s"), (7, a, "s"), (7, None, "s"), (None, b, "s"), (9, "", "s")]
+    got = Counter((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(table(spark, rows)).collect())
+    assert got == Counter([(5, 76, 5, True), (5, 76, None, False), (2, 77, None, False), (7, 76, 5, False), (7, 0, 7, True), (None, 76, None, True), (9, 0, 9, True)])
+    left = sorted(((-1 if r["doc_id"] is None else r["doc_id"]), r["text"] or "") for r in minhash.without_near_duplicates(table(spark, rows)).collect())
+    assert left == sorted([(5, a), (7, ""), (-1, b), (9, "")])
+
+
+def test_low_thresholds_are_planned_or_refused(spark):
+    for percent in range(25, 100):
+        rows, side = minhash.plan(percent)
+        assert side <= minhash.MAX_SIDE and 2 * (1 - (percent / 100) ** rows) ** side <= minhash.MISS
+    assert minhash.plan(85) == (3, 8) and minhash.plan(80) == (3, 10)
+    with pytest.raises(ValueError):
+        minhash.plan(10)
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(999)}" for _ in range(100)]
+    other = [*base[:66], *(f"v{i}" for i in range(34))]  # 62 of 130 shingles
+    rows = [(1, " ".join(base), "s"), (2, " ".join(other), "s")]
+    assert [r["component_id"] for r in minhash.near_duplicates(table(spark, rows), percent=45).collect()] == [1, 1]
+    assert sorted(r["component_id"] for r in minhash.near_duplicates(table(spark, rows), percent=50).collect()) == [1, 2]
+
+
 def test_large_groups_are_dealt_into_blocks(spark, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK", 6)
     rng = random.Random(9)
@@ -297,7 +324,7 @@ def test_near_texts_meet_behind_texts_that_share_passages(spark, monkeypatch, bl
 def test_tables_are_pairs_of_half_keys():
     s = np.unique(np.random.default_rng(0).integers(0, 2**63, 500, dtype=np.uint64))
     a, b = minhash.half_keys(minhash.minima(s, 8), 8)
-    assert minhash._tables(a[None], b[None]).shape == (1, 64) and minhash.side_of(85) == 8 and minhash.side_of(80) == 10
+    assert minhash._tables(a[None], b[None]).shape == (1, 64) and minhash.plan(85)[1] == 8 and minhash.plan(80)[1] == 10
 
 
 # op5
