@@ -17,8 +17,12 @@ are found in three steps.
   rounds neighbours are compared for their common prefix, and intervals of ``WIDTH`` common bytes are
   the repeated windows: the first in document order stays.
 
-An anchor with more different snippets than ``HOT`` is settled by hashes of its windows instead,
-aggregated before the shuffle, so that no task holds them all.
+An anchor may have any number of different snippets. Where it has more than ``MOST``, they are cut into finer
+ones by second anchors, the least hashed grams of more bytes, again functions of the window alone: windows that
+share both anchors meet, equal finer snippets go by their marks, and what is left of a pair of anchors goes to
+the merge, or is cut once more. The last grams are whole windows, so every group ends; no task holds an
+anchor, and all sizes go by one method. Where marks meet, an anchor with much of a task's share of rows is dealt
+out by its marks.
 """
 
 from __future__ import annotations
@@ -30,10 +34,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attesta.llm.runtime import LONG_MIN, map_small, partitions, worker_cache, written
+from attesta.llm.runtime import LONG_MIN, map_small, tasks_for, worker_cache, written
 
 WIDTH, GRAM, STEP = 100, 20, 8
-SHARDS, BATCH, HOT = 4, 1 << 17, 16_384
+SHARDS, BATCH = 4, 1 << 17
+#: Different snippets of an anchor that go to one merge; bytes of the second and later anchors.
+MOST, FINER = 4_096, (50, 80, WIDTH)
+#: Rows of an anchor, at least, and share of a task's rows from which it is dealt out by marks; one row in so many
+#: is counted for that.
+HEAVY, SHARE, EVERY = 1_024, 0.25, 16
+#: Anchors, of two longs, that may be broadcast.
+BROADCAST_ANCHORS = 1_000_000
 #: Bytes of text handled at once; a place takes that many bits.
 _BITS = 20
 _U = np.uint64
@@ -67,16 +78,16 @@ class _Hasher:
         return _mix((self.sums[end] - self.sums[start]) * self.down[start])
 
 
-def _snippets(raw: np.ndarray, bounds: np.ndarray):
+def _snippets(raw: np.ndarray, bounds: np.ndarray, size: int = GRAM):
     """Snippets of documents laid end to end: (document, start, windows, anchor's place, anchor, hash)."""
     n = len(raw)
     if n < WIDTH:
         return None
     hashes = _Hasher(raw)
-    at = np.arange(n - GRAM + 1)
-    gram = hashes(at, at + GRAM)
+    at = np.arange(n - size + 1)
+    gram = hashes(at, at + size)
     least = (gram >> _U(_BITS)) << _U(_BITS) | at.astype(_U)
-    span, wide = 1, WIDTH - GRAM + 1
+    span, wide = 1, WIDTH - size + 1
     while span * 2 <= wide:
         least = np.minimum(least[:-span], least[span:])
         span *= 2
@@ -118,9 +129,21 @@ def _chunks(texts):
         yield lay()
 
 
+_RUNS = "doc long, row long, pos int, windows int"
 _FOUND = "run boolean, anchor long, mark long, doc long, row long, pos int, windows int"
 
 
+def _deduped(anchor, mark, doc, row, pos, windows, data=None) -> pd.DataFrame:
+    """The first of equal snippets, and runs of windows for the others, which go."""
+    order = np.lexsort((pos, doc, mark, anchor))
+    anchor, mark, doc, row, pos, windows = (x[order] for x in (anchor, mark, doc, row, pos, windows))
+    new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (mark[1:] != mark[:-1])])
+    lead = np.flatnonzero(new)[np.cumsum(new) - 1]
+    later = ~new & ((doc != doc[lead]) | (pos != pos[lead]))
+    out = pd.DataFrame({"run": later, "anchor": anchor, "mark": mark, "doc": doc, "row": row, "pos": pos.astype("int32"), "windows": windows.astype("int32")})
+    return out if data is None else out.assign(bytes=[None if gone else data[i] for i, gone in zip(order.tolist(), later.tolist(), strict=True)])
+
+
 def _find(batches):
     """Per batch: the first of equal snippets, and runs of windows for the others, which go."""
     for b in batches:
@@ -130,20 +153,31 @@ def _find(batches):
             if found := _snippets(raw, bounds):
                 which, pos, windows, _, anchor, mark = found
                 out.append((anchor, mark, doc[number[which]], row[number[which]], pos + start[which], windows))
-        if not out:
-            continue
-        anchor, mark, d, r, pos, windows = (np.concatenate(x) for x in zip(*out, strict=True))
-        order = np.lexsort((pos, d, mark, anchor))
-        anchor, mark, d, r, pos, windows = (x[order] for x in (anchor, mark, d, r, pos, windows))
-        new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (mark[1:] != mark[:-1])])
-        lead = np.flatnonzero(new)[np.cumsum(new) - 1]
-        later = ~new & ((d != d[lead]) | (pos != pos[lead]))
-        yield pd.DataFrame({"run": later, "anchor": anchor, "mark": mark, "doc": d, "row": r, "pos": pos.astype("int32"), "windows": windows.astype("int32")})
+        if out:
+            yield _deduped(*(np.concatenate(x) for x in zip(*out, strict=True)))
+
+
+def _recut(size: int):
+    """Snippets with their bytes, cut finer by anchors of ``size`` bytes; as ``_find``, with their bytes."""
+
+    def run(batches):
+        for b in batches:
+            for lo in range(0, len(b), 4096):
+                part = b.iloc[lo : lo + 4096]
+                held = part["bytes"].tolist()
+                raw, bounds = np.frombuffer(b"".join(held), np.uint8), np.cumsum([0, *map(len, held)])
+                which, start, windows, _, anchor, mark = _snippets(raw, bounds, size)
+                before, doc, row, pos = (part[c].to_numpy()[which] for c in ("anchor", "doc", "row", "pos"))
+                both = _mix(before.view(_U) * _U(_BASE) + anchor.view(_U)).view(np.int64)
+                data = [held[i][s : s + n - 1 + WIDTH] for i, s, n in zip(which.tolist(), start.tolist(), windows.tolist(), strict=True)]
+                yield _deduped(both, mark, doc, row, pos + start, windows, data)
+
+    return run
 
 
 def _meet(batches):
     """Rows in the order of (anchor, mark, doc, pos): the first of equal snippets where the anchor has
-    others, and runs for the rest."""
+    others or is ``hot``, that is, has others elsewhere, and runs for the rest."""
     last, waits = None, None  # the present snippet's first row; whether it was sent on
 
     for b in batches:
@@ -157,7 +191,7 @@ def _meet(batches):
         later = ~new & ((d != d[lead]) | (pos != pos[lead]))
         heads = np.flatnonzero(new)
         alike = anchor[heads[1:]] == anchor[heads[:-1]]
-        sent = np.concatenate([[False], alike]) | np.concatenate([alike, [False]])
+        sent = np.concatenate([[False], alike]) | np.concatenate([alike, [False]]) | rows["hot"].to_numpy()[heads]
         if last is not None:
             sent[0] = sent[0] and not waits
             shared_first = waits
@@ -172,7 +206,7 @@ def _meet(batches):
         body = rows[(keep | later) & ~same].assign(run=later[(keep | later) & ~same])
         last, waits = rows.iloc[[heads[-1]]], tail_sent
         if len(body):
-            yield body[["run", "anchor", "mark", "doc", "row", "pos", "windows"]]
+            yield body.drop(columns="hot")
 
 
 def _fetch(batches):
@@ -181,9 +215,9 @@ def _fetch(batches):
         for doc, row, text, wants in zip(b["doc"], b["row"], b["text"], b["wants"], strict=True):
             data = (text or "").encode("utf-8", "surrogatepass")
             for w in wants:
-                out.append((w["anchor"], w["hot"], doc, row, w["pos"], w["windows"], data[w["pos"] : w["pos"] + w["windows"] - 1 + WIDTH]))
+                out.append((w["anchor"], w["many"], doc, row, w["pos"], w["windows"], data[w["pos"] : w["pos"] + w["windows"] - 1 + WIDTH]))
         if out:
-            yield pd.DataFrame(out, columns=["anchor", "hot", "doc", "row", "pos", "windows", "bytes"])
+            yield pd.DataFrame(out, columns=["anchor", "many", "doc", "row", "pos", "windows", "bytes"])
 
 
 def _codes(shards: list[np.ndarray]) -> np.ndarray:
@@ -308,17 +342,6 @@ def _solve(batches):
         yield solved(rest)
 
 
-def _windows(batches):
-    """Hashes of the windows of hot snippets."""
-    for b in batches:
-        for doc, row, pos, n, data in zip(b["doc"], b["row"], b["pos"], b["windows"], b["bytes"], strict=True):
-            raw = np.frombuffer(data, np.uint8)
-            at = np.arange(n)
-            one = _Hasher(raw)(at, at + WIDTH)
-            two = _Hasher(raw ^ np.uint8(0x5A))(at, at + WIDTH)
-            yield pd.DataFrame({"g1": one.view(np.int64), "g2": two.view(np.int64), "doc": doc, "row": row, "pos": (pos + at).astype("int32")})
-
-
 def _cut(batches):
     for b in batches:
         rows = []
@@ -336,6 +359,33 @@ def _cut(batches):
         yield pd.DataFrame(rows, columns=["doc", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
+def _sorted_by_mark(fresh: DataFrame) -> DataFrame:
+    """Dealt out by anchor, those with much of a task's share by their marks as well, and sorted for ``_meet``.
+
+    A sample of the rows tells which these are; it moves work between tasks and changes no result. There are
+    fewer than tasks / ``SHARE`` of them but for the sample's error, so they are broadcast."""
+    n = fresh.count()
+    tasks = tasks_for(fresh.sparkSession, 48 * n)
+    count = F.count("*") * EVERY
+    heavy = fresh.where(F.pmod(F.xxhash64("doc", "pos"), F.lit(EVERY)) == 0).groupBy("anchor").agg(count.alias("n")).where(F.col("n") > max(HEAVY, int(SHARE * n / tasks)))
+    dealt = fresh.join(F.broadcast(heavy.select("anchor", F.lit(True).alias("hot"))), "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    salt = F.when(F.col("hot"), F.pmod("mark", F.lit(tasks))).otherwise(0)
+    return dealt.withColumn("salt", salt).repartition(tasks, "anchor", "salt").drop("salt").sortWithinPartitions("anchor", "mark", "doc", "pos")
+
+
+def _sized(snippets: DataFrame) -> DataFrame:
+    """With m, the number of the anchor's snippets, where that is more than one."""
+    sizes = written(snippets.groupBy("anchor").agg(F.count("*").alias("m")).where("m > 1"))
+    return snippets.join(F.broadcast(sizes) if sizes.count() <= BROADCAST_ANCHORS else sizes, "anchor")
+
+
+def _merged(snippets: DataFrame) -> DataFrame:
+    """Runs (doc, row, pos, windows) that the merge of each anchor's transforms finds."""
+    dealt = snippets.select("anchor", "doc", "row", "pos", "windows", "bytes")
+    tasks = tasks_for(snippets.sparkSession, snippets.count() * 2 * WIDTH, 16 << 20)
+    return dealt.repartition(tasks, "anchor").sortWithinPartitions("anchor").mapInPandas(_solve, _RUNS)
+
+
 def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_bytes, n_removed, n_spans (maximal runs of removed
     bytes), kept_sha256 and kept (the bytes that are left; they may split a character).
@@ -345,28 +395,34 @@ def deduplicate(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     first. Rows that share an id are one document: equal starts in them do not make each other go. An
     empty table gives no rows; other columns are ignored.
     """
-    spark = docs.sparkSession
     held = docs.select(F.coalesce(F.col(id).cast("long"), F.lit(LONG_MIN)).alias("doc"), F.col(text).alias("text"))
     n, ids = held.select("doc").agg(F.count("*"), F.count_distinct("doc")).first()
     # only ids that repeat need the text to tell their rows apart
     rows = held.withColumn("row", F.xxhash64("text") if n > ids else F.lit(0).cast("long")).select("doc", "row", "text")
     found = written(rows.mapInPandas(_find, _FOUND))
-    dealt = found.where("not run").repartition(partitions(spark), "anchor").sortWithinPartitions("anchor", "mark", "doc", "pos")
-    met = written(dealt.mapInPandas(_meet, _FOUND))
+    met = written(_sorted_by_mark(found.where("not run")).mapInPandas(_meet, _FOUND))
     wanted = met.where("not run").select("anchor", "doc", "row", "pos", "windows")
-    hot = wanted.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("anchor", F.lit(True).alias("hot"))
-    wanted = wanted.join(hot, "anchor", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
-    wants = wanted.groupBy("doc", "row").agg(F.collect_list(F.struct("anchor", "hot", "pos", "windows")).alias("wants"))
-    snippets = map_small(rows.join(wants, ["doc", "row"]), _fetch, "anchor long, hot boolean, doc long, row long, pos int, windows int, bytes binary")
+    large = written(wanted.groupBy("anchor").agg(F.count("*").alias("m")).where(F.col("m") > MOST).select("anchor", F.lit(True).alias("many")))
+    many = large.count()
+    wanted = wanted.join(F.broadcast(large) if many <= BROADCAST_ANCHORS else large, "anchor", "left").withColumn("many", F.coalesce("many", F.lit(False)))
+    wants = wanted.groupBy("doc", "row").agg(F.collect_list(F.struct("anchor", "many", "pos", "windows")).alias("wants"))
+    snippets = map_small(rows.join(wants, ["doc", "row"]), _fetch, "anchor long, many boolean, doc long, row long, pos int, windows int, bytes binary")
     snippets = written(snippets)
-    dealt = snippets.where("not hot").select("anchor", "doc", "row", "pos", "windows", "bytes")
-    solved = dealt.repartition(partitions(spark), "anchor").sortWithinPartitions("anchor").mapInPandas(_solve, "doc long, row long, pos int, windows int")
-    runs = [found.where("run"), met.where("run"), solved]
-    if hot.limit(1).count():
-        grams = written(snippets.where("hot").select("doc", "row", "pos", "windows", "bytes").mapInPandas(_windows, "g1 long, g2 long, doc long, row long, pos int"))
-        first = grams.groupBy("g1", "g2").agg(F.min(F.struct("doc", "pos")).alias("first"), F.count("*").alias("n")).where("n > 1").select("g1", "g2", "first")
-        later = grams.join(first, ["g1", "g2"]).where(F.struct("doc", "pos") > F.col("first"))
-        runs.append(later.withColumn("windows", F.lit(1)))
+    runs = [found.where("run"), met.where("run"), _merged(snippets.where("not many"))]
+    left = snippets.where("many")
+    for size in FINER if many else ():
+        cut = written(left.mapInPandas(_recut(size), f"{_FOUND}, bytes binary"))
+        fresh = cut.where("not run").withColumn("hot", F.lit(True))
+        dealt = fresh.repartition(tasks_for(docs.sparkSession, fresh.count() * 2 * WIDTH, 16 << 20), "anchor", "mark").sortWithinPartitions("anchor", "mark", "doc", "pos")
+        met = written(dealt.mapInPandas(_meet, f"{_FOUND}, bytes binary"))
+        sized = written(_sized(met.where("not run")))
+        runs += [cut.where("run"), met.where("run"), _merged(sized.where(F.col("m") <= MOST))]
+        left = sized.where(F.col("m") > MOST)
+        if not left.limit(1).count():
+            break
+    else:
+        if many:  # equal grams of whole windows with other marks: a collision, which the merge settles
+            runs.append(_merged(left))
     gone = None
     for r in runs:
         r = r.select("doc", "row", "pos", "windows")

@@ -352,10 +352,14 @@ def brute_repeats(odd):
     return out
 
 
-@pytest.mark.parametrize("hot, batch", [(16_384, 1 << 17), (1, 1 << 17), (16_384, 300)])
-def test_repeated_passages(spark, odd, monkeypatch, hot, batch):
-    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+@pytest.mark.parametrize("most, batch, heavy", [(4_096, 1 << 17, 1_024), (1, 1 << 17, 0), (4, 300, 0), (4_096, 300, 1_024)])
+def test_repeated_passages(spark, odd, monkeypatch, most, batch, heavy):
+    """Anchors of any size: by one merge, and cut finer down to whole windows."""
+    monkeypatch.setattr(suffix_dedup, "MOST", most)
     monkeypatch.setattr(suffix_dedup, "BATCH", batch)
+    monkeypatch.setattr(suffix_dedup, "HEAVY", heavy)
+    monkeypatch.setattr(suffix_dedup, "EVERY", 1)
+    monkeypatch.setattr(suffix_dedup, "SHARE", 1e-9 if heavy == 0 else 0.25)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7" if batch == 300 else "10000")
     full, none = both(spark, odd)
     got = suffix_dedup.deduplicate(full).collect()
@@ -364,6 +368,17 @@ def test_repeated_passages(spark, odd, monkeypatch, hot, batch):
     assert suffix_dedup.deduplicate(none).count() == 0
 
 
+def test_an_anchor_of_many_snippets_is_cut_finer(spark, monkeypatch):
+    """One passage between ever other neighbours, and a counter in it: its anchors have very many snippets."""
+    monkeypatch.setattr(suffix_dedup, "MOST", 8)
+    rng = random.Random(21)
+    letters = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    one, two = letters(90), letters(130)
+    rows = [(i, letters(rng.randrange(30, 90)) + one + str(i % 17) + two + letters(60), "s") for i in range(120)]
+    got = suffix_dedup.deduplicate(table(spark, rows)).collect()
+    assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == brute_repeats(rows)
+
+
 def test_merged_transforms_sort_all_places():
     rng = np.random.default_rng(6)
     for shards in (1, 3):
