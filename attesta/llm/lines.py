@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attesta.llm.runtime import ranked, written
+from attesta.llm.runtime import free, ranked, written
 
 #: Lines of fewer words are neither removed nor make others be removed.
 MIN_WORDS = 6
@@ -151,9 +151,10 @@ def removals(docs: DataFrame, min_words: int = MIN_WORDS, id: str = "doc_id", te
 
 
 def _cut(docs: DataFrame, min_words: int, id: str, text: str) -> tuple[DataFrame, Column, Column]:
-    gone = removals(docs, min_words, id, text).select(F.col("doc").alias("__doc"), F.col("row").alias("__row"), F.col("gone").alias("__gone"))
-    met = docs.join(gone, docs[id].eqNullSafe(F.col("__doc")) & (F.xxhash64(docs[text]) == F.col("__row")), "left")
-    drop = F.coalesce(F.col("__gone"), F.array().cast("array<int>"))
+    doc, row, lost = free(docs, "__doc", "__row", "__gone")
+    gone = removals(docs, min_words, id, text).select(F.col("doc").alias(doc), F.col("row").alias(row), F.col("gone").alias(lost))
+    met = docs.join(gone, docs[id].eqNullSafe(F.col(doc)) & (F.xxhash64(docs[text]) == F.col(row)), "left")
+    drop = F.coalesce(F.col(lost), F.array().cast("array<int>"))
     left = F.array_join(F.filter(_lines(docs[text]), lambda x, i: ~F.array_contains(drop, i)), "\n")
     return met, F.size(drop).cast("long"), F.when(F.size(drop) == 0, docs[text]).otherwise(left)
 
@@ -176,11 +177,14 @@ def deduplicate(docs: DataFrame, min_words: int = MIN_WORDS, id: str = "doc_id",
 
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the lines that go cut out of ``text``, and ``n_chars`` counted anew where there is
-    such a column. Documents of which no word is left go, if they had any."""
+    such a column. Documents of which no word is left go, if they had any.
+
+    Null and empty texts and texts that lose nothing stay as they are; of equal lines the one of the least
+    doc_id (null first), then the highest up, stays; rows that share an id are one document. An empty table
+    stays empty; other columns ride along, whatever their names."""
     met, n_removed, left = _cut(docs, min_words, "doc_id", "text")
-    known = [c for c in docs.columns if c not in ("text", "n_chars")]
-    kind = dict(docs.dtypes)
-    out = met.where((n_removed == 0) | left.rlike(r"[^\x20\x09-\x0D]")).withColumn("__left", left)
-    n_chars = F.when(n_removed == 0, docs["n_chars"]).otherwise(F.length("__left").cast(kind["n_chars"])) if "n_chars" in kind else None
-    cols = [docs[c] if c in known else F.col("__left").alias("text") if c == "text" else n_chars.alias("n_chars") for c in docs.columns]
+    kind, (rest,) = dict(docs.dtypes), free(docs, "__left")
+    out = met.where((n_removed == 0) | left.rlike(r"[^\x20\x09-\x0D]")).withColumn(rest, left)
+    n_chars = F.when(n_removed == 0, docs["n_chars"]).otherwise(F.length(rest).cast(kind["n_chars"])) if "n_chars" in kind else None
+    cols = [F.col(rest).alias("text") if c == "text" else n_chars.alias("n_chars") if c == "n_chars" else docs[f"`{c}`"] for c in docs.columns]
     return out.select(*cols)

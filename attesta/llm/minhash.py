@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attesta.llm.runtime import LONG_MIN, components, drop, map_small, tasks_for, worker_cache, written
+from attesta.llm.runtime import LONG_MIN, components, drop, free, map_small, tasks_for, worker_cache, written
 
 WORDS = 5
 ROWS, MISS, MAX_SIDE = 3, 2e-3, 32
@@ -459,7 +459,8 @@ def without_near_duplicates(docs: DataFrame, percent: int = 80, words: int = WOR
 
     Rows of one id and one text are one document and stay or go together. A row goes by its own text, never
     for another row's that has its id. Null texts and texts without words stay, an empty table stays empty."""
-    gone = written(_judged(docs, percent, words, "doc_id", "text").where("id <> first_id or h <> first_h").select(F.col("id").alias("__gone_id"), F.col("h").alias("__gone_h")).distinct())
+    id, h = free(docs, "__gone_id", "__gone_h")
+    gone = written(_judged(docs, percent, words, "doc_id", "text").where("id <> first_id or h <> first_h").select(F.col("id").alias(id), F.col("h").alias(h)).distinct())
     small = gone.count() <= BROADCAST_KEYS
-    same = (F.coalesce(docs["doc_id"].cast("long"), F.lit(LONG_MIN)) == F.col("__gone_id")) & (F.xxhash64(docs["text"]) == F.col("__gone_h"))
+    same = (F.coalesce(docs["doc_id"].cast("long"), F.lit(LONG_MIN)) == F.col(id)) & (F.xxhash64(docs["text"]) == F.col(h))
     return docs.join(F.broadcast(gone) if small else gone, same, "left_anti")

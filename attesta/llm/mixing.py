@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from attesta.llm.runtime import durable, ranked
+from attesta.llm.runtime import durable, free, ranked
 
 WORD = r"[^\x20\x09-\x0D]+"
 HASH_BITS, LEVEL_BITS = 60, 10
@@ -61,7 +61,7 @@ def thresholds(sized: DataFrame, goals: DataFrame, small: bool) -> DataFrame:
     takes of each row) and below (rows of a smaller hash are taken once more)."""
     hint = F.broadcast if small else (lambda x: x)
     whole = F.floor(F.coalesce(F.try_divide("target", F.col("source_size").cast("double")), F.lit(0.0)))
-    state = durable(goals.withColumn("copies", whole.cast("long")).withColumn("__rest", F.col("target") - F.col("copies") * F.col("source_size")).withColumn("__prefix", F.lit(0).cast("long")).withColumn("__done", F.lit(None).cast("long")))
+    state = durable(goals.withColumn("copies", whole.cast("long")).withColumn("__rest", F.col("target") - F.col("copies") * F.col("source_size")).withColumn("__prefix", F.lit(0).cast("long")).withColumn("__done", F.when(F.col("__rest") <= 0, F.lit(0).cast("long"))))
     for level in range(HASH_BITS // LEVEL_BITS):
         shift = HASH_BITS - LEVEL_BITS * (level + 1)
         bucket = F.shiftright("__hash", shift)
@@ -108,16 +108,20 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_repeat: flo
 
 
 def mixed(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_repeat: float = 3.0) -> DataFrame:
-    """The mixed corpus: rows of ``docs`` with all their columns, each as often as the mix takes it.
+    """The mixed corpus: rows of ``docs`` with all their columns, each as often as the mix takes it, at most
+    ``max_repeat`` times.
 
-    Rows without words weigh nothing: they stay in once if their source's threshold or whole
-    copies take them, like any other.
+    Rows without words (null texts too) weigh nothing: they stay in once if their source's threshold or whole
+    copies take them, like any other. Null sources form one source, the last. Rows of one id share a hash
+    and go in or out together, so ties and repeated rows give the same on every run. An empty table stays
+    empty; other columns ride along, whatever their names.
     """
     sized = durable(docs.select(F.col("source").alias("source"), words(F.col("text")).alias("__size"), hash60(F.col("doc_id")).alias("__hash")))
     sizes = durable(sized.groupBy("source").agg(F.sum("__size").alias("source_size")))
     n, named = sizes.agg(F.count("*"), F.sum(F.length("source"))).first()
     small = n <= BROADCAST_SOURCES and (named or 0) < 16_000_000
-    cuts = thresholds(sized, targets(sizes, weights, max_repeat), small).select(F.col("source").alias("__s"), F.col("copies").alias("__copies"), F.col("below").alias("__below"))
-    met = docs.join(F.broadcast(cuts) if small else cuts, docs["source"].eqNullSafe(F.col("__s")))
-    times = (F.col("__copies") + (hash60(docs["doc_id"]) < F.col("__below")).cast("long")).cast("int")
-    return met.withColumn("__time", F.explode(F.sequence(F.lit(0), times))).where(F.col("__time") < times).select(*[docs[c] for c in docs.columns])
+    of, copies, below, time = free(docs, "__s", "__copies", "__below", "__time")
+    cuts = thresholds(sized, targets(sizes, weights, max_repeat), small).select(F.col("source").alias(of), F.col("copies").alias(copies), F.col("below").alias(below))
+    met = docs.join(F.broadcast(cuts) if small else cuts, docs["source"].eqNullSafe(F.col(of)))
+    times = (F.col(copies) + (hash60(docs["doc_id"]) < F.col(below)).cast("long")).cast("int")
+    return met.withColumn(time, F.explode(F.sequence(F.lit(0), times))).where(F.col(time) < times).select(*[docs[f"`{c}`"] for c in docs.columns])

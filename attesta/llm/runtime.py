@@ -62,6 +62,30 @@ def drop(*tables: DataFrame) -> None:
             _delete(table.sparkSession, path)
 
 
+def mark() -> int:
+    """A point in time, for ``drop_since``."""
+    return len(_written)
+
+
+def drop_since(point: int, *kept: DataFrame) -> None:
+    """Deletes the tables that ``written`` has made since then, but for these."""
+    stay = {getattr(table, "_attesta_path", None) for table in kept}
+    for spark, path in _written[point:]:
+        if path not in stay:
+            _delete(spark, path)
+    _written[point:] = [held for held in _written[point:] if held[1] in stay]
+
+
+def free(df: DataFrame, *names: str) -> list[str]:
+    """The names, changed where the table has columns of that name, in any case."""
+    held, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in held:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)

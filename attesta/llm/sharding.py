@@ -14,7 +14,7 @@ DataFrame functions only. No text is shuffled.
 from __future__ import annotations
 
 from bisect import bisect_right
-from itertools import accumulate
+from itertools import accumulate, count
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,7 +24,6 @@ from attesta.llm.runtime import LONG_MIN, durable
 RANGES_A_SHARD = 64
 MAX_RANGES = 16_384
 SAMPLES_A_RANGE = 16
-ROUNDS = 8
 #: A range is overfull from this many times its fair share; at a shard's edge from this share of a shard.
 OVERFULL, EDGE = 3.0, 0.002
 
@@ -103,7 +102,7 @@ def shard(docs: DataFrame, shards: int = 16, text: str = "text", id: str = "doc_
     p = F.least(F.lit(1.0), weight * (ranges * SAMPLES_A_RANGE))
     drawn = base.where(_chance(0) < p).select("k", "t", "u", weight / p).collect()
     splitters = sorted(_edges([((r[0], r[1], r[2]), r[3]) for r in drawn], ranges, False)) if drawn else []
-    for turn in range(1, ROUNDS + 1):
+    for turn in count(1):  # every turn adds boundaries, so overfull ranges come to an end
         at = _range_of(splitters)
         sums = base.groupBy(at.alias("r")).agg(F.sum("size"), F.count("*"), F.min("k") == F.max("k")).collect()
         sums = sorted((r[0], r[1], r[2], r[3]) for r in sums)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attesta.llm.runtime import map_small, small_batches, worker_cache, written
+from attesta.llm.runtime import free, map_small, small_batches, worker_cache, written
 
 #: Bound of the labelled sample, hashed features, and what the test for a feature must reach.
 MAX_ROWS, FEATURES, G2_MIN = 20_000, 1 << 18, 11.0
@@ -33,7 +33,8 @@ RIDGE, FAIR, STEPS, RATE = 3e-5, 1.0, 150, 0.1
 CUT = 0.7
 WORDS_KEPT = 100_000
 
-# Terms that name groups of people, by kind; the first of a kind is the neutral one.
+# Terms that name groups of people, in English, German, French and Spanish, by kind; the first of
+# a kind is the neutral one.
 IDENTITY = (
     ("person", "woman", "man", "girl", "boy", "mother", "father", "transgender", "nonbinary"),
     ("people", "women", "men", "girls", "boys", "mothers", "fathers", "immigrants", "refugees", "foreigners"),
@@ -43,6 +44,21 @@ IDENTITY = (
     ("straight", "gay", "lesbian", "bisexual", "queer", "heterosexual", "homosexual"),
     ("young", "old", "elderly", "disabled", "blind", "deaf"),
     ("citizen", "american", "mexican", "chinese", "indian", "german", "french", "spanish", "russian", "turkish", "polish"),
+    ("mensch", "frau", "mann", "mädchen", "junge", "mutter", "vater"),
+    ("leute", "frauen", "männer", "mütter", "väter", "einwanderer", "flüchtlinge", "ausländer"),
+    ("gläubige", "christen", "muslime", "juden", "hindus", "buddhisten", "katholiken", "protestanten", "atheisten"),
+    ("deutsche", "türken", "polen", "russen", "franzosen", "spanier", "chinesen", "araber", "afrikaner", "roma"),
+    ("menschen", "schwule", "lesben", "homosexuelle", "behinderte", "blinde", "gehörlose"),
+    ("personne", "femme", "homme", "fille", "garçon", "mère", "père"),
+    ("gens", "femmes", "hommes", "mères", "pères", "immigrés", "réfugiés", "étrangers"),
+    ("croyants", "chrétiens", "musulmans", "juifs", "hindous", "bouddhistes", "catholiques", "protestants", "athées"),
+    ("français", "turcs", "polonais", "russes", "allemands", "espagnols", "chinois", "arabes", "africains", "noirs", "blancs"),
+    ("personnes", "gays", "lesbiennes", "homosexuels", "handicapés", "aveugles", "sourds"),
+    ("persona", "mujer", "hombre", "niña", "niño", "madre", "padre"),
+    ("gente", "mujeres", "hombres", "madres", "padres", "inmigrantes", "refugiados", "extranjeros"),
+    ("creyentes", "cristianos", "musulmanes", "judíos", "hindúes", "budistas", "católicos", "protestantes", "ateos"),
+    ("españoles", "turcos", "polacos", "rusos", "alemanes", "franceses", "chinos", "árabes", "africanos", "negros", "gitanos"),
+    ("personas", "gais", "lesbianas", "homosexuales", "discapacitados", "ciegos", "sordos"),
 )
 
 _WORD = re.compile(r"\w+")
@@ -141,7 +157,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id: str =
     """Fits the model on at most about ``max_rows`` labelled rows that aren't held out.
 
     Labels are neither null nor other than 0 and 1, others are left out; labels without a document
-    are too. With no labelled rows, or one label only, the model is its intercept.
+    are too. With no labelled rows, or one label only, nothing tells the labels apart: the model is an intercept
+    of 0.5 at most, so that it rejects nothing.
     """
     usable = labels.where(F.col(label).isin(0, 1) & F.col(id).isNotNull() & ~held_out(F.col(id))).select(F.col(id).alias("__id"), F.col(label).cast("int").alias("y"))
     n = usable.count()
@@ -164,7 +181,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id: str =
     totals = {r[0]: r[1] for r in made.groupBy("y").count().collect()}
     n1, n0 = float(totals.get(1, 0)), float(totals.get(0, 0))
     if not n1 or not n0:
-        return Model({}, float(np.log((n1 + 0.5) / (n0 + 0.5))) if n1 + n0 else 0.0)
+        return Model({}, min(0.0, float(np.log((n1 + 0.5) / (n0 + 0.5)))) if n1 + n0 else 0.0)
     per = made.select("y", F.explode("ids").alias("f")).groupBy("f").agg(F.sum("y").alias("a"), F.count("*").alias("n")).where("n >= 3").toPandas()
     f, a, held = per["f"].to_numpy(), per["a"].to_numpy().astype(float), per["n"].to_numpy().astype(float)
     chosen = np.sort(f[_g2(a, held - a, n1, n0) > G2_MIN])
@@ -227,11 +244,19 @@ def _scorer(weights: dict[int, float], bias: float):
 
 
 def classify(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, held_out, score and predicted (1 from ``CUT`` on)."""
+    """One row for each row of ``docs``: doc_id, held_out, score and predicted (1 from ``CUT`` on).
+
+    Every row is scored by its own whole text, also where rows share an id or are repeated; null and empty
+    texts get the intercept's score; a null doc_id stays null and isn't held out. An empty table gives no
+    rows; other columns are ignored, and so are the labels' columns other than doc_id and toxic."""
     out = scored(docs.select("doc_id", "text"), fit(docs, labels, max_rows), "text", "__score")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= CUT).cast("int").alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """``docs`` without the rows that the classifier rejects; all columns stay."""
-    return scored(docs, fit(docs, labels, max_rows), "text", "__score").where(F.col("__score") < CUT).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` without the rows that the classifier rejects; all columns stay, whatever their names.
+
+    As ``classify``: null and empty texts stay unless the intercept alone is rejected, repeated rows stay or
+    go together, an empty table stays empty."""
+    (score,) = free(docs, "__score")
+    return scored(docs, fit(docs, labels, max_rows), "text", score).where(F.col(score) < CUT).select(*[F.col(f"`{c}`") for c in docs.columns])

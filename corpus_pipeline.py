@@ -2,7 +2,12 @@
 
 ``STAGES`` names the stages in order. Each takes (spark, docs, sf_dir), works on all rows that the stage
 before it kept, and returns a DataFrame with the columns of ``documents``, but for the last, which
-returns the pieces of the packed sequences. ``run`` writes each stage's rows and reads them again.
+returns the pieces of the packed sequences. ``run`` writes each stage's rows and reads them again, and
+deletes the tables that no later stage reads.
+
+In all stages null texts and texts without words stay what they are and are never anybody's copy, null ids
+are ids and come first, ties go by the least id and then the text, repeated rows are rows of their own, an
+empty table stays empty, and columns of any other name ride along.
 """
 
 from __future__ import annotations
@@ -10,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from attesta.llm import lines, minhash, mixing, packing, toxicity
-from attesta.llm.runtime import written
+from attesta.llm.runtime import drop, drop_since, mark, written
 
 
 def _toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,6 +58,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
+    for _, stage in STAGES[:-1]:
+        point, before = mark(), docs
         docs = written(stage(spark, docs, sf_dir))
+        drop_since(point, docs)
+        drop(before)
     return STAGES[-1][1](spark, docs, sf_dir)

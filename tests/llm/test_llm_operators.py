@@ -160,20 +160,44 @@ def test_large_keys_are_dealt_into_blocks(spark, monkeypatch):
 
 
 def test_estimates_are_unbiased_and_bounds_hold():
+    """Over rotations the estimate's mean is the cosine, its spread is what the bound says, and the bound at the
+    confidence used keeps all of very many pairs at the threshold."""
     rng = np.random.default_rng(8)
     o = rng.standard_normal(32)
     o /= np.linalg.norm(o)
-    q = o + 0.5 * rng.standard_normal(32) / np.sqrt(32)
-    q /= np.linalg.norm(q)
-    found = []
+    other = rng.standard_normal(32)
+    other -= (other @ o) * o
+    q = 0.95 * o + np.sqrt(1 - 0.95**2) * other / np.linalg.norm(other)
+    found, deviation = [], []
     for seed in range(400):
-        codes = embed_dedup.Codes(32, 4, 4, seed)
-        signs, a = codes.code(o[None])
-        bar = (signs[0] * 2.0 - 1) / np.sqrt(32)
-        inner = bar @ (codes.turns[:32] @ q)
-        found.append(inner / a[0])
-        assert np.arccos(inner) <= np.arccos(a[0]) + np.arccos(o @ q) + 1e-9
-    assert np.mean(found) == pytest.approx(o @ q, abs=0.02)
+        codes = embed_dedup.Codes(32, 4, 4, 2 * seed)
+        pack = lambda code, v: code.decode(*[x if i else [r.tobytes() for r in np.packbits(x, axis=1)] for i, x in enumerate(code.encode(v[None]))])
+        (_, x, e), (_, y, f) = pack(codes.one, o), pack(codes.two, q)
+        assert x[0] @ o == pytest.approx(1) and y[0] @ q == pytest.approx(1)
+        found.append(x[0] @ y[0])
+        deviation.append((0.95 - codes.need(e, f, 0.95)[0, 0]) / embed_dedup.CONFIDENCE)
+        assert found[-1] >= codes.need(e, f, 0.95)[0, 0]
+    assert np.mean(found) == pytest.approx(0.95, abs=4 * np.mean(deviation) / 20)
+    assert np.std(found) == pytest.approx(np.mean(deviation), rel=0.2)
+
+
+def test_codes_leave_few_pairs_out_of_reach(spark):
+    """Random vectors: the estimates settle nearly all pairs that meet."""
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((600, 64))
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    codes = embed_dedup.Codes(64, *embed_dedup.plan(600, 0.95))
+    (one, a), (two, b) = codes.one.encode(unit), codes.two.encode(unit)
+    part = {"one": [r.tobytes() for r in np.packbits(one, axis=1)], "two": [r.tobytes() for r in np.packbits(two, axis=1)], "a": a, "b": b, "mine": 0, "x": 0, "y": 0}
+    left = sum(len(i) for i, _ in embed_dedup._pairs(codes, 0.95, 0, embed_dedup.pd.DataFrame(part)))
+    assert left < 0.001 * 600 * 599 / 2
+
+
+def test_rows_of_one_id_are_judged_each_by_its_own_vector(spark):
+    a, b = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    rows = [(1, a), (1, b), (2, [0.01, 1.0, 0.0]), (3, a), (3, a)]
+    got = Counter((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in embed_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect())
+    assert got == Counter([(1, 2, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 2, 1, False), (3, 2, 1, False)])
 
 
 # op3
