@@ -57,6 +57,58 @@ SELECT vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, m.label AS component
 FROM embeddings JOIN m ON m.node = vec_id LEFT JOIN n ON n.a = vec_id
 """
 
+OP4 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM d
+), x AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s
+), e AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), c(node, label) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT e.b, c.label FROM c JOIN e ON c.node = e.a
+), m AS (
+  SELECT node, min(label) AS label FROM c GROUP BY node
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, m.label AS component_id, s.doc_id = m.label AS kept
+FROM s JOIN m ON m.node = s.doc_id
+"""
+
+#: Bytes as pairs of hexadecimal digits; texts in chunks of 1,000 windows, so that cutting one out is cheap.
+OP5 = r"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), c AS (
+  SELECT doc_id, b, substr(h, 2 * b + 1, 2 * 1099) AS part FROM d, unnest(range(0, greatest(1, len(h) // 2), 1000)) AS u(b)
+), w AS (
+  SELECT doc_id, b + i AS pos, substr(part, 2 * i + 1, 200) AS w FROM c, unnest(range(0, least(1000, len(part) // 2 - 99))) AS u(i)
+), f AS (
+  SELECT w, min(struct_pack(doc := doc_id, pos := pos)) AS own FROM w GROUP BY w
+), g AS (
+  SELECT w.doc_id, w.pos FROM w JOIN f ON w.w = f.w WHERE f.own < struct_pack(doc := w.doc_id, pos := w.pos)
+), o AS (
+  SELECT doc_id, pos, CASE WHEN pos <= lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) + 100 THEN 0 ELSE 1 END AS new FROM g
+), r AS (
+  SELECT doc_id, pos, sum(new) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM o
+), s AS (
+  SELECT doc_id, run, min(pos) AS lo, max(pos) + 100 AS hi FROM r GROUP BY doc_id, run
+), t AS (
+  SELECT doc_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS prev FROM s
+), p AS (
+  SELECT t.doc_id, string_agg(substr(h, 2 * prev + 1, 2 * (lo - prev)), '' ORDER BY lo) AS head, max(hi) AS tail, sum(hi - lo) AS n_removed, count(*) AS n_spans
+  FROM t JOIN d ON t.doc_id = d.doc_id GROUP BY t.doc_id
+)
+SELECT d.doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(head || substr(h, 2 * tail + 1), h))) AS kept_sha256
+FROM d LEFT JOIN p ON d.doc_id = p.doc_id
+"""
+
 OP6 = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
@@ -106,6 +158,8 @@ FROM cut
 ORACLE_SQL = {
     "op1_mix_sources": OP1,
     "op2_embedding_near_dedup": OP2,
+    "op4_minhash_near_dedup": OP4,
+    "op5_repeated_passages": OP5,
     "op6_voronoi_top_k": OP6,
     "op7_line_dedup": OP7,
 }
