@@ -193,13 +193,17 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id: str =
         for b in batches:
             rows = []
             for y, ids, n, cf_ids, cf_n in zip(b["y"], b["ids"], b["n"], b["cf_ids"], b["cf_n"], strict=True):
-                left = [(i, c) for i, c in zip(ids, n, strict=True) if i in keep]
-                cf = [[(i, c) for i, c in zip(x, y2, strict=True) if i in keep] for x, y2 in zip(cf_ids, cf_n, strict=True)]
-                rows.append((y, [i for i, _ in left], [c for _, c in left], [[i for i, _ in x] for x in cf], [[c for _, c in x] for x in cf]))
-            yield pd.DataFrame(rows, columns=["y", "ids", "n", "cf_ids", "cf_n"])
+                own = {int(i): int(c) for i, c in zip(ids, n, strict=True) if i in keep}
+                # of a counterfactual only what its swap changes; all else takes itself away
+                changed = []
+                for x, m in zip(cf_ids, cf_n, strict=True):
+                    other = {int(i): int(c) for i, c in zip(x, m, strict=True) if i in keep}
+                    changed.append([(i, own.get(i, 0), other.get(i, 0)) for i in sorted(own.keys() | other.keys()) if own.get(i, 0) != other.get(i, 0)])
+                rows.append((y, list(own), list(own.values()), [[v[k] for v in c] for k in range(3) for c in changed]))
+            yield pd.DataFrame(rows, columns=["y", "ids", "n", "changed"])
 
     # sorted, so that sums over rows, and with them the weights, do not depend on the tasks' order
-    sample = made.mapInPandas(narrow, made.schema).collect()
+    sample = made.mapInPandas(narrow, "y int, ids array<int>, n array<int>, changed array<array<int>>").collect()
     sample = sorted(sample, key=lambda r: (r[0], r[1], r[2]))
 
     def values(n):
@@ -208,15 +212,16 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id: str =
     x = _sparse([(np.array(r[1], np.int64), values(r[2])) for r in sample], place)
     fair: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def pair(one, other):
-        fair.append((np.concatenate([one[0], other[0]]), np.concatenate([values(one[1]), -values(other[1])])))
+    def pair(ids, one, other):
+        fair.append((np.array(ids, np.int64), values(one) - values(other)))
 
     for r in sample:
-        for ids, n in zip(r[3], r[4], strict=True):
-            pair((np.array(r[1], np.int64), r[2]), (np.array(ids, np.int64), n))
+        for i in range(len(r[3]) // 3):
+            pair(*r[3][i :: len(r[3]) // 3])
     for kind in IDENTITY:
         for term in kind:
-            pair(counts({term}), counts({kind[0]} if term != kind[0] else set()))
+            (i, n), (j, m) = counts({term}), counts({kind[0]} if term != kind[0] else set())
+            fair.append((np.concatenate([i, j]), np.concatenate([values(n), -values(m)])))
     w, bias = _fit(x, np.array([r[0] for r in sample], dtype=float), _sparse(fair, place), len(fair), len(chosen))
     return Model({int(i): float(v) for i, v in zip(chosen, w, strict=True)}, bias)
 
