@@ -2,21 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from attesta.sources.scratch import shared
+
 
 def kept(df: DataFrame) -> DataFrame:
-    """``df`` computed once, by ``checkpoint()`` in the folder of spark.checkpoint.dir; where that is not
-    set, a local master gets a temporary one."""
-    spark = df.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if not named and not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="attesta-"))
+    """``df`` computed once, by ``checkpoint()`` in the shared folder."""
+    shared(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

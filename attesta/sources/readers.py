@@ -11,14 +11,25 @@ from pyspark.sql import types as T
 from attesta.functions import schema as S
 
 
+_CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "maxCharsPerColumn": -1, "encoding": "UTF-8"}
+
+
 def csv_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Every field as text, quotes doubled, lines in quotes, fields of any length."""
-    return spark.read.csv(path, header=True, multiLine=True, quote='"', escape='"', maxCharsPerColumn=-1, inferSchema=False, encoding="UTF-8", nullValue=None, emptyValue="")
+    """Every field as text, blank ones as '', quotes doubled, lines in quotes, fields of any length."""
+    return spark.read.csv(path, inferSchema=False, emptyValue="", **_CSV).na.fill("")
 
 
 def csv_typed(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """A given schema, NA as null, blank text as ''."""
-    return spark.read.csv(path, header=True, schema=schema, multiLine=True, quote='"', escape='"', nullValue="NA", emptyValue="")
+    """A given schema, NA as null, blank text as '', other blank fields and what is not of its type as null."""
+    kinds = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    plain = T.StructType([T.StructField(f.name, T.StringType()) for f in kinds.fields])
+    read = spark.read.csv(path, schema=plain, emptyValue="", **_CSV).na.fill("")
+
+    def typed(f: T.StructField) -> Column:
+        given = F.nullif(F.col(f"`{f.name}`"), F.lit("NA"))
+        return (given if isinstance(f.dataType, T.StringType) else given.try_cast(f.dataType)).alias(f.name)
+
+    return read.select(*[typed(f) for f in kinds.fields])
 
 
 def table(spark: SparkSession, path: str, sheet_reader=None) -> DataFrame:
@@ -76,15 +87,15 @@ def pages_of(info: Column) -> Column:
 
 
 def text_layer(text: Column, failed: Column) -> Column:
-    """READY from 200 characters on, NOT_READABLE below, ERROR where extraction failed."""
-    return F.when(failed, "ERROR").when(F.length(F.trim(text)) > 200, "READY").otherwise("NOT_READABLE")
+    """READY over 200 characters within outer white space, else NOT_READABLE, ERROR where extraction failed."""
+    held = F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.when(failed, "ERROR").when(F.length(held) > 200, "READY").otherwise("NOT_READABLE")
 
 
 RESULT_A = "key string, response struct<candidates array<struct<content struct<parts array<struct<text string>>>, finishReason string>>, usageMetadata struct<promptTokenCount bigint, candidatesTokenCount bigint>>"
 RESULT_B = "custom_id string, error string, response struct<status_code bigint, body struct<choices array<struct<message struct<content string, refusal string>, finish_reason string>>, usage struct<prompt_tokens bigint, completion_tokens bigint>>>"
 
 
-
 def provider_results(lines: DataFrame, provider: str, prefix: str = "paper-") -> DataFrame:
     """Result lines of a batch provider -> (paper_id, text, in_tok, out_tok, truncated, failed)."""
     if provider == "a":

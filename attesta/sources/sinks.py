@@ -12,9 +12,9 @@ def once(columns: list[str]) -> list[str]:
 
 
 def csv(df: DataFrame, path: str, columns: list[str], mode: str = "overwrite") -> None:
-    """K1: the columns in their order, others left out, missing ones and nulls as ''."""
+    """K1: the columns in their order, others left out, missing ones and nulls as ''; outer blanks stay."""
     have = [(F.col(c) if c in df.columns else F.lit("")).cast("string").alias(c) for c in once(columns)]
-    df.select(*have).na.fill("").write.mode(mode).csv(path, header=True, quote='"', escape='"', emptyValue="")
+    df.select(*have).na.fill("").write.mode(mode).csv(path, header=True, quote='"', escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def json_per_key(df: DataFrame, path: str, key: str = "paper_id") -> None:

@@ -124,7 +124,7 @@ def test_upsert_keeps_the_order(spark):
 def test_text_layer_and_pages(spark):
     assert one(spark, readers.pages_of(F.col("t")), t="Title: x\nPages:          12\n") == 12
     assert one(spark, readers.text_layer(F.col("t"), F.lit(False)), t="x" * 201) == "READY"
-    assert one(spark, readers.text_layer(F.col("t"), F.lit(False)), t=" x ") == "NOT_READABLE"
+    assert one(spark, readers.text_layer(F.col("t"), F.lit(False)), t="\n\t\u3000" * 200 + "x ") == "NOT_READABLE"
     assert one(spark, readers.text_layer(F.col("t"), F.lit(True)), t="x" * 300) == "ERROR"
     assert one(spark, readers.is_pdf(F.encode(F.col("t"), "UTF-8")), t="%PDF-1.7") is True
 
@@ -343,6 +343,16 @@ def test_csv_round_trip(spark, tmp_path):
         readers.require(got, ["filepath"])
 
 
+def test_csv_keeps_blanks_and_outer_white_space(spark, tmp_path):
+    (tmp_path / "c.csv").write_text('id,t,n\n1,,\n2,"",NA\n3,NA,x\n4,"  two\n lines ",7\n')
+    text = [tuple(r) for r in readers.csv_text(spark, str(tmp_path / "c.csv")).orderBy("id").collect()]
+    assert text == [("1", "", ""), ("2", "", "NA"), ("3", "NA", "x"), ("4", "  two\n lines ", "7")]
+    typed = [tuple(r) for r in readers.csv_typed(spark, str(tmp_path / "c.csv"), "id bigint, t string, n double").orderBy("id").collect()]
+    assert typed == [(1, "", None), (2, "", None), (3, None, None), (4, "  two\n lines ", 7.0)]
+    sinks.csv(spark.createDataFrame(text, "id string, t string, n string"), str(tmp_path / "out"), ["id", "t", "n"])
+    assert [tuple(r) for r in readers.csv_text(spark, str(tmp_path / "out")).orderBy("id").collect()] == text
+
+
 def test_batches_are_ordered_and_united(spark, tmp_path):
     for i, cols in ((10, "a string, b string"), (2, "a string")):
         spark.createDataFrame([("x",) * len(cols.split(","))], cols).coalesce(1).write.csv(str(tmp_path / f"batch_{i}"), header=True)
