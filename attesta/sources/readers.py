@@ -66,14 +66,21 @@ def json_documents(spark: SparkSession, path: str, schema: T.StructType = S.RECO
     return whole.withColumn("record", F.when(F.col(f"record.{required}").isNotNull(), F.col("record")))
 
 
+def _stem(path: Column) -> Column:
+    """The file's name without its last extension."""
+    return F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"(?<=.)\.[^.]+$", "")
+
+
 def paper_texts(spark: SparkSession, log: DataFrame, path: str, subsample: DataFrame | None = None) -> DataFrame:
     """Texts of the log's ok papers, restricted to a subsample if there is one; a missing file
-    gives ''. Files are named by paper_id."""
+    gives ''. A paper's text has the name of the log's ``filename``, but for the last extension; a log without
+    that column names them by paper_id."""
     ok = log.where("status = 'ok'")
     if subsample is not None:
         ok = ok.join(subsample.select("paper_id"), "paper_id", "left_semi")
-    texts = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_name"), r"^([^.]*)", 1).alias("paper_id"), F.col("value").alias("text"))
-    return ok.join(texts, "paper_id", "left").withColumn("text", F.coalesce("text", F.lit("")))
+    texts = spark.read.text(path, wholetext=True).select(_stem(F.col("_metadata.file_name")).alias("__stem"), F.col("value").alias("text"))
+    ok = ok.withColumn("__stem", _stem(F.col("filename")) if "filename" in log.columns else F.col("paper_id"))
+    return ok.join(texts, "__stem", "left").drop("__stem").withColumn("text", F.coalesce("text", F.lit("")))
 
 
 def is_pdf(content: Column) -> Column:

@@ -370,6 +370,14 @@ def test_json_documents_and_texts(spark, tmp_path):
     log = spark.createDataFrame([("p", "ok"), ("none", "ok"), ("q", "error")], "paper_id string, status string")
     texts = {r["paper_id"]: r["text"] for r in readers.paper_texts(spark, log, str(tmp_path)).collect()}
     assert texts == {"p": '{"scales": []}', "none": ""}
+    md = tmp_path / "md"
+    md.mkdir()
+    (md / "x_10.1000@7.md").write_text("seven")
+    log = spark.createDataFrame([("a1", "in/x_10.1000@7.pdf", "ok"), ("a2", "x_10.1000@8.pdf", "ok"), ("a3", "x_10.1000@7.pdf", "poor")], "paper_id string, filename string, status string")
+    got = readers.paper_texts(spark, log, str(md))
+    assert {(r["paper_id"], r["text"]) for r in got.collect()} == {("a1", "seven"), ("a2", "")}
+    some = readers.paper_texts(spark, log, str(md), spark.createDataFrame([("a2",)], "paper_id string"))
+    assert [r["paper_id"] for r in some.collect()] == ["a2"]
 
 
 def test_provider_results(spark):
