@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attesta.llm import embed_dedup, lines, minhash, mixing, order, packing, sharding, suffix_dedup, topk, toxicity
+from attesta.llm import collocations, embed_dedup, lines, minhash, mixing, order, packing, sharding, suffix_dedup, topk, toxicity, urls, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), max_rows=20_000)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"), least=30, most=2_000)
+
+
+def op12_whiten_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whiten(_table(spark, sf_dir, "embeddings"), k=8, scale=1024.0, shift=100_000)
+    return out.withColumn("deviation", F.col("deviation").try_cast("long"))  # null where a long can't hold it
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
@@ -67,4 +80,7 @@ QUERIES = {
     "op8_training_order": op8_training_order,
     "op9_pack_windows": op9_pack_windows,
     "op10_toxicity": op10_toxicity,
+    "op11_collocations": op11_collocations,
+    "op12_whiten_embeddings": op12_whiten_embeddings,
+    "op13_url_filter": op13_url_filter,
 }

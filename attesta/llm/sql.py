@@ -155,6 +155,105 @@ SELECT doc_id, CAST(CASE WHEN text IS NULL THEN 0 ELSE n END AS BIGINT) AS n_lin
 FROM cut
 """
 
+#: Levels of the models of ``urls``, from single characters to windows of six; a and r: accepted and rejected, 1 and 2:
+#: the halves of the labelled URLs, 0: both.
+_M = [x + h for x in "ar" for h in "012"]
+
+
+def _level(k: int) -> str:
+    n = {f"{x}{h}": f"sum({x}{h})" if h != "0" else f"sum({x}1) + sum({x}2)" for x in "ar" for h in "012"}
+    smooth = lambda m: f"CASE WHEN N_{m} > 0 THEN (n_{m} + U_{m} * {'b.p_' + m if k else '(1.0::DOUBLE / letters)'}) / (N_{m} + U_{m}) ELSE {'b.p_' + m if k else '(1.0::DOUBLE / letters)'} END AS p_{m}"
+    return f"""
+, l{k} AS (
+  SELECT right(w, {k + 1}) AS g, {", ".join(f"CAST({e} AS DOUBLE) AS n_{m}" for m, e in n.items())} FROM c GROUP BY 1
+), h{k} AS (
+  SELECT left(g, {k}) AS h, {", ".join(f"sum(n_{m}) AS nn_{m}, CAST(count(*) FILTER (n_{m} > 0) AS DOUBLE) AS U_{m}" for m in _M)} FROM l{k} GROUP BY 1
+), p{k} AS (
+  SELECT l.g, {", ".join(smooth(m).replace(f"N_{m}", f"nn_{m}") for m in _M)}
+  FROM l{k} l JOIN h{k} h ON h.h = left(l.g, {k}) {f"JOIN p{k - 1} b ON b.g = right(l.g, {k})" if k else ", (SELECT greatest(1, count(DISTINCT right(w, 1))) AS letters FROM c)"}
+)"""
+
+
+OP13 = (
+    r"""
+WITH u AS (
+  SELECT coalesce(url, '') AS url, count(*) AS n,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages GROUP BY coalesce(url, '')
+), r(rule, rh, rp, rv) AS (
+  VALUES ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
+         ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')
+), f AS (
+  SELECT url, arg_max(rule, len(rule)) AS rule, arg_max(rv, len(rule)) AS v
+  FROM u JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY url
+), v AS (
+  SELECT u.*, f.rule, f.v, CASE WHEN substr(md5(u.url), 1, 1) < '8' THEN 1 ELSE 2 END AS half FROM u LEFT JOIN f ON f.url = u.url
+), w AS (
+  SELECT url, n, v, half, substr(repeat(chr(2), 5) || url || chr(3), i, 6) AS w FROM v, unnest(range(1, len(url) + 2)) AS t(i)
+), c AS (
+  SELECT w, """
+    + ", ".join(f"coalesce(sum(n) FILTER (v = '{v}' AND half = {h}), 0) AS {x}{h}" for x, v in (("a", "allow"), ("r", "block")) for h in (1, 2))
+    + " FROM w GROUP BY w\n)"
+    + "".join(_level(k) for k in range(6))
+    + r"""
+, s AS (
+  SELECT g, """
+    + ", ".join(f"CAST(round((ln(p_a{h}) - ln(p_r{h})) * 1048576) AS BIGINT) AS s{h}" for h in "012")
+    + r""" FROM p5
+), z AS (
+  SELECT url, CAST(floor(CAST(sum(CASE WHEN v IS NULL THEN s0 WHEN half = 1 THEN s2 ELSE s1 END) AS DOUBLE) / (count(*) * 1024)) AS BIGINT) AS step
+  FROM w JOIN s ON s.g = w.w GROUP BY url
+), b AS (
+  SELECT step, coalesce(sum(n) FILTER (v = 'allow'), 0) AS a, coalesce(sum(n) FILTER (v = 'block'), 0) AS r
+  FROM v JOIN z ON z.url = v.url WHERE v IS NOT NULL GROUP BY step
+), t AS (
+  SELECT step, lag(step) OVER (ORDER BY step) AS before, sum(a) OVER () AS na, sum(r) OVER () AS nr,
+         sum(a) OVER (ORDER BY step ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS kept,
+         coalesce(sum(r) OVER (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS gone
+  FROM b
+), k AS (
+  SELECT coalesce((SELECT CASE WHEN before IS NULL THEN step ELSE floor((step + before + 1) / 2) END
+                   FROM t WHERE na > 0 AND nr > 0 ORDER BY kept * nr + gone * na DESC, step LIMIT 1), 0) AS cut
+)
+SELECT p.page_id, v.host, v.path, v.rule, coalesce(v.v, CASE WHEN z.step >= (SELECT cut FROM k) THEN 'allow' ELSE 'block' END) AS verdict
+FROM pages p JOIN v ON v.url = coalesce(p.url, '') JOIN z ON z.url = v.url
+"""
+)
+
+OP11 = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p
+), n AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang
+), f AS (
+  SELECT lang, w[i:i + k - 1] AS w, count(*) AS f
+  FROM w, unnest([1, 2, 3, 4]) AS o(k), unnest(range(1, greatest(1, len(w) - k + 2))) AS t(i)
+  GROUP BY ALL HAVING count(*) >= 30
+), c AS (
+  SELECT lang, w, f AS a FROM f WHERE len(w) > 1
+), s AS (
+  SELECT c.lang, c.w, c.a, k, l.f AS l, r.f AS r, CAST(2000000 * c.a::HUGEINT // (l.f + r.f) AS BIGINT) AS score
+  FROM c, unnest(range(1, len(c.w))) AS t(k)
+  JOIN f l ON l.lang = c.lang AND l.w = c.w[1:k] JOIN f r ON r.lang = c.lang AND r.w = c.w[k + 1:len(c.w)]
+), b AS (
+  SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, w ORDER BY score, k) = 1
+), g AS (
+  SELECT lang, w[i:i + k - 1] AS w, max(a) AS most
+  FROM c, unnest([2, 3]) AS o(k), unnest(range(1, len(w) - k + 2)) AS t(i) WHERE k < len(w) GROUP BY ALL
+)
+SELECT b.lang, CAST(row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, array_to_string(b.w, ' ')) AS BIGINT) AS rank,
+       array_to_string(b.w, ' ') AS phrase, a, l, r, n.n, score
+FROM b JOIN n ON n.lang = b.lang LEFT JOIN g ON g.lang = b.lang AND g.w = b.w
+WHERE g.most IS NULL OR 100 * g.most < 80 * a
+QUALIFY row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, array_to_string(b.w, ' ')) <= 2000
+"""
+
+
 ORACLE_SQL = {
     "op1_mix_sources": OP1,
     "op2_embedding_near_dedup": OP2,
@@ -162,4 +261,6 @@ ORACLE_SQL = {
     "op5_repeated_passages": OP5,
     "op6_voronoi_top_k": OP6,
     "op7_line_dedup": OP7,
+    "op11_collocations": OP11,
+    "op13_url_filter": OP13,
 }

@@ -10,7 +10,7 @@ import corpus_pipeline
 from attesta.llm.sql import ORACLE_SQL
 
 SF = "/root/testdata/sf0.001"
-TABLES = "documents embeddings labels".split()
+TABLES = "documents embeddings labels pages".split()
 
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="no test tables")
 
@@ -29,7 +29,7 @@ def test_against_oracle(spark, name):
 
 def test_every_operator_is_registered():
     names = {n.split("_")[0] for n in entry.queries()}
-    assert {f"op{i}" for i in range(1, 11)} <= names and "pipeline" in names
+    assert {f"op{i}" for i in range(1, 14)} <= names and "pipeline" in names
 
 
 def test_pipeline_stages(spark):
