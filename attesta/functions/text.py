@@ -7,6 +7,7 @@ them up changes which rows match.
 from __future__ import annotations
 
 import unicodedata
+from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import Column
@@ -249,8 +250,11 @@ def na_text(*parts: Column) -> Column:
 
 
 def cost(tokens_in: Column, tokens_out: Column, rate_in: float, rate_out: float, digits: int = 5) -> Column:
-    """Dollars at rates per million tokens."""
-    return F.bround(tokens_in / 1e6 * rate_in + tokens_out / 1e6 * rate_out, digits)
+    """Dollars at rates per million tokens, of whole tokens and decimal rates, so that ties are ties: they go
+    to the even digit."""
+    part = lambda n, rate: n.cast("decimal(18,0)") * F.lit(Decimal(str(rate))).cast("decimal(10,6)")
+    dollars = (part(tokens_in, rate_in) + part(tokens_out, rate_out)) * F.lit(Decimal("0.000001"))
+    return F.bround(dollars, digits).cast("double")
 
 
 def safe_int(c: Column) -> Column:

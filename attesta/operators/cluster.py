@@ -1,68 +1,215 @@
-"""Merging the scales of several coders of one paper."""
+"""Merging the scales of several coders of one paper, and pairing those of two.
+
+Both are greedy in the order of the scales, yet run over all papers at once: similar scales are found by a
+join on few of their words, and then all those settle together that no earlier one can still change.
+Papers are no groups of rows here, so one that holds a third of all scales is many tasks."""
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attesta.functions import text as T
+from attesta.operators.ordinal import kept, ordinal
 
 SIMILAR = 0.6
+#: Undecided rows up to which one task settles the rest, one after another.
+FEW = 50_000
+
+
+def similar_pairs(a: DataFrame, b: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """(by, a, b, similarity) for sets of words (by, id, tokens) of one ``by`` that share at least ``similar``
+    of the smaller one. Repeated words count once, empty sets pair with none.
+
+    Of two sets the larger stands under all its words, the smaller only under so many of its rarest that one
+    of them must be shared; pairs that meet are compared as a whole, at once."""
+    sets = [x.select("by", "id", F.array_distinct(F.filter("tokens", lambda w: w.isNotNull())).alias("tokens")).where(F.size("tokens") > 0) for x in (a, b)]
+    words = [x.select("by", "id", "tokens", F.explode("tokens").alias("w")) for x in sets]
+    often = words[0].select("by", "w").unionByName(words[1].select("by", "w")).groupBy("by", "w").agg(F.count("*").alias("n"))
+    # a pair shares at least this many words of its smaller set, so one of the others and one more
+    most = F.size("tokens") - F.ceil(F.size("tokens") * similar - 1e-9).cast("int") + 1
+
+    def few(x: DataFrame) -> DataFrame:
+        rare = x.join(often, ["by", "w"]).groupBy("by", "id", "tokens").agg(F.array_sort(F.collect_list(F.struct("n", "w"))).alias("r"))
+        return rare.select("by", "id", "tokens", F.explode(F.transform(F.slice("r", 1, F.greatest(most, F.lit(1))), lambda r: r["w"])).alias("w"))
 
+    def met(less: DataFrame, more: DataFrame, ids: list[str], size) -> DataFrame:
+        left = less.select("by", "w", F.col("id").alias(ids[0]), F.col("tokens").alias("t"))
+        right = more.select("by", "w", F.col("id").alias(ids[1]), F.col("tokens").alias("u"))
+        pairs = left.join(right, ["by", "w"]).where(size(F.size("t"), F.size("u")) & (T.overlap(F.col("t"), F.col("u")) >= similar))
+        return pairs.select("by", "a", "b", T.overlap(F.col("t"), F.col("u")).alias("similarity")).distinct()
 
-def clustered(scales: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    one = met(few(words[0]), words[1], ["a", "b"], lambda x, y: x <= y)
+    return one.unionByName(met(few(words[1]), words[0], ["b", "a"], lambda x, y: x < y))
+
+
+def clustered(scales: DataFrame, similar: float = SIMILAR, few: int = FEW) -> DataFrame:
     """Scales (paper_id, ord, key, tokens) with the column cluster: a scale joins the first cluster whose
     first scale has its key, unless that is empty, else the first whose first scale's tokens overlap by
-    ``similar``, else it founds one.
-
-    Greedy in the order of ``ord`` and so sequential, but only within a paper: papers are the groups, and
-    a group holds the scales of one paper."""
-    schema = scales.withColumn("cluster", F.lit(0).cast("long")).schema
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("ord", kind="stable")
-        by_key, heads, out = {}, [], []
-        for key, tokens in zip(pdf["key"], pdf["tokens"], strict=True):
-            words = set(tokens) if tokens is not None else set()
-            at = by_key.get(key) if key else None
-            if at is None and words:
-                at = next((i for i, h in enumerate(heads) if h and len(h & words) / min(len(h), len(words)) >= similar), None)
-            if at is None:
-                at = len(heads)
-                heads.append(words)
-                if key:
-                    by_key.setdefault(key, at)
-            out.append(at)
-        return pdf.assign(cluster=pd.Series(out, index=pdf.index, dtype="int64"))
-
-    return scales.groupBy("paper_id").applyInPandas(one, schema)
+    ``similar``, else it founds one. Clusters of a paper are numbered from 0 in the order of their founders.
+
+    Scales of equal key and tokens are one here. In each round a scale founds if no undecided earlier one has its
+    key or similar tokens, and decides all that have; at least each paper's first undecided scale does. Equal
+    ``ord`` go by key and tokens; a null key or list is empty; scales of no paper are left out."""
+    words = F.array_sort(F.array_distinct(F.filter(F.coalesce("tokens", F.array().cast("array<string>")), lambda w: w.isNotNull())))
+    tagged = scales.where("paper_id is not null").withColumns({"__k": F.nullif("key", F.lit("")), "__w": words}).withColumn("__t", F.when(F.size("__w") > 0, F.to_json("__w")))
+    rows = ordinal(tagged, ["paper_id", "ord", "__k", "__t"], "__at")
+    kinds = rows.groupBy("paper_id", "__k", "__t").agg(F.min("__at").alias("at"), F.first("__w").alias("tokens"))
+    group = lambda c, name: kinds.where(f"{c} is not null").groupBy("paper_id", c).agg(F.min("at").alias(name))
+    keyed = kinds.where("__k is not null or __t is not null").join(group("__k", "kg"), ["paper_id", "__k"], "left").join(group("__t", "tg"), ["paper_id", "__t"], "left")
+    keyed = kept(keyed.select("paper_id", "__k", "__t", "at", "kg", "tg", "tokens"))
+    sets = keyed.where("at = tg").select(F.col("paper_id").alias("by"), F.col("tg").alias("id"), "tokens")
+    edges = kept(similar_pairs(sets, sets, similar).where("a <> b").select("a", "b"))
+    founders = _founders(keyed.select("at", "kg", "tg"), edges, few)
+
+    # the founder of each key, and the first founder near each set of words
+    by_key = founders.where("kg is not null").select("kg", F.col("at").alias("of_key"))
+    near = edges.join(founders.select(F.col("tg").alias("b"), "at"), "b").select(F.col("a").alias("tg"), "at").unionByName(founders.where("tg is not null").select("tg", "at"))
+    by_words = near.groupBy("tg").agg(F.min("at").alias("of_words"))
+    spots = keyed.select("paper_id", "__k", "__t", "kg", "tg").join(by_key, "kg", "left").join(by_words, "tg", "left").select("paper_id", "__k", "__t", "of_key", "of_words")
+    alike = lambda c: F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}"))
+    met = rows.alias("r").join(spots.alias("s"), (F.col("r.paper_id") == F.col("s.paper_id")) & alike("__k") & alike("__t"), "left")
+    # a founder of the key that comes later than the scale wasn't there yet
+    at = F.col("r.__at")
+    head = F.coalesce(F.when(F.col("s.of_key") <= at, F.col("s.of_key")), F.col("s.of_words"), at)
+    placed = met.select("r.*", head.alias("__head"))
+    first = placed.where("__head = __at").select("paper_id", "__at")
+    numbered = ordinal(first, ["paper_id", "__at"], "__n")
+    start = numbered.groupBy("paper_id").agg(F.min("__n").alias("__start"))
+    names = numbered.join(start, "paper_id").select(F.col("__at").alias("__head"), (F.col("__n") - F.col("__start")).alias("cluster"))
+    return placed.join(names, "__head").select(*scales.columns, "cluster")
+
+
+def _founders(open: DataFrame, edges: DataFrame, few: int) -> DataFrame:
+    """(at, kg, tg) of those of (at, kg, tg) that found: in the order of ``at``, each that no earlier founder
+    excludes, by an equal kg, an equal tg, or an edge between their tg. ``edges`` holds both directions."""
+    found = None
+    while True:
+        left = open.count()
+        if not left:
+            return found if found is not None else open
+        if left + edges.count() <= few:
+            last = _last(open, edges)
+            return last if found is None else found.unionByName(last)
+        own = open.where("tg is not null").groupBy("tg").agg(F.min(F.struct("at", "kg")).alias("m")).select("tg", "m.at", "m.kg")
+        key = open.where("kg is not null").groupBy("kg").agg(F.min(F.struct("at", "tg")).alias("m")).select("kg", "m.at", "m.tg")
+        around = edges.join(own.select(F.col("tg").alias("b"), "at"), "b").groupBy(F.col("a").alias("tg")).agg(F.min("at").alias("near"))
+        first = own.join(around, "tg", "left").where("near is null or at < near").drop("near")
+        with_key = first.where("kg is not null").join(key.select("kg", "at"), ["kg", "at"])
+        now = with_key.select("at", "kg", "tg").unionByName(first.where("kg is null").select("at", "kg", "tg")).unionByName(key.where("tg is null").select("at", "kg", "tg"))
+        now = kept(now)
+        gone = kept(now.where("tg is not null").select("tg").unionByName(edges.join(now.select(F.col("tg").alias("a")), "a").select(F.col("b").alias("tg"))).distinct())
+        open = kept(open.join(gone, "tg", "left_anti").join(now.where("kg is not null").select("kg"), "kg", "left_anti"))
+        held = open.where("tg is not null").select("tg").distinct()
+        edges = kept(edges.join(held.withColumnRenamed("tg", "a"), "a", "left_semi").join(held.withColumnRenamed("tg", "b"), "b", "left_semi"))
+        found = now if found is None else found.unionByName(now)
+
+
+def _last(open: DataFrame, edges: DataFrame) -> DataFrame:
+    """What ``_founders`` does, for few rows, in one task."""
+    both = open.select("at", "kg", "tg", F.lit(None).cast("long").alias("to")).unionByName(edges.select(F.lit(None).cast("long").alias("at"), F.lit(None).cast("long").alias("kg"), F.col("a").alias("tg"), F.col("b").alias("to")))
+
+    def run(frames):
+        near, rows = defaultdict(list), []
+        for f in frames:
+            for at, kg, tg, to in f.astype(object).where(f.notna(), None).itertuples(index=False, name=None):
+                if at is None:
+                    near[tg].append(to)
+                else:
+                    rows.append((int(at), kg, tg))
+        keys, sets, out = set(), set(), []
+        for at, kg, tg in sorted(rows, key=lambda r: r[0]):
+            if kg in keys or tg in sets:
+                continue
+            out.append((at, kg, tg))
+            if kg is not None:
+                keys.add(kg)
+            if tg is not None:
+                sets.update([tg, *near[tg]])
+        yield pd.DataFrame(out, columns=["at", "kg", "tg"]).astype("Int64")
+
+    return kept(both.coalesce(1).mapInPandas(run, "at long, kg long, tg long"))
 
 
 def merged(items: DataFrame, scales: DataFrame) -> DataFrame:
     """Clustered scales (paper_id, cluster, ord, key, tokens, subscales, attested) with verified items
     (paper_id, ord, item, key) -> one row per cluster: the name key of its richest scale, all subscales
-    once, whether any is attested, and items, each key once, the first scale's copy."""
-    w = Window.partitionBy("paper_id", "cluster")
-    richest = F.first("key").over(w.orderBy(F.desc(F.size("tokens")), "ord"))
-    heads = scales.withColumn("base", richest).groupBy("paper_id", "cluster").agg(
-        F.first("base").alias("base"),
-        T.merged_list(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "subscales"))), lambda s: s["subscales"]), ";")).alias("subscales"),
-        F.max("attested").alias("attested"),
-    )
+    once, whether any is attested, and items, each key once, the first scale's copy. Repeats are aggregated before
+    any list is made, so a list is no longer than what comes out."""
+    by = ["paper_id", "cluster"]
+    heads = scales.groupBy(*by).agg(F.min_by("key", F.struct(-F.coalesce(F.size("tokens"), F.lit(0)), F.col("ord"))).alias("base"), F.max("attested").alias("attested"))
+    parts = scales.select(*by, "ord", F.posexplode(F.transform(F.split("subscales", ";"), lambda p: F.trim(p))).alias("at", "part")).where("part <> ''")
+    first = parts.groupBy(*by, F.lower("part").alias("__p")).agg(F.min(F.struct("ord", "at", "part")).alias("s"))
+    subscales = first.groupBy(*by).agg(F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["part"]), "; ").alias("subscales"))
     placed = items.join(scales.select("paper_id", "ord", "cluster"), ["paper_id", "ord"])
-    first = F.row_number().over(Window.partitionBy("paper_id", "cluster", "key").orderBy("ord", "item"))
-    kept = placed.withColumn("__n", first).where("__n = 1").groupBy("paper_id", "cluster").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "item", "key"))), lambda x: x["key"]).alias("items"))
-    return heads.join(kept, ["paper_id", "cluster"], "left")
+    copies = placed.groupBy(*by, "key").agg(F.min(F.struct("ord", "item")).alias("s"))
+    lists = copies.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("s.ord", "s.item", "key"))), lambda x: x["key"]).alias("items"))
+    out = heads.join(subscales, by, "left").join(lists, by, "left")
+    return out.select(*by, "base", F.coalesce("subscales", F.lit("")).alias("subscales"), "attested", "items")
 
 
 def fuzzy_pairs(a: DataFrame, b: DataFrame, by: str, similar: float = SIMILAR) -> DataFrame:
-    """Pairs of the coders' scales (by, id, key, tokens) of equal key, else of overlap from ``similar``:
-    for each scale of A the most similar of B, ties to the least id. Compared within ``by`` only, through
-    the words that they share."""
-    right = b.select(by, F.col("id").alias("id_b"), F.col("key").alias("key_b"), F.col("tokens").alias("tokens_b"))
-    exact = a.join(right, by).where(F.col("key") == F.col("key_b")).select(by, F.col("id").alias("id_a"), "id_b", F.lit(1.0).alias("similarity"), F.lit(0).alias("kind"))
-    words = a.withColumn("w", F.explode("tokens")).join(right.withColumn("w", F.explode("tokens_b")), [by, "w"])
-    near = words.select(by, F.col("id").alias("id_a"), "id_b", T.overlap(F.col("tokens"), F.col("tokens_b")).alias("similarity"), F.lit(1).alias("kind")).distinct().where(F.col("similarity") >= similar)
-    best = F.row_number().over(Window.partitionBy(by, "id_a").orderBy("kind", F.desc("similarity"), "id_b"))
-    return exact.unionByName(near).withColumn("__n", best).where("__n = 1").select(by, "id_a", "id_b", "similarity")
+    """The most similar of B's scales (by, id, key, tokens) for each of A: of equal key, else of overlap from
+    ``similar``, ties to the least id; also one that another has taken. ``matched`` is one-to-one."""
+    one, two = (x.select(by, "key", F.col("id").alias(c)) for x, c in ((a, "id_a"), (b, "id_b")))
+    exact = one.join(two, [by, "key"]).select(by, "id_a", "id_b", F.lit(1.0).alias("similarity"), F.lit(0).alias("kind"))
+    sets = [x.select(F.col(by).alias("by"), "id", "tokens") for x in (a, b)]
+    near = similar_pairs(*sets, similar).select(F.col("by").alias(by), F.col("a").alias("id_a"), F.col("b").alias("id_b"), "similarity", F.lit(1).alias("kind"))
+    best = exact.unionByName(near).groupBy(by, "id_a").agg(F.min(F.struct("kind", -F.col("similarity"), "id_b", "similarity")).alias("m"))
+    return best.select(by, "id_a", "m.id_b", "m.similarity")
+
+
+def matched(a: DataFrame, b: DataFrame, by: str, similar: float = SIMILAR, few: int = FEW) -> DataFrame:
+    """One-to-one pairs of the coders' scales (by, ord, key, tokens) with both leftovers: rows (by, kind, ord_a,
+    ord_b), kind pair, only_a or only_b. In their order, each scale of A takes that of B of its key, or where B has
+    none of its key, the most similar unused one from ``similar`` on, the first of equals. Scales of B of one key are used
+    together; a pair by key names the last of these, one by words the first. A scale whose partner is used stays alone.
+
+    In each round those scales of A settle whose best unused partner no undecided earlier one could take; at least
+    the first undecided one of each group does. Nulls in key are empty; ``ord`` is unique within a group and side."""
+    named = lambda x: x.select(F.col(by).alias("by"), "ord", F.coalesce("key", F.lit("")).alias("key"), "tokens")
+    rows = ordinal(named(a), ["by", "ord"], "at")
+    sides = ordinal(named(b), ["by", "ord"], "pos")
+    keys = kept(sides.groupBy("by", "key").agg(F.min("pos").alias("first"), F.max("pos").alias("last")))
+    exact = rows.join(keys, ["by", "key"]).select("at", F.lit(0).alias("kind"), F.lit(-1.0).alias("less"), F.col("first").alias("spot"), F.col("first").alias("used"), F.col("last").alias("to"))
+    loose = rows.join(keys.select("by", "key"), ["by", "key"], "left_anti").select("by", F.col("at").alias("id"), "tokens")
+    spots = sides.join(keys.select("by", "key", "first"), ["by", "key"]).select("by", F.col("pos").alias("id"), "tokens", F.col("first"))
+    near = similar_pairs(loose, spots.select("by", "id", "tokens"), similar).join(spots.select(F.col("id").alias("b"), "first"), "b")
+    edges = exact.unionByName(near.select(F.col("a").alias("at"), F.lit(1).alias("kind"), (-F.col("similarity")).alias("less"), F.col("b").alias("spot"), F.col("first").alias("used"), F.col("b").alias("to")))
+    pairs = _settled(kept(edges), few)
+    done = pairs.join(rows.select("at", "by", F.col("ord").alias("ord_a")), "at").join(sides.select(F.col("pos").alias("to"), F.col("ord").alias("ord_b")), "to")
+    alone = rows.join(pairs.select("at"), "at", "left_anti").select("by", F.lit("only_a").alias("kind"), F.col("ord").alias("ord_a"), F.lit(None).cast(dict(b.dtypes)["ord"]).alias("ord_b"))
+    over = keys.join(pairs.select(F.col("used").alias("first")), "first", "left_anti").select("by", "key")
+    left = sides.join(over, ["by", "key"]).select("by", F.lit("only_b").alias("kind"), F.lit(None).cast(dict(a.dtypes)["ord"]).alias("ord_a"), F.col("ord").alias("ord_b"))
+    return done.select("by", F.lit("pair").alias("kind"), "ord_a", "ord_b").unionByName(alone).unionByName(left).withColumnRenamed("by", by)
+
+
+def _settled(edges: DataFrame, few: int) -> DataFrame:
+    """(at, used, to): in the order of ``at``, the best of its edges (at, less, spot, used, to) whose ``used`` is free."""
+    found = None
+    while n := edges.count():
+        if n <= few:
+            last = _rest(edges)
+            return last if found is None else found.unionByName(last)
+        best = edges.groupBy("at").agg(F.min(F.struct("less", "spot", "used", "to")).alias("m")).select("at", "m.used", "m.to")
+        first = edges.groupBy("used").agg(F.min("at").alias("at"))
+        now = kept(best.join(first, ["used", "at"]).select("at", "used", "to"))
+        edges = kept(edges.join(now.select("at"), "at", "left_anti").join(now.select("used"), "used", "left_anti"))
+        found = now if found is None else found.unionByName(now)
+    return found if found is not None else edges.select("at", "used", "to")
+
+
+def _rest(edges: DataFrame) -> DataFrame:
+    def run(frames):
+        rows = sorted(r for f in frames for r in f[["at", "less", "spot", "used", "to"]].itertuples(index=False, name=None))
+        taken, used, out = set(), set(), []
+        for at, _, _, u, to in rows:
+            if at not in taken and u not in used:
+                out.append((at, u, to))
+                taken.add(at), used.add(u)
+        yield pd.DataFrame(out, columns=["at", "used", "to"], dtype="int64")
+
+    return kept(edges.coalesce(1).mapInPandas(run, "at long, used long, to long"))

@@ -32,14 +32,21 @@ def _words(c: Column) -> Column:
     return F.filter(F.split(c, r"\s+"), lambda w: w != "")
 
 
-def evidence_pairs(needles: DataFrame, needle: str, sources: DataFrame, source: str, most_bytes: int = 200_000) -> DataFrame:
+def _grams(word: Column, lengths: list[int]) -> Column:
+    """The different runs of so many characters of a word: at most its length times the number of lengths."""
+    cut = lambda n: F.when(F.length(word) >= n, F.transform(F.sequence(F.lit(1), F.length(word) - n + 1), lambda i: F.substring(word, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(*[cut(n) for n in lengths]))
+
+
+def evidence_pairs(needles: DataFrame, needle: str, sources: DataFrame, source: str, most_bytes: int = 200_000, gram: int = 4) -> DataFrame:
     """Cross-document containment: (needle row, source row) where the source contains the needle.
 
     Needles of up to ``most_bytes`` in all (measured first) are broadcast. Larger sets meet on words, as
     narrow rows of hashes, and texts are fetched for what met. A needle of three words and more has whole
     words between its first and its last, which a source that contains it has too: the longest is its key.
     One of two words ends a word of the source and begins the next: the longer half is its key. A single
-    word lies anywhere in one. Halves and single words meet the distinct words of all sources first."""
+    word lies anywhere in one. Halves and single words meet the distinct words of all sources by their rarest
+    run of ``gram`` characters, or as a whole where they are shorter: rarest among those words, counted first."""
     held = needles.where(F.col(needle) != "")
     inside = F.contains(F.col(source), F.col(needle))
     if (held.agg(F.sum(F.octet_length(needle))).first()[0] or 0) <= most_bytes:
@@ -54,18 +61,16 @@ def evidence_pairs(needles: DataFrame, needle: str, sources: DataFrame, source:
     split = held.withColumn("__w", _words(F.col(needle))).withColumns({"__kind": kind, "__key": key, "__n": F.xxhash64(needle)}).drop("__w")
     keys = split.select("__n", "__kind", "__key").distinct()
     met = words.join(keys.where("__kind = 'whole'"), F.col("__word") == F.col("__key")).select("__h", "__n")
-    lengths = [r[0] for r in keys.where("__kind in ('end', 'begin', 'part')").select(F.length("__key").alias("l")).distinct().collect()]
-    if lengths:  # numbers of letters, so few
-        known = words.select("__word").distinct()
-        of = F.array(*[F.lit(n) for n in lengths])
-        cut = lambda n: F.concat(
-            F.array(F.struct(F.lit("begin").alias("k"), F.substring("__word", F.lit(1), n).alias("x"))),
-            F.array(F.struct(F.lit("end").alias("k"), F.substring("__word", -n, n).alias("x"))),
-            F.transform(F.sequence(F.lit(1), F.length("__word") - n + 1), lambda i: F.struct(F.lit("part").alias("k"), F.substring("__word", i, n).alias("x"))),
-        )
-        pieces = known.select("__word", F.explode(F.array_distinct(F.flatten(F.transform(F.filter(of, lambda n: n <= F.length("__word")), cut)))).alias("p"))
-        short = pieces.join(keys, (F.col("p.k") == F.col("__kind")) & (F.col("p.x") == F.col("__key"))).select("__word", "__n")
-        met = met.unionByName(words.join(short, "__word").select("__h", "__n"))
+    short = keys.where("__kind in ('end', 'begin', 'part')")
+    lengths = sorted(r[0] for r in short.select(F.least(F.length("__key"), F.lit(gram)).alias("n")).distinct().collect())  # at most ``gram`` numbers
+    if lengths:
+        asked = short.select("__n", "__kind", "__key", F.explode(F.when(F.length("__key") >= gram, _grams(F.col("__key"), [gram])).otherwise(F.array("__key"))).alias("g"))
+        found = words.select("__word").distinct().select("__word", F.explode(_grams(F.col("__word"), lengths)).alias("g")).join(asked.select("g").distinct(), "g", "left_semi")
+        often = found.groupBy("g").agg(F.count("*").alias("c"))
+        rarest = asked.join(often, "g", "left").groupBy("__n", "__kind", "__key").agg(F.min(F.struct(F.coalesce("c", F.lit(0)).alias("c"), "g")).alias("m"))
+        fits = F.when(F.col("__kind") == "end", F.endswith("__word", "__key")).when(F.col("__kind") == "begin", F.startswith("__word", "__key")).otherwise(F.contains("__word", "__key"))
+        near = found.join(rarest.select("__n", "__kind", "__key", F.col("m.g").alias("g")), "g").where(fits).select("__word", "__n")
+        met = met.unionByName(words.join(near, "__word").select("__h", "__n"))
     met = met.distinct().join(split.drop("__kind", "__key"), "__n").join(texts, "__h").where(inside).drop("__n", "__h")
     blank = split.where("__kind = 'any'").drop("__kind", "__key", "__n")  # white space only: one or two needles
     out = met.select(*sources.columns, *held.columns)

@@ -58,3 +58,17 @@ def source_agreement(pairs: DataFrame, by: str, tolerance: dict[str, float]) ->
         final, own = F.col(f"final_{field}"), F.col(field)
         aggs.append(F.avg(F.when(final.isNotNull(), F.coalesce((F.abs(final - own) <= tol).cast("double"), F.lit(0.0)))).alias(f"{field}_agrees"))
     return pairs.groupBy(by).agg(F.count("*").alias("papers"), *aggs)
+
+
+def record_recall(final: DataFrame, given: DataFrame, ran: DataFrame, by: str, paper: str) -> DataFrame:
+    """How much of the final records each source had: (by, papers, scales_recall, items_recall), means over the
+    papers that it ran on and whose final record has any; null where there are none. ``final`` (paper, kind, key) and
+    ``given`` (by, paper, kind, key) hold the keys of both kinds, scales and items, where repeats and blanks don't
+    count; ``ran`` (by, paper) says what each source ran on, also where it gave nothing."""
+    held = final.where("key <> ''").select(paper, "kind", "key").distinct()
+    sizes = held.groupBy(paper, "kind").agg(F.count("*").alias("n"))
+    hits = given.select(by, paper, "kind", "key").distinct().join(held, [paper, "kind", "key"]).groupBy(by, paper, "kind").agg(F.count("*").alias("hits"))
+    ran = ran.select(by, paper).distinct()
+    each = ran.join(sizes, paper).join(hits, [by, paper, "kind"], "left").withColumn("share", F.coalesce("hits", F.lit(0)) / F.col("n"))
+    means = each.groupBy(by).agg(*[F.avg(F.when(F.col("kind") == k, F.col("share"))).alias(f"{k}_recall") for k in ("scales", "items")])
+    return ran.groupBy(by).agg(F.count("*").alias("papers")).join(means, by, "left")

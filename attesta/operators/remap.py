@@ -40,6 +40,18 @@ def tiered(items: DataFrame, tables: list[DataFrame], keys: list[str]) -> DataFr
     return items.join(best, "row_id", "left")
 
 
+def fallback(items: DataFrame, new: tuple[DataFrame, DataFrame], old: tuple[DataFrame, DataFrame], original: str, english: str) -> DataFrame:
+    """The code of an item by eight look-ups in this order: among the new codes the exact keys of the original and
+    of the English wording, then the loose keys of both; then the same among the old codes. items (row_id,
+    original, english); ``new`` and ``old``: tables (key, code) by exact and by loose keys (``item_keys``). Adds
+    code and tier, 1 to 8, both null where nothing has one."""
+    kinds = (T.match_norm, T.match_aggressive)
+    keyed = items.select("row_id", *[f(c).alias(f"{k}{i}") for i, f in enumerate(kinds) for k, c in (("o", original), ("e", english))])
+    tables = [t for pair in (new, old) for t in pair for _ in range(2)]
+    found = tiered(keyed, tables, ["o0", "e0", "o1", "e1"] * 2)
+    return items.join(found.select("row_id", "code", "tier"), "row_id", "left")
+
+
 def through_twin(rows: DataFrame) -> DataFrame:
     """A row without a code takes that of the row it points to (maps_to_row_id, one step deep)."""
     twin = rows.select(F.col("row_id").alias("maps_to_row_id"), F.col("code").alias("__twin"))
