@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from attesta.llm.runtime import map_small, ranked, written
 
 #: Words of a phrase; words of a chunk; occurrences of a pivot that one task may get; groups in which leaders are sought first.
-LONGEST, CHUNK, SALT, GROUPS = 4, 1 << 20, 1 << 15, 64
+LONGEST, CHUNK, SALT, GROUPS = 4, 1 << 20, 1 << 18, 64
 _SPAN = LONGEST - 1
 _WIDTH = 2 * _SPAN + 1
 _CUT = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ")
