@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -38,3 +38,15 @@ def expected_rows(records: DataFrame) -> DataFrame:
     with_text = F.aggregate(F.transform(scales, lambda s: F.size(F.filter(s["items"], text))), F.lit(0), lambda total, x: total + F.coalesce(x, F.lit(0)))
     empty = F.coalesce(F.size(scales), F.lit(0)) < 1
     return records.select("paper_id", F.when(empty, 1).otherwise(n).cast("long").alias("n_rows"), F.when(empty, 0).otherwise(with_text).cast("long").alias("n_items"))
+
+
+def split(rows: DataFrame, outcome: Column, path: str) -> tuple[DataFrame, dict[str, int]]:
+    """Writes the rows by their outcome, kept, removed or unaccounted, and counts them in the same pass, by metrics
+    of the write, so that input = kept + removed + unaccounted is what was really written. Returns the kept
+    rows, read again, and the counts. A null outcome is unaccounted."""
+    seen = Observation()
+    tagged = rows.withColumn("__outcome", F.coalesce(outcome, F.lit("unaccounted")))
+    is_ = lambda o: F.count_if(F.col("__outcome") == o).alias(o)
+    tagged.observe(seen, F.count(F.lit(1)).alias("input"), is_("kept"), is_("removed"), is_("unaccounted")).write.partitionBy("__outcome").parquet(path)
+    written = rows.sparkSession.read.schema(tagged.schema).parquet(path)
+    return written.where("__outcome = 'kept'").drop("__outcome"), dict(seen.get)

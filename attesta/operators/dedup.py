@@ -17,6 +17,7 @@ GENERIC_SCALES = [
 
 
 USABLE = "needs_review = 0 and extraction_status = 'success' and item_text_english is not null"
+UNUSABLE = "needs_review <> 0 or extraction_status <> 'success' or item_text_english is null"
 
 
 def usable(rows: DataFrame) -> DataFrame:
@@ -27,12 +28,11 @@ def usable(rows: DataFrame) -> DataFrame:
 def unusable(rows: DataFrame) -> DataFrame:
     """The negation spelled as alternatives. Under nulls it is not the complement of P1, and rows
     in neither are what ``unaccounted`` reports."""
-    return rows.where("needs_review <> 0 or extraction_status <> 'success' or item_text_english is null")
+    return rows.where(UNUSABLE)
 
 
 def unaccounted(rows: DataFrame) -> DataFrame:
-    kept = F.expr("coalesce(needs_review = 0 and extraction_status = 'success' and item_text_english is not null, false)")
-    gone = F.expr("coalesce(needs_review <> 0 or extraction_status <> 'success' or item_text_english is null, false)")
+    kept, gone = (F.coalesce(F.expr(x), F.lit(False)) for x in (USABLE, UNUSABLE))
     return rows.where(~kept & ~gone)
 
 

@@ -35,6 +35,34 @@ def first_offenders(problems: DataFrame, *keys: str, n: int = 20) -> DataFrame:
     return ordered(problems, *keys).limit(n)
 
 
+def nth(values: DataFrame, column: str, n: int, buckets: int = 1024):
+    """The value at place ``n`` from 0 in the order of a numeric column without nulls, exactly. Each pass counts the values
+    by equal buckets of the range that still holds the place, and goes on with its bucket's least and greatest
+    value, so no task or sort holds the values, and a few numbers a bucket reach the driver. Whole numbers too near each
+    other to differ as doubles are buckets of their own: at most some hundred."""
+    v, left = F.col(column), values.select(column)
+    low, high = left.agg(F.min(v), F.max(v)).first()
+    while low != high:
+        held, width = left.where(v.between(low, high)), float(high) / 2 - float(low) / 2  # halves, so that it stays a number
+        bucket = F.least(F.floor((v / 2 - F.lit(float(low) / 2)) / width * buckets), F.lit(buckets - 1)) if width > 0 else v
+        for r in held.groupBy(bucket.alias("b")).agg(F.count("*").alias("n"), F.min(v).alias("low"), F.max(v).alias("high")).orderBy("b").collect():
+            if n < r["n"]:
+                low, high = r["low"], r["high"]
+                break
+            n -= r["n"]
+    return low
+
+
+def median(rows: DataFrame, column: str) -> float | None:
+    """The exact median without nulls, by selection instead of a sort: the mean of both middle values of an even number."""
+    held = rows.where(F.col(column).isNotNull()).select(column)
+    n = held.count()
+    if not n:
+        return None
+    low = nth(held, column, (n - 1) // 2)
+    return float(low) if n % 2 else (float(low) + float(nth(held, column, n // 2))) / 2
+
+
 def profile(rows: DataFrame, tokens: str, *pair: str) -> DataFrame:
     """The exact median of the tokens, and distinct pairs without nulls."""
-    return rows.agg(F.median(tokens).alias("median_tokens"), F.count_distinct(*pair).alias("pairs"))
+    return rows.agg(F.lit(median(rows, tokens)).cast("double").alias("median_tokens"), F.count_distinct(*pair).alias("pairs"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from attesta.plans import textual
 from attesta.plans.roles import table
 from attesta.sources import readers, scratch, sinks
-from attesta.streaming import incremental
+from attesta.streaming import incremental, jobs
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -142,3 +142,21 @@ def _(spark, d):
     share = F.avg(F.when(F.col("o_orderstatus") == "O", 1.0).otherwise(0.0))
     metrics = table(spark, d, "orders").agg(F.count("*").alias("orders"), share.alias("open"))
     return spark.createDataFrame([(sinks.summary(metrics, "Orders"),)], "summary string")
+
+
+# A customer's orders are the status events of one job, in the order of their numbers.
+@query("job_outcomes", """
+WITH e AS (SELECT o_custkey AS paper_id, o_orderkey AS seq, CAST(o_orderpriority = '2-HIGH' AS INTEGER) AS done, CAST(o_orderpriority = '1-URGENT' AS INTEGER) AS failed FROM orders),
+r AS (SELECT *, sum(failed) OVER w AS f, sum(done) OVER w AS n FROM e WINDOW w AS (PARTITION BY paper_id ORDER BY seq)),
+o AS (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY seq) AS i FROM r WHERE n >= 1 OR f >= 2)
+SELECT paper_id, CASE WHEN n >= 1 THEN 'done' ELSE 'given_up' END AS outcome, CAST(f AS INTEGER) AS attempts FROM o WHERE i = 1""")
+def _(spark, d):
+    own, at = spark.newSession(), scratch.folder(spark)
+    own.conf.set(*jobs.STORE)
+    p = F.col("o_orderpriority")
+    status = F.when(p == "1-URGENT", "expired").when(p == "2-HIGH", "JOB_STATE_SUCCEEDED").otherwise("in_progress")
+    orders = own.readStream.schema(table(spark, d, "orders").schema).parquet(f"{d}/orders.parquet*")
+    events = orders.select(F.col("o_custkey").alias("paper_id"), F.col("o_orderkey").alias("seq"), status.alias("status"), F.col("o_orderdate").alias("at"))
+    run = jobs.outcomes(events).writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
+    run.awaitTermination()
+    return spark.read.schema("paper_id long, outcome string, attempts int").parquet(f"{at}/out")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from attesta.functions import text as T
-from attesta.operators import dedup, remap
+from attesta.operators import audit, dedup, remap
 from attesta.plans import roles, textual
+from attesta.sources import scratch
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -127,3 +128,26 @@ def _(spark, d):
     kept = items.where("keep_item").withColumn("code", F.substring(F.md5("item_clean"), 1, 1))
     removed = scales.where("not keep_scale").withColumn("item_clean", T.clean_key("item_text_english"))
     return remap.carried_back(kept, items, removed)
+
+
+@query("funnel_audit", f"""WITH {ITEMS}
+SELECT step, input, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(unaccounted AS BIGINT) AS unaccounted FROM (
+SELECT 'step1' AS step, count(*) AS input, count_if(needs_review = 0 AND status = 'success' AND english IS NOT NULL) AS kept, count_if(coalesce(needs_review <> 0, false) OR coalesce(status <> 'success', false) OR english IS NULL) AS removed,
+  count_if(needs_review IS NULL AND status = 'success' AND english IS NOT NULL) AS unaccounted FROM r
+UNION ALL SELECT 'step2a', count(*), count_if(keep_scale), count_if(NOT keep_scale), 0 FROM s
+UNION ALL SELECT 'step2b', count(*), count_if(keep_item), count_if(NOT keep_item), 0 FROM d
+UNION ALL SELECT 'step3', count(*), count_if(coalesce(social = 'YES', false)), count_if(NOT coalesce(social = 'YES', false)), 0 FROM d WHERE keep_item)""")
+def _(spark, d):
+    at, out = scratch.folder(spark), []
+    flag = lambda c: F.when(F.coalesce(c, F.lit(False)), "kept").otherwise("removed")
+    first = F.when(F.expr(dedup.USABLE), "kept").when(F.expr(dedup.UNUSABLE), "removed")
+    rows = roles.funnel(spark, d)
+    for step, made, outcome in (
+        ("step1", lambda x: x, first),
+        ("step2a", dedup.scale_occurrences, flag(F.col("keep_scale"))),
+        ("step2b", dedup.item_duplicates, flag(F.col("keep_item"))),
+        ("step3", lambda x: x, flag(F.col("measures_social_connection") == "YES")),
+    ):
+        rows, counts = audit.split(made(rows), outcome, f"{at}/{step}")
+        out.append((step, *[counts[c] for c in ("input", "kept", "removed", "unaccounted")]))
+    return spark.createDataFrame(out, "step string, input long, kept long, removed long, unaccounted long")

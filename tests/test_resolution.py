@@ -154,3 +154,73 @@ def test_costs_are_decimal(spark):
     for r in df.collect():
         whole, rest = divmod(r.i * 15 + r.o * 125, 1000)
         assert r.c == (whole + (rest > 500 or (rest == 500 and whole % 2 == 1))) / 100_000
+
+
+def test_exact_medians(spark):
+    from attesta.operators import queue
+
+    rng = random.Random(3)
+    for values in ([5], [1, 2], [3, 3, 3, 9], [rng.randrange(-(10**6), 10**6) for _ in range(501)], [2**62, 2**62 + 1, -(2**62), 7], [rng.random() * 10 ** rng.randrange(-9, 9) for _ in range(200)], [1.0, 1.0000000000000002, 5e300, -5e300]):
+        kind = "double" if isinstance(values[0], float) else "long"
+        df = spark.createDataFrame([(v,) for v in [*values, None]], f"v {kind}")
+        held, n = sorted(values), len(values)
+        assert queue.median(df, "v") == (float(held[(n - 1) // 2]) + float(held[n // 2])) / 2 if n % 2 == 0 else float(held[n // 2])
+        for i in rng.sample(range(n), min(n, 2)):
+            assert queue.nth(df.where("v is not null"), "v", i) == held[i]
+    assert queue.median(spark.createDataFrame([], "v long"), "v") is None
+
+
+def test_split_counts_what_it_writes(spark, tmp_path):
+    from attesta.operators import audit
+
+    rows = spark.createDataFrame([(i, "kept" if i % 3 == 0 else "removed" if i % 3 == 1 else None) for i in range(10)], "i int, o string")
+    kept, counts = audit.split(rows, F.col("o"), str(tmp_path / "t"))
+    assert counts == {"input": 10, "kept": 4, "removed": 3, "unaccounted": 3}
+    assert sorted(r.i for r in kept.collect()) == [0, 3, 6, 9] and kept.columns == ["i", "o"]
+    none, counts = audit.split(rows.limit(0), F.col("o"), str(tmp_path / "e"))
+    assert none.collect() == [] and counts["input"] == 0
+
+
+def test_versions_swap_whole_tables(spark, tmp_path):
+    from attesta.sources import versions
+
+    at = str(tmp_path / "ledger")
+    rows = lambda *r: spark.createDataFrame(r, "k string, v int, pos long")
+    held = lambda: sorted((r.k, r.v, r.pos) for r in versions.read(spark, at).collect())
+    with pytest.raises(FileNotFoundError):
+        versions.read(spark, at)
+    assert versions.upsert(rows(("a", 1, 0), ("b", 1, 1)), at, "k", "pos") == 1
+    assert versions.upsert(rows(("c", 2, 0), ("a", 2, 1)), at, "k", "pos") == 2
+    assert held() == [("a", 2, 0), ("b", 1, 1), ("c", 2, 2)]
+    # dies after it has written and before the swap: readers see the old rows, and the run can come again
+    dead = versions.stage(rows(("x", 9, 0)), at)
+    assert held()[0][0] == "a" and versions.version(spark, at) == 2
+    # dies within the swap: an entry without contents is none
+    (tmp_path / "ledger" / "_manifest" / f"{3:010d}").write_bytes(b"")
+    assert versions.version(spark, at) == 2
+    assert versions.upsert(rows(("d", 3, 0)), at, "k", "pos") == 3 and len(held()) == 4
+    # of two writers that began from one version, the second fails
+    late = versions.stage(rows(("y", 9, 0)), at)
+    with pytest.raises(versions.Conflict):
+        versions.swap(spark, at, late, 2)
+    assert versions.clean(spark, at, keep=1) == 4 and len(held()) == 4
+    assert not (tmp_path / "ledger" / dead).exists()
+
+
+def test_recall_against_final_records(spark):
+    from attesta.operators import ledger
+
+    final = spark.createDataFrame([("p", "items", "a"), ("p", "items", "b"), ("p", "items", "a"), ("p", "items", ""), ("p", "scales", "s"), ("q", "items", "c")], "paper string, kind string, key string")
+    given = spark.createDataFrame([("x", "p", "items", "a"), ("x", "p", "items", "z"), ("x", "p", "scales", "s"), ("y", "q", "items", "c"), ("y", "q", "items", "c")], "src string, paper string, kind string, key string")
+    ran = spark.createDataFrame([("x", "p"), ("x", "q"), ("y", "q"), ("z", "r")], "src string, paper string")
+    got = {r.src: (r.papers, r.scales_recall, r.items_recall) for r in ledger.record_recall(final, given, ran, "src", "paper").collect()}
+    assert got == {"x": (2, 1.0, 0.25), "y": (1, None, 1.0), "z": (1, None, None)}
+
+
+def test_eight_look_ups_in_order(spark):
+    from attesta.operators import remap
+
+    items = spark.createDataFrame([(1, "Tell me.", "x"), (2, "tell me", None), (3, "none", "to tell"), (4, "totell", "q"), (5, "old one", "tell me"), (6, "nothing", "old"), (7, "zz", "zz")], "row_id long, o string, e string")
+    table = lambda **codes: spark.createDataFrame([(k.replace("_", " "), v) for k, v in codes.items()], "key string, code string")
+    got = remap.fallback(items, (table(tell_me="n1", none=""), table(totell="n2")), (table(old_one="p1", old="p1e"), table(zz="p2")), "o", "e")
+    assert {r.row_id: (r.code, r.tier) for r in got.collect()} == {1: ("n1", 1), 2: ("n1", 1), 3: ("n2", 4), 4: ("n2", 3), 5: ("n1", 2), 6: ("p1e", 6), 7: ("p2", 7)}
