@@ -9,9 +9,10 @@ penalty). The cuts minimise padding plus penalties. With pos the place of a cut
 
 so the transition is a sliding minimum over cuts, kept in a monotone queue: linear time.
 
-Each partition of a table in the order of its ids holds runs of that stream, any other table is dealt
-out so first. A task works through its runs in buffers of bounded size, whatever the length of a
-document, and only the last window of a run is left short.
+The stream is cut into runs of about ``RUN`` bytes of text (more where they would be over ``MOST_RUNS``), by sums over
+the whole table, and each run is packed on its own, in buffers of bounded size, whatever the length of a
+document; only its last window is left short. So the same rows give the same pieces however the table is
+stored and on however many machines.
 """
 
 from __future__ import annotations
@@ -21,16 +22,19 @@ from collections import deque
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from attesta.llm import tokens
-from attesta.llm.runtime import LONG_MIN, in_order, map_small
+from attesta.llm.runtime import LONG_MIN, map_small, ranked
 
 SIZE = 2_048
 STRIDE = 64
 SENTENCE, MIDDLE = 16.0, 48.0
 #: Tokens of a buffer.
 BUFFER = 1 << 20
+#: Bytes of text of a run, and runs at most: the driver gets the first key of each.
+RUN, MOST_RUNS = 12_000_000, 20_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -125,6 +129,29 @@ class _Stream:
         self.held -= at
 
 
+def _at_or_before(edges: Column, n: int, key: Column) -> Column:
+    """The place from 0 of the last of ``n`` rising ``edges`` that is at most ``key``, by halving; the first is."""
+    middle = lambda a: F.shiftright(a["lo"] + a["hi"] + 1, 1)
+    step = lambda a, _: F.when(F.get(edges, middle(a)) <= key, F.struct(middle(a).alias("lo"), a["hi"].alias("hi"))).otherwise(F.struct(a["lo"].alias("lo"), F.greatest(a["lo"], middle(a) - 1).alias("hi")))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(max(1, n.bit_length()))), F.struct(F.lit(0).alias("lo"), F.lit(n - 1).alias("hi")), step, lambda a: a["lo"])
+
+
+def runs(docs: DataFrame, id: str, text: str) -> DataFrame:
+    """(run, id, text), in one partition for each run and in the order of ids, of which a null is the least, and of a hash
+    of the texts within an id. Null texts are empty. Rows equal in both are dealt out by their place in the table, so that
+    they may be many runs; which of them is in which makes no difference."""
+    rows = docs.select(F.coalesce(F.col(id).cast("long"), F.lit(LONG_MIN)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = rows.withColumns({"tie": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
+    sized = ranked(rows.select("id", "tie", "row", (F.octet_length("text") + 1).cast("long").alias("n")), ["id", "tie", "row"], "before", weight="n")
+    total = sized.agg(F.sum("n")).first()[0] or 0
+    each = max(RUN, -(-total // MOST_RUNS))
+    first = sized.groupBy(F.floor(F.col("before") / each).alias("run")).agg(F.min(F.struct("id", "tie", "row")).alias("k")).select("k.*").collect()
+    keys = sorted(tuple(r) for r in first) or [(LONG_MIN, 0, 0)]
+    edges = F.from_json(F.lit("[" + ",".join(f'{{"id":{a},"tie":{b},"row":{c}}}' for a, b, c in keys) + "]"), "array<struct<id:bigint,tie:bigint,row:bigint>>")
+    placed = rows.withColumn("run", _at_or_before(edges, len(keys), F.struct("id", "tie", "row")))
+    return placed.repartitionById(len(keys), "run").sortWithinPartitions("run", "id", "tie", "row").select("run", "id", "text")
+
+
 def pack(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE, text: str = "text", id: str = "doc_id") -> DataFrame:
     """One row for each piece of a document in a sequence: doc_id, start (ids of its document before
     it), length, ids_crc32 (of its ids as little-endian 32-bit integers), doc_tokens (with the end id),
@@ -137,22 +164,20 @@ def pack(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE, text:
     path = tokenizer or tokens.path_of()
 
     def run(batches):
-        from pyspark import TaskContext
-
-        tok, stream, last = tokens.tokenizer(path), _Stream(size, TaskContext.get().partitionId()), LONG_MIN
+        tok, stream = tokens.tokenizer(path), None
 
         def frame(rows):
             return pd.DataFrame(rows, columns=[c.split()[0] for c in PIECES.split(", ")]).astype({"doc_id": "Int64"})
 
         for b in batches:
-            for doc, (ids, ends) in zip(b["id"].to_pylist(), tok.many(b["text"]), strict=True):
-                if doc < last:  # another run begins
-                    for rows in stream.flush(True):
+            for part, doc, (ids, ends) in zip(b["run"].to_pylist(), b["id"].to_pylist(), tok.many(b["text"]), strict=True):
+                if stream is None or part != stream.part:  # another run begins
+                    for rows in stream.flush(True) if stream else ():
                         yield frame(rows)
-                last = doc
+                    stream = _Stream(size, part)
                 for rows in stream.add(None if doc == LONG_MIN else doc, np.append(ids, ids.dtype.type(tokens.END)), ends):
                     yield frame(rows)
-        for rows in stream.flush(True):
+        for rows in stream.flush(True) if stream else ():
             yield frame(rows)
 
-    return map_small(in_order(docs, id, text), run, PIECES, arrow=True)
+    return map_small(runs(docs, id, text), run, PIECES, arrow=True)

@@ -4,7 +4,7 @@ A text's features are its distinct words and their prefixes; a feature's value i
 1 and the number of distinct words that have it. Features are hashed; those that a likelihood-ratio
 test links with the label (``G2_MIN``) get weights by logistic regression. For each labelled text that
 names a group of people, copies with the identity terms swapped for others of the same kind are
-made, and the squared change of the score is added to the loss; so are carrier phrases that name a
+made, one for every other term of the longest kind it names, and the squared change of the score is added to the loss; so are carrier phrases that name a
 group and nothing else, against the neutral term. So the weights cannot make naming a group, in
 itself, look toxic.
 
@@ -79,6 +79,12 @@ def swapped(words: set[str], turn: int) -> set[str]:
     return {_KIND[w][0][(_KIND[w][1] + turn) % len(_KIND[w][0])] if w in _KIND else w for w in words}
 
 
+def swaps(words: set[str]) -> list[set[str]]:
+    """The words with each identity term swapped, once for every other term of the longest kind that is named."""
+    longest = max((len(_KIND[w][0]) for w in words if w in _KIND), default=1)
+    return [swapped(words, turn) for turn in range(1, longest)]
+
+
 def counts(words: set[str]) -> tuple[np.ndarray, np.ndarray]:
     ids = [f for w in words for f in features_of(w)]
     return np.unique(np.array(ids, dtype=np.int64), return_counts=True) if ids else (np.zeros(0, np.int64), np.zeros(0, np.int64))
@@ -172,8 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id: str =
             for y, value in zip(b["y"], b["text"], strict=True):
                 words = bag(value)
                 ids, n = counts(words)
-                named = words & _KIND.keys()
-                others = [counts(swapped(words, turn)) for turn in (1, 2, 3)] if named else []
+                others = [counts(other) for other in swaps(words)]
                 rows.append((y, ids.tolist(), n.tolist(), [o[0].tolist() for o in others], [o[1].tolist() for o in others]))
             yield pd.DataFrame(rows, columns=["y", "ids", "n", "cf_ids", "cf_n"])
 

@@ -670,6 +670,34 @@ def test_packing(spark, odd, monkeypatch):
     assert not +pieces
 
 
+def test_packing_is_the_same_however_the_table_is_split(spark, odd, monkeypatch):
+    monkeypatch.setattr(packing, "RUN", 1_000)
+    full = table(spark, odd)
+    want = None
+    for dealt in (full.coalesce(1), full.repartition(4), full.repartition(16), full.repartitionByRange(7, "doc_id"), full.orderBy(F.desc("text"))):
+        got = sorted(map(str, packing.pack(dealt, size=64).collect()))
+        assert want is None or got == want
+        want = got
+    ids = {r.sequence_id >> 40 for r in packing.pack(full, size=64).select("sequence_id").collect()}
+    assert ids == set(range(len(ids))) and len(ids) > 3
+
+
+def test_equal_rows_may_be_many_runs(spark, monkeypatch):
+    monkeypatch.setattr(packing, "RUN", 500)
+    same = table(spark, [(1, "the same words again", "s")] * 300 + [(2, "other", "s")])
+    held = packing.runs(same, "doc_id", "text").groupBy("run").count().collect()
+    assert len(held) >= 12 and max(r["count"] for r in held) <= 26
+    got = packing.pack(same, size=16).toPandas()
+    assert got.length.sum() == sum(got[got.start == 0].doc_tokens) and (got.start == 0).sum() == 301
+
+
+def test_places_by_halving(spark):
+    for n in (1, 2, 3, 7, 8, 100):
+        edges = F.array(*[F.lit(10 * i) for i in range(n)])
+        got = spark.range(0, 10 * n + 15).select("id", packing._at_or_before(edges, n, F.col("id")).alias("at")).collect()
+        assert all(r["at"] == min(n - 1, r["id"] // 10) for r in got)
+
+
 def test_cuts_are_optimal():
     rng = random.Random(3)
     for _ in range(200):
