@@ -2,6 +2,7 @@
 repeated rows, empty tables, and other columns whose names an operator also uses."""
 
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -772,3 +773,85 @@ def test_fairness_term_lowers_the_groups_weight(spark, monkeypatch):
     one = toxicity.fit(docs, marks).scorer()("the muslim neighbour")
     monkeypatch.setattr(toxicity, "FAIR", 0.0)
     assert one < toxicity.fit(docs, marks).scorer()("the muslim neighbour")
+
+
+def dense_fit(rows, fair, width):
+    """Logistic regression with the penalties, by plain dense matrices, for the features in ``width``."""
+    at = {f: i for i, f in enumerate(width)}
+
+    def vector(words):
+        v = np.zeros(len(at))
+        for f, n in Counter(f for w in words for f in toxicity.features_of(w)).items():
+            if f in at:
+                v[at[f]] = math.log1p(n)
+        return v
+
+    x, y = np.array([vector(toxicity.bag(t)) for t, _ in rows]), np.array([v for _, v in rows], dtype=float)
+    d = np.array([vector(a) - vector(b) for a, b in fair])
+    w, bias, m, v = np.zeros(len(at)), -2.0, np.zeros(len(at)), np.zeros(len(at))
+    for step in range(1, toxicity.STEPS + 1):
+        g = 1 / (1 + np.exp(-np.clip(x @ w + bias, -30, 30))) - y
+        grad = x.T @ g / len(y) + toxicity.RIDGE * w + toxicity.FAIR * d.T @ (d @ w) / len(d)
+        m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
+        w -= toxicity.RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
+        bias -= 5 * toxicity.RATE * g.mean()
+    return lambda t: 1 / (1 + math.exp(-max(-30.0, min(30.0, vector(toxicity.bag(t)) @ w + bias))))
+
+
+def told_apart(rows, at):
+    """Rows (text, label) of some hundred words; ``at`` of the toxic ones insult, mostly together with a group's name."""
+    rng = random.Random(at)
+    pool = [f"word{i}" for i in range(120)]
+    out = []
+    for i in range(rows):
+        bad = i % at == 0
+        w = [rng.choice(pool) for _ in range(rng.choice([3, 20, 60]))]
+        w += [rng.choice(["idiot", "moron", "scum"]) for _ in range(2 * bad)] + ["Muslim"] * (rng.random() < (0.7 if bad else 0.1)) + ["women"] * (rng.random() < 0.1)
+        rng.shuffle(w)
+        out.append((" ".join(w), int(bad)))
+    return out
+
+
+def test_toxicity_is_the_dense_fit(spark):
+    rows = told_apart(400, 5)
+    rows += [rows[0], rows[0], rows[7]] + [("word1 " * 30_000 + "moron " * 3, 1), (None, 0), ("", 0)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)] + [(0, rows[0][0])], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+    held = [(t, y) for i, (t, y) in enumerate(rows) if zlib.crc32(str(i).encode()) % 3 != 1] + ([(rows[0][0], rows[0][1])] if zlib.crc32(b"0") % 3 != 1 else [])
+    model = toxicity.fit(docs, marks)
+    # the features: those with a likelihood ratio over the bound, counted by hand
+    n1, n0 = sum(y for _, y in held), sum(1 - y for _, y in held)
+    a, n = Counter(), Counter()
+    for t, y in held:
+        for f in {f for w in toxicity.bag(t) for f in toxicity.features_of(w)}:
+            a[f] += y
+            n[f] += 1
+
+    def ratio(f):
+        cells = [(a[f], n1, n[f]), (n[f] - a[f], n0, n[f]), (n1 - a[f], n1, n1 + n0 - n[f]), (n0 - n[f] + a[f], n0, n1 + n0 - n[f])]
+        return 2 * sum(o * math.log(o * (n1 + n0) / (r * c)) for o, r, c in cells if o)
+
+    chosen = sorted(f for f in n if n[f] >= 3 and ratio(f) > toxicity.G2_MIN)
+    assert sorted(model.weights) == chosen
+    fair = [(words, other) for t, _ in held for words in [toxicity.bag(t)] for other in toxicity.swaps(words)]
+    fair += [({term}, {kind[0]} if term != kind[0] else set()) for kind in toxicity.IDENTITY for term in kind]
+    assert len(toxicity.swaps({"muslim", "x"})) == 9 and {frozenset(s) for s in toxicity.swaps({"muslim"})} == {frozenset([t]) for t in toxicity.IDENTITY[2] if t != "muslim"}
+    score = dense_fit(held, fair, chosen)
+    for r in toxicity.classify(docs, marks).collect():
+        assert r["score"] == pytest.approx(score(rows[r["doc_id"]][0]), abs=1e-6)
+        assert r["predicted"] == (r["score"] >= 0.7)
+
+
+def auc(pairs):
+    good, bad = [s for s, y in pairs if not y], [s for s, y in pairs if y]
+    return sum((b > g) + 0.5 * (b == g) for b in bad for g in good) / (len(good) * len(bad))
+
+
+def test_toxicity_on_held_out_texts_and_neutral_mentions(spark):
+    rows = told_apart(700, 4)
+    neutral = ["the muslim women met at noon", "a christian and a jewish neighbour", "black and white men", "gay people voted", "word1 refugees word2"]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)] + [(10_000 + i, t) for i, t in enumerate(neutral)], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.classify(docs, marks).collect()}
+    assert auc([(got[i]["score"], y) for i, (_, y) in enumerate(rows) if got[i]["held_out"]]) > 0.98
+    assert not any(got[10_000 + i]["predicted"] for i in range(len(neutral)))
