@@ -25,21 +25,29 @@ from pyspark.sql import functions as F
 from attesta.llm.runtime import map_small, ranked, written
 
 #: Words of a phrase; words of a chunk; occurrences of a pivot that one task may get; groups in which leaders are sought first.
-LONGEST, CHUNK, SALT, GROUPS = 4, 1 << 20, 1 << 18, 64
-_SPAN = LONGEST - 1
+LONGEST, CHUNK, SALT, GROUPS = 4, 1 << 20, 1 << 18, 16
+_SPAN = LONGEST - 1  # three, so both sides of a fragment fill three longs
 _WIDTH = 2 * _SPAN + 1
 _CUT = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ")
 
 
+class _Numbers(dict):
+    """Words and their numbers, in the order they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 class _Chunk:
     """Texts of one language as word numbers: 0 ends a piece, 1 is nothing."""
 
     def __init__(self):
-        self.known, self.parts, self.n = {b"\n": 0, b"": 1}, [], 0
+        self.known, self.parts, self.n = _Numbers({b"\n": 0, b"": 1}), [], 0
 
     def add(self, text: str) -> None:
-        known = self.known
-        got = np.array([known.setdefault(w, len(known)) for w in text.encode().translate(_CUT).replace(b"\n", b" \n ").split(b" ")], dtype=np.int32)
+        words = text.encode().translate(_CUT).replace(b"\n", b" \n ").split(b" ")
+        got = np.fromiter(map(self.known.__getitem__, words), dtype=np.int32, count=len(words))
         got = got[got != 1]
         self.parts += [got, np.zeros(1, dtype=np.int32)]
         self.n += len(got) + 1
@@ -86,65 +94,65 @@ def _merged(rows: np.ndarray, n: np.ndarray, key: np.ndarray) -> tuple[np.ndarra
     """Equal neighbours in the order of ``key``, a hash of the rows, become one; rows whose hashes meet stay apart."""
     order = np.argsort(key, kind="stable")
     rows, n, key = rows[order], n[order], key[order]
-    new = np.concatenate([[True], (rows[1:] != rows[:-1]).any(1)]) if len(rows) else np.zeros(0, dtype=bool)
-    at = np.flatnonzero(new)
+    same = key[1:] == key[:-1]
+    same[same] = (rows[1:][same] == rows[:-1][same]).all(1)
+    at = np.flatnonzero(np.concatenate([[True], ~same])) if len(rows) else np.zeros(0, dtype=np.int64)
     return rows[at], np.add.reduceat(n, at) if len(at) else n, key[at]
 
 
-def _hash(rows: np.ndarray) -> np.ndarray:
-    h = np.zeros(len(rows), dtype=np.uint64)
-    for c in rows.T:
-        h = (h ^ c.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+def _hash(words: np.ndarray) -> np.ndarray:
+    h = np.zeros(len(words), dtype=np.uint64)
+    for c in words.T:
+        h = (h ^ c.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
     return h
 
 
 def _fragments(coded: DataFrame, share: int) -> DataFrame:
-    """(pivot, salt, l3, l2, l1, r1, r2, r3, n) from (stream, at, ids, often): ids of the words ``at`` of a chunk, and
-    the frequencies of these words; -1: nothing."""
-    names = [f"l{i}" for i in range(_SPAN, 0, -1)] + [f"r{i}" for i in range(1, _SPAN + 1)]
+    """(key, x, y, z, n) from (stream, at, ids, often): ids of the words ``at`` of a chunk, and the frequencies of these
+    words. key is the pivot's id and its salt, x to z the ids of three words before and three after it, -1: nothing,
+    two to a long."""
 
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
             for i in range(b.num_rows):
-                ids = b.column("ids")[i].as_py()
-                if not ids:
-                    continue
-                at = np.array(b.column("at")[i].as_py(), dtype=np.int64) + 2
-                wide = b.column("wide")[i].as_py()
-                stream = np.frombuffer(b.column("stream")[i].as_py(), dtype="<i4" if wide else "<u2")
-                to = np.full(int(max(at.max(), stream.max())) + 1, -1, dtype=np.int64)
+                ids = b.column("ids")[i].values.to_numpy(zero_copy_only=False)
+                stream = np.frombuffer(b.column("stream")[i].as_py(), dtype="<i4" if b.column("wide")[i].as_py() else "<u2")
+                at = b.column("at")[i].values.to_numpy(zero_copy_only=False) + 2
+                to = np.full(int(max(at.max(), stream.max())) + 1, -1, dtype=np.int32)
                 to[at] = ids
-                often = dict(zip(ids, b.column("often")[i].as_py(), strict=True))
-                yield from _cut(to[stream], often, share, names, pa)
+                salts = np.zeros(len(to), dtype=np.int64)
+                salts[at] = b.column("often")[i].values.to_numpy(zero_copy_only=False) // share
+                yield from _cut(to[stream], salts[stream], pa)
 
-    return coded.mapInArrow(run, ", ".join(["pivot int", "salt int", *[f"{c} int" for c in names], "n long"]))
+    return coded.mapInArrow(run, "key long, x long, y long, z long, n long")
 
 
-def _cut(seq: np.ndarray, often: dict[int, int], share: int, names: list[str], pa):
-    edge = np.full(_SPAN, -1, dtype=np.int64)
+def _cut(seq: np.ndarray, salts: np.ndarray, pa):
+    """The fragments of a stream of ids; ``salts``: into how many shares more than one the pivot there goes."""
+    edge = np.full(_SPAN, -1, dtype=np.int32)
     line = np.concatenate([edge, seq, edge])
-    w = np.stack([line[i : i + len(seq)] for i in range(_WIDTH)], axis=1)
-    pivot = w[:, _SPAN]
-    for side, fits in ((range(_SPAN - 1, -1, -1), np.less), (range(_SPAN + 1, _WIDTH), np.less_equal)):
-        on = pivot >= 0
-        for i in side:
-            on = on & (w[:, i] >= 0) & fits(w[:, i], pivot)
-            w[~on, i] = -1
-    w = w[(pivot >= 0) & ((w[:, _SPAN - 1] >= 0) | (w[:, _SPAN + 1] >= 0))]
-    rows, n, key = _merged(w, np.ones(len(w), dtype=np.int64), _hash(w))
-    if not len(rows):
-        return
-    pivot = rows[:, _SPAN]
-    unique, back = np.unique(pivot, return_inverse=True)
-    salts = np.array([1 + often[int(p)] // share for p in unique], dtype=np.uint64)[back]
-    salt = np.where(salts > 1, 1 + (key >> np.uint64(7)) % salts, 0)
-    cols = [pivot, salt.astype(np.int64)] + [rows[:, i] for i in range(_WIDTH) if i != _SPAN] + [n]
-    kinds = [pa.int32()] * (_WIDTH + 1) + [pa.int64()]
+    sides = [*range(_SPAN - 1, -1, -1), *range(_SPAN + 1, _WIDTH)]
+    w = np.full((len(seq), 2 * _SPAN), -1, dtype=np.int32)
+    on = held = seq >= 0
+    for turn, i in enumerate(sides):
+        if turn == _SPAN:
+            on = held
+        word = line[i : i + len(seq)]
+        on = on & (word >= 0) & (word < seq if turn < _SPAN else word <= seq)
+        w[on, i if i < _SPAN else i - 1] = word[on]
+    keep = (w[:, _SPAN - 1] >= 0) | (w[:, _SPAN] >= 0)
+    rows = np.concatenate([seq[keep, None].astype(np.int64), w[keep].view(np.int64)], axis=1)
+    more = salts[keep]
+    order_key = _hash(rows)
+    salt = np.where(more > 0, 1 + ((order_key >> np.uint64(7)) % (more + 1).astype(np.uint64)).astype(np.int64), 0)
+    rows[:, 0] = (rows[:, 0] << 32) | salt
+    rows, n, _ = _merged(rows, np.ones(len(rows), dtype=np.int64), order_key)
     for lo in range(0, len(rows), 1 << 17):
-        yield pa.RecordBatch.from_arrays([pa.array(c[lo : lo + (1 << 17)]).cast(k) for c, k in zip(cols, kinds, strict=True)], ["pivot", "salt", *names, "n"])
+        part = slice(lo, lo + (1 << 17))
+        yield pa.RecordBatch.from_arrays([*[pa.array(np.ascontiguousarray(c[part])) for c in rows.T], pa.array(n[part])], ["key", "x", "y", "z", "n"])
 
 
 def _owned(rows: np.ndarray, n: np.ndarray, split: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -191,15 +199,16 @@ def _owned(rows: np.ndarray, n: np.ndarray, split: np.ndarray, least: int) -> tu
 def _mined(fragments: DataFrame, least: int, share: int) -> DataFrame:
     """(w0, w1, w2, w3, f): the phrases of two words and more that occur ``least`` times, by their words' ids, -1 beyond the end."""
     words = [f"w{i}" for i in range(LONGEST)]
-    names = [f"l{i}" for i in range(_SPAN, 0, -1)] + ["pivot"] + [f"r{i}" for i in range(1, _SPAN + 1)]
-    dealt = fragments.repartition("pivot", "salt").sortWithinPartitions("pivot", "salt")
+    dealt = fragments.repartition("key").sortWithinPartitions("key")
 
     def run(batches):
         import pyarrow as pa
 
         def out(held):
-            rows, n, salt = (np.concatenate(x) for x in zip(*held, strict=True))
-            rows, n, s = _owned(rows, n, salt > 0, least)
+            key, sides, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            sides = sides.view(np.int32)
+            rows = np.concatenate([sides[:, :_SPAN], (key >> 32).astype(np.int32)[:, None], sides[:, _SPAN:]], axis=1)
+            rows, n, s = _owned(rows, n, (key & 0xFFFFFFFF) > 0, least)
             for lo in range(0, len(rows), 1 << 17):
                 yield pa.RecordBatch.from_arrays([*[pa.array(c[lo : lo + (1 << 17)]) for c in rows.T], pa.array(n[lo : lo + (1 << 17)]), pa.array(s[lo : lo + (1 << 17)])], [*words, "f", "shared"])
 
@@ -207,20 +216,20 @@ def _mined(fragments: DataFrame, least: int, share: int) -> DataFrame:
         for b in batches:
             if not b.num_rows:
                 continue
-            rows = np.stack([b.column(c).to_numpy() for c in names], axis=1)
-            n, salt = b.column("n").to_numpy(), b.column("salt").to_numpy()
+            key, n = b.column("key").to_numpy(), b.column("n").to_numpy()
+            sides = np.stack([b.column(c).to_numpy() for c in "xyz"], axis=1)
             # a pivot's share that goes on in the next batch stays
-            ends = np.flatnonzero((rows[1:, _SPAN] != rows[:-1, _SPAN]) | (salt[1:] != salt[:-1]))
-            first = bool(held) and (held[-1][0][-1, _SPAN], held[-1][2][-1]) != (rows[0, _SPAN], salt[0])
+            ends = np.flatnonzero(key[1:] != key[:-1])
+            first = bool(held) and held[-1][0][-1] != key[0]
             if size >= share and (first or len(ends)):
                 cut = 0 if first and not len(ends) else int(ends[-1]) + 1
                 if cut:
-                    held.append((rows[:cut], n[:cut], salt[:cut]))
+                    held.append((key[:cut], sides[:cut], n[:cut]))
                 yield from out(held)
                 held, size = [], 0
-                rows, n, salt = rows[cut:], n[cut:], salt[cut:]
-            held.append((rows, n, salt))
-            size += len(rows)
+                key, sides, n = key[cut:], sides[cut:], n[cut:]
+            held.append((key, sides, n))
+            size += len(key)
         if held:
             yield from out(held)
 
