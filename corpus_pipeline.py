@@ -5,8 +5,8 @@ before it kept, and returns a DataFrame with the columns of ``documents``, but f
 returns the pieces of the packed sequences. ``run`` writes each stage's rows and reads them again, and
 deletes the tables that no later stage reads.
 
-In all stages null texts and texts without words stay what they are and are never anybody's copy, null ids
-are ids and come first, ties go by the least id and then the text, repeated rows are rows of their own, an
+In all stages null texts and texts without words stay what they are and are never anybody's copy (but a row whose
+source the mix takes nothing of goes, whatever its text), null ids are ids and come first, ties go by the least id and then the text, repeated rows are rows of their own, an
 empty table stays empty, and columns of any other name ride along.
 """
 
@@ -51,7 +51,7 @@ STAGES = [
     ("packing", _packing),
 ]
 
-#: SQL cannot express the classifier or the MinHash tables; the tests compare with brute force.
+#: SQL cannot express the classifier; tests/llm/test_llm_pipeline.py compares each stage, and the whole, with brute force.
 ORACLE_SQL = None
 
 
