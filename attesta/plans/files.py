@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from attesta.plans import textual
 from attesta.plans.roles import table
@@ -160,3 +161,52 @@ def _(spark, d):
     run = jobs.outcomes(events).writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
     run.awaitTermination()
     return spark.read.schema("paper_id long, outcome string, attempts int").parquet(f"{at}/out")
+
+
+# Conversations as files, one each, in folders by paper.
+_TALKS = "SELECT conv_id, count(*) AS n, string_agg(text, chr(10) ORDER BY turn) AS talk, list(role ORDER BY turn) AS roles FROM conversations GROUP BY conv_id"
+
+
+def _talks(spark, d):
+    turns = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text", "role"))).alias("t"))
+    return turns.select("conv_id", F.size("t").alias("n"), F.array_join(F.transform("t", lambda x: x["text"]), "\n").alias("talk"), F.transform("t", lambda x: x["role"]).alias("roles"))
+
+
+def _as_files(df, at):
+    """(paper_id, value): a file for each paper."""
+    df.repartition("paper_id").write.partitionBy("paper_id").text(at)
+
+
+@query("json_files", f"""
+SELECT CASE WHEN n % 3 = 2 THEN n ELSE -1 END AS scales, count(*) AS files FROM ({_TALKS}) GROUP BY 1""")
+def _(spark, d):
+    at, talks = scratch.folder(spark), _talks(spark, d)
+    record = F.to_json(F.struct(F.col("conv_id").cast("string").alias("paper_id"), F.transform("roles", lambda r: F.struct(r.alias("scale_name"))).alias("scales")))
+    other = F.to_json(F.struct(F.col("conv_id").alias("paper_id")))  # JSON, but no record
+    n = F.col("n") % 3
+    value = F.when(n == 0, F.substring(record, F.lit(1), F.floor(F.length(record) / 2).cast("int"))).when(n == 1, other).otherwise(record)
+    _as_files(talks.select(F.col("conv_id").alias("paper_id"), value.alias("value")), at)
+    read = readers.json_documents(spark, at, T.StructType.fromDDL("paper_id string, scales array<struct<scale_name string>>"))
+    return read.groupBy(F.coalesce(F.size("record.scales"), F.lit(-1)).cast("long").alias("scales")).agg(F.count("*").alias("files"))
+
+
+@query("text_files", f"""
+SELECT conv_id AS paper_id, CASE WHEN n = 3 THEN 0 ELSE length(CAST(conv_id AS VARCHAR)) + length(talk) + 2 END AS n_chars FROM ({_TALKS}) WHERE n <> 2 AND roles[1] <> 'system'""")
+def _(spark, d):
+    at, talks = scratch.folder(spark), _talks(spark, d)
+    # a file has a name of its own, and the number of its paper in its first line
+    talks.where("n <> 3").select(F.concat(F.col("conv_id").cast("string"), F.lit("\n"), "talk")).write.option("maxRecordsPerFile", 1).text(at)
+    named = spark.read.text(at, wholetext=True).select(F.substring_index("value", "\n", 1).cast("long").alias("conv_id"), F.regexp_replace("_metadata.file_name", r"\.[^.]+$", ".pdf").alias("filename"))
+    log = talks.join(named, "conv_id", "left").select(F.col("conv_id").alias("paper_id"), F.coalesce("filename", F.lit("lost.pdf")).alias("filename"), F.when(F.col("n") == 2, "poor").otherwise("ok").alias("status"))
+    chosen = talks.where(F.get("roles", F.lit(0)) != "system").select(F.col("conv_id").alias("paper_id"))
+    return readers.paper_texts(spark, log, at, chosen).select("paper_id", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("binary_files", f"""
+SELECT n > 4 AS is_pdf, count(*) AS files, CAST(sum(strlen(talk) + 1 + CASE WHEN n > 4 THEN 6 ELSE 0 END) AS BIGINT) AS n_bytes FROM ({_TALKS}) GROUP BY 1""")
+def _(spark, d):
+    at = scratch.folder(spark)
+    value = F.concat(F.when(F.col("n") > 4, "%PDF-\n").otherwise(""), F.col("talk"))
+    _as_files(_talks(spark, d).select(F.col("conv_id").alias("paper_id"), value.alias("value")), at)
+    read = spark.read.format("binaryFile").load(at).select(readers.is_pdf(F.col("content")).alias("is_pdf"), "length")
+    return read.groupBy("is_pdf").agg(F.count("*").alias("files"), F.sum("length").alias("n_bytes"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from attesta.functions import text as T
-from attesta.operators import cluster, evidence, ledger, remap
+from attesta.operators import cluster, evidence, ledger, queue, remap
 from attesta.operators.ordinal import ordinal
 from attesta.plans import textual
 from attesta.plans.agreement import CODERS, _verified
@@ -86,8 +86,7 @@ t AS (SELECT row_id, [a.code, b.code, c.code, d.code, e.code, f.code, g.code, h.
 SELECT row_id, list_filter(c, lambda x: x <> '')[1] AS code, CAST(coalesce(list_position(list_transform(c, lambda x: x IS NOT NULL AND x <> ''), true), 0) AS INTEGER) AS tier FROM t""")
 def _(spark, d):
     docs = table(spark, d, "documents")
-    both = F.transform(F.split("text", "\n", -1), lambda x: x)
-    pairs = docs.select("doc_id", both.alias("l")).select("doc_id", F.posexplode(F.transform("l", lambda x, i: F.struct(x.alias("o"), F.get("l", i + 1).alias("e")))).alias("pos", "x"))
+    pairs = docs.select("doc_id", F.split("text", "\n", -1).alias("l")).select("doc_id", F.posexplode(F.transform("l", lambda x, i: F.struct(x.alias("o"), F.get("l", i + 1).alias("e")))).alias("pos", "x"))
     items = pairs.select((F.col("doc_id") * 1_000_000 + F.col("pos")).alias("row_id"), "x.o", "x.e")
     coded = lambda line, code: tuple(remap.first_wins(docs.withColumn("__l", line), f("__l"), code, "doc_id") for f in (T.match_norm, T.match_aggressive))
     out = remap.fallback(items, coded(F.substring_index("text", "\n", 1), "lang"), coded(F.substring_index("text", "\n", -1), "source"), "o", "e")
@@ -114,3 +113,12 @@ def _(spark, d):
     words = table(spark, d, "conversations").select(F.explode(F.split("text", " ")).alias("w")).select(T.coding_norm("w").alias("needle")).where(F.length("needle") > 7).distinct()
     sources = texts(spark, d).select("doc_id", T.coding_norm("text").alias("s"))
     return evidence.evidence_pairs(words, "needle", sources, "s", most_bytes=0).select("needle", "doc_id")
+
+
+@query("prep_keys", f"""WITH l AS ({LINES}), i AS (SELECT doc_id * 1000000 + pos AS row_id, line AS e, lead(line) OVER (PARTITION BY doc_id ORDER BY pos) AS o FROM l)
+SELECT row_id, coalesce(nullif({sql_coding('e')}, ''), {sql_coding('o')}) AS item_key, coalesce(nullif({sql_norm('o')}, ''), {sql_norm('e')}) AS scale_key,
+  trim(coalesce(e, '')) <> '' OR trim(coalesce(o, '')) <> '' AS with_item FROM i""")
+def _(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", F.split("text", "\n", -1).alias("l"))
+    rows = docs.select("doc_id", F.posexplode(F.transform("l", lambda x, i: F.struct(x.alias("e"), F.get("l", i + 1).alias("o")))).alias("pos", "x")).select((F.col("doc_id") * 1_000_000 + F.col("pos")).alias("row_id"), "x.*")
+    return rows.select("row_id", T.coding_key("e", "o").alias("item_key"), T.scale_key("o", "e").alias("scale_key"), queue.has_item(F.col("e"), F.col("o")).alias("with_item"))
