@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attesta.functions import text as T
+from attesta.operators.ordinal import ordinal
 
 # Scale names that name no scale; they are never deduplicated.
 GENERIC_SCALES = [
@@ -58,19 +59,12 @@ def scale_occurrences(rows: DataFrame, ties: bool = True) -> DataFrame:
     return named.join(occ, same).select(named["*"], "scale_size", "scale_occurrences", "keep_scale")
 
 
-def group_labels(rows: DataFrame, key: str, name: str, prefix: int = 3) -> DataFrame:
-    """The number of each key, a text, in the order of keys, null last.
-
-    Counted on distinct keys, in two levels: keys are ranked among those of their first characters, and
-    only the counts of these beginnings are summed in one place."""
-    keys = rows.select(key).distinct().withColumn("__p", F.substring(key, 1, prefix))
-    sizes = keys.groupBy("__p").agg(F.count("*").alias("__c"))
-    run = Window.orderBy(F.asc_nulls_last("__p")).rowsBetween(Window.unboundedPreceding, -1)
-    before = sizes.select(F.col("__p").alias("__q"), F.coalesce(F.sum("__c").over(run), F.lit(0)).alias("__before"))
-    within = F.row_number().over(Window.partitionBy("__p").orderBy(F.asc_nulls_last(key)))
-    label = keys.withColumn("__n", within).join(before, F.col("__p").eqNullSafe(F.col("__q")))
-    right = label.select(F.col(key).alias("__k"), (F.col("__before") + F.col("__n")).alias(name))
-    return rows.join(right, rows[key].eqNullSafe(F.col("__k"))).drop("__k")
+def group_labels(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """The number of each key from 1, in the order of keys, null last: ordinals of the distinct keys, which are
+    dealt out by range, so no beginning that many keys share is one task."""
+    keys = rows.select(F.col(key).alias("__k")).distinct().withColumn("__none", F.col("__k").isNull())
+    label = ordinal(keys, ["__none", "__k"], name, 1).drop("__none")
+    return rows.join(label, rows[key].eqNullSafe(F.col("__k"))).drop("__k")
 
 
 def item_duplicates(rows: DataFrame) -> DataFrame:

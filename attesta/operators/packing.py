@@ -9,10 +9,14 @@ from attesta.operators.ordinal import kept, ordinal
 
 
 def prefix_within(rows: DataFrame, size: str, order: list[str], budget: int, ceiling: int, by: list[str] | None = None) -> DataFrame:
-    """The first rows whose running sum stays within the budget, at least one, at most ``ceiling``."""
+    """The first rows whose running sum stays within the budget, at least one, at most ``ceiling``.
+
+    The first ``ceiling`` rows are cut out before anything is summed, which tasks do before the shuffle as well (up to the
+    session's limit for that), so a queue brings a few rows and isn't sorted as a whole."""
     w = Window.partitionBy(*(by or [])).orderBy(*order)
-    run, n = F.sum(size).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.row_number().over(w)
-    return rows.withColumn("__run", run).withColumn("__n", n).where((F.col("__n") <= ceiling) & ((F.col("__n") == 1) | (F.col("__run") <= budget))).drop("__run", "__n")
+    few = rows.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= ceiling)
+    run = F.sum(size).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return few.withColumn("__run", run).where((F.col("__n") == 1) | (F.col("__run") <= budget)).drop("__run", "__n")
 
 
 def batches(rows: DataFrame, size: str, order: list[str], budget: int, ceiling: int, by: str, block: int = 512) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from attesta.functions import agreement as A
 from attesta.functions import text as T
 from attesta.operators import evidence
+from attesta.operators.ordinal import kept
 from attesta.plans import textual
 from attesta.plans.roles import coder, coders, lines, sources, table, texts
 from attesta.plans.textual import LINES, sql_coding, sql_norm
@@ -161,14 +162,13 @@ SELECT doc_id, disputes, CASE WHEN disputes = '' THEN 'agreement' ELSE 'dispute'
 def _(spark, d):
     from attesta.operators import routing
 
-    held = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id", "left")
+    # both coders' sets of a document by one aggregate, computed once for both sides
+    sets = _verified(spark, d).groupBy("doc_id").agg(*[F.collect_set(F.when(F.col(f"in_{w}"), F.col("key"))).alias(f"items_{w}") for w in "ab"])
+    held = kept(table(spark, d, "documents").drop("text").join(table(spark, d, "labels"), "doc_id", "left").join(sets, "doc_id", "left"))
 
     def one(w, n, m, age):
-        keys = _verified(spark, d).groupBy("doc_id").agg(F.collect_set(F.when(F.col(f"in_{w}"), F.col("key"))).alias("items"))
-        none = F.array().cast("array<string>")
-        met = held.join(keys, "doc_id", "left")
-        c = F.col("n_chars")
-        return met.select(F.col("doc_id").alias("paper_id"), F.col(n).alias("n_samples"), F.lit("both").alias("study_type"), F.lit("GOOD").alias("quality_flag"), (c % m).cast("double").alias("total_n"), (c % age).cast("double").alias("age_mean"), F.lit(None).cast("double").alias("age_sd"), F.lit(None).cast("double").alias("gender_pct_female"), F.coalesce("items", none).alias("items"), none.alias("scales"))
+        none, c = F.array().cast("array<string>"), F.col("n_chars")
+        return held.select(F.col("doc_id").alias("paper_id"), F.col(n).alias("n_samples"), F.lit("both").alias("study_type"), F.lit("GOOD").alias("quality_flag"), (c % m).cast("double").alias("total_n"), (c % age).cast("double").alias("age_mean"), F.lit(None).cast("double").alias("age_sd"), F.lit(None).cast("double").alias("gender_pct_female"), F.coalesce(f"items_{w}", none).alias("items"), none.alias("scales"))
 
     fields = ["n_samples", *routing.CATEGORIES, *routing.TOLERANCES]
     r = routing.routed(one("a", "quality", 7, 3), one("b", "toxic", 5, 2), fields)
