@@ -112,14 +112,7 @@ def _key(i: Column) -> Column:
 def _verified(items: Column, source: Column) -> Column:
     """E7 on an array: items printed in the source, each key once, in order. Keys are made once an item."""
     keyed = F.transform(items, lambda i: F.struct(_key(i).alias("k"), i.alias("i")))
-    inside = F.filter(keyed, lambda p: (p["k"] != "") & F.contains(source, p["k"]))
-    none = F.struct(F.array().cast("array<string>").alias("seen"), F.array().cast(_SCALE["items"].dataType).alias("kept"))
-
-    def add(held: Column, p: Column) -> Column:
-        more = F.struct(F.concat(held["seen"], F.array(p["k"])).alias("seen"), F.concat(held["kept"], F.array(p["i"])).alias("kept"))
-        return F.when(F.array_contains(held["seen"], p["k"]), held).otherwise(more)
-
-    return F.aggregate(inside, none, add, lambda held: held["kept"])
+    return F.transform(T.firsts(F.filter(keyed, lambda p: (p["k"] != "") & F.contains(source, p["k"]))), lambda p: p["i"])
 
 
 def pruned(records: DataFrame, source: str = "source_norm") -> DataFrame:

@@ -224,3 +224,15 @@ def test_eight_look_ups_in_order(spark):
     table = lambda **codes: spark.createDataFrame([(k.replace("_", " "), v) for k, v in codes.items()], "key string, code string")
     got = remap.fallback(items, (table(tell_me="n1", none=""), table(totell="n2")), (table(old_one="p1", old="p1e"), table(zz="p2")), "o", "e")
     assert {r.row_id: (r.code, r.tier) for r in got.collect()} == {1: ("n1", 1), 2: ("n1", 1), 3: ("n2", 4), 4: ("n2", 3), 5: ("n1", 2), 6: ("p1e", 6), 7: ("p2", 7)}
+
+
+def test_firsts_of_long_lists(spark):
+    rng = random.Random(1)
+    rows = [(i, [rng.choice(["A", "a", " b", "B ", "c", "", "Ä", "ä"]) for _ in range(n)]) for i, n in enumerate((0, 1, 2, 30, 3_000))]
+    got = {r.i: r.m for r in spark.createDataFrame(rows, "i int, l array<string>").select("i", T.merged_list(F.array_join("l", ";")).alias("m")).collect()}
+    for i, parts in rows:
+        seen = {}
+        for p in (p.strip(" ") for p in parts):
+            if p:
+                seen.setdefault(p.lower(), p)
+        assert got[i] == "; ".join(seen.values())
