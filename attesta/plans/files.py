@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from attesta.plans import textual
 from attesta.plans.roles import table
 from attesta.sources import readers, scratch, sinks
-from attesta.streaming import incremental, jobs
+from attesta.streaming import incremental, indexed, jobs
 
 QUERIES, ORACLE_SQL = {}, {}
 
@@ -210,3 +210,15 @@ def _(spark, d):
     _as_files(_talks(spark, d).select(F.col("conv_id").alias("paper_id"), value.alias("value")), at)
     read = spark.read.format("binaryFile").load(at).select(readers.is_pdf(F.col("content")).alias("is_pdf"), "length")
     return read.groupBy("is_pdf").agg(F.count("*").alias("files"), F.sum("length").alias("n_bytes"))
+
+
+@query("append_indexed", """
+SELECT o_orderkey AS paper_id, CASE WHEN o_orderstatus = 'P' THEN 'old' ELSE 'new' END AS origin FROM orders""")
+def _(spark, d):
+    at, o = scratch.folder(spark), table(spark, d, "orders").withColumn("paper_id", F.col("o_orderkey"))
+    arrived = o.select("paper_id", F.lit("new").alias("origin"))
+    # what is there comes first, then all, twice
+    for part in (o.where("o_orderstatus = 'P'").select("paper_id", F.lit("old").alias("origin")), arrived, arrived):
+        part.write.mode("append").parquet(f"{at}/in")
+        indexed.append_stream(spark, f"{at}/in", arrived.schema, f"{at}/table", f"{at}/state").awaitTermination()
+    return indexed.read(spark, f"{at}/table", arrived.schema)

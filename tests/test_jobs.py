@@ -50,3 +50,27 @@ def test_silent_jobs_time_out(spark, tmp_path, store):
     got = run(spark, at, most=1, patience="1 hour")
     # a has been silent for an hour when the watermark passes; b was heard of, z still runs
     assert ("a", "given_up", 1) in got and ("b", "done", 0) in got
+
+
+ROWS = "paper_id string, v int"
+
+
+def test_batches_open_only_files_of_their_keys(spark, tmp_path):
+    from attesta.streaming import indexed
+
+    at = str(tmp_path / "t")
+    rows = lambda *r: spark.createDataFrame(r, ROWS)
+    held = lambda: sorted(tuple(r) for r in indexed.read(spark, at, ROWS).collect())
+    assert indexed.append(spark.range(500).selectExpr("concat('k', id) paper_id", "0 v"), 0, at, "paper_id", buckets=16) == 500
+    files = len(list((tmp_path / "t" / "keys").rglob("*.parquet")))
+    assert files == 16
+    few = rows(("k7", 1), ("new", 1), ("new", 1), (None, 1))
+    opened = indexed.known(spark, few.where("paper_id is not null"), "paper_id", at, buckets=16)
+    assert 1 <= len(opened.inputFiles()) <= 2
+    assert indexed.append(few, 1, at, "paper_id", buckets=16) == 1 and len(held()) == 501
+    # the same batch again, also after a death between rows and keys, changes nothing
+    for path in (tmp_path / "t" / "keys").rglob("batch=1"):
+        for f in path.iterdir():
+            f.unlink()
+    assert indexed.append(few, 1, at, "paper_id", buckets=16) == 1 and len(held()) == 501
+    assert indexed.append(rows(("new", 2), ("k9", 2)), 2, at, "paper_id", buckets=16) == 0 and len(held()) == 501
