@@ -6,22 +6,32 @@ import logging
 import os
 from pathlib import Path
 
-
-def load(path: str) -> dict[str, str]:
-    """NAME=value lines of a file, blank lines and # comments left out, quotes round a value off. Names
-    that the environment has keep its value; the others are put there. No file is no settings."""
-    at = Path(path)
-    lines = at.read_text(encoding="utf-8").splitlines() if at.exists() else []
-    pairs = (x.split("=", 1) for x in map(str.strip, lines) if x and x[0] != "#" and "=" in x)
-    return {k.strip(): os.environ.setdefault(k.strip(), v.strip().strip('"').strip("'")) for k, v in pairs}
-
-
-def need(*names: str) -> str:
-    """The first of the names that is set; none is an error."""
-    found = [v for n in names if (v := os.environ.get(n))]
-    if not found:
-        raise KeyError(f"none of {', '.join(names)} is set")
-    return found[0]
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+#: Under this prefix the session's own settings stand above those of the environment and of files.
+PREFIX = "spark.attesta."
+
+
+def resolved(spark: SparkSession, path: str) -> DataFrame:
+    """(name, value, origin) for each NAME=value line of a file that Spark can read, in any store: the value of the
+    session's setting ``PREFIX`` + name, else of the environment, else of the file, where the first line of a name counts.
+    Other lines are left out, quotes round a value go; no file is an empty table. Nothing is set anywhere."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    there = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+    lines = spark.read.text(path, wholetext=True) if there else spark.createDataFrame([], "value string")
+    line = r"^\s*([A-Za-z_]\w*)\s*=\s*(?:\"(.*)\"|'(.*)'|(.*?))\s*$"
+    part = lambda i: F.regexp_extract("l", line, i)
+    told = lines.select(F.posexplode(F.split("value", r"\r?\n")).alias("at", "l")).where(part(1) != "").select("at", part(1).alias("name"), F.concat(part(2), part(3), part(4)).alias("own"))
+    first = told.groupBy("name").agg(F.min_by("own", "at").alias("own"))
+    over = []
+    for (name,) in first.select("name").collect():  # the lines of one file
+        held = spark.conf.get(PREFIX + name, None)
+        over.append((name, os.environ.get(name) if held is None else held, "environment" if held is None else "session"))
+    above = spark.createDataFrame(over, "name string, over string, origin string").where("over is not null")
+    return first.join(above, "name", "left").select("name", F.coalesce("over", "own").alias("value"), F.coalesce("origin", F.lit("file")).alias("origin"))
 
 
 class _Quiet(logging.FileHandler):

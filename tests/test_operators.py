@@ -87,18 +87,17 @@ def test_clusters_skip_empty_keys_and_compare_with_founders(spark):
     assert got == {0: 0, 1: 1, 2: 2, 3: 2, 4: 3, 5: 2}
 
 
-def test_settings_and_events(tmp_path, monkeypatch):
+def test_settings_and_events(spark, tmp_path, monkeypatch):
     from attesta.sources import settings as cfg
 
     monkeypatch.setenv("ATTESTA_HELD", "mine")
     monkeypatch.delenv("ATTESTA_NEW", raising=False)
-    (tmp_path / "env").write_text("# note\nATTESTA_HELD=other\nATTESTA_NEW = 'x=y'\n\nbad line\n")
-    assert cfg.load(str(tmp_path / "env")) == {"ATTESTA_HELD": "mine", "ATTESTA_NEW": "x=y"}
-    assert cfg.need("ATTESTA_NONE", "ATTESTA_NEW") == "x=y"
-    monkeypatch.delenv("ATTESTA_NEW")
-    assert cfg.load(str(tmp_path / "none")) == {}
-    with pytest.raises(KeyError):
-        cfg.need("ATTESTA_NONE")
+    (tmp_path / "env").write_text("# note\nATTESTA_HELD=other\nATTESTA_NEW = 'x=y'\n\nbad line\nATTESTA_NEW=later\r\n ATTESTA_SET = \"a b\" \nATTESTA_EMPTY=\n=none\n")
+    spark.conf.set("spark.attesta.ATTESTA_SET", "session's")
+    got = {r.name: (r.value, r.origin) for r in cfg.resolved(spark, str(tmp_path / "env")).collect()}
+    spark.conf.unset("spark.attesta.ATTESTA_SET")
+    assert got == {"ATTESTA_HELD": ("mine", "environment"), "ATTESTA_NEW": ("x=y", "file"), "ATTESTA_SET": ("session's", "session"), "ATTESTA_EMPTY": ("", "file")}
+    assert cfg.resolved(spark, str(tmp_path / "none")).collect() == []
     cfg.events(str(tmp_path / "logs"), "export").info("done")
     assert "[export]  done" in (tmp_path / "logs" / "pipeline.log").read_text() and (tmp_path / "logs" / "export.log").exists()
     (tmp_path / "file").write_text("")
