@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The columns of the first phase's flat table, by the parts of the nested result.
 META = ["title", "year", "language", "country_study", "study_type"]
 POPULATION = [
     "total_sample_size", "population_type", "population_specific", "age_info", "gender_info", "country_location", "recruitment_source",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from attesta.functions import schema as S
-from attesta.operators import audit, records, routing
+from attesta.operators import audit, phase1, records, routing
 from attesta.plans import roles, textual
 from attesta.plans.textual import sql_norm
 
@@ -25,23 +25,42 @@ ver AS (SELECT it.*, row_number() OVER (PARTITION BY it.conv_id, role, k ORDER B
 ok AS (SELECT * FROM ver WHERE first = 1)"""
 
 
+def _columns(names, kinds, **values):
+    """A select list of the columns in their order: those named by their SQL, all others null."""
+    sql = {"string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN", "int": "INTEGER"}
+    return ", ".join(f"CAST({values.get(c, 'NULL')} AS {sql[kinds.get(c, 'string')]}) AS {c}" for c in names)
+
+
+_KINDS = {f.name: f.dataType.simpleString() for part in (S.PAPER, S.PDF_QUALITY, S.SAMPLE, S.SCALE.replace("items items, ", ""), S.ITEM, S.META) for f in S._struct(part).fields} | {"item_both_coders": "boolean"}
+_PAPER = {"paper_id": "conv_id", "filename": "'x_10.1000@' || conv_id || '.pdf'", "provenance": "'auto_agreement'", "doi": "'10.1000/' || conv_id", "url": "'https://doi.org/10.1000/' || conv_id", "title": "'Conversation ' || conv_id", "study_type": "'Both'"}
+_SCALE = {"scale_name": "role", "scale_abbreviation": "upper(substr(role, 1, 2))", "items_coverage": "'FULL'"}
+_SAMPLE = {"sample_label": "u.turn", "is_primary": "u.turn % 4 = 2", "total_n": "length(u.text)", "age_format": "CASE WHEN u.turn IS NOT NULL THEN 'Mean_SD' END"}
+_ITEM = {"item_number": "it.turn", "item_text_original": "it.text", "reverse_scored": "it.turn % 2 = 1"}
+
+
 @query("flat_records", f"""WITH {BASE}
-SELECT CAST(conv_id AS VARCHAR) AS paper_id, '10.1000/' || conv_id AS doi, 'Conversation ' || conv_id AS title, CAST(label AS VARCHAR) AS sample_label, role AS scale_name, CAST(turn AS VARCHAR) AS item_number, md5(text) AS item_md5
-FROM sc LEFT JOIN it USING (conv_id, role) JOIN pr USING (conv_id)""")
+SELECT {_columns(S.FLAT_COLUMNS, _KINDS, quality_flag="'good'", extraction_confidence="'HIGH'", item_both_coders="CASE WHEN it.turn IS NOT NULL THEN false END", **_PAPER, **_SCALE, **_SAMPLE, **_ITEM)}
+FROM sc LEFT JOIN it USING (conv_id, role) JOIN pr USING (conv_id) LEFT JOIN (SELECT conv_id, turn, text FROM t WHERE role = 'user') u USING (conv_id) WHERE u.turn IS NOT DISTINCT FROM label""")
 def _(spark, d):
-    flat = records.flattened(roles.records(spark, d))
-    return flat.select("paper_id", "doi", "title", "sample_label", "scale_name", "item_number", F.md5("item_text_original").alias("item_md5"))
+    return records.flattened(roles.records(spark, d))
+
+
+_OF_SAMPLES = ["paper_id", "filename", "provenance", "title", "study_type", *S.SAMPLE_COLUMNS]
 
 
 @query("samples_table", f"""WITH {BASE}
-SELECT CAST(c.conv_id AS VARCHAR) AS paper_id, CAST(turn AS VARCHAR) AS sample_label, turn % 4 = 2 AS is_primary, CAST(length(text) AS BIGINT) AS total_n FROM (SELECT DISTINCT conv_id FROM t) c LEFT JOIN (SELECT * FROM t WHERE role = 'user') u USING (conv_id)""")
+SELECT {_columns(_OF_SAMPLES, _KINDS, **_PAPER, **_SAMPLE)} FROM (SELECT DISTINCT conv_id FROM t) c LEFT JOIN (SELECT * FROM t WHERE role = 'user') u USING (conv_id)""")
 def _(spark, d):
-    return records.samples_table(roles.records(spark, d)).select("paper_id", "sample_label", "is_primary", "total_n")
+    return records.samples_table(roles.records(spark, d))
 
 
-@query("scales_table", f"WITH {BASE} SELECT CAST(conv_id AS VARCHAR) AS paper_id, role AS scale_name, CASE WHEN role = 'system' THEN 0 ELSE n END AS items_extracted_count FROM sc")
+_OF_SCALES = ["paper_id", "filename", "provenance", "title", *S.SCALE_COLUMNS]
+
+
+@query("scales_table", f"""WITH {BASE}
+SELECT {_columns(_OF_SCALES, _KINDS, items_extracted_count="CASE WHEN role = 'system' THEN 0 ELSE n END", **_PAPER, **_SCALE)} FROM sc""")
 def _(spark, d):
-    return records.scales_table(records.counted(roles.records(spark, d))).select("paper_id", "scale_name", "items_extracted_count")
+    return records.scales_table(records.counted(roles.records(spark, d)))
 
 
 @query("consensus_flag", f"""WITH {BASE}
@@ -205,17 +224,22 @@ def _(spark, d):
     return out.select("paper_id", F.size("scales").cast("long").alias("n_scales"), F.coalesce("extraction_meta.needs_human_review", F.lit(False)).alias("review"), F.coalesce("extraction_meta.extraction_notes", F.lit("")).alias("notes"))
 
 
-@query("phase1_rows", """
+def _phase1(filename, status, scale_name, needs_review, subscales="''", item_number="''", was_administered="''"):
+    """All 47 columns: texts absent as '', but the counts and needs_review."""
+    held = {"filename": filename, "extraction_status": status, "scale_name": scale_name, "subscales": subscales, "item_number": item_number, "was_administered": was_administered}
+    own = {"total_scales_found": "CAST(1 AS BIGINT)", "total_items_extracted": "CAST(5 AS BIGINT)", "needs_review": needs_review}
+    return ", ".join(f"{own[c]} AS {c}" if c in own else f"coalesce(CAST({held.get(c, 'NULL')} AS VARCHAR), '') AS {c}" for c in phase1.COLUMNS)
+
+
+@query("phase1_rows", f"""
 WITH t AS (SELECT * FROM conversations), c AS (SELECT DISTINCT conv_id, conv_id % 7 <> 3 AS ok FROM t),
 s AS (SELECT DISTINCT conv_id, role FROM t WHERE role <> 'system'), z AS (SELECT c.conv_id, ok, ok AND EXISTS (SELECT 1 FROM s WHERE s.conv_id = c.conv_id) AS held FROM c),
 i AS (SELECT conv_id, role, turn FROM t WHERE role <> 'system' AND turn % 5 <> 1)
-SELECT CAST(z.conv_id AS VARCHAR) AS filename, coalesce(s.role, '') AS scale_name, coalesce(CAST(i.turn AS VARCHAR), '') AS item_number, '' AS was_administered, NOT ok OR NOT held OR i.turn IS NULL OR z.conv_id % 5 = 0 AS needs_review
+SELECT {_phase1(filename="z.conv_id", status="CASE WHEN ok THEN 'success' ELSE 'failed' END", scale_name="s.role", subscales="CASE WHEN s.role IS NOT NULL THEN 'a; b' END", item_number="i.turn", needs_review="NOT ok OR NOT held OR i.turn IS NULL OR z.conv_id % 5 = 0")}
 FROM z LEFT JOIN s ON held AND s.conv_id = z.conv_id LEFT JOIN i ON i.conv_id = s.conv_id AND i.role = s.role
 UNION ALL
-SELECT DISTINCT CAST(t.conv_id AS VARCHAR), 'mentioned ' || role, '', 'True', true FROM t JOIN z USING (conv_id) WHERE held AND role = 'system' AND (conv_id % 3 = 0 OR conv_id % 2 = 0)""")
+SELECT {_phase1(filename="conv_id", status="'success'", scale_name="'mentioned ' || role", was_administered="'True'", needs_review="true")} FROM (SELECT DISTINCT conv_id, role FROM t JOIN z USING (conv_id) WHERE held AND role = 'system' AND (conv_id % 3 = 0 OR conv_id % 2 = 0))""")
 def _(spark, d):
-    from attesta.operators import phase1
-
     turns = roles.table(spark, d, "conversations")
     item = [F.lit(None).cast("string").alias(c) for c in phase1.ITEM if c != "item_notes"]
     one = turns.groupBy("conv_id", "role").agg(F.sort_array(F.collect_list(F.when(F.col("turn") % 5 != 1, F.col("turn")))).alias("t"))
@@ -228,7 +252,7 @@ def _(spark, d):
     held = one.groupBy("conv_id").agg(F.collect_list(F.when(~system, scale)).alias("scales_extracted"), F.collect_list(F.when(system, extra)).alias("scales_mentioned_not_extracted"))
     summary = F.struct(F.lit(1).cast("long").alias("total_scales_found"), F.lit(5).cast("long").alias("total_items_extracted"), F.when(k % 5 == 0, "Low").otherwise("high").alias("overall_confidence"), F.lit(False).alias("needs_review"), null("review_reason"))
     results = held.select(k.cast("string").alias("filename"), F.when(k % 7 != 3, "success").otherwise("failed").alias("extraction_status"), F.struct(*[null(c) for c in phase1.META]).alias("article_metadata"), F.struct(*[null(c) for c in phase1.POPULATION]).alias("population_info"), summary.alias("extraction_summary"), "scales_extracted", "scales_mentioned_not_extracted")
-    return phase1.rows(results).select("filename", "scale_name", "item_number", "was_administered", "needs_review")
+    return phase1.rows(results)
 
 
 @query("pending_papers", """
