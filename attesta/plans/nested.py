@@ -201,16 +201,16 @@ def _(spark, d):
     return out.select("paper_id", F.col("extraction_meta.extraction_notes").alias("notes"), F.col("extraction_meta.extraction_confidence").alias("confidence"), F.col("extraction_meta.needs_human_review").alias("review"), F.size("scales").cast("long").alias("n_scales"))
 
 
+_RECORD = """'{"title":"Conversation ' || conv_id || '","study_type":"Both"}'"""
+
+
 @query("dispute_brief", f"""WITH {BASE}
-SELECT CAST(conv_id AS VARCHAR) AS paper_id, starts_with('PAPER ' || conv_id, 'PAPER') AS headed, CAST(least(length(s), 1000) AS BIGINT) AS source_length FROM (SELECT DISTINCT conv_id FROM t) JOIN src USING (conv_id)""")
+SELECT CAST(conv_id AS VARCHAR) AS paper_id, md5('PAPER ' || conv_id || chr(10) || chr(10) || 'DISPUTES: items; scales' || chr(10) || chr(10) || 'CODER A:' || chr(10) || {_RECORD} || chr(10) || chr(10)
+  || 'CODER B:' || chr(10) || {_RECORD} || chr(10) || chr(10) || 'SOURCE:' || chr(10) || substr(s, 1, 1000)) AS brief_md5, CAST(least(length(s), 1000) AS BIGINT) AS source_length FROM src WHERE s <> ''""")
 def _(spark, d):
-    from attesta.operators import routing
-
     r = roles.records(spark, d).where("source_norm <> ''")
-    text = routing.brief(F.col("paper_id"), F.array(F.lit("items")), F.col("paper"), F.col("paper"), F.col("source_norm"), 1000)
-    return r.select("paper_id", text.startswith("PAPER").alias("headed"), F.length(F.substring_index(text, "SOURCE:\n", -1)).cast("long").alias("source_length"))
-
-
+    text = routing.brief(F.col("paper_id"), F.array(F.lit("items"), F.lit("scales")), F.col("paper"), F.col("paper"), F.col("source_norm"), 1000)
+    return r.select("paper_id", F.md5(text).alias("brief_md5"), F.length(F.substring_index(text, "SOURCE:\n", -1)).cast("long").alias("source_length"))
 
 
 @query("judged_fallback", f"""WITH {BASE}, n AS (SELECT conv_id, count(*) AS u FROM sc GROUP BY conv_id)
