@@ -21,10 +21,10 @@ def query(name, sql=None):
     return textual.query(name, sql, (QUERIES, ORACLE_SQL))
 
 
-# Papers are languages: a document's first line is a scale of coder A, its second line, if it has one, one of B.
+# Papers are 200 documents each: a document's first line is a scale of coder A, its second line, if it has one, one of B.
 SCALES = f"""
-x AS MATERIALIZED (SELECT lang AS paper, doc_id AS ord, {sql_norm("string_split(text, chr(10))[1]")} AS key FROM documents),
-y AS MATERIALIZED (SELECT lang AS paper, doc_id AS ord, {sql_norm("string_split(text, chr(10))[2]")} AS key FROM documents WHERE len(string_split(text, chr(10))) > 1),
+x AS MATERIALIZED (SELECT CAST(doc_id // 200 AS VARCHAR) AS paper, doc_id AS ord, {sql_norm("string_split(text, chr(10))[1]")} AS key FROM documents),
+y AS MATERIALIZED (SELECT CAST(doc_id // 200 AS VARCHAR) AS paper, doc_id AS ord, {sql_norm("string_split(text, chr(10))[2]")} AS key FROM documents WHERE len(string_split(text, chr(10))) > 1),
 a AS MATERIALIZED (SELECT *, {TOKENS.format('key')} AS t, row_number() OVER (PARTITION BY paper ORDER BY ord) AS i FROM x),
 b AS MATERIALIZED (SELECT *, {TOKENS.format('key')} AS t FROM y),
 k AS MATERIALIZED (SELECT paper, key, min(ord) AS first, max(ord) AS last FROM b GROUP BY ALL),
@@ -45,7 +45,7 @@ SELECT a.paper, CASE WHEN took IS NULL THEN 'only_a' ELSE 'pair' END AS kind, a.
 UNION ALL SELECT b.paper, 'only_b', -1, b.ord FROM b WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.paper = b.paper AND took.used = b.key)""")
 def _(spark, d):
     docs = table(spark, d, "documents").withColumn("l", F.split("text", "\n", -1))
-    side = lambda i: docs.where(F.size("l") > i).select(F.col("lang").alias("paper"), F.col("doc_id").alias("ord"), F.get("l", F.lit(i)).alias("name")).select("paper", "ord", T.evidence_norm("name").alias("key"), T.name_tokens("name").alias("tokens"))
+    side = lambda i: docs.where(F.size("l") > i).select(F.floor(F.col("doc_id") / 200).cast("string").alias("paper"), F.col("doc_id").alias("ord"), F.get("l", F.lit(i)).alias("name")).select("paper", "ord", T.evidence_norm("name").alias("key"), T.name_tokens("name").alias("tokens"))
     return cluster.matched(side(0), side(1), "paper").na.fill(-1, ["ord_a", "ord_b"])
 
 
