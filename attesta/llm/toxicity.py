@@ -201,33 +201,38 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id: str =
                 own = {int(i): int(c) for i, c in zip(ids, n, strict=True) if i in keep}
                 # of a counterfactual only what its swap changes; all else takes itself away
                 changed = []
-                for x, m in zip(cf_ids, cf_n, strict=True):
+                for at, (x, m) in enumerate(zip(cf_ids, cf_n, strict=True)):
                     other = {int(i): int(c) for i, c in zip(x, m, strict=True) if i in keep}
-                    changed.append([(i, own.get(i, 0), other.get(i, 0)) for i in sorted(own.keys() | other.keys()) if own.get(i, 0) != other.get(i, 0)])
-                rows.append((y, list(own), list(own.values()), [[v[k] for v in c] for k in range(3) for c in changed]))
-            yield pd.DataFrame(rows, columns=["y", "ids", "n", "changed"])
-
-    # sorted, so that sums over rows, and with them the weights, do not depend on the tasks' order
-    sample = made.mapInPandas(narrow, "y int, ids array<int>, n array<int>, changed array<array<int>>").collect()
-    sample = sorted(sample, key=lambda r: (r[0], r[1], r[2]))
-
-    def values(n):
-        return np.log1p(np.array(n, dtype=float))
-
-    x = _sparse([(np.array(r[1], np.int64), values(r[2])) for r in sample], place)
-    fair: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def pair(ids, one, other):
-        fair.append((np.array(ids, np.int64), values(one) - values(other)))
-
-    for r in sample:
-        for i in range(len(r[3]) // 3):
-            pair(*r[3][i :: len(r[3]) // 3])
+                    changed += [(at, i, own.get(i, 0), other.get(i, 0)) for i in sorted(own.keys() | other.keys()) if own.get(i, 0) != other.get(i, 0)]
+                rows.append((y, list(own), list(own.values()), len(cf_ids), *([c[k] for c in changed] for k in range(4))))
+            yield pd.DataFrame(rows, columns=["y", "ids", "n", "swaps", "at", "id", "one", "other"])
+
+    # sorted, so that sums over rows, and with them the weights, do not depend on the tasks' order; flat arrays, as
+    # the driver holds the whole sample
+    kinds = "y int, ids array<int>, n array<int>, swaps int, at array<int>, id array<int>, one array<int>, other array<int>"
+    order = ["y", F.xxhash64("ids", "n"), F.xxhash64("at", "id", "one", "other")]
+    sample = made.mapInPandas(narrow, kinds).orderBy(*order).toArrow()
+    y = sample["y"].to_numpy().astype(float)
+
+    def flat(column):
+        held = sample[column].combine_chunks()
+        return np.repeat(np.arange(len(held)), np.diff(held.offsets.to_numpy())), held.flatten().to_numpy(zero_copy_only=False)
+
+    row, ids = flat("ids")
+    x = (row, place[ids], np.log1p(flat("n")[1].astype(float)))
+    each = sample["swaps"].to_numpy().astype(np.int64)
+    row, at = flat("at")
+    f_row, n_fair = (np.cumsum(each) - each)[row] + at, int(each.sum())
+    fair = [(f_row, place[flat("id")[1]], np.log1p(flat("one")[1].astype(float)) - np.log1p(flat("other")[1].astype(float)))]
+    phrases = []
     for kind in IDENTITY:
         for term in kind:
             (i, n), (j, m) = counts({term}), counts({kind[0]} if term != kind[0] else set())
-            fair.append((np.concatenate([i, j]), np.concatenate([values(n), -values(m)])))
-    w, bias = _fit(x, np.array([r[0] for r in sample], dtype=float), _sparse(fair, place), len(fair), len(chosen))
+            phrases.append((np.concatenate([i, j]), np.concatenate([np.log1p(n.astype(float)), -np.log1p(m.astype(float))])))
+    f_row, f_col, f_val = _sparse(phrases, place)
+    fair.append((f_row + n_fair, f_col, f_val))
+    n_fair += len(phrases)
+    w, bias = _fit(x, y, tuple(np.concatenate(c) for c in zip(*fair, strict=True)), n_fair, len(chosen))
     return Model({int(i): float(v) for i, v in zip(chosen, w, strict=True)}, bias)
 
 
