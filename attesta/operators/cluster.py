@@ -25,25 +25,28 @@ def similar_pairs(a: DataFrame, b: DataFrame, similar: float = SIMILAR) -> DataF
     of the smaller one. Repeated words count once, empty sets pair with none.
 
     Of two sets the larger stands under all its words, the smaller only under so many of its rarest that one
-    of them must be shared; pairs that meet are compared as a whole, at once."""
+    of them must be shared. What is joined on words is narrow, as a set may be long; pairs that meet fetch their sets
+    once and are compared as a whole."""
     sets = [x.select("by", "id", F.array_distinct(F.filter("tokens", lambda w: w.isNotNull())).alias("tokens")).where(F.size("tokens") > 0) for x in (a, b)]
-    words = [x.select("by", "id", "tokens", F.explode("tokens").alias("w")) for x in sets]
-    often = words[0].select("by", "w").unionByName(words[1].select("by", "w")).groupBy("by", "w").agg(F.count("*").alias("n"))
+    words = [x.select("by", "id", F.size("tokens").alias("n"), F.explode("tokens").alias("w")) for x in sets]
+    often = words[0].select("by", "w").unionByName(words[1].select("by", "w")).groupBy("by", "w").agg(F.count("*").alias("c"))
     # a pair shares at least this many words of its smaller set, so one of the others and one more
-    most = F.size("tokens") - F.ceil(F.size("tokens") * similar - 1e-9).cast("int") + 1
+    most = F.col("n") - F.ceil(F.col("n") * similar - 1e-9).cast("int") + 1
 
     def few(x: DataFrame) -> DataFrame:
-        rare = x.join(often, ["by", "w"]).groupBy("by", "id", "tokens").agg(F.array_sort(F.collect_list(F.struct("n", "w"))).alias("r"))
-        return rare.select("by", "id", "tokens", F.explode(F.transform(F.slice("r", 1, F.greatest(most, F.lit(1))), lambda r: r["w"])).alias("w"))
+        rare = x.join(often, ["by", "w"]).groupBy("by", "id", "n").agg(F.array_sort(F.collect_list(F.struct("c", "w"))).alias("r"))
+        return rare.select("by", "id", "n", F.explode(F.transform(F.slice("r", 1, F.greatest(most, F.lit(1))), lambda r: r["w"])).alias("w"))
 
     def met(less: DataFrame, more: DataFrame, ids: list[str], size) -> DataFrame:
-        left = less.select("by", "w", F.col("id").alias(ids[0]), F.col("tokens").alias("t"))
-        right = more.select("by", "w", F.col("id").alias(ids[1]), F.col("tokens").alias("u"))
-        pairs = left.join(right, ["by", "w"]).where(size(F.size("t"), F.size("u")) & (T.overlap(F.col("t"), F.col("u")) >= similar))
-        return pairs.select("by", "a", "b", T.overlap(F.col("t"), F.col("u")).alias("similarity")).distinct()
+        left = less.select("by", "w", F.col("id").alias(ids[0]), F.col("n").alias("m"))
+        right = more.select("by", "w", F.col("id").alias(ids[1]), "n")
+        return left.join(right, ["by", "w"]).where(size(F.col("m"), F.col("n"))).select("by", "a", "b")
 
     one = met(few(words[0]), words[1], ["a", "b"], lambda x, y: x <= y)
-    return one.unionByName(met(few(words[1]), words[0], ["b", "a"], lambda x, y: x < y))
+    pairs = one.unionByName(met(few(words[1]), words[0], ["b", "a"], lambda x, y: x < y)).distinct()
+    whole = [x.select("by", F.col("id").alias(i), F.col("tokens").alias(t)) for x, i, t in zip(sets, "ab", "tu", strict=True)]
+    full = pairs.join(whole[0], ["by", "a"]).join(whole[1], ["by", "b"])
+    return full.select("by", "a", "b", T.overlap(F.col("t"), F.col("u")).alias("similarity")).where(F.col("similarity") >= similar)
 
 
 def clustered(scales: DataFrame, similar: float = SIMILAR, few: int = FEW) -> DataFrame:
