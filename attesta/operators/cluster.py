@@ -56,11 +56,12 @@ def clustered(scales: DataFrame, similar: float = SIMILAR, few: int = FEW) -> Da
 
     Scales of equal key and tokens are one here. In each round a scale founds if no undecided earlier one has its
     key or similar tokens, and decides all that have; at least each paper's first undecided scale does. Equal
-    ``ord`` go by key and tokens; a null key or list is empty; scales of no paper are left out."""
-    words = F.array_sort(F.array_distinct(F.filter(F.coalesce("tokens", F.array().cast("array<string>")), lambda w: w.isNotNull())))
-    tagged = scales.where("paper_id is not null").withColumns({"__k": F.nullif("key", F.lit("")), "__w": words}).withColumn("__t", F.when(F.size("__w") > 0, F.to_json("__w")))
+    ``ord`` go by digests of key and tokens; a null key or list is empty; scales of no paper are left out."""
+    words = F.array_sort(F.array_distinct(F.filter("tokens", lambda w: w.isNotNull())))
+    # digests of 128 bits stand for keys and sets of words, which may be long
+    tagged = scales.where("paper_id is not null").withColumns({"__k": F.md5(F.nullif("key", F.lit(""))), "__t": F.when(F.size(words) > 0, F.md5(F.to_json(words)))})
     rows = ordinal(tagged, ["paper_id", "ord", "__k", "__t"], "__at")
-    kinds = rows.groupBy("paper_id", "__k", "__t").agg(F.min("__at").alias("at"), F.first("__w").alias("tokens"))
+    kinds = rows.groupBy("paper_id", "__k", "__t").agg(F.min("__at").alias("at"), F.first("tokens").alias("tokens"))
     group = lambda c, name: kinds.where(f"{c} is not null").groupBy("paper_id", c).agg(F.min("at").alias(name))
     keyed = kinds.where("__k is not null or __t is not null").join(group("__k", "kg"), ["paper_id", "__k"], "left").join(group("__t", "tg"), ["paper_id", "__t"], "left")
     keyed = kept(keyed.select("paper_id", "__k", "__t", "at", "kg", "tg", "tokens"))
@@ -173,7 +174,7 @@ def matched(a: DataFrame, b: DataFrame, by: str, similar: float = SIMILAR, few:
 
     In each round those scales of A settle whose best unused partner no undecided earlier one could take; at least
     the first undecided one of each group does. Nulls in key are empty; ``ord`` is unique within a group and side."""
-    named = lambda x: x.select(F.col(by).alias("by"), "ord", F.coalesce("key", F.lit("")).alias("key"), "tokens")
+    named = lambda x: x.select(F.col(by).alias("by"), "ord", F.md5(F.coalesce("key", F.lit(""))).alias("key"), "tokens")
     rows = ordinal(named(a), ["by", "ord"], "at")
     sides = ordinal(named(b), ["by", "ord"], "pos")
     keys = kept(sides.groupBy("by", "key").agg(F.min("pos").alias("first"), F.max("pos").alias("last")))
