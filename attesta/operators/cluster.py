@@ -166,11 +166,12 @@ def fuzzy_pairs(a: DataFrame, b: DataFrame, by: str, similar: float = SIMILAR) -
     return best.select(by, "id_a", "m.id_b", "m.similarity")
 
 
-def matched(a: DataFrame, b: DataFrame, by: str, similar: float = SIMILAR, few: int = FEW) -> DataFrame:
+def matched(a: DataFrame, b: DataFrame, by: str, similar: float = SIMILAR, few: int = FEW, digits: int | None = None) -> DataFrame:
     """One-to-one pairs of the coders' scales (by, ord, key, tokens) with both leftovers: rows (by, kind, ord_a,
     ord_b), kind pair, only_a or only_b. In their order, each scale of A takes that of B of its key, or where B has
     none of its key, the most similar unused one from ``similar`` on, the first of equals. Scales of B of one key are used
     together; a pair by key names the last of these, one by words the first. A scale whose partner is used stays alone.
+    With ``digits``, similarities that are equal when rounded to so many count as equal.
 
     In each round those scales of A settle whose best unused partner no undecided earlier one could take; at least
     the first undecided one of each group does. Nulls in key are empty; ``ord`` is unique within a group and side."""
@@ -182,7 +183,8 @@ def matched(a: DataFrame, b: DataFrame, by: str, similar: float = SIMILAR, few:
     loose = rows.join(keys.select("by", "key"), ["by", "key"], "left_anti").select("by", F.col("at").alias("id"), "tokens")
     spots = sides.join(keys.select("by", "key", "first"), ["by", "key"]).select("by", F.col("pos").alias("id"), "tokens", F.col("first"))
     near = similar_pairs(loose, spots.select("by", "id", "tokens"), similar).join(spots.select(F.col("id").alias("b"), "first"), "b")
-    edges = exact.unionByName(near.select(F.col("a").alias("at"), F.lit(1).alias("kind"), (-F.col("similarity")).alias("less"), F.col("b").alias("spot"), F.col("first").alias("used"), F.col("b").alias("to")))
+    alike = F.col("similarity") if digits is None else F.round("similarity", digits)
+    edges = exact.unionByName(near.select(F.col("a").alias("at"), F.lit(1).alias("kind"), (-alike).alias("less"), F.col("b").alias("spot"), F.col("first").alias("used"), F.col("b").alias("to")))
     pairs = _settled(kept(edges), few)
     done = pairs.join(rows.select("at", "by", F.col("ord").alias("ord_a")), "at").join(sides.select(F.col("pos").alias("to"), F.col("ord").alias("ord_b")), "to")
     alone = rows.join(pairs.select("at"), "at", "left_anti").select("by", F.lit("only_a").alias("kind"), F.col("ord").alias("ord_a"), F.lit(None).cast(dict(b.dtypes)["ord"]).alias("ord_b"))

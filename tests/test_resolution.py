@@ -236,3 +236,19 @@ def test_firsts_of_long_lists(spark):
             if p:
                 seen.setdefault(p.lower(), p)
         assert got[i] == "; ".join(seen.values())
+
+
+def test_matched_scales_on_odd_texts(spark, tmp_path):
+    import __spark_entry__ as entry
+    import duckdb
+
+    # the second names share 20 and 19 of 21 words with the first one: as alike in tenths, so the first of them goes with it
+    words = [f"w{chr(97 + i)}" for i in range(20)]
+    rows = [(-401, "x y\nx y"), (-1, "lone name\nlone name"), (0, " ".join(words) + "\nother"), (1, "p q r\n" + " ".join(words[:19] + ["no"])), (2, None), (3, "s t u\n" + " ".join(words) + " and"), (5, "\n"), (199, "one")]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = entry.queries()["matched_scales"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(f"select paper, kind, ord_a, ord_b from ({entry.oracle_sql()['matched_scales']})").fetchall()
+    assert (0, 1) in {(a, b) for _, kind, a, b in want if kind == "pair"}
+    assert sorted(map(tuple, got.select("paper", "kind", "ord_a", "ord_b").collect())) == sorted(want)
