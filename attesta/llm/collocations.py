@@ -108,24 +108,42 @@ def _hash(words: np.ndarray) -> np.ndarray:
     return h
 
 
-def _fragments(coded: DataFrame, share: int) -> DataFrame:
-    """(key, x, y, z, n) from (stream, at, ids, often): ids of the words ``at`` of a chunk, and the frequencies of these
-    words. key is the pivot's id and its salt, x to z the ids of three words before and three after it, -1: nothing,
-    two to a long."""
+def _coded(chunks: DataFrame, spelt: DataFrame, known: DataFrame, share: int) -> DataFrame:
+    """(stream, word, more) with the rows of a chunk in turn: its words that are known, word being place << 32 | id and more into
+    how many shares more than one it goes, then its stream, where word says whether its numbers are wide. A list of a
+    chunk's words would stand in a task's heap for all chunks that the task gets; sorted rows spill."""
+    wide = (F.size("words") + 2 >= 1 << 16).cast("long")
+    streams = chunks.select("chunk", "stream", wide.alias("word"), F.lit(0).cast("long").alias("more"))
+    met = spelt.join(known, ["lang", "word"])
+    words = met.select("chunk", F.lit(None).cast("binary").alias("stream"), F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("id").cast("long")).alias("word"), F.floor(F.col("f") / share).cast("long").alias("more"))
+    return streams.unionByName(words).repartition("chunk").sortWithinPartitions("chunk", F.isnotnull("stream")).select("stream", "word", "more")
+
+
+def _fragments(coded: DataFrame) -> DataFrame:
+    """(key, x, y, z, n) from the rows of ``_coded``. key is the pivot's id and its salt, x to z the ids of three words before
+    and three after it, -1: nothing, two to a long."""
 
     def run(batches):
         import pyarrow as pa
 
+        held = []
         for b in batches:
-            for i in range(b.num_rows):
-                ids = b.column("ids")[i].values.to_numpy(zero_copy_only=False)
-                stream = np.frombuffer(b.column("stream")[i].as_py(), dtype="<i4" if b.column("wide")[i].as_py() else "<u2")
-                at = b.column("at")[i].values.to_numpy(zero_copy_only=False) + 2
-                to = np.full(int(max(at.max(), stream.max())) + 1, -1, dtype=np.int32)
-                to[at] = ids
-                salts = np.zeros(len(to), dtype=np.int64)
-                salts[at] = b.column("often")[i].values.to_numpy(zero_copy_only=False) // share
-                yield from _cut(to[stream], salts[stream], pa)
+            word, more = (b.column(c).to_numpy() for c in ("word", "more"))
+            lo = 0
+            for i in np.flatnonzero(b.column("stream").is_valid().to_numpy(zero_copy_only=False)):
+                held.append((word[lo:i], more[lo:i]))
+                lo = i + 1
+                words, shares = (np.concatenate(x) for x in zip(*held, strict=True))
+                held = []
+                if len(words):
+                    stream = np.frombuffer(b.column("stream")[int(i)].as_py(), dtype="<i4" if word[i] else "<u2")
+                    at = (words >> 32) + 2
+                    to = np.full(int(max(at.max(), stream.max())) + 1, -1, dtype=np.int32)
+                    to[at] = (words & 0xFFFFFFFF).astype(np.int32)
+                    salts = np.zeros(len(to), dtype=np.int64)
+                    salts[at] = shares
+                    yield from _cut(to[stream], salts[stream], pa)
+            held.append((word[lo:].copy(), more[lo:].copy()))
 
     return coded.mapInArrow(run, "key long, x long, y long, z long, n long")
 
@@ -253,15 +271,13 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     one that has ``cover`` percent of their occurrences go. ``most``: so many of each language; None: all, without rank.
     ``chunk`` and ``share`` bound what a task holds and don't change the rows."""
     words = [f"w{i}" for i in range(LONGEST)]
-    chunks = written(_chunks(docs, text, lang, chunk), codec="zstd")
+    # a chunk is megabytes, and what writes or reads Parquet holds a row group
+    chunks = written(_chunks(docs, text, lang, chunk), codec="zstd", group=4)
     totals = chunks.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x).alias("n")).groupBy("lang").agg(F.sum("n").alias("n"))
     spelt = chunks.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "x")).select("chunk", "lang", "at", F.col("x.words").alias("word"), F.col("x.counts").alias("c"))
     often = spelt.groupBy("lang", "word").agg(F.sum("c").alias("f")).where(F.col("f") >= least).withColumn("down", -F.col("f"))
     known = written(ranked(often, ["down", "lang", "word"], "id").select("lang", "word", "f", F.col("id").cast("int").alias("id")))
-    placed = spelt.join(known, ["lang", "word"]).groupBy("chunk").agg(F.collect_list(F.struct("at", "id", "f")).alias("x"))
-    wide = F.size("words") + 2 >= 1 << 16
-    coded = chunks.select("chunk", "stream", wide.alias("wide")).join(placed, "chunk").select("stream", "wide", F.col("x.at").alias("at"), F.col("x.id").alias("ids"), F.col("x.f").alias("often"))
-    grams = written(_mined(_fragments(coded, share), least, share))
+    grams = written(_mined(_fragments(_coded(chunks, spelt, known, share)), least, share))
 
     single = known.select(F.col("id").alias("w0"), *[F.lit(-1).alias(w) for w in words[1:-1]], "f", "lang")
     shorter = single.unionByName(grams.where("w3 = -1").select(*words[:-1], "f", F.lit(None).cast("string").alias("lang")))

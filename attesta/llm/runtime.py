@@ -41,13 +41,14 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame, codec: str = "snappy") -> DataFrame:
+def written(df: DataFrame, codec: str = "snappy", group: int | None = None) -> DataFrame:
     """``df`` computed once and kept as Parquet in the shared folder: for wide tables, and where
     later joins must deal out their rows anew (a file carries no partitioning, so AQE can split
-    its hot keys)."""
+    its hot keys). ``group``: rows of a row group, where rows are large."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
+    out = df.write.option("compression", codec)
+    (out if group is None else out.option("parquet.block.row.count.limit", group)).parquet(path)
     _written.append((spark, path))
     out = spark.read.schema(df.schema).parquet(path)
     out._attesta_path = path

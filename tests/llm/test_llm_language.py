@@ -4,9 +4,11 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from attesta.llm import collocations, urls, whitening
 
@@ -68,6 +70,22 @@ def test_all_collocations(spark, texts):
     assert sorted((r.lang, r.phrase, r.a, r.score) for r in got) == sorted((r[0], r[2], r[3], r[7]) for r in brute(texts, 3, 10**9))
 
 
+def test_chunks_are_sorted_not_gathered(spark):
+    """No task holds the words of all its chunks, nor more than a few chunks as a row group."""
+    docs = spark.createDataFrame([("a b c a b", "en")] * 40, "text string, lang string").coalesce(1)
+    chunks = collocations.written(collocations._chunks(docs, "text", "lang", 8), codec="zstd", group=4)
+    spelt = chunks.select("chunk", "lang", F.posexplode("words").alias("at", "word"))
+    known = spark.createDataFrame([("en", "a", 40, 0), ("en", "b", 40, 1)], "lang string, word string, f long, id int")
+    coded = collocations._coded(chunks, spelt, known, 100)
+    assert "ObjectHashAggregate" not in coded._jdf.queryExecution().executedPlan().toString()
+    rows = [r.stream is not None for r in coded.coalesce(1).collect()]
+    assert sum(rows) == chunks.count() and rows[:3] == [False, False, True]
+    import pyarrow.parquet as pq
+
+    files = [pq.ParquetFile(f) for f in Path(chunks._attesta_path.removeprefix("file:")).glob("*.parquet")]
+    assert max(f.metadata.row_group(i).num_rows for f in files for i in range(f.num_row_groups)) <= 4
+
+
 def test_no_collocations(spark):
     assert collocations.collocations(spark.createDataFrame([], DOCS)).collect() == []
     assert collocations.collocations(spark.createDataFrame([("a b", "en"), (None, None)], "text string, lang string")).collect() == []
