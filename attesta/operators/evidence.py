@@ -6,6 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attesta.functions import text as T
+from attesta.sources.scratch import folder
+
+#: Halves of needles, and needles of two frequent halves, that may be broadcast: some tens of bytes each.
+FEW = 100_000
+#: Words' places in texts up to which a half of a needle is rare, whatever their number.
+MANY = 1_000
 
 
 def printed(key: Column, source: Column) -> Column:
@@ -42,41 +48,110 @@ def evidence_pairs(needles: DataFrame, needle: str, sources: DataFrame, source:
     """Cross-document containment: (needle row, source row) where the source contains the needle.
 
     Needles of up to ``most_bytes`` in all (measured first) are broadcast. Larger sets meet on words, as
-    narrow rows of hashes, and texts are fetched for what met. A needle of three words and more has whole
+    narrow rows of numbers, and texts are fetched for what met. A needle of three words and more has whole
     words between its first and its last, which a source that contains it has too: the longest is its key.
-    One of two words ends a word of the source and begins the next: the longer half is its key. A single
-    word lies anywhere in one. Halves and single words meet the distinct words of all sources by their rarest
+    One of two words ends a word of the source and begins the next: the half that fewer words have is its key, and
+    if many have either, neighbouring words are looked at instead. A single word lies anywhere in one, and what has such a
+    word contains it, unless the needle has white space beside it. Single words meet the distinct words of all sources by their rarest
     run of ``gram`` characters, or as a whole where they are shorter: rarest among those words, counted first."""
     held = needles.where(F.col(needle) != "")
     inside = F.contains(F.col(source), F.col(needle))
     if (held.agg(F.sum(F.octet_length(needle))).first()[0] or 0) <= most_bytes:
         return sources.join(F.broadcast(held), inside)
-    texts = sources.withColumn("__h", F.xxhash64(source))
-    words = texts.select("__h", F.explode(F.array_distinct(_words(F.col(source)))).alias("__word")).distinct()
+    texts = _saved(sources.withColumn("__h", F.monotonically_increasing_id()))
+    split = _saved(held.withColumns({"__w": _words(F.col(needle)), "__n": F.monotonically_increasing_id()}))
+    words = texts.select("__h", F.explode(F.array_distinct(_words(F.col(source)))).alias("__word"))
+    known = _saved(words.groupBy("__word").agg(F.count("*").alias("c")))
     w = F.col("__w")
     inner = F.reduce(F.slice(w, 2, F.greatest(F.size(w) - 2, F.lit(0))), F.lit(""), lambda best, x: F.when(F.length(x) > F.length(best), x).otherwise(best))
     head, tail = F.get(w, F.lit(0)), F.get(w, F.size(w) - 1)
-    kind = F.when(F.size(w) > 2, "whole").when((F.size(w) == 2) & (F.length(head) >= F.length(tail)), "end").when(F.size(w) == 2, "begin").when(F.size(w) == 1, "part").otherwise("any")
-    key = F.when(kind == "whole", inner).when(kind == "end", head).when(kind == "begin", tail).when(kind == "part", head).otherwise("")
-    split = held.withColumn("__w", _words(F.col(needle))).withColumns({"__kind": kind, "__key": key, "__n": F.xxhash64(needle)}).drop("__w")
-    keys = split.select("__n", "__kind", "__key").distinct()
-    met = words.join(keys.where("__kind = 'whole'"), F.col("__word") == F.col("__key")).select("__h", "__n")
-    short = keys.where("__kind in ('end', 'begin', 'part')")
-    lengths = sorted(r[0] for r in short.select(F.least(F.length("__key"), F.lit(gram)).alias("n")).distinct().collect())  # at most ``gram`` numbers
-    if lengths:
-        asked = short.select("__n", "__kind", "__key", F.explode(F.when(F.length("__key") >= gram, _grams(F.col("__key"), [gram])).otherwise(F.array("__key"))).alias("g"))
-        found = words.select("__word").distinct().select("__word", F.explode(_grams(F.col("__word"), lengths)).alias("g")).join(asked.select("g").distinct(), "g", "left_semi")
-        often = found.groupBy("g").agg(F.count("*").alias("c"))
-        rarest = asked.join(often, "g", "left").groupBy("__n", "__kind", "__key").agg(F.min(F.struct(F.coalesce("c", F.lit(0)).alias("c"), "g")).alias("m"))
-        fits = F.when(F.col("__kind") == "end", F.endswith("__word", "__key")).when(F.col("__kind") == "begin", F.startswith("__word", "__key")).otherwise(F.contains("__word", "__key"))
-        near = found.join(rarest.select("__n", "__kind", "__key", F.col("m.g").alias("g")), "g").where(fits).select("__word", "__n")
-        met = met.unionByName(words.join(near, "__word").select("__h", "__n"))
-    met = met.distinct().join(split.drop("__kind", "__key"), "__n").join(texts, "__h").where(inside).drop("__n", "__h")
-    blank = split.where("__kind = 'any'").drop("__kind", "__key", "__n")  # white space only: one or two needles
+    whole = split.where(F.size(w) > 2).select(inner.alias("__word"), "__n", F.lit(False).alias("__sure"))
+    ends, adjacent = _by_halves(split.where(F.size(w) == 2).select("__n", head.alias("head"), tail.alias("tail")), known, texts, source)
+    parts = _by_runs(split.where(F.size(w) == 1).select("__n", head.alias("__key"), (head == F.col(needle)).alias("__sure")), known, gram)
+    met = words.join(whole.unionByName(ends).unionByName(parts), "__word").select("__h", "__n", "__sure")
+    if adjacent is not None:
+        met = met.unionByName(adjacent)
+    met = met.distinct().join(split.where(F.size(w) > 0).drop("__w"), "__n").join(texts, "__h").where(F.col("__sure") | inside)
     out = met.select(*sources.columns, *held.columns)
+    blank = split.where(F.size(w) == 0).drop("__w", "__n")  # white space only: one or two needles
     return out.unionByName(sources.join(F.broadcast(blank), inside).select(*sources.columns, *held.columns)) if blank.limit(1).count() else out
 
 
+def _saved(df: DataFrame) -> DataFrame:
+    """``df`` computed once, in a folder of its own."""
+    at = folder(df.sparkSession)
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
+def _by_runs(single: DataFrame, known: DataFrame, gram: int) -> DataFrame:
+    """(__word, __n, __sure) of the words that hold a needle (__n, __key, __sure) of one word; sure: it has no white space beside it."""
+    keys = single.select("__key").distinct()
+    lengths = sorted(r[0] for r in keys.select(F.least(F.length("__key"), F.lit(gram)).alias("n")).distinct().collect()) or [gram]  # at most ``gram`` numbers
+    asked = keys.select("__key", F.explode(F.when(F.length("__key") >= gram, _grams(F.col("__key"), [gram])).otherwise(F.array("__key"))).alias("g"))
+    found = known.select("__word", F.explode(_grams(F.col("__word"), lengths)).alias("g")).join(asked.select("g").distinct(), "g", "left_semi")
+    often = found.groupBy("g").agg(F.count("*").alias("c"))
+    rarest = asked.join(often, "g", "left").groupBy("__key").agg(F.min(F.struct(F.coalesce("c", F.lit(0)).alias("c"), "g")).alias("m"))
+    near = found.join(rarest.select("__key", F.col("m.g").alias("g")), "g").where(F.contains("__word", "__key")).select("__word", "__key")
+    return near.join(single, "__key").select("__word", "__n", "__sure")
+
+
+def _by_halves(two: DataFrame, known: DataFrame, texts: DataFrame, source: str) -> tuple[DataFrame, DataFrame | None]:
+    """For needles (__n, head, tail) of two words: (__word, __n, __sure) of the words that have the rarer half, and
+    (__h, __n, __sure) of the texts where words of two frequent halves are neighbours."""
+    halves = two.select(F.explode(F.array(F.struct(F.lit("end").alias("kind"), F.col("head").alias("key")), F.struct(F.lit("begin").alias("kind"), F.col("tail").alias("key")))).alias("x")).select("x.*").distinct()
+    longest = halves.agg(F.max(F.length("key"))).first()[0] or 0
+    sizes = F.sequence(F.lit(1), F.least(F.length("__word"), F.lit(max(longest, 1))))
+    cut = F.concat(F.transform(sizes, lambda i: F.struct(F.lit("end").alias("kind"), F.right(F.col("__word"), i).alias("key"))), F.transform(sizes, lambda i: F.struct(F.lit("begin").alias("kind"), F.left(F.col("__word"), i).alias("key"))))
+    edges = known.select("__word", "c", F.explode(cut).alias("x")).select("__word", "c", "x.kind", "x.key")
+    count = edges.join(F.broadcast(halves) if halves.count() <= FEW else halves, ["kind", "key"]).groupBy("kind", "key").agg(F.sum("c").alias("c"))
+    of = lambda kind, key: count.where(F.col("kind") == kind).select(F.col("key").alias(key), F.col("c").alias(f"of_{key}"))
+    # a half that no word has means no text
+    chosen = _saved(two.join(of("end", "head"), "head").join(of("begin", "tail"), "tail").withColumn("least", F.least("of_head", "of_tail")))
+    many = max(MANY, texts.count() // 50)
+    often = chosen.where(F.col("least") > many)
+    apart = 0 < often.count() <= FEW
+    rare = (chosen.where(F.col("least") <= many) if apart else chosen).select("__n", F.when(F.col("of_head") <= F.col("of_tail"), "end").otherwise("begin").alias("kind"), F.when(F.col("of_head") <= F.col("of_tail"), F.col("head")).otherwise(F.col("tail")).alias("key"))
+    ends = edges.join(F.broadcast(rare) if rare.count() <= FEW else rare, ["kind", "key"]).select("__word", "__n", F.lit(False).alias("__sure"))
+    return ends, _neighbours(texts, source, [tuple(r) for r in often.select("__n", "head", "tail").collect()]) if apart else None
+
+
+def _neighbours(texts: DataFrame, source: str, needles: list[tuple[int, str, str]]) -> DataFrame:
+    """(__h, __n, __sure) of the texts with a word that ends in the head of a needle (__n, head, tail), and then one that begins
+    with its tail."""
+
+    def run(frames):
+        import re
+
+        import pandas as pd
+
+        after, starts, known, space = {}, {t for _, _, t in needles}, ({}, {}), re.compile("[ \t\n\x0b\x0c\r]+")
+        for n, x, y in needles:
+            after.setdefault(x, {}).setdefault(y, []).append(n)
+        long = [max(map(len, x), default=0) for x in (after, starts)]
+        for f in frames:
+            rows = []
+            for h, text in zip(f["__h"], f[source], strict=True):
+                if sum(map(len, known)) > 500_000:
+                    known = ({}, {})
+                words, found = space.split(text or ""), set()
+                for u, v in zip(words[:-1], words[1:], strict=True):
+                    if (x := known[0].get(u)) is None:
+                        x = known[0][u] = [after[e] for i in range(1, min(len(u), long[0]) + 1) if (e := u[-i:]) in after]
+                    if not x:
+                        continue
+                    if (y := known[1].get(v)) is None:
+                        y = known[1][v] = [e for i in range(1, min(len(v), long[1]) + 1) if (e := v[:i]) in starts]
+                    for a in x:
+                        for e in y:
+                            if e in a:
+                                found.update(a[e])
+                rows += [(h, n, False) for n in found]
+            yield pd.DataFrame(rows, columns=["__h", "__n", "__sure"])
+
+    return texts.select("__h", source).mapInPandas(run, "__h long, __n long, __sure boolean")
+
+
 def verified_keys(tagged: DataFrame, sources: DataFrame, paper: str, key: str) -> DataFrame:
     """The coders' verified key sets: rows (paper, key, in_a, in_b), of both coders, each key once per paper,
     where the paper's source contains it. Sources are normalised and joined once for both."""

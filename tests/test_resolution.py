@@ -148,6 +148,21 @@ def test_evidence_by_rarest_runs(spark):
         assert sorted((r.id, r.n) for r in got) == want
 
 
+def test_evidence_of_frequent_halves(spark, monkeypatch):
+    """Halves that all texts have meet a text only where they are neighbours."""
+    monkeypatch.setattr(evidence, "MANY", 3)
+    texts = [f"xab cdy w{i} cd ab" for i in range(40)] + ["ab cd", "zab\tcdz", "cd", "", None, "ab\u00a0cd"]
+    src = spark.createDataFrame(list(enumerate(texts)), "id int, s string")
+    ask = spark.createDataFrame(list(enumerate(["ab cd", "b cdy w1", "d a", "cd w1", "ab\tcd", "none ab"])), "n int, k string")
+    want = sorted((i, n) for i, t in enumerate(texts) for n, k in enumerate(r.k for r in ask.collect()) if t and k in t)
+    assert sorted((r.id, r.n) for r in evidence.evidence_pairs(ask, "k", src, "s", most_bytes=0).collect()) == want
+    two = spark.createDataFrame([(7, "d", "ab"), (8, "y", "ab"), (9, "none", "ab")], "__n long, head string, tail string")
+    known = src.select(F.explode(F.array_distinct(F.split("s", r"\s+"))).alias("__word")).where("__word <> ''").groupBy("__word").agg(F.count("*").alias("c"))
+    ends, near = evidence._by_halves(two, known, src.withColumnRenamed("id", "__h"), "s")
+    assert ends.count() == 0
+    assert {r["__n"] for r in near.collect()} == {7} and near.count() == 40
+
+
 def test_costs_are_decimal(spark):
     rows = [(i, o) for i in (0, 1, 50_000, 100_000, 7) for o in (4, 12, 20, 28, 36, 123_456)]
     df = spark.createDataFrame(rows, "i long, o long").select("i", "o", T.cost(F.col("i"), F.col("o"), 0.15, 1.25).alias("c"))
