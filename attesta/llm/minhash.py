@@ -26,7 +26,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from attesta.llm.runtime import LONG_MIN, components, drop, free, map_small, tasks_for, worker_cache, written
@@ -205,6 +205,14 @@ def _meet(batches):
             yield pd.DataFrame({"key": keys[link], "id": ids[link], "other": pd.array(head[link], dtype="Int64")})
 
 
+def _linked(met: DataFrame) -> DataFrame:
+    """(key, id, other): the links of ``_meet``, and one from each batch's head of a key to the least of them. A key has a
+    head from each batch at most, so its window is short however many rows share it."""
+    heads = met.where("other is null").select("key", "id")
+    least = heads.withColumn("other", F.min("id").over(Window.partitionBy("key"))).where("id <> other")
+    return met.where("other is not null").unionByName(least)
+
+
 def _confirm(ids: np.ndarray, label: np.ndarray, sets: list[np.ndarray], half: np.ndarray | None, percent: int):
     """Links enough to connect what is connected: breadth-first over pairs that meet in a table and
     whose sets reach 100 * intersection >= percent * union. label: pairs of one label are connected
@@ -397,9 +405,7 @@ def _judged(docs: DataFrame, percent: int, words: int, id: str, text: str) -> Da
     classes = some.groupBy("one", "two", "n").agg(F.min(F.struct("id", "h", "ka", "kb", "marks")).alias("m")).select("one", "two", "n", "m.id", "m.h", "m.ka", "m.kb", "m.marks")
     classes = written(classes.withColumn("rep", F.monotonically_increasing_id()))
     met = written(classes.select("rep", "ka", "kb").mapInPandas(_meet, "key long, id long, other long"))
-    heads = met.where("other is null").select("key", "id")
-    least = heads.groupBy("key").agg(F.min("id").alias("other"), F.count("*").alias("m")).where("m > 1").select("key", "other")
-    links = written(met.where("other is not null").unionByName(heads.join(least, "key").where("id <> other")))
+    links = written(_linked(met))
     drop(met)
     need = _need(percent)
     judged = written(_alike(links.select("id", "other").distinct(), classes, need))

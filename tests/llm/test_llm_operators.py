@@ -855,3 +855,10 @@ def test_toxicity_on_held_out_texts_and_neutral_mentions(spark):
     got = {r["doc_id"]: r for r in toxicity.classify(docs, marks).collect()}
     assert auc([(got[i]["score"], y) for i, (_, y) in enumerate(rows) if got[i]["held_out"]]) > 0.98
     assert not any(got[10_000 + i]["predicted"] for i in range(len(neutral)))
+
+
+def test_heads_of_a_key_meet_without_a_join(spark):
+    rows = [(1, 5, None), (1, 9, 5), (1, 3, None), (1, 7, None), (2, 4, None), (3, 8, 6), (3, 6, None)]
+    links = minhash._linked(spark.createDataFrame(rows, "key long, id long, other long"))
+    assert sorted(map(tuple, links.collect())) == [(1, 5, 3), (1, 7, 3), (1, 9, 5), (3, 8, 6)]
+    assert "Join" not in links._jdf.queryExecution().executedPlan().toString()
