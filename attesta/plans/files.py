@@ -163,7 +163,7 @@ def _(spark, d):
     return spark.read.schema("paper_id long, outcome string, attempts int").parquet(f"{at}/out")
 
 
-# Conversations as files, one each, in folders by paper.
+# Conversations as files, one each, in one folder: one listing finds them. They go there as tasks end, not one after another by the driver.
 _TALKS = "SELECT conv_id, count(*) AS n, string_agg(text, chr(10) ORDER BY turn) AS talk, list(role ORDER BY turn) AS roles FROM conversations GROUP BY conv_id"
 
 
@@ -173,8 +173,8 @@ def _talks(spark, d):
 
 
 def _as_files(df, at):
-    """(paper_id, value): a file for each paper."""
-    df.repartition("paper_id").write.partitionBy("paper_id").text(at)
+    """(value): a file for each row."""
+    df.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", 2).text(at)
 
 
 @query("json_files", f"""
@@ -185,7 +185,7 @@ def _(spark, d):
     other = F.to_json(F.struct(F.col("conv_id").alias("paper_id")))  # JSON, but no record
     n = F.col("n") % 3
     value = F.when(n == 0, F.substring(record, F.lit(1), F.floor(F.length(record) / 2).cast("int"))).when(n == 1, other).otherwise(record)
-    _as_files(talks.select(F.col("conv_id").alias("paper_id"), value.alias("value")), at)
+    _as_files(talks.select(value.alias("value")), at)
     read = readers.json_documents(spark, at, T.StructType.fromDDL("paper_id string, scales array<struct<scale_name string>>"))
     return read.groupBy(F.coalesce(F.size("record.scales"), F.lit(-1)).cast("long").alias("scales")).agg(F.count("*").alias("files"))
 
@@ -195,7 +195,7 @@ SELECT conv_id AS paper_id, CASE WHEN n = 3 THEN 0 ELSE length(CAST(conv_id AS V
 def _(spark, d):
     at, talks = scratch.folder(spark), _talks(spark, d)
     # a file has a name of its own, and the number of its paper in its first line
-    talks.where("n <> 3").select(F.concat(F.col("conv_id").cast("string"), F.lit("\n"), "talk")).write.option("maxRecordsPerFile", 1).text(at)
+    _as_files(talks.where("n <> 3").select(F.concat(F.col("conv_id").cast("string"), F.lit("\n"), "talk")), at)
     named = spark.read.text(at, wholetext=True).select(F.substring_index("value", "\n", 1).cast("long").alias("conv_id"), F.regexp_replace("_metadata.file_name", r"\.[^.]+$", ".pdf").alias("filename"))
     log = talks.join(named, "conv_id", "left").select(F.col("conv_id").alias("paper_id"), F.coalesce("filename", F.lit("lost.pdf")).alias("filename"), F.when(F.col("n") == 2, "poor").otherwise("ok").alias("status"))
     chosen = talks.where(F.get("roles", F.lit(0)) != "system").select(F.col("conv_id").alias("paper_id"))
@@ -207,7 +207,7 @@ SELECT n > 4 AS is_pdf, count(*) AS files, CAST(sum(strlen(talk) + 1 + CASE WHEN
 def _(spark, d):
     at = scratch.folder(spark)
     value = F.concat(F.when(F.col("n") > 4, "%PDF-\n").otherwise(""), F.col("talk"))
-    _as_files(_talks(spark, d).select(F.col("conv_id").alias("paper_id"), value.alias("value")), at)
+    _as_files(_talks(spark, d).select(value.alias("value")), at)
     read = spark.read.format("binaryFile").load(at).select(readers.is_pdf(F.col("content")).alias("is_pdf"), "length")
     return read.groupBy("is_pdf").agg(F.count("*").alias("files"), F.sum("length").alias("n_bytes"))
 

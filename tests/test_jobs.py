@@ -74,3 +74,12 @@ def test_batches_open_only_files_of_their_keys(spark, tmp_path):
             f.unlink()
     assert indexed.append(few, 1, at, "paper_id", buckets=16) == 1 and len(held()) == 501
     assert indexed.append(rows(("new", 2), ("k9", 2)), 2, at, "paper_id", buckets=16) == 0 and len(held()) == 501
+
+
+def test_files_lie_in_one_folder(spark, tmp_path):
+    from attesta.plans import files
+
+    at = tmp_path / "out"
+    files._as_files(spark.createDataFrame([(f"text {i}",) for i in range(9)], "value string").coalesce(2), str(at))
+    assert not [f for f in at.iterdir() if f.is_dir()]
+    assert sorted(f.read_text() for f in at.glob("part-*")) == [f"text {i}\n" for i in range(9)]
