@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -26,10 +26,11 @@ class _Jobs(StatefulProcessor):
         self.held = handle.getValueState("job", "attempts int, over boolean, place long, due long")
 
     def _state(self) -> list:
-        return list(self.held.get()) if self.held.exists() else [0, False, None, None]
+        held = self.held.get()  # one call of the store for a paper, where a frame and its look-ups took several
+        return [0, False, None, None] if held is None else list(held)
 
-    def _out(self, key, outcome: str, attempts: int) -> pd.DataFrame:
-        return pd.DataFrame({"paper_id": [key[0]], "outcome": [outcome], "attempts": pd.Series([attempts], dtype="int32")})
+    def _out(self, key, outcome: str, attempts: int) -> Row:
+        return Row(paper_id=key[0], outcome=outcome, attempts=attempts)
 
     def _failed(self, state: list) -> str | None:
         state[0] += 1
@@ -43,9 +44,9 @@ class _Jobs(StatefulProcessor):
             self.handle.registerTimer(due)
         state[3] = due
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        events, state, outcome = pd.concat(list(rows)).sort_values("seq"), self._state(), None
-        for e in events.itertuples(index=False):
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        state, outcome = self._state(), None
+        for e in sorted(rows, key=lambda r: r.seq):
             if state[1] or (state[2] is not None and e.seq <= state[2]):
                 continue  # over, or told before: a replayed event changes nothing
             state[2] = int(e.seq)
@@ -63,7 +64,7 @@ class _Jobs(StatefulProcessor):
         if outcome:
             yield self._out(key, outcome, state[0])
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         state = self._state()
         state[3] = None
         outcome = None if state[1] else self._failed(state)
@@ -84,6 +85,6 @@ def outcomes(events: DataFrame, most: int = 2, patience: str | None = None, late
     if patience is not None:
         told = told.withWatermark("at", late)
         ms = int(pd.Timedelta(patience).total_seconds() * 1000)
-    return told.groupBy("paper_id").transformWithStateInPandas(
+    return told.groupBy("paper_id").transformWithState(
         statefulProcessor=_Jobs(most, ms), outputStructType=f"paper_id {dict(told.dtypes)['paper_id']}, outcome string, attempts int", outputMode="Append", timeMode="None" if ms is None else "EventTime"
     )

@@ -52,6 +52,29 @@ def test_silent_jobs_time_out(spark, tmp_path, store):
     assert ("a", "given_up", 1) in got and ("b", "done", 0) in got
 
 
+def test_two_calls_of_the_store_for_a_paper():
+    from pyspark.sql import Row
+
+    calls = []
+
+    class Held:
+        def exists(self):
+            calls.append("exists")
+            return False
+
+        def get(self):
+            calls.append("get")
+
+        def update(self, value):
+            calls.append("update")
+
+    job = jobs._Jobs(2, None)
+    job.held = Held()
+    events = [Row(seq=2, state="failed", at=None), Row(seq=1, state="failed", at=None)]
+    assert list(job.handleInputRows(("a",), iter(events), None)) == [Row(paper_id="a", outcome="given_up", attempts=2)]
+    assert calls == ["get", "update"]
+
+
 ROWS = "paper_id string, v int"
 
 
