@@ -37,6 +37,8 @@ ROWS, MISS, MAX_SIDE = 3, 2e-3, 32
 BLOCK, BLOCK_SHINGLES = 128, 1 << 20
 #: Classes of a block of a key with refused links.
 KEY_BLOCK = 2048
+#: Classes whose table keys a task makes at once: each has side x side of them, at some 120 bytes while they are sorted.
+KEYED = 1024
 #: Rows' keys of two longs that may be broadcast: some 40 bytes each as a hash table, so at most 40 MB.
 BROADCAST_KEYS = 1_000_000
 #: Bytes of text for a shingle, about.
@@ -200,7 +202,8 @@ def _meet(batches):
         new = np.concatenate([[True], keys[1:] != keys[:-1]])
         head = ids[np.flatnonzero(new)][np.cumsum(new) - 1]
         link = ids != head
-        yield pd.DataFrame({"key": keys[new], "id": ids[new], "other": pd.array([None] * int(new.sum()), dtype="Int64")})
+        none = pd.arrays.IntegerArray(np.zeros(int(new.sum()), dtype=np.int64), np.ones(int(new.sum()), dtype=bool))
+        yield pd.DataFrame({"key": keys[new], "id": ids[new], "other": none})
         if link.any():
             yield pd.DataFrame({"key": keys[link], "id": ids[link], "other": pd.array(head[link], dtype="Int64")})
 
@@ -404,7 +407,7 @@ def _judged(docs: DataFrame, percent: int, words: int, id: str, text: str) -> Da
     # classes have numbers of their own, as rows may share an id; id and h name the row that stands for one
     classes = some.groupBy("one", "two", "n").agg(F.min(F.struct("id", "h", "ka", "kb", "marks")).alias("m")).select("one", "two", "n", "m.id", "m.h", "m.ka", "m.kb", "m.marks")
     classes = written(classes.withColumn("rep", F.monotonically_increasing_id()))
-    met = written(classes.select("rep", "ka", "kb").mapInPandas(_meet, "key long, id long, other long"))
+    met = written(map_small(classes.select("rep", "ka", "kb"), _meet, "key long, id long, other long", rows=KEYED))
     links = written(_linked(met))
     drop(met)
     need = _need(percent)

@@ -862,3 +862,24 @@ def test_heads_of_a_key_meet_without_a_join(spark):
     links = minhash._linked(spark.createDataFrame(rows, "key long, id long, other long"))
     assert sorted(map(tuple, links.collect())) == [(1, 5, 3), (1, 7, 3), (1, 9, 5), (3, 8, 6)]
     assert "Join" not in links._jdf.queryExecution().executedPlan().toString()
+
+
+def test_minhash_makes_table_keys_of_few_classes_at_once(spark, monkeypatch):
+    """A task makes side x side keys for each class it holds, so its memory is that of so many classes."""
+    meet, most = minhash._meet, minhash.KEYED
+
+    def bounded(batches):
+        def few():
+            for b in batches:
+                if len(b) > most:
+                    raise ValueError(f"{len(b)} classes at once")
+                yield b
+
+        yield from meet(few())
+
+    monkeypatch.setattr(minhash, "_meet", bounded)
+    rng = random.Random(11)
+    rows = [(i, words(rng, 12, [f"w{j}" for j in range(300)]), "s") for i in range(2500)]
+    rows += [(9000 + i, rows[i][1], "s") for i in range(5)]
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(table(spark, rows).coalesce(1), percent=80).collect()}
+    assert len(got) == 2505 and all(got[9000 + i] == i for i in range(5)) and got[77] == 77
