@@ -30,13 +30,18 @@ def tiered(items: DataFrame, tables: list[DataFrame], keys: list[str]) -> DataFr
     """Tables of (key, code) and the item columns to look up in each, in order of priority; the
     first code that isn't blank wins. One look-up on (priority, key) instead of a join per tier.
 
-    items needs row_id; adds code and tier (1 for the first, null if none)."""
-    asked = items.select("row_id", F.explode(F.array(*[F.struct(F.lit(i).alias("tier"), F.col(k).alias("key")) for i, k in enumerate(keys, 1)])).alias("x")).select("row_id", "x.tier", "x.key").where("key <> ''")
+    Tables that are asked by one column meet first, and keys go as digests of 128 bits, as they may be long: an item is
+    one narrow row for each column, however many tables it asks. items needs row_id; adds code and tier (1 for the
+    first, null if none)."""
+    digest = lambda c: F.unhex(F.md5(F.col(c)))
+    slots = list(dict.fromkeys(keys))
+    asked = items.select("row_id", F.explode(F.array(*[F.struct(F.lit(i).alias("slot"), F.when(F.col(k) != "", digest(k)).alias("key")) for i, k in enumerate(slots)])).alias("x")).select("row_id", "x.slot", "x.key").where("key is not null")
     known = None
-    for i, table in enumerate(tables, 1):
-        one = table.where("code <> ''").select(F.lit(i).alias("tier"), "key", "code")
+    for i, (table, k) in enumerate(zip(tables, keys, strict=True), 1):
+        one = table.where("code <> ''").select(F.lit(slots.index(k)).alias("slot"), digest("key").alias("key"), F.lit(i).alias("tier"), "code")
         known = one if known is None else known.unionByName(one)
-    best = asked.join(known, ["tier", "key"]).groupBy("row_id").agg(F.min_by("code", "tier").alias("code"), F.min("tier").alias("tier"))
+    first = known.groupBy("slot", "key").agg(F.min_by("code", "tier").alias("code"), F.min("tier").alias("tier"))
+    best = asked.join(first, ["slot", "key"]).groupBy("row_id").agg(F.min_by("code", "tier").alias("code"), F.min("tier").alias("tier"))
     return items.join(best, "row_id", "left")
 
 

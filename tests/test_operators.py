@@ -413,3 +413,14 @@ def test_schema_forms():
     assert "strict" not in full and "scales" in full["input_schema"]["properties"]
     with pytest.raises(ValueError):
         S.for_vendor("other")
+
+
+def test_tiered_asks_once_for_each_column(spark):
+    """Eight tables asked by two columns are two narrow rows an item, without its long keys."""
+    tables = [spark.createDataFrame([(f"{k}{i}" * 500, c, ) for k, c in (("a", f"A{i}"), ("b", ""))], "key string, code string") for i in range(8)]
+    items = spark.createDataFrame([(1, "a3" * 500, "a1" * 500), (2, "a6" * 500, ""), (3, "b2" * 500, None), (4, "a1" * 500, "a2" * 500)], "row_id long, x string, y string")
+    got = remap.tiered(items, tables, ["x", "y"] * 4)
+    assert sorted((r.row_id, r.code, r.tier) for r in got.collect()) == [(1, "A1", 2), (2, "A6", 7), (3, None, None), (4, None, None)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    made = [line for line in plan.splitlines() if "Generate explode" in line]
+    assert made and all(line.count("md5") <= 2 for line in made) and "md5" in plan
