@@ -159,11 +159,21 @@ def fuzzy_pairs(a: DataFrame, b: DataFrame, by: str, similar: float = SIMILAR) -
     """The most similar of B's scales (by, id, key, tokens) for each of A: of equal key, else of overlap from
     ``similar``, ties to the least id; also one that another has taken. ``matched`` is one-to-one."""
     one, two = (x.select(by, "key", F.col("id").alias(c)) for x, c in ((a, "id_a"), (b, "id_b")))
-    exact = one.join(two, [by, "key"]).select(by, "id_a", "id_b", F.lit(1.0).alias("similarity"), F.lit(0).alias("kind"))
-    sets = [x.select(F.col(by).alias("by"), "id", "tokens") for x in (a, b)]
-    near = similar_pairs(*sets, similar).select(F.col("by").alias(by), F.col("a").alias("id_a"), F.col("b").alias("id_b"), "similarity", F.lit(1).alias("kind"))
-    best = exact.unionByName(near).groupBy(by, "id_a").agg(F.min(F.struct("kind", -F.col("similarity"), "id_b", "similarity")).alias("m"))
-    return best.select(by, "id_a", "m.id_b", "m.similarity")
+    # of each key the least partner; what has one needs no search among words
+    least = two.groupBy(by, "key").agg(F.min("id_b").alias("id_b"))
+    exact = one.join(least, [by, "key"]).select(by, "id_a", "id_b", F.lit(1.0).alias("similarity"), F.lit(0).alias("kind"))
+    words = F.array_sort(F.array_distinct(F.filter("tokens", lambda w: w.isNotNull())))
+    sets = lambda x: x.select(F.col(by).alias("by"), "id", words.alias("tokens")).where(F.size("tokens") > 0)
+    # scales of equal words are one: those of A share their best partner, and of B's the least is it
+    loose = kept(sets(a.join(two.select(by, "key"), [by, "key"], "left_anti")).withColumn("__t", F.md5(F.to_json("tokens"))))
+    asked = kept(loose.groupBy("by", "__t").agg(F.first("tokens").alias("tokens")).withColumn("id", F.monotonically_increasing_id()))
+    held = kept(sets(b).groupBy("by", "tokens").agg(F.min("id").alias("id")))
+    near = similar_pairs(asked.select("by", "id", "tokens"), held.select("by", "id", "tokens"), similar)
+    best = near.groupBy("by", "a").agg(F.min(F.struct(-F.col("similarity"), F.col("b").alias("id_b"), "similarity")).alias("m"))
+    first = asked.select("by", "__t", F.col("id").alias("a")).join(best, ["by", "a"]).select("by", "__t", "m.id_b", "m.similarity")
+    found = loose.join(first, ["by", "__t"]).select(F.col("by").alias(by), F.col("id").alias("id_a"), "id_b", "similarity", F.lit(1).alias("kind"))
+    chosen = exact.unionByName(found).groupBy(by, "id_a").agg(F.min(F.struct("kind", -F.col("similarity"), "id_b", "similarity")).alias("m"))
+    return chosen.select(by, "id_a", "m.id_b", "m.similarity")
 
 
 def matched(a: DataFrame, b: DataFrame, by: str, similar: float = SIMILAR, few: int = FEW, digits: int | None = None) -> DataFrame:

@@ -267,3 +267,23 @@ def test_matched_scales_on_odd_texts(spark, tmp_path):
     want = con.execute(f"select paper, kind, ord_a, ord_b from ({entry.oracle_sql()['matched_scales']})").fetchall()
     assert (0, 1) in {(a, b) for _, kind, a, b in want if kind == "pair"}
     assert sorted(map(tuple, got.select("paper", "kind", "ord_a", "ord_b").collect())) == sorted(want)
+
+
+def test_fuzzy_pairs_of_copies(spark, monkeypatch):
+    """Scales of equal words are searched once and what has its key among B not at all; each still has its own best, ids may come twice."""
+    rng, kind = random.Random(3), "g int, id int, key string, tokens array<string>"
+    side = lambda n, start: [(rng.randrange(2), start + i % (n - 4), rng.choice([None, f"k{rng.randrange(12)}", f"{start}-{i}"]), rng.choice([None, [], rng.sample("abcdefg", rng.randrange(1, 5))])) for i in range(n)]
+    a, b = side(60, 0), side(60, 100)
+    a += [(0, 200 + i, f"n{i}", ["x", "y"]) for i in range(40)]
+    b += [(0, 300 + i, f"m{i}", ["y", "x"]) for i in range(40)]
+    want = {}
+    for g, i, k, t, h, j, m, u in ((*x, *y) for x in a for y in b):
+        s = overlap(set(t or []), set(u or []))
+        if g == h and (k == m is not None or s >= 0.6):
+            best = (0, -1.0, j) if k == m is not None else (1, -s, j)
+            want[g, i] = min(want.get((g, i), best), best)
+    seen, similar = [], cluster.similar_pairs
+    monkeypatch.setattr(cluster, "similar_pairs", lambda x, y, *z: (seen.append((x.where("by = 0 and array_contains(tokens, 'x')").count(), y.where("by = 0 and array_contains(tokens, 'x')").count())), similar(x, y, *z))[1])
+    got = cluster.fuzzy_pairs(spark.createDataFrame(a, kind), spark.createDataFrame(b, kind), "g").collect()
+    assert sorted((r.g, r.id_a, r.id_b, round(r.similarity, 9)) for r in got) == sorted((*k, j, round(-s, 9)) for k, (_, s, j) in want.items())
+    assert seen == [(1, 1)]
