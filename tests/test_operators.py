@@ -424,3 +424,11 @@ def test_tiered_asks_once_for_each_column(spark):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     made = [line for line in plan.splitlines() if "Generate explode" in line]
     assert made and all(line.count("md5") <= 2 for line in made) and "md5" in plan
+
+
+def test_the_pattern_of_unsafe_characters_tells_ascii_apart_first(spark):
+    codes = [c for c in range(0x11000) if not 0xD800 <= c < 0xE000]
+    chars = spark.createDataFrame([(c, chr(c)) for c in codes], "n int, c string").repartition(4)
+    for but in ("", "\\xa0"):
+        odd = chars.where(F.col("c").rlike(T._unsafe(but)) != F.col("c").rlike(f"[^{T._SAFE}{but}]"))
+        assert odd.count() == 0
