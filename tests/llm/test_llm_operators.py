@@ -4,6 +4,7 @@ repeated rows, empty tables, and other columns whose names an operator also uses
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -883,3 +884,40 @@ def test_minhash_makes_table_keys_of_few_classes_at_once(spark, monkeypatch):
     rows += [(9000 + i, rows[i][1], "s") for i in range(5)]
     got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(table(spark, rows).coalesce(1), percent=80).collect()}
     assert len(got) == 2505 and all(got[9000 + i] == i for i in range(5)) and got[77] == 77
+
+
+def dealt_rows(monkeypatch):
+    """The numbers of rows that tasks compare, and the tables written, as they come."""
+    rows, plans, mapped, kept = [], [], minhash.map_small, minhash.written
+    monkeypatch.setattr(minhash, "map_small", lambda df, *args, **named: rows.append(df.count()) or mapped(df, *args, **named))
+    monkeypatch.setattr(minhash, "written", lambda df, *args: plans.append(df._jdf.queryExecution().executedPlan().toString()) or kept(df, *args))
+    return rows, plans
+
+
+def test_minhash_compares_a_large_group_of_a_key_with_the_others_only(spark, monkeypatch):
+    """One group is nearly all of a key: its rows grow in proportion to it, and its links join the key once."""
+    monkeypatch.setattr(minhash, "KEY_BLOCK", 4)
+    rows, plans = dealt_rows(monkeypatch)
+    rng = random.Random(5)
+    marks = [[rng.randrange(1 << 15) for _ in range(48)] for _ in range(63)]
+    marks[62], marks[61] = [*marks[30][:40], *marks[62][40:]], [*marks[60][:40], *marks[61][40:]]
+    links = spark.createDataFrame([(1, i, 0) for i in range(1, 63)] + [(2, 8, 7)], "key long, id long, other long")
+    judged = spark.createDataFrame([(i, 0, i < 60) for i in range(1, 63)] + [(8, 7, True)], "id long, other long, ok boolean")
+    groups = spark.createDataFrame([(i, 0) for i in range(60)], "node long, component long")
+    classes = spark.createDataFrame([(i, 100, m) for i, m in enumerate(marks)], "rep long, n long, marks array<short>")
+    got = minhash._refused(links, judged, groups, classes, 28, 85).collect()
+    assert {frozenset(r) for r in got} == {frozenset((30, 62)), frozenset((60, 61))}
+    assert rows == [60 + 3 * (1 + 15)]
+    assert max(len(re.findall(r"Join \[key#\d+L\], \[key#\d+L\]", p)) for p in plans) == 1
+
+
+def test_minhash_compares_a_large_part_of_a_group_with_the_others_only(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    rows, _ = dealt_rows(monkeypatch)
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join([*base[:i], f"x{i}", *base[i + 1 :]]) for i in range(41)] + [" ".join(f"y{i}" for i in range(90))]
+    held = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    members = spark.createDataFrame([(i, 0, 196, 0 if i < 40 else 40) for i in range(41)] + [(41, 0, 86, 41)], "node long, component long, n long, label long")
+    got = minhash._links(held, members, 5, 85, True).collect()
+    assert got and all(40 in (r["a"], r["b"]) and 41 not in (r["a"], r["b"]) for r in got)
+    assert rows == [40 + 2 * (1 + 10)]
