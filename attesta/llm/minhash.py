@@ -314,7 +314,7 @@ def _dealt(rows: DataFrame, by: str, id: str, blocks, across: bool = True) -> Da
     is_main = F.col("label") == F.col("main")
     mine = F.when(is_main, F.col("others") + F.pmod(at, F.col("mains"))).when(held, F.pmod(at, F.col("others"))).otherwise(0).cast("int")
     last = F.when(is_main, F.col("others") - 1).when(held, F.col("others") + F.col("mains") - 1).otherwise(0).cast("int")
-    out = rows.join(large, by, "left").withColumn("mine", mine)
+    out = rows.join(written(large), by, "left").withColumn("mine", mine)  # a file, so that rows are not dealt out by group
     return out.withColumn("first", F.lit(0) if across else F.col("mine")).withColumn("last", last if across else F.col("mine")).drop("main", "mains", "others")
 
 
