@@ -20,11 +20,12 @@ import pyarrow as pa
 
 from attesta.llm.runtime import worker_cache
 
-UNITS_KEPT = 700_000
+#: Units a worker keeps, in some 40 MB of tables.
+UNITS_KEPT = 300_000
 #: A document ends with this id.
 END = 1
-#: Bytes of text handled at once.
-AT_ONCE = 1 << 20
+#: Bytes of text handled at once, unless one text is longer.
+AT_ONCE = 1 << 18
 #: Longer units are not kept; units of more punctuation at the end are not parted.
 LONG, MARKS = 64, 8
 
@@ -48,12 +49,20 @@ class _Table:
     """Open addressing: two integers -> where a unit's ids start, and how many they are."""
 
     def __init__(self, kept: int):
-        self.size = 1 << max(10, (2 * kept).bit_length())
-        self.kept, self.shift = kept, _U(64 - self.size.bit_length() + 1)
-        self.rows = np.zeros((self.size, 3), dtype=_U)  # second integer 0: free, as it holds the length
+        self.kept = kept
+        self._room(kept)
         self.entries = np.zeros((1 << 12, 3), dtype=_U)
         self.filled = 0
 
+    def _size(self, n: int) -> int:
+        return 1 << max(10, (2 * n).bit_length())
+
+    def _room(self, n: int) -> None:
+        """Empty rows for ``n`` units, which fill at most half of them."""
+        self.size = self._size(n)
+        self.shift = _U(64 - self.size.bit_length() + 1)
+        self.rows = np.zeros((self.size, 3), dtype=_U)  # second integer 0: free, as it holds the length
+
     def _at(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         h = (a ^ (a >> _U(29)) ^ (b * _U(0xC2B2AE3D27D4EB4F))) * _U(0x9E3779B97F4A7C15)
         return ((h ^ (h >> _U(32))) * _U(0xD6E8FEB86659FD93) >> self.shift).astype(np.int64)
@@ -79,6 +88,9 @@ class _Table:
         while n > len(self.entries):
             self.entries = np.concatenate([self.entries, np.zeros_like(self.entries)])
         self.entries[self.filled : n] = np.stack([a, b, value], axis=1)
+        if 4 * n > 3 * self.size:  # one long text may bring more units than are kept
+            self._room(n)
+            self.filled = 0
         self._place(self.entries[self.filled : n])
         self.filled = n
 
@@ -93,7 +105,11 @@ class _Table:
     def trim(self) -> None:
         """The first half stays, being the frequent units."""
         self.filled = self.kept // 2
-        self.rows[:] = 0
+        if self.size == self._size(self.kept):
+            self.rows[:] = 0
+        else:
+            self._room(self.kept)
+            self.entries = self.entries[: max(1 << 12, self.size)].copy()
         self._place(self.entries[: self.filled])
 
 

@@ -643,6 +643,43 @@ def test_tokens_word_by_word():
     assert next(mine.many(["it's <|endoftext|> A<|startoftext|>b"]))[0].tolist() == whole.encode("it's <|endoftext|> A<|startoftext|>b", add_special_tokens=False).ids
 
 
+def test_tokens_of_a_text_with_more_units_than_are_kept():
+    import signal
+
+    from tokenizers import Tokenizer
+
+    def late(*_):
+        raise TimeoutError("the table of units was full")
+
+    whole, mine = Tokenizer.from_file(tokens.path_of()), tokens.WordTokenizer(tokens.path_of(), kept=50)
+    size, held = mine.table.size, signal.signal(signal.SIGALRM, late)
+    signal.alarm(60)
+    try:
+        for text in (" ".join(f"a{i:x}" for i in range(first, first + 4_000)) for first in (0, 2_000)):
+            for t in (text, "a few words", text[:9_000]):
+                assert next(mine.many([t]))[0].tolist() == whole.encode(t, add_special_tokens=False).ids
+            assert mine.table.size == size and len(mine.table.entries) <= 1 << 12
+    finally:
+        signal.alarm(0)
+        signal.signal(signal.SIGALRM, held)
+
+
+def test_tokens_take_bounded_memory():
+    import random
+    import tracemalloc
+
+    some = random.Random(1)
+    words = ["".join(some.choices("abcdefgh", k=some.randint(2, 9))) for _ in range(3_000)]
+    texts = [" ".join(some.choices(words, k=700)) + "." for _ in range(400)]
+    tracemalloc.start()
+    try:
+        mine = tokens.WordTokenizer(tokens.path_of())
+        assert sum(len(ids) for ids, _ in mine.many(texts)) > 500_000
+        assert tracemalloc.get_traced_memory()[1] < 60e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_packing(spark, odd, monkeypatch):
     monkeypatch.setattr(packing, "BUFFER", 700)
     full, none = both(spark, odd)
