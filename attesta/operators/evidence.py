@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attesta.functions import text as T
+from attesta.operators import runs
 from attesta.sources.scratch import folder
 
 #: Halves of needles, and needles of two frequent halves, that may be broadcast: some tens of bytes each.
@@ -34,47 +35,27 @@ def verified_items(items: DataFrame, sources: DataFrame, paper: str, key: str, o
     return met.withColumn("__first", first).where("__first = 1").drop("__first")
 
 
-def _words(c: Column) -> Column:
-    return F.filter(F.split(c, r"\s+"), lambda w: w != "")
-
-
-def _grams(word: Column, lengths: list[int]) -> Column:
-    """The different runs of so many characters of a word: at most its length times the number of lengths."""
-    cut = lambda n: F.when(F.length(word) >= n, F.transform(F.sequence(F.lit(1), F.length(word) - n + 1), lambda i: F.substring(word, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
-    return F.array_distinct(F.concat(*[cut(n) for n in lengths]))
-
-
-def evidence_pairs(needles: DataFrame, needle: str, sources: DataFrame, source: str, most_bytes: int = 200_000, gram: int = 4) -> DataFrame:
-    """Cross-document containment: (needle row, source row) where the source contains the needle.
-
-    Needles of up to ``most_bytes`` in all (measured first) are broadcast. Larger sets meet on words, as
-    narrow rows of numbers, and texts are fetched for what met. A needle of three words and more has whole
-    words between its first and its last, which a source that contains it has too: the longest is its key.
-    One of two words ends a word of the source and begins the next: the half that fewer words have is its key, and
-    if many have either, neighbouring words are looked at instead. A single word lies anywhere in one, and what has such a
-    word contains it, unless the needle has white space beside it. Single words meet the distinct words of all sources by their rarest
-    run of ``gram`` characters, or as a whole where they are shorter: rarest among those words, counted first."""
-    held = needles.where(F.col(needle) != "")
-    inside = F.contains(F.col(source), F.col(needle))
-    if (held.agg(F.sum(F.octet_length(needle))).first()[0] or 0) <= most_bytes:
-        return sources.join(F.broadcast(held), inside)
-    texts = _saved(sources.withColumn("__h", F.monotonically_increasing_id()))
-    split = _saved(held.withColumns({"__w": _words(F.col(needle)), "__n": F.monotonically_increasing_id()}))
-    words = texts.select("__h", F.explode(F.array_distinct(_words(F.col(source)))).alias("__word"))
-    known = _saved(words.groupBy("__word").agg(F.count("*").alias("c")))
-    w = F.col("__w")
-    inner = F.reduce(F.slice(w, 2, F.greatest(F.size(w) - 2, F.lit(0))), F.lit(""), lambda best, x: F.when(F.length(x) > F.length(best), x).otherwise(best))
-    head, tail = F.get(w, F.lit(0)), F.get(w, F.size(w) - 1)
-    whole = split.where(F.size(w) > 2).select(inner.alias("__word"), "__n", F.lit(False).alias("__sure"))
-    ends, adjacent = _by_halves(split.where(F.size(w) == 2).select("__n", head.alias("head"), tail.alias("tail")), known, texts, source)
-    parts = _by_runs(split.where(F.size(w) == 1).select("__n", head.alias("__key"), (head == F.col(needle)).alias("__sure")), known, gram)
-    met = words.join(whole.unionByName(ends).unionByName(parts), "__word").select("__h", "__n", "__sure")
-    if adjacent is not None:
-        met = met.unionByName(adjacent)
-    met = met.distinct().join(split.where(F.size(w) > 0).drop("__w"), "__n").join(texts, "__h").where(F.col("__sure") | inside)
-    out = met.select(*sources.columns, *held.columns)
-    blank = split.where(F.size(w) == 0).drop("__w", "__n")  # white space only: one or two needles
-    return out.unionByName(sources.join(F.broadcast(blank), inside).select(*sources.columns, *held.columns)) if blank.limit(1).count() else out
+def evidence_pairs(needles: DataFrame, needle: str, sources: DataFrame, source: str, most_bytes: int = 200_000, gram: int = 4, carry: list[str] | None = None) -> DataFrame:
+    """Cross-document containment: (needle row, source row) where the source contains the needle. With ``carry``, only
+    these columns of the sources come out; texts that are not among them are read once and never shuffled.
+
+    Needles of up to ``most_bytes`` in all (measured first) are broadcast. Of larger sets only a table of bits is, of
+    at most ``MOST_BITS``: the hashes of the needles and of their first ``gram`` bytes, doubled as often as they have as many. A task that
+    reads a text takes from it, each once, the runs of bytes that the table lets through, and these meet the needles by
+    equality. So the table may let too much through, but never decides; what is shuffled is no more than pairs that
+    come out and such strays."""
+    held = _saved(needles.where(F.col(needle) != ""))
+    carry = sources.columns if carry is None else carry
+    sizes = dict(held.groupBy(F.octet_length(needle)).count().collect())  # one number for each length
+    if sum(n * c for n, c in sizes.items()) <= most_bytes:
+        return sources.join(F.broadcast(held), F.contains(F.col(source), F.col(needle))).select(*carry, *held.columns)
+    lengths = sorted(sizes)
+    table = runs.table(held, needle, sum(sizes.values()), lengths, gram)
+    texts = sources.select(*carry, source) if source not in carry else _saved(sources.withColumn("__h", F.monotonically_increasing_id()))
+    found = runs.found(texts if source not in carry else texts.select("__h", source), source, "__key", lengths, gram, table)
+    # a hash of the needles spares sorting what was found
+    met = found.join(held.hint("shuffle_hash"), F.col("__key") == F.col(needle))
+    return (met.join(texts, "__h") if source in carry else met).select(*carry, *held.columns)
 
 
 def _saved(df: DataFrame) -> DataFrame:
@@ -84,21 +65,10 @@ def _saved(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
-def _by_runs(single: DataFrame, known: DataFrame, gram: int) -> DataFrame:
-    """(__word, __n, __sure) of the words that hold a needle (__n, __key, __sure) of one word; sure: it has no white space beside it."""
-    keys = single.select("__key").distinct()
-    lengths = sorted(r[0] for r in keys.select(F.least(F.length("__key"), F.lit(gram)).alias("n")).distinct().collect()) or [gram]  # at most ``gram`` numbers
-    asked = keys.select("__key", F.explode(F.when(F.length("__key") >= gram, _grams(F.col("__key"), [gram])).otherwise(F.array("__key"))).alias("g"))
-    found = known.select("__word", F.explode(_grams(F.col("__word"), lengths)).alias("g")).join(asked.select("g").distinct(), "g", "left_semi")
-    often = found.groupBy("g").agg(F.count("*").alias("c"))
-    rarest = asked.join(often, "g", "left").groupBy("__key").agg(F.min(F.struct(F.coalesce("c", F.lit(0)).alias("c"), "g")).alias("m"))
-    near = found.join(rarest.select("__key", F.col("m.g").alias("g")), "g").where(F.contains("__word", "__key")).select("__word", "__key")
-    return near.join(single, "__key").select("__word", "__n", "__sure")
-
-
 def _by_halves(two: DataFrame, known: DataFrame, texts: DataFrame, source: str) -> tuple[DataFrame, DataFrame | None]:
     """For needles (__n, head, tail) of two words: (__word, __n, __sure) of the words that have the rarer half, and
-    (__h, __n, __sure) of the texts where words of two frequent halves are neighbours."""
+    (__h, __n, __sure) of the texts where words of two frequent halves are neighbours. ``evidence_pairs`` did this before it
+    searched by runs; it finds up to a fiftieth of the texts for each needle, so its work grows with the square."""
     halves = two.select(F.explode(F.array(F.struct(F.lit("end").alias("kind"), F.col("head").alias("key")), F.struct(F.lit("begin").alias("kind"), F.col("tail").alias("key")))).alias("x")).select("x.*").distinct()
     longest = halves.agg(F.max(F.length("key"))).first()[0] or 0
     sizes = F.sequence(F.lit(1), F.least(F.length("__word"), F.lit(max(longest, 1))))

@@ -287,3 +287,30 @@ def test_fuzzy_pairs_of_copies(spark, monkeypatch):
     got = cluster.fuzzy_pairs(spark.createDataFrame(a, kind), spark.createDataFrame(b, kind), "g").collect()
     assert sorted((r.g, r.id_a, r.id_b, round(r.similarity, 9)) for r in got) == sorted((*k, j, round(-s, 9)) for k, (_, s, j) in want.items())
     assert seen == [(1, 1)]
+
+
+def test_evidence_meets_little_else(spark):
+    """Needles of two words whose halves many texts have, but seldom beside each other: hardly more is found than comes out, also in a
+    text that is searched in pieces, of characters of several bytes, and for needles and texts that come twice."""
+    from attesta.operators import runs
+
+    rng = random.Random(17)
+    parts = ["an", "er", "zü", "日本", "tion", "xa."]
+    word = lambda: "".join(rng.choice(parts) for _ in range(rng.randint(1, 4)))
+    texts = [" ".join(word() for _ in range(40)) for _ in range(120)] + [None, "", "日", "an" * runs.SPAN + "zü" + " ".join(word() for _ in range(60_000))]
+    texts += texts[:2]
+    needles = {f"{word()} {word()}" for _ in range(500)} | {texts[123][i : i + n] for n in (1, 2, 7, 64, 3_000) for i in (runs.SPAN - 1, 2 * runs.SPAN - 2, 2 * runs.SPAN + 70_000)} | {"no such needle", "日本日", "an" * 5_000}
+    needles = [*sorted(needles), "日本日"]
+    src, ask = spark.createDataFrame(list(enumerate(texts)), "id int, s string").repartition(3), spark.createDataFrame(list(enumerate(needles)), "n int, k string")
+    want = sorted((i, n) for i, t in enumerate(texts) for n, k in enumerate(needles) if t and k in t)
+    found, seen = runs.found, []
+    runs.found = lambda *a: seen.append(found(*a)) or seen[-1]
+    try:
+        for carry in (None, ["id"]):
+            got = evidence.evidence_pairs(ask, "k", src, "s", most_bytes=0, carry=carry)
+            assert got.columns == ["id", *["s"] * (carry is None), "n", "k"]
+            assert sorted((r.id, r.n) for r in got.collect()) == want
+    finally:
+        runs.found = found
+    assert all(x.count() <= 1.1 * len(want) for x in seen)
+    assert evidence.evidence_pairs(ask.limit(0), "k", src, "s", most_bytes=0).collect() == []
