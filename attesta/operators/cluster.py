@@ -7,46 +7,71 @@ Papers are no groups of rows here, so one that holds a third of all scales is ma
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attesta.functions import text as T
+from attesta.operators import overlaps
 from attesta.operators.ordinal import kept, ordinal
 
 SIMILAR = 0.6
 #: Undecided rows up to which one task settles the rest, one after another.
 FEW = 50_000
+#: Words of the sets of one paper, or of several small ones, that meet in one task.
+MOST = 500_000
 
 
-def similar_pairs(a: DataFrame, b: DataFrame, similar: float = SIMILAR) -> DataFrame:
+def similar_pairs(a: DataFrame, b: DataFrame | None = None, similar: float = SIMILAR, most: int = MOST) -> DataFrame:
     """(by, a, b, similarity) for sets of words (by, id, tokens) of one ``by`` that share at least ``similar``
-    of the smaller one. Repeated words count once, empty sets pair with none.
-
-    Of two sets the larger stands under all its words, the smaller only under so many of its rarest that one
-    of them must be shared. What is joined on words is narrow, as a set may be long; pairs that meet fetch their sets
-    once and are compared as a whole."""
-    sets = [x.select("by", "id", F.array_distinct(F.filter("tokens", lambda w: w.isNotNull())).alias("tokens")).where(F.size("tokens") > 0) for x in (a, b)]
-    words = [x.select("by", "id", F.size("tokens").alias("n"), F.explode("tokens").alias("w")) for x in sets]
-    often = words[0].select("by", "w").unionByName(words[1].select("by", "w")).groupBy("by", "w").agg(F.count("*").alias("c"))
-    # a pair shares at least this many words of its smaller set, so one of the others and one more
-    most = F.col("n") - F.ceil(F.col("n") * similar - 1e-9).cast("int") + 1
-
-    def few(x: DataFrame) -> DataFrame:
-        rare = x.join(often, ["by", "w"]).groupBy("by", "id", "n").agg(F.array_sort(F.collect_list(F.struct("c", "w"))).alias("r"))
-        return rare.select("by", "id", "n", F.explode(F.transform(F.slice("r", 1, F.greatest(most, F.lit(1))), lambda r: r["w"])).alias("w"))
-
-    def met(less: DataFrame, more: DataFrame, ids: list[str], size) -> DataFrame:
-        left = less.select("by", "w", F.col("id").alias(ids[0]), F.col("n").alias("m"))
-        right = more.select("by", "w", F.col("id").alias(ids[1]), "n")
-        return left.join(right, ["by", "w"]).where(size(F.col("m"), F.col("n"))).select("by", "a", "b")
-
-    one = met(few(words[0]), words[1], ["a", "b"], lambda x, y: x <= y)
-    pairs = one.unionByName(met(few(words[1]), words[0], ["b", "a"], lambda x, y: x < y)).distinct()
-    whole = [x.select("by", F.col("id").alias(i), F.col("tokens").alias(t)) for x, i, t in zip(sets, "ab", "tu", strict=True)]
-    full = pairs.join(whole[0], ["by", "a"]).join(whole[1], ["by", "b"])
-    return full.select("by", "a", "b", T.overlap(F.col("t"), F.col("u")).alias("similarity")).where(F.col("similarity") >= similar)
+    of the smaller one. Repeated words count once, empty sets pair with none. Without ``b``, pairs of a's own in both
+    directions, none of a set with itself.
+
+    Sets of one ``by`` meet as a whole in one task, which looks for pairs by the sets' rarest words, so that candidates are never shuffled. Small ``by``
+    share a task; one of more than ``most`` words (as counted, or as a column n has them) is dealt into blocks by digests of ids, and each two blocks are a
+    task's, so a set goes to as many tasks as there are blocks."""
+    spark = a.sparkSession
+    frames = [a] if b is None else [a, b]
+    words = F.array_distinct(F.filter("tokens", lambda w: w.isNotNull()))
+    sets = [x.where("by is not null").select("by", "id", words.alias("tokens")).where(F.size("tokens") > 0) for x in frames]
+    counted = [x.select("by", "n") if "n" in x.columns else y.select("by", F.size("tokens").alias("n")) for x, y in zip(frames, sets, strict=True)]
+    sizes = kept((counted[0] if b is None else counted[0].unionByName(counted[1])).groupBy("by").agg(F.sum("n").alias("n")))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = max(2 * parts, (sizes.agg(F.sum("n")).first()[0] or 0) // most)
+    large = F.broadcast(sizes.where(F.col("n") > most).select("by", F.ceil(F.col("n") / most).cast("int").alias("blocks")))  # few: each has so many words
+    block, other = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = [x.join(large, "by", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumns({"block": block, "other": other}) for x in sets]
+    alone = [F.when(F.col("blocks") > 1, F.col("by")).alias("of"), F.when(F.col("blocks") > 1, 0).otherwise(F.pmod(F.xxhash64("by"), F.lit(spread))).cast("long").alias("spread")]
+    if b is None:
+        i, j = F.least("block", "other"), F.greatest("block", "other")
+        rows = dealt[0].select(*alone, i.alias("i"), j.alias("j"), (F.col("block") > F.col("other")).alias("side"), "by", F.col("id").alias("a"), F.col("id").alias("b"), "tokens")
+    else:
+        kinds = [x.schema["id"].dataType for x in frames]
+        id = lambda n, side: (F.col("id") if n == side else F.lit(None).cast(kinds[n])).alias("ab"[n])
+        spots = [("block", "other"), ("other", "block")]
+        one, two = (x.select(*alone, F.col(i).alias("i"), F.col(j).alias("j"), F.lit(k == 1).alias("side"), "by", id(0, k), id(1, k), "tokens") for k, (x, (i, j)) in enumerate(zip(dealt, spots, strict=True)))
+        rows = one.unionByName(two)
+    own = b is None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = pa.Table.from_batches(list(batches))
+        within = own and held["i"][0] == held["j"][0]
+        ids = held.select(["by", "a", "b"]).combine_chunks()
+        side = held["side"].to_numpy()
+        for x, y, share in overlaps.Sets(held, similar).pairs(None if within else side):
+            if own:
+                x, y, share = np.append(x, y), np.append(y, x), np.append(share, share)
+            else:
+                x, y = np.where(side[x], y, x), np.where(side[x], x, y)
+            columns = [ids["by"].take(x), ids["a"].take(x), ids["b"].take(y)]
+            yield from pa.table([*columns, pa.array(share)], ["by", "a", "b", "similarity"]).to_batches()
+
+    kinds = [rows.schema[c].simpleString().partition(":")[2] for c in ("by", "a", "b")]
+    cells = ["of", "spread", "i", "j"]
+    return rows.repartition(parts, *cells).groupBy(*cells).applyInArrow(run, f"by {kinds[0]}, a {kinds[1]}, b {kinds[2]}, similarity double")
 
 
 def clustered(scales: DataFrame, similar: float = SIMILAR, few: int = FEW) -> DataFrame:
@@ -59,14 +84,15 @@ def clustered(scales: DataFrame, similar: float = SIMILAR, few: int = FEW) -> Da
     ``ord`` go by digests of key and tokens; a null key or list is empty; scales of no paper are left out."""
     words = F.array_sort(F.array_distinct(F.filter("tokens", lambda w: w.isNotNull())))
     # digests of 128 bits stand for keys and sets of words, which may be long
-    tagged = scales.where("paper_id is not null").withColumns({"__k": F.md5(F.nullif("key", F.lit(""))), "__t": F.when(F.size(words) > 0, F.md5(F.to_json(words)))})
+    tagged = scales.where("paper_id is not null").withColumns({"__k": F.md5(F.nullif("key", F.lit(""))), "__t": F.when(F.size(words) > 0, F.md5(F.to_json(words))), "__n": F.size(words)})
     rows = ordinal(tagged, ["paper_id", "ord", "__k", "__t"], "__at")
-    kinds = rows.groupBy("paper_id", "__k", "__t").agg(F.min("__at").alias("at"), F.first("tokens").alias("tokens"))
+    kinds = rows.groupBy("paper_id", "__k", "__t").agg(F.min("__at").alias("at"))
     group = lambda c, name: kinds.where(f"{c} is not null").groupBy("paper_id", c).agg(F.min("at").alias(name))
     keyed = kinds.where("__k is not null or __t is not null").join(group("__k", "kg"), ["paper_id", "__k"], "left").join(group("__t", "tg"), ["paper_id", "__t"], "left")
-    keyed = kept(keyed.select("paper_id", "__k", "__t", "at", "kg", "tg", "tokens"))
-    sets = keyed.where("at = tg").select(F.col("paper_id").alias("by"), F.col("tg").alias("id"), "tokens")
-    edges = kept(similar_pairs(sets, sets, similar).where("a <> b").select("a", "b"))
+    keyed = kept(keyed.select("paper_id", "__k", "__t", "at", "kg", "tg"))
+    firsts = keyed.where("at = tg").select(F.col("tg").alias("id"))
+    sets = rows.select(F.col("paper_id").alias("by"), F.col("__at").alias("id"), "tokens", F.col("__n").alias("n")).join(firsts, "id", "left_semi")
+    edges = kept(similar_pairs(sets, similar=similar).select("a", "b"))
     founders = _founders(keyed.select("at", "kg", "tg"), edges, few)
 
     # the founder of each key, and the first founder near each set of words
@@ -75,16 +101,17 @@ def clustered(scales: DataFrame, similar: float = SIMILAR, few: int = FEW) -> Da
     by_words = near.groupBy("tg").agg(F.min("at").alias("of_words"))
     spots = keyed.select("paper_id", "__k", "__t", "kg", "tg").join(by_key, "kg", "left").join(by_words, "tg", "left").select("paper_id", "__k", "__t", "of_key", "of_words")
     alike = lambda c: F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}"))
-    met = rows.alias("r").join(spots.alias("s"), (F.col("r.paper_id") == F.col("s.paper_id")) & alike("__k") & alike("__t"), "left")
+    # keys and words stay behind until each scale has its cluster
+    met = rows.select("paper_id", "__k", "__t", "__at").alias("r").join(spots.alias("s"), (F.col("r.paper_id") == F.col("s.paper_id")) & alike("__k") & alike("__t"), "left")
     # a founder of the key that comes later than the scale wasn't there yet
     at = F.col("r.__at")
     head = F.coalesce(F.when(F.col("s.of_key") <= at, F.col("s.of_key")), F.col("s.of_words"), at)
-    placed = met.select("r.*", head.alias("__head"))
+    placed = kept(met.select("r.paper_id", "r.__at", head.alias("__head")))
     first = placed.where("__head = __at").select("paper_id", "__at")
     numbered = ordinal(first, ["paper_id", "__at"], "__n")
     start = numbered.groupBy("paper_id").agg(F.min("__n").alias("__start"))
     names = numbered.join(start, "paper_id").select(F.col("__at").alias("__head"), (F.col("__n") - F.col("__start")).alias("cluster"))
-    return placed.join(names, "__head").select(*scales.columns, "cluster")
+    return rows.join(placed.join(names, "__head").select("__at", "cluster"), "__at").select(*scales.columns, "cluster")
 
 
 def _founders(open: DataFrame, edges: DataFrame, few: int) -> DataFrame:

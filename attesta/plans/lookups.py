@@ -236,7 +236,9 @@ SELECT paper_id, cluster, base, coalesce(subscales, '') AS subscales, CAST(coale
 def _(spark, d):
     docs = table(spark, d, "documents").withColumn("name", F.substring_index("text", "\n", 1))
     name = F.when(F.col("doc_id") % 5 == 0, "").otherwise(T.evidence_norm("name"))  # every fifth scale has no name
-    scales = docs.select((F.col("doc_id") % 97).cast("string").alias("paper_id"), F.col("doc_id").alias("ord"), name.alias("key"), T.name_tokens(name).alias("tokens"), F.col("lang").alias("subscales"), F.lit(True).alias("attested"))
+    named = docs.select((F.col("doc_id") % 97).cast("string").alias("paper_id"), F.col("doc_id").alias("ord"), name.alias("key"), "lang")
+    scales = named.select("paper_id", "ord", "key", T.key_tokens("key").alias("tokens"), F.col("lang").alias("subscales"), F.lit(True).alias("attested"))
     items = lines(spark, d).select((F.col("doc_id") % 97).cast("string").alias("paper_id"), F.col("doc_id").alias("ord"), F.col("pos").alias("item"), T.evidence_norm("line").alias("key")).where("key <> ''")
+    items = items.withColumn("key", F.unhex(F.md5("key")))  # digests stand for lines, which are only counted
     out = cluster.merged(items, cluster.clustered(scales))
     return out.select("paper_id", "cluster", "base", "subscales", F.coalesce(F.size("items"), F.lit(0)).alias("n_items"))

@@ -314,3 +314,52 @@ def test_evidence_meets_little_else(spark):
         runs.found = found
     assert all(x.count() <= 1.1 * len(want) for x in seen)
     assert evidence.evidence_pairs(ask.limit(0), "k", src, "s", most_bytes=0).collect() == []
+
+
+def test_similar_pairs_in_blocks(spark):
+    """A paper of many words is dealt into blocks, small papers share a task; no words are dealt out, so candidates are never shuffled."""
+    kind = "by string, id long, key string, tokens array<string>, extra int"
+    a, b = scales(21, 70, papers=9), scales(22, 60, papers=9)
+    want = lambda x, y: sorted((p, i, j, round(s, 9)) for p, i, _, t, _ in x for q, j, _, u, _ in y if p == q and (x is not y or i != j) and (s := overlap(set(t or []), set(u or []))) >= 0.6)
+    one, two = spark.createDataFrame(a, kind), spark.createDataFrame(b, kind.replace("id long", "id string"))
+    for most in (20, 500_000):
+        own, met = cluster.similar_pairs(one, most=most), cluster.similar_pairs(one, two, most=most)
+        assert sorted((r.by, r.a, r.b, round(r.similarity, 9)) for r in own.collect()) == want(a, a)
+        assert sorted((r.by, r.a, int(r.b), round(r.similarity, 9)) for r in met.collect()) == want(a, b)
+        plan = own._jdf.queryExecution().toString()
+        assert "tokens" in plan and "explode(tokens" not in plan and "explode(r" not in plan
+    assert cluster.similar_pairs(one.limit(0)).collect() == [] == cluster.similar_pairs(one, two.limit(0)).collect()
+
+
+def test_similar_sets_of_many_words():
+    """Candidates and their words are looked at in parts."""
+    import pyarrow as pa
+
+    from attesta.operators import overlaps
+
+    rng = random.Random(4)
+    sets = [sorted(rng.sample(range(60), rng.choice([1, 2, 5, 9, 30]))) for _ in range(150)]
+    table = pa.table({"by": [i % 2 for i in range(150)], "tokens": [[f"w{x}" for x in s] for s in sets]})
+    want = sorted((i, j) for i in range(150) for j in range(i) if i % 2 == j % 2 and overlap(set(sets[i]), set(sets[j])) >= 0.6)
+    held = overlaps.SPAN
+    try:
+        for overlaps.SPAN in (7, held):
+            got = [(int(max(x, y)), int(min(x, y)), s) for part in overlaps.Sets(table, 0.6).pairs(None) for x, y, s in zip(*part, strict=True)]
+            assert sorted((x, y) for x, y, _ in got) == want
+            assert all(s == overlap(set(sets[x]), set(sets[y])) for x, y, s in got)
+    finally:
+        overlaps.SPAN = held
+
+
+def test_resolve_clusters_on_odd_texts(spark, tmp_path):
+    """Names are normalised once: what stands behind a second number is a word of the name."""
+    import __spark_entry__ as entry
+    import duckdb
+
+    rows = [(1, "1. 2. p\nitem"), (98, "2.\nitem\nitem"), (195, "2. z"), (292, None), (389, "p q"), (485, "x"), (97 * 7 + 1, "(a) 3) p q r s\n\nother"), (97 * 8 + 1, "The scale"), (97 * 9 + 1, "z-z")]
+    spark.createDataFrame([(i, t, "de" if i % 2 else "en") for i, t in rows], "doc_id long, text string, lang string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = entry.queries()["resolve_clusters"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(f"select paper_id, cluster, base, subscales, n_items from ({entry.oracle_sql()['resolve_clusters']})").fetchall()
+    assert sorted(map(tuple, got.select("paper_id", "cluster", "base", "subscales", "n_items").collect())) == sorted(want)
